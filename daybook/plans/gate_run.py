@@ -7,6 +7,7 @@ A run that breaks off leaves rows nobody reads, and its files are judged anew.
 
 import datetime as dt
 import uuid
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,68 +78,68 @@ def judge(spark: SparkSession, files: DataFrame, run_date, run_id: str, work: st
     return spark.read.schema(GATE_LOG).parquet(f"{work}/verdicts")
 
 
-def valid_rows(spark: SparkSession, verdicts: DataFrame, file_type: str) -> DataFrame | None:
-    """Text rows of the valid files of a type; one CSV read per distinct header."""
-    layouts = (
-        verdicts.where((F.col("verdict") == VALID) & (F.col("file_type") == file_type))
-        .groupBy("header", "multiline")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    )
+@dataclass(frozen=True)
+class Layout:
+    """Judged files of one type and verdict that share a header."""
+
+    file_type: str
+    verdict: str
+    header: list[str]
+    multiline: bool
+    paths: list[str]
+
+
+def layouts(verdicts: DataFrame) -> list[Layout]:
+    """File names by layout, for the readers. Only names come to the driver, never rows."""
+    found: dict[tuple, Layout] = {}
+    judged = verdicts.where(F.col("verdict").isin(VALID, MISSING_COLUMNS))
+    keys = ("file_type", "verdict", "header", "multiline")
+    for row in judged.select(*keys, "path").orderBy("path").toLocalIterator():
+        key = (row["file_type"], row["verdict"], tuple(row["header"]), row["multiline"])
+        found.setdefault(key, Layout(*key[:2], row["header"], key[3], [])).paths.append(row["path"])
+    return list(found.values())
+
+
+def _in_run(rows: DataFrame, run_date: dt.date, run_id: str) -> DataFrame:
+    return rows.withColumns({"dt": F.lit(run_date), "run_id": F.lit(run_id)})
+
+
+def clean_rows(
+    spark: SparkSession, judged: list[Layout], file_type: str, run_date: dt.date, run_id: str
+) -> DataFrame | None:
+    """Typed rows of the valid files of a type; one CSV read per distinct header."""
     reads = [
         read_csv_layout(
-            spark, row["paths"], row["header"], REQUIRED_COLUMNS[file_type], row["multiline"]
+            spark, files.paths, files.header, REQUIRED_COLUMNS[file_type], files.multiline
         )
-        for row in layouts.toLocalIterator()
+        for files in judged
+        if files.file_type == file_type and files.verdict == VALID
     ]
-    return reduce(DataFrame.unionByName, reads) if reads else None
-
-
-def clean_rows(spark: SparkSession, verdicts: DataFrame, file_type: str) -> DataFrame | None:
-    raw = valid_rows(spark, verdicts, file_type)
-    if raw is None:
+    if not reads:
         return None
-    run = verdicts.select("dt", "run_id").first()
-    return (
-        CLEAN[file_type](raw)
-        .withColumns(
-            {
-                "dt": F.lit(run["dt"]),
-                "run_id": F.lit(run["run_id"]),
-                "order_month": month_of("order_date"),
-            }
-        )
-        .select(*CLEAN_ROWS[file_type].names)
-    )
+    typed = CLEAN[file_type](reduce(DataFrame.unionByName, reads))
+    stored = _in_run(typed.withColumn("order_month", month_of("order_date")), run_date, run_id)
+    return stored.select(*CLEAN_ROWS[file_type].names)
 
 
-def archive_lines(spark: SparkSession, verdicts: DataFrame) -> DataFrame | None:
+def archive_lines(
+    spark: SparkSession, judged: list[Layout], run_date: dt.date, run_id: str
+) -> DataFrame | None:
     """Raw lines of every judged file, so that any file can be given back as it came.
 
     Each type and verdict reads its own files, so no line is shuffled to learn
     which file it belongs to.
     """
-    reads = []
-    for file_type in REQUIRED_COLUMNS:
-        for verdict in (VALID, MISSING_COLUMNS):
-            files = verdicts.where(
-                (F.col("file_type") == file_type) & (F.col("verdict") == verdict)
-            )
-            paths = path_list(files)
-            if paths:
-                run = files.select("dt", "run_id").first()
-                reads.append(
-                    read_lines(spark, paths).select(
-                        F.col("path").alias("source_file"),
-                        "block_start",
-                        "line_id",
-                        "value",
-                        F.lit(file_type).alias("file_type"),
-                        F.lit(verdict).alias("verdict"),
-                        F.lit(run["dt"]).alias("dt"),
-                        F.lit(run["run_id"]).alias("run_id"),
-                    )
-                )
-    return reduce(DataFrame.unionByName, reads) if reads else None
+    paths: dict[tuple[str, str], list[str]] = {}
+    for files in judged:
+        paths.setdefault((files.file_type, files.verdict), []).extend(files.paths)
+    reads = [
+        read_lines(spark, names)
+        .withColumnRenamed("path", "source_file")
+        .withColumns({"file_type": F.lit(file_type), "verdict": F.lit(verdict)})
+        for (file_type, verdict), names in paths.items()
+    ]
+    return _in_run(reduce(DataFrame.unionByName, reads), run_date, run_id) if reads else None
 
 
 def list_incoming(spark: SparkSession, workspace: Workspace) -> DataFrame:
@@ -177,15 +178,16 @@ def run_gate(
     files = spark.read.parquet(f"{work}/files")
     verdicts = judge(spark, files, run_date, run_id, work)
 
+    judged = layouts(verdicts)
     for file_type in REQUIRED_COLUMNS:
-        rows = clean_rows(spark, verdicts, file_type)
+        rows = clean_rows(spark, judged, file_type, run_date, run_id)
         if rows is not None:
             append(rows, workspace.clean(file_type), "dt", "run_id", "order_month")
-    lines = archive_lines(spark, verdicts)
+    lines = archive_lines(spark, judged, run_date, run_id)
     if lines is not None:
         append(lines, workspace.archive, "file_type", "verdict", "dt", "run_id")
-
+    n_valid = sum(len(files.paths) for files in judged if files.verdict == VALID)
     valid = verdicts.where(F.col("verdict") == VALID)
-    write_manifest(valid, workspace.manifests, str(run_date), valid.count())
+    write_manifest(valid, workspace.manifests, str(run_date), n_valid)
     verdicts.coalesce(1).write.mode("append").parquet(workspace.gate_log)
     return verdicts

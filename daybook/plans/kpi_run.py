@@ -6,12 +6,14 @@ files and replaces the same rows.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.kpis import category_kpis, order_kpis
 from daybook.operators.ledger import latest_file_per_type, new_files
+from daybook.operators.summary import run_summary
 from daybook.plans.gate_run import new_run_id
 from daybook.plans.workspace import Workspace
 from daybook.schemas import (
@@ -41,8 +43,6 @@ class KpiRun:
     order_rows: DataFrame
 
     def summary(self) -> DataFrame:
-        from daybook.operators.summary import run_summary
-
         counted = {"category_kpis": self.category_rows, "order_kpis": self.order_rows}
         for file_type in REQUIRED_COLUMNS:
             counted[f"{file_type}_files"] = self.files.where(F.col("file_type") == file_type)
@@ -63,43 +63,90 @@ def pending_files(spark: SparkSession, workspace: Workspace, latest_only: bool)
     return pending
 
 
-def _run_folders(files: DataFrame, file_type: str) -> list[str]:
-    runs = files.where(F.col("file_type") == file_type).select("dt", "run_id").distinct()
-    return [f"dt={row['dt']}/run_id={row['run_id']}" for row in runs.toLocalIterator()]
+@dataclass(frozen=True)
+class GateRun:
+    """The valid files of one type in one committed gate run."""
+
+    file_type: str
+    folder: str
+    n_valid: int
+    n_wanted: int
+
+
+def gate_runs(valid: DataFrame, wanted: DataFrame) -> list[GateRun]:
+    """All committed runs, with how many of their valid files are wanted now."""
+    marked = wanted.select("file_key", "run_id", F.lit(1).alias("_wanted"))
+    counts = (
+        valid.join(marked, ["file_key", "run_id"], "left")
+        .groupBy("file_type", "dt", "run_id")
+        .agg(F.count("*").alias("n_valid"), F.count("_wanted").alias("n_wanted"))
+    )
+    return [
+        GateRun(
+            row["file_type"],
+            f"dt={row['dt']}/run_id={row['run_id']}",
+            row["n_valid"],
+            row["n_wanted"],
+        )
+        for row in counts.toLocalIterator()
+    ]
 
 
-def rows_of(
-    spark: SparkSession, workspace: Workspace, files: DataFrame, valid: DataFrame, file_type: str
+def clean_rows_of(
+    spark: SparkSession, workspace: Workspace, runs: list[GateRun], file_type: str
 ) -> DataFrame:
-    """Clean rows of the given files: whole runs where every file of them is wanted."""
-    wanted = files.where(F.col("file_type") == file_type)
-    rows = read_partitions(
-        spark,
-        workspace.clean(file_type),
-        CLEAN_ROWS[file_type],
-        _run_folders(files, file_type),
-    )
-    in_runs = valid.where(F.col("file_type") == file_type).join(
-        wanted.select("dt", "run_id").distinct(), ["dt", "run_id"], "left_semi"
-    )
-    if in_runs.count() > wanted.count():
-        rows = rows.join(
-            wanted.select(F.col("path").alias("source_file"), "run_id"),
-            ["source_file", "run_id"],
-            "left_semi",
+    """Clean rows of whole runs; only their folders are listed and read."""
+    folders = [run.folder for run in runs if run.file_type == file_type]
+    return read_partitions(spark, workspace.clean(file_type), CLEAN_ROWS[file_type], folders)
+
+
+def new_rows(
+    spark: SparkSession,
+    workspace: Workspace,
+    runs: list[GateRun],
+    files: DataFrame,
+    file_type: str,
+) -> DataFrame:
+    """Clean rows of the wanted files. Rows are matched with files only in runs
+    of which some files were wanted earlier or will be wanted later."""
+    touched = [run for run in runs if run.n_wanted]
+    whole = [run for run in touched if run.n_wanted == run.n_valid]
+    partial = [run for run in touched if run.n_wanted < run.n_valid]
+    rows = clean_rows_of(spark, workspace, whole, file_type)
+    if any(run.file_type == file_type for run in partial):
+        wanted = files.where(F.col("file_type") == file_type).select(
+            F.col("path").alias("source_file"), "run_id"
         )
+        some = clean_rows_of(spark, workspace, partial, file_type)
+        rows = rows.unionByName(some.join(wanted, ["source_file", "run_id"], "left_semi"))
     return rows
 
 
-def _days(rows: DataFrame) -> list:
-    """Days of a batch; as many as the calendar has, whatever the number of rows."""
-    days = rows.where("order_date IS NOT NULL").select("order_date").distinct()
-    return [row[0] for row in days.toLocalIterator()]
+def _on_days(rows: DataFrame, days: set) -> DataFrame:
+    """Rows of some days: their months prune the read, a broadcast list does the rest."""
+    months = sorted({f"{day:%Y-%m}" for day in days})
+    wanted = rows.sparkSession.createDataFrame([(day,) for day in days], "order_date date")
+    return rows.where(F.col("order_month").isin(months)).join(wanted, "order_date", "left_semi")
+
 
+def touched_days(all_orders: DataFrame, orders: DataFrame, items: DataFrame) -> dict[str, set]:
+    """Days whose KPIs new rows change; as many as the calendar has at most.
 
-def _on_days(rows: DataFrame, days: list) -> DataFrame:
-    months = sorted({f"{day:%Y-%m}" for day in days})
-    return rows.where(F.col("order_month").isin(months) & F.col("order_date").isin(days))
+    New orders change their own day, new items the day of their order, and for
+    the category KPIs new items change their own day.
+    """
+    late = all_orders.join(items.select("order_id"), "order_id", "left_semi")
+    days: dict[str, set] = {"order": set(), "category": set()}
+    found = [
+        (orders, "order"),
+        (late, "order"),
+        (items, "category"),
+    ]
+    marked = [rows.select("order_date", F.lit(kpi).alias("kpi")) for rows, kpi in found]
+    distinct = reduce(DataFrame.unionByName, marked).where("order_date IS NOT NULL").distinct()
+    for row in distinct.toLocalIterator():
+        days[row["kpi"]].add(row["order_date"])
+    return days
 
 
 def recomputed(
@@ -107,16 +154,13 @@ def recomputed(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders, their items, and category items of all days that new rows touch.
 
-    New items also touch the day of their order. Stored months prune the reads
-    of orders and category items; revenue needs the items of the touched orders
-    from any day.
+    Stored months prune the reads of orders and category items; revenue needs
+    the items of the touched orders from any day.
     """
-    late = all_orders.join(items.select("order_id").distinct(), "order_id", "left_semi")
-    touched = _on_days(all_orders, sorted({*_days(orders), *_days(late)}))
-    touched_items = all_items.join(
-        touched.select("order_id").distinct(), "order_id", "left_semi"
-    )
-    return touched, touched_items, _on_days(all_items, _days(items))
+    days = touched_days(all_orders, orders, items)
+    touched = _on_days(all_orders, days["order"])
+    touched_items = all_items.join(touched.select("order_id"), "order_id", "left_semi")
+    return touched, touched_items, _on_days(all_items, days["category"])
 
 
 def process_files(
@@ -135,13 +179,14 @@ def process_files(
         return None
 
     valid = read_table(spark, workspace.gate_log, GATE_LOG).where(F.col("verdict") == VALID)
-    orders = rows_of(spark, workspace, files, valid, "orders")
-    items = rows_of(spark, workspace, files, valid, "order_items")
+    runs = gate_runs(valid, files)
+    orders = new_rows(spark, workspace, runs, files, "orders")
+    items = new_rows(spark, workspace, runs, files, "order_items")
     category_items = items
     if recompute:
         orders, items, category_items = recomputed(
-            rows_of(spark, workspace, valid, valid, "orders"),
-            rows_of(spark, workspace, valid, valid, "order_items"),
+            clean_rows_of(spark, workspace, runs, "orders"),
+            clean_rows_of(spark, workspace, runs, "order_items"),
             orders,
             items,
         )

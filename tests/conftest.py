@@ -1,0 +1,66 @@
+import csv
+import io
+
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("daybook-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.driver.memory", "4g")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def text_table(spark):
+    """CSV text -> DataFrame of text columns; an empty field is NULL, as in a CSV read."""
+
+    def build(text: str):
+        rows = list(csv.reader(io.StringIO(text.strip("\n"))))
+        schema = ", ".join(f"{name} string" for name in rows[0])
+        return spark.createDataFrame([[v or None for v in row] for row in rows[1:]], schema)
+
+    return build
+
+
+ORDERS = """
+order_id,user_id,created_at,status,num_of_item
+1,10,2025-07-06 09:00:00,complete,2
+2,10,2025-07-06 10:00:00,returned,1
+3,11,2025-07-06 11:00:00,complete,1
+4,12,2025-07-07 09:00:00,complete,bad
+"""
+ITEMS = """
+order_id,product_id,created_at,sale_price,status
+1,100,2025-07-06 09:00:00,10.00,complete
+1,101,2025-07-06 09:00:00,5.50,returned
+1,100,2025-07-06 09:00:00,2.005,complete
+2,100,2025-07-06 10:00:00,20.00,returned
+4,999,2025-07-07 09:00:00,7.00,
+"""
+PRODUCTS = """
+id,category
+100,Books
+101,Toys
+"""
+
+
+@pytest.fixture
+def golden(text_table):
+    return text_table(ORDERS), text_table(ITEMS), text_table(PRODUCTS)
+
+
+def as_rows(df, *columns):
+    """Rows as plain tuples, sorted by their text."""
+    return sorted((tuple(row) for row in df.select(*columns).collect()), key=str)

@@ -1,0 +1,103 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.functions.casting import to_count, to_day, to_money
+from daybook.functions.paths import base_name, dated_key, plain_path, processed_key
+from daybook.operators.cleaning import clean_items, clean_orders, reject_counts
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2.0", 2),
+        ("2.7", 2),
+        (" 3 ", 3),
+        ("+4", 4),
+        ("5.", 5),
+        ("-1", -1),
+        ("abc", None),
+        ("1e3", None),
+        ("99999999999", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_count(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "n string")
+    assert df.select(to_count(df, "n")).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("12.345", Decimal("12.35")),
+        ("2.005", Decimal("2.01")),
+        ("7", Decimal("7.00")),
+        ("$5", None),
+        ("123456789012.00", None),
+        (None, None),
+    ],
+)
+def test_money(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "p string")
+    assert df.select(to_money("p")).first()[0] == expected
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("2025-07-06", True),
+        ("2025-07-06 10:11:12", True),
+        ("2025-07-06T10:11:12Z", True),
+        ("2025-07-06 06:35:06 UTC", True),
+        ("07/06/2025", False),
+        ("garbage", False),
+        ("2025-07-06garbage", False),
+        (None, False),
+    ],
+)
+def test_day(spark, text, found):
+    df = spark.createDataFrame([(text,)], "d string")
+    assert df.select(to_day("d")).first()[0] == (dt.date(2025, 7, 6) if found else None)
+
+
+def test_returned_is_exact(spark, text_table):
+    items = text_table(
+        "order_id,product_id,created_at,sale_price,status\n"
+        "1,1,2025-07-06,1,returned\n2,1,2025-07-06,1,Returned\n"
+        "3,1,2025-07-06,1,returned \n4,1,2025-07-06,1,\n"
+    )
+    flags = [row[0] for row in clean_items(items).orderBy("order_id").select("is_returned").collect()]
+    assert flags == [True, False, False, None]
+
+
+def test_rejects_name_the_columns(golden):
+    orders, items, _ = golden
+    cleaned = clean_orders(orders)
+    assert [r["rejects"] for r in cleaned.orderBy("order_id").collect()] == [
+        [],
+        [],
+        [],
+        ["num_of_item"],
+    ]
+    assert [tuple(r) for r in reject_counts(cleaned).collect()] == [("num_of_item", 1)]
+    assert reject_counts(clean_items(items)).count() == 0
+
+
+def test_paths(spark):
+    df = spark.createDataFrame([("file:///in/orders/a%20b%2520+c.csv",)], "p string")
+    row = df.select(
+        plain_path("p").alias("plain"),
+        base_name("p").alias("base"),
+        dated_key(
+            "validated/", F.lit("orders"), F.lit("2025-07-06").cast("date"), F.lit("x/y/a.csv")
+        ).alias("key"),
+        processed_key(F.lit("validated/orders/validated/a.csv")).alias("done"),
+    ).first()
+    assert row["plain"] == "file:/in/orders/a b%20+c.csv"
+    assert row["base"] == "a%20b%2520+c.csv"
+    assert row["key"] == "validated/orders/dt=2025-07-06/a.csv"
+    assert row["done"] == "processed/orders/processed/a.csv"
