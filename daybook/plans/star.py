@@ -450,7 +450,7 @@ def q_kpi_category_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_kpi_category_day(spark: SparkSession, folder: str) -> DataFrame:
-    return serving.category_day(q_category_daily_kpi(spark, folder), "Brand#7", "1997-06-15")
+    return serving.category_day(q_category_daily_kpi(spark, folder), "Brand#7", "1997-06-24")
 
 
 def q_kpi_day_range(spark: SparkSession, folder: str) -> DataFrame:

@@ -242,7 +242,7 @@ ORACLES = {
     "kpi_category_range": f"""with {CATEGORY_KPI} select * from ck
         where category = 'Brand#7' and order_date between date '1997-01-01' and date '1997-12-31'""",
     "kpi_category_day": f"""with {CATEGORY_KPI} select * from ck
-        where category = 'Brand#7' and order_date = date '1997-06-15'""",
+        where category = 'Brand#7' and order_date = date '1997-06-24'""",
     "kpi_day_range": f"""with {ORDER_KPI} select * from ok
         where order_date between date '1997-01-01' and date '1997-03-31'""",
     "revenue_by_category": f"""with {CATEGORY_KPI}

@@ -62,5 +62,6 @@ def golden(text_table):
 
 
 def as_rows(df, *columns):
-    """Rows as plain tuples, sorted by their text."""
-    return sorted((tuple(row) for row in df.select(*columns).collect()), key=str)
+    """Rows as plain tuples in order of their values, NULLs first."""
+    rows = (tuple(row) for row in df.select(*columns).collect())
+    return sorted(rows, key=lambda row: [(value is not None, value) for value in row])

@@ -1,0 +1,90 @@
+import pytest
+
+from daybook.operators.quality import check_rows, duplicate_keys, rejected_files, split_by_file
+from daybook.schemas import FLAT_COLUMNS
+from tests.conftest import as_rows
+
+GOOD = {
+    "order_id": "ORD1",
+    "customer_id": "C1",
+    "order_date": "2025-07-06",
+    "category": "Books",
+    "product_id": "P1",
+    "quantity": "2",
+    "unit_price": "199.99",
+    "returned": "false",
+}
+CATEGORIES = ["Books", "Electronics", "Clothing"]
+
+
+def flat_rows(spark, *changes, file="f1"):
+    rows = [tuple({**GOOD, **change}[name] for name in FLAT_COLUMNS) + (file,) for change in changes]
+    schema = ", ".join(f"{name} string" for name in [*FLAT_COLUMNS, "source_file"])
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize(
+    "change, reasons",
+    [
+        ({}, []),
+        ({"returned": "TRUE"}, []),
+        ({"order_id": ""}, ["missing order_id"]),
+        ({"order_id": None, "customer_id": ""}, ["missing order_id", "missing customer_id"]),
+        ({"order_date": "2025-7-6"}, ["bad order_date"]),
+        ({"order_date": "2025-02-30"}, ["bad order_date"]),
+        ({"order_date": "2025-07-06 10:00:00"}, ["bad order_date"]),
+        ({"order_date": None}, ["missing order_date"]),
+        ({"quantity": "0"}, ["bad quantity"]),
+        ({"quantity": "-1"}, ["bad quantity"]),
+        ({"quantity": "2.0"}, ["bad quantity"]),
+        ({"quantity": "two"}, ["bad quantity"]),
+        ({"quantity": None}, ["missing quantity"]),
+        ({"unit_price": "0"}, ["bad unit_price"]),
+        ({"unit_price": "0.001"}, []),
+        ({"unit_price": "$5"}, ["bad unit_price"]),
+        ({"returned": "yes"}, ["bad returned"]),
+        ({"category": "Toys"}, ["unknown category"]),
+        ({"category": "books"}, ["unknown category"]),
+        ({"category": ""}, ["missing category"]),
+        ({"quantity": "x", "returned": "n"}, ["bad quantity", "bad returned"]),
+    ],
+)
+@pytest.mark.parametrize("source", ["list", "dimension"])
+def test_row_rules(spark, change, reasons, source):
+    allowed = CATEGORIES
+    if source == "dimension":
+        allowed = spark.createDataFrame([(c,) for c in CATEGORIES * 2], "category string")
+    checked = check_rows(flat_rows(spark, change), allowed)
+    assert [row["reasons"] for row in checked.collect()] == [reasons]
+
+
+def test_any_category_without_a_list(spark):
+    assert check_rows(flat_rows(spark, {"category": "Toys"})).first()["reasons"] == []
+
+
+def test_one_bad_row_rejects_its_file(spark):
+    rows = (
+        flat_rows(spark, {"order_id": "1"}, {"order_id": ""}, {"order_id": "2", "quantity": "0"}, file="bad")
+        .unionByName(flat_rows(spark, {"order_id": "1"}, {"order_id": "1"}, {"order_id": "3"}, file="twice"))
+        .unionByName(flat_rows(spark, {"order_id": "1"}, {"order_id": "2"}, file="good"))
+    )
+    rejected = rejected_files(check_rows(rows, CATEGORIES))
+    assert as_rows(rejected, "source_file", "reason", "n") == [
+        ("bad", "bad quantity", 1),
+        ("bad", "missing order_id", 1),
+        ("twice", "duplicate order_id", 2),
+    ]
+    accepted, refused = split_by_file(rows, rejected)
+    assert as_rows(accepted, "source_file", "order_id") == [("good", "1"), ("good", "2")]
+    assert refused.count() == 6
+
+
+def test_missing_order_ids_are_not_duplicates(spark):
+    rows = flat_rows(spark, {"order_id": ""}, {"order_id": ""}, {"order_id": None})
+    reasons = as_rows(rejected_files(check_rows(rows)), "reason", "n")
+    assert reasons == [("missing order_id", 3)]
+
+
+def test_duplicate_keys(spark):
+    rows = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1)], "a int, b int")
+    assert as_rows(duplicate_keys(rows, ["a", "b"]), "a", "b", "n") == [(1, 1, 2)]
