@@ -14,6 +14,13 @@ def _is_whole(record: Column) -> Column:
     return record["s3"]["bucket"]["name"].isNotNull() & record["s3"]["object"]["key"].isNotNull()
 
 
+def _verdict(record: Column, bucket: str, prefix: str) -> Column:
+    wanted = (record["s3"]["bucket"]["name"] == bucket) & F.startswith(
+        record["s3"]["object"]["key"], F.lit(prefix)
+    )
+    return F.when(wanted, ACCEPTED).otherwise(SKIPPED)
+
+
 def parse_notifications(documents: DataFrame, body: str = "body") -> DataFrame:
     """Add `records`, the records up to the first incomplete one, and `status_code`.
 
@@ -44,17 +51,21 @@ def parse_notifications(documents: DataFrame, body: str = "body") -> DataFrame:
 
 
 def arrivals(parsed: DataFrame, bucket: str, prefix: str = INCOMING) -> DataFrame:
-    """One row per record with `bucket`, `key` and the verdict accepted or skipped."""
+    """One row per record with `bucket`, `key` and the verdict accepted or skipped.
+
+    The outer form keeps Spark from parsing every document a second time, to
+    drop those without records.
+    """
     kept = [name for name in parsed.columns if name not in ("records", "body")]
-    wanted = (F.col("bucket") == bucket) & F.startswith("key", F.lit(prefix))
     return (
-        parsed.select(*kept, F.explode("records").alias("record"))
+        parsed.select(*kept, F.explode_outer("records").alias("record"))
+        .where("record IS NOT NULL")
         .select(
             *kept,
             F.col("record.s3.bucket.name").alias("bucket"),
             F.col("record.s3.object.key").alias("key"),
+            _verdict(F.col("record"), bucket, prefix).alias("verdict"),
         )
-        .withColumn("verdict", F.when(wanted, ACCEPTED).otherwise(SKIPPED))
     )
 
 
@@ -73,6 +84,18 @@ def start_events(arrived: DataFrame, emitted_at: Column | None = None) -> DataFr
 
 def arrival_summary(parsed: DataFrame, bucket: str, prefix: str = INCOMING) -> DataFrame:
     """Accepted and skipped records and malformed documents of a batch."""
-    records = arrivals(parsed, bucket, prefix).select("verdict")
-    malformed = parsed.where("status_code <> 200").select(F.lit(MALFORMED).alias("verdict"))
-    return records.unionByName(malformed).groupBy("verdict").agg(F.count("*").alias("n"))
+    verdicts = F.concat(
+        F.coalesce(
+            F.transform("records", lambda record: _verdict(record, bucket, prefix)),
+            F.array().cast("array<string>"),
+        ),
+        F.when(F.col("status_code") != 200, F.array(F.lit(MALFORMED))).otherwise(
+            F.array().cast("array<string>")
+        ),
+    )
+    return (
+        parsed.select(F.explode_outer(verdicts).alias("verdict"))
+        .where("verdict IS NOT NULL")
+        .groupBy("verdict")
+        .agg(F.count("*").alias("n"))
+    )

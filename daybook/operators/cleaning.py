@@ -4,17 +4,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.casting import is_returned, to_count, to_day, to_money
+from daybook.functions.labels import labels_where
 
 
 def _rejects(typed: dict[str, Column]) -> Column:
     """Names of the columns that hold a value which could not be typed."""
-    return F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(raw).isNotNull() & value.isNull(), F.lit(raw))
-                for raw, value in typed.items()
-            ]
-        )
+    return labels_where(
+        (raw, F.col(raw).isNotNull() & value.isNull()) for raw, value in typed.items()
     )
 
 
@@ -48,9 +44,14 @@ CLEAN = {"orders": clean_orders, "order_items": clean_items}
 
 
 def reject_counts(cleaned: DataFrame) -> DataFrame:
-    """Rows per column whose value could not be typed."""
+    """Rows per column whose value could not be typed.
+
+    The outer form keeps Spark from computing every list twice, once to drop the
+    empty ones.
+    """
     return (
-        cleaned.select(F.explode("rejects").alias("column_name"))
+        cleaned.select(F.explode_outer("rejects").alias("column_name"))
+        .where("column_name IS NOT NULL")
         .groupBy("column_name")
         .agg(F.count("*").alias("rejected"))
     )

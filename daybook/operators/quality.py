@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.labels import labels_where
 from daybook.operators.joins import join_on_key
 from daybook.schemas import FLAT_COLUMNS
 
@@ -42,12 +43,15 @@ def _reasons(rules: dict[str, Column]) -> Column:
         "bad returned": "returned",
         "unknown category": "category",
     }
-    checks = []
-    for reason, broken in rules.items():
-        if reason in present:
-            broken = (F.coalesce(F.col(present[reason]), F.lit("")) != "") & broken
-        checks.append(F.when(broken, F.lit(reason)))
-    return F.array_compact(F.array(*checks))
+    return labels_where(
+        (
+            reason,
+            broken & (F.coalesce(F.col(present[reason]), F.lit("")) != "")
+            if reason in present
+            else broken,
+        )
+        for reason, broken in rules.items()
+    )
 
 
 def check_rows(
@@ -86,7 +90,8 @@ def rejected_files(checked: DataFrame, file_column: str = "source_file") -> Data
     parts are aggregates with partial sums, so a file of any size is fine.
     """
     broken = (
-        checked.select(file_column, F.explode("reasons").alias("reason"))
+        checked.select(file_column, F.explode_outer("reasons").alias("reason"))
+        .where("reason IS NOT NULL")
         .groupBy(file_column, "reason")
         .agg(F.count("*").alias("n"))
     )
