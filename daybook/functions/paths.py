@@ -6,11 +6,19 @@ from pyspark.sql import functions as F
 from daybook.schemas import PROCESSED, VALIDATED
 
 
-def plain_path(column) -> Column:
-    """File path as text, from the percent-encoded form Spark reports for a read file."""
-    column = F.col(column) if isinstance(column, str) else column
-    decoded = F.url_decode(F.replace(column, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, "^file:/+", "file:/")
+def reported_path(path) -> Column:
+    """A listed path in the form in which a scan reports the file of a row.
+
+    That form is a percent-encoded URI. It is what rows, profiles and verdicts
+    carry, because it costs nothing per row; `plain_path` decodes it once per file.
+    """
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def plain_path(reported) -> Column:
+    """The path as a reader takes it, from the reported form."""
+    reported = F.col(reported) if isinstance(reported, str) else reported
+    return F.url_decode(F.replace(reported, F.lit("+"), F.lit("%2B")))
 
 
 def base_name(path) -> Column:

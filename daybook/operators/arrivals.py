@@ -3,7 +3,15 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.schemas import EVENT_DETAIL_TYPE, EVENT_SOURCE, INCOMING, NOTIFICATION
+from daybook.schemas import (
+    ERROR_MESSAGE,
+    EVENT_DETAIL_TYPE,
+    EVENT_SOURCE,
+    INCOMING,
+    NO_RECORDS_MESSAGE,
+    NOTIFICATION,
+    PROCESSED_MESSAGE,
+)
 
 ACCEPTED = "accepted"
 SKIPPED = "skipped"
@@ -22,7 +30,7 @@ def _verdict(record: Column, bucket: str, prefix: str) -> Column:
 
 
 def parse_notifications(documents: DataFrame, body: str = "body") -> DataFrame:
-    """Add `records`, the records up to the first incomplete one, and `status_code`.
+    """Add `records` up to the first incomplete one, `status_code` and `message`.
 
     400: the document has no `Records`. 500: a record lacks its bucket or key;
     records before it still count, later ones do not. 200: everything else.
@@ -46,6 +54,12 @@ def parse_notifications(documents: DataFrame, body: str = "body") -> DataFrame:
             .when(F.col("_all").isNull() | (F.col("_incomplete") > 0), 500)
             .otherwise(200),
         )
+        .withColumn(
+            "message",
+            F.when(F.col("status_code") == 400, NO_RECORDS_MESSAGE)
+            .when(F.col("status_code") == 500, ERROR_MESSAGE)
+            .otherwise(PROCESSED_MESSAGE),
+        )
         .drop("_all", "_incomplete")
     )
 
@@ -56,7 +70,7 @@ def arrivals(parsed: DataFrame, bucket: str, prefix: str = INCOMING) -> DataFram
     The outer form keeps Spark from parsing every document a second time, to
     drop those without records.
     """
-    kept = [name for name in parsed.columns if name not in ("records", "body")]
+    kept = [name for name in parsed.columns if name not in ("records", "body", "message")]
     return (
         parsed.select(*kept, F.explode_outer("records").alias("record"))
         .where("record IS NOT NULL")

@@ -1,10 +1,12 @@
 """File profiles and verdicts."""
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.functions.csv_lines import field_count, has_open_quote, header_names
-from daybook.functions.paths import dated_key
+from daybook.functions.paths import dated_key, plain_path
 from daybook.schemas import EMPTY, MISSING_COLUMNS, REQUIRED_COLUMNS, UNREADABLE, VALID, VALIDATED
 
 
@@ -46,15 +48,21 @@ def profile_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def required_columns(file_type="file_type"):
-    """The required names of a file type as an array column."""
+def required_columns(required: Mapping[str, Sequence[str]]) -> Column:
+    """The required names of a row's `file_type`, as an array."""
     names = F.array().cast("array<string>")
-    for known, columns in REQUIRED_COLUMNS.items():
-        names = F.when(F.col(file_type) == known, F.array(*map(F.lit, columns))).otherwise(names)
+    for known, columns in required.items():
+        names = F.when(F.col("file_type") == known, F.array(*map(F.lit, columns))).otherwise(names)
     return names
 
 
-def judge_files(files: DataFrame, profiles: DataFrame, dt, run_id: str) -> DataFrame:
+def judge_files(
+    files: DataFrame,
+    profiles: DataFrame,
+    dt,
+    run_id: str,
+    required: Mapping[str, Sequence[str]] = REQUIRED_COLUMNS,
+) -> DataFrame:
     """Verdict of each listed file; a file without a profile has no line at all.
 
     Names are compared exactly, so blanks and case matter. A required column has
@@ -67,7 +75,7 @@ def judge_files(files: DataFrame, profiles: DataFrame, dt, run_id: str) -> DataF
     unreadable = F.col("header").isNull() | (F.size("problems") > 0)
     return (
         files.join(profiles, "path", "left")
-        .withColumn("_required", required_columns())
+        .withColumn("_required", required_columns(required))
         .withColumn("missing", missing)
         .withColumn(
             "verdict",
@@ -79,7 +87,8 @@ def judge_files(files: DataFrame, profiles: DataFrame, dt, run_id: str) -> DataF
         .withColumn("dt", F.lit(dt).cast("date"))
         .withColumn("run_id", F.lit(run_id))
         .withColumn(
-            "file_key", dated_key(VALIDATED, F.col("file_type"), F.col("dt"), F.col("path"))
+            "file_key",
+            dated_key(VALIDATED, F.col("file_type"), F.col("dt"), plain_path("path")),
         )
         .select(
             "file_type",

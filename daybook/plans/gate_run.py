@@ -7,6 +7,7 @@ A run that breaks off leaves rows nobody reads, and its files are judged anew.
 
 import datetime as dt
 import uuid
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -14,10 +15,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.casting import month_of
+from daybook.functions.paths import plain_path
 from daybook.operators.cleaning import CLEAN
 from daybook.operators.gate import judge_files, profile_lines
 from daybook.plans.workspace import Workspace
-from daybook.schemas import CLEAN_ROWS, GATE_LOG, MISSING_COLUMNS, REQUIRED_COLUMNS, VALID
+from daybook.schemas import (
+    ARCHIVE_LINES,
+    CLEAN_ROWS,
+    GATE_LOG,
+    MISSING_COLUMNS,
+    REQUIRED_COLUMNS,
+    VALID,
+)
 from daybook.sinks.manifest import write_manifest
 from daybook.sinks.tables import append
 from daybook.sources.csv_batches import read_csv_layout
@@ -35,7 +44,7 @@ def utc_today() -> dt.date:
 
 def path_list(files: DataFrame) -> list[str]:
     """File names for a reader. Only names come to the driver, never rows."""
-    return [row[0] for row in files.select("path").toLocalIterator()]
+    return [row[0] for row in files.select(plain_path("path")).toLocalIterator()]
 
 
 def profile_files(spark: SparkSession, paths: list[str], work: str) -> DataFrame:
@@ -62,7 +71,14 @@ def profile_files(spark: SparkSession, paths: list[str], work: str) -> DataFrame
     )
 
 
-def judge(spark: SparkSession, files: DataFrame, run_date, run_id: str, work: str) -> DataFrame:
+def judge(
+    spark: SparkSession,
+    files: DataFrame,
+    run_date: dt.date,
+    run_id: str,
+    work: str,
+    required: Mapping[str, Sequence[str]] = REQUIRED_COLUMNS,
+) -> DataFrame:
     """Verdicts of listed files (file_type, path, length, modified_at), as a written table."""
     readable = path_list(files.where("length > 0"))
     if readable:
@@ -73,7 +89,7 @@ def judge(spark: SparkSession, files: DataFrame, run_date, run_id: str, work: st
             "path string, header array<string>, n_rows bigint, multiline boolean, "
             "problems array<string>",
         )
-    verdicts = judge_files(files, profiles, run_date, run_id)
+    verdicts = judge_files(files, profiles, run_date, run_id, required)
     verdicts.write.mode("overwrite").parquet(f"{work}/verdicts")
     return spark.read.schema(GATE_LOG).parquet(f"{work}/verdicts")
 
@@ -94,7 +110,8 @@ def layouts(verdicts: DataFrame) -> list[Layout]:
     found: dict[tuple, Layout] = {}
     judged = verdicts.where(F.col("verdict").isin(VALID, MISSING_COLUMNS))
     keys = ("file_type", "verdict", "header", "multiline")
-    for row in judged.select(*keys, "path").orderBy("path").toLocalIterator():
+    named = judged.select(*keys, plain_path("path").alias("path")).orderBy("path")
+    for row in named.toLocalIterator():
         key = (row["file_type"], row["verdict"], tuple(row["header"]), row["multiline"])
         found.setdefault(key, Layout(*key[:2], row["header"], key[3], [])).paths.append(row["path"])
     return list(found.values())
@@ -161,13 +178,29 @@ def unjudged(files: DataFrame, gate_log: DataFrame) -> DataFrame:
     return files.join(judged, ["path", "modified_at"], "left_anti")
 
 
+def quarantine(spark: SparkSession, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+    """(files with missing columns and the names they miss, their archived lines)."""
+    files = read_table(spark, workspace.gate_log, GATE_LOG).where(
+        F.col("verdict") == MISSING_COLUMNS
+    )
+    lines = read_table(spark, workspace.archive, ARCHIVE_LINES).where(
+        F.col("verdict") == MISSING_COLUMNS
+    )
+    return files, lines
+
+
 def run_gate(
     spark: SparkSession,
     workspace: Workspace,
     run_date: dt.date | None = None,
     run_id: str | None = None,
+    archive: bool = True,
 ) -> DataFrame:
-    """Judge what is new in the landing folders; return the verdicts of this run."""
+    """Judge what is new in the landing folders; return the verdicts of this run.
+
+    The archive costs one more pass over the files. Turn it off where the
+    landing folders themselves are kept.
+    """
     run_date = run_date or utc_today()
     run_id = run_id or new_run_id()
     work = f"{workspace.staging(run_id)}/gate"
@@ -183,7 +216,7 @@ def run_gate(
         rows = clean_rows(spark, judged, file_type, run_date, run_id)
         if rows is not None:
             append(rows, workspace.clean(file_type), "dt", "run_id", "order_month")
-    lines = archive_lines(spark, judged, run_date, run_id)
+    lines = archive_lines(spark, judged, run_date, run_id) if archive else None
     if lines is not None:
         append(lines, workspace.archive, "file_type", "verdict", "dt", "run_id")
     n_valid = sum(len(files.paths) for files in judged if files.verdict == VALID)

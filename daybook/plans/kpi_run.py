@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daybook.operators.joins import join_on_key
 from daybook.operators.kpis import category_kpis, order_kpis
 from daybook.operators.ledger import latest_file_per_type, new_files
 from daybook.operators.summary import run_summary
@@ -135,7 +136,7 @@ def touched_days(all_orders: DataFrame, orders: DataFrame, items: DataFrame) ->
     New orders change their own day, new items the day of their order, and for
     the category KPIs new items change their own day.
     """
-    late = all_orders.join(items.select("order_id"), "order_id", "left_semi")
+    late = join_on_key(all_orders, items.select("order_id").distinct(), "order_id", "left_semi")
     days: dict[str, set] = {"order": set(), "category": set()}
     found = [
         (orders, "order"),
@@ -159,7 +160,8 @@ def recomputed(
     """
     days = touched_days(all_orders, orders, items)
     touched = _on_days(all_orders, days["order"])
-    touched_items = all_items.join(touched.select("order_id"), "order_id", "left_semi")
+    touched_ids = touched.select("order_id").distinct()
+    touched_items = join_on_key(all_items, touched_ids, "order_id", "left_semi")
     return touched, touched_items, _on_days(all_items, days["category"])
 
 

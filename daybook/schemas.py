@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 
 # The columns a file of each type must have, the columns of the
 # flat one-file variant, the order status that counts as a return, and the
-# folder names of the landing zone.
+# prefixes of file keys.
 REQUIRED_COLUMNS = {
     "orders": ["order_id", "user_id", "created_at", "status", "num_of_item"],
     "order_items": ["order_id", "product_id", "created_at", "sale_price", "status"],
@@ -24,14 +24,17 @@ RETURNED_STATUS = "returned"
 INCOMING = "incoming/"
 VALIDATED = "validated/"
 PROCESSED = "processed/"
-FAILED = "failed/"
-ARCHIVE = "archive/"
 PRODUCTS = "static/"
 
 # Source and type of the event that starts a pipeline run.
 EVENT_SOURCE = "custom.s3.upload"
 EVENT_DETAIL_TYPE = "StartEphemeralPipeline"
 
+# What the sender of a notification is told.
+NO_RECORDS_MESSAGE = "No S3 records in event."
+PROCESSED_MESSAGE = "Event(s) processed successfully."
+ERROR_MESSAGE = "Unexpected error: a record lacks its bucket or key"
+
 # Verdicts of the file gate.
 VALID = "valid"
 MISSING_COLUMNS = "missing_columns"
@@ -86,6 +89,17 @@ GATE_LOG = _struct(
     run_id=_text,
 )
 
+ARCHIVE_LINES = _struct(
+    source_file=_text,
+    block_start=T.LongType(),
+    line_id=T.LongType(),
+    value=_text,
+    file_type=_text,
+    verdict=_text,
+    dt=_day,
+    run_id=_text,
+)
+
 _RUN = {"dt": _day, "run_id": _text, "order_month": _text}
 CLEAN_ROWS = {
     "orders": _struct(

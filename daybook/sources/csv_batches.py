@@ -4,7 +4,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.functions.paths import plain_path
 from daybook.sources.files import literal_paths
 
 
@@ -29,7 +28,7 @@ def read_csv_layout(
         .csv(literal_paths(paths))
         .select(
             *[F.col(f"c{header.index(name)}").alias(name) for name in columns],
-            plain_path("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_path").alias("source_file"),
         )
     )
 
@@ -41,4 +40,4 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
     """Flat order files as text, with the file each row comes from."""
-    return read_csv(spark, path).withColumn("source_file", plain_path("_metadata.file_path"))
+    return read_csv(spark, path).withColumn("source_file", F.col("_metadata.file_path"))

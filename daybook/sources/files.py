@@ -5,7 +5,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.paths import plain_path
+from daybook.functions.paths import plain_path, reported_path
 from daybook.sources.tables import path_exists
 
 _LISTING = "path string, length bigint, modified_at timestamp"
@@ -14,6 +14,8 @@ _LISTING = "path string, length bigint, modified_at timestamp"
 def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, length, modified_at) of every `.csv` file at any depth below a folder.
 
+    Paths are in the form in which a scan reports them, see `reported_path`.
+
     Only file status is read. A scan leaves out files of zero bytes, so these are
     added from the paths Spark listed for it.
     """
@@ -26,12 +28,12 @@ def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
     )
     filled = scan.select(
-        plain_path("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_path").alias("path"),
         "length",
         F.col("modificationTime").alias("modified_at"),
     )
     listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
-        plain_path("path").alias("path")
+        reported_path("path").alias("path")
     )
     zero_bytes = listed.join(filled, "path", "left_anti").select(
         "path",
@@ -43,7 +45,7 @@ def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def latest_file(spark: SparkSession, folder: str) -> str:
     """The last `.csv` path below a folder in text order."""
-    path = list_csv_files(spark, folder).agg(F.max("path")).first()[0]
+    path = list_csv_files(spark, folder).agg(F.max(plain_path("path"))).first()[0]
     if path is None:
         raise FileNotFoundError(f"no product files found in {folder}")
     return path
@@ -62,7 +64,7 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     return (
         spark.read.text(literal_paths(paths))
         .select(
-            plain_path("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block_start"),
             "value",
         )
@@ -84,7 +86,7 @@ def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
         .option("escape", '"')
         .csv(literal_paths(paths))
         .select(
-            plain_path("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.coalesce("_record", "_first").alias("value"),
         )

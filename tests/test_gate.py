@@ -1,11 +1,12 @@
 import datetime as dt
 import json
 import pathlib
+import urllib.parse
 
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.plans.gate_run import run_gate
+from daybook.plans.gate_run import quarantine, run_gate
 from daybook.plans.workspace import Workspace
 from daybook.schemas import CLEAN_ROWS, GATE_LOG
 from tests.conftest import as_rows
@@ -59,6 +60,10 @@ VERDICTS = {
 }
 
 
+def file_stem(uri):
+    return pathlib.Path(urllib.parse.unquote(uri)).stem
+
+
 @pytest.fixture(scope="module")
 def gated(spark, tmp_path_factory):
     workspace = Workspace(str(tmp_path_factory.mktemp("gate")))
@@ -66,7 +71,7 @@ def gated(spark, tmp_path_factory):
         put(workspace, f"incoming/orders/deep/{name}.csv", content)
     put(workspace, "incoming/orders/notes.txt", "not a csv")
     verdicts = run_gate(spark, workspace, DAY, "run1").collect()
-    return workspace, {pathlib.Path(v["path"]).stem: v for v in verdicts}
+    return workspace, {file_stem(v["path"]): v for v in verdicts}
 
 
 def test_every_csv_is_judged(gated):
@@ -112,11 +117,15 @@ def test_archive_gives_files_back(spark, gated):
     stored = {}
     ordered = archive.orderBy("source_file", "block_start", "line_id").collect()
     for row in ordered:
-        stored.setdefault(pathlib.Path(row["source_file"]).stem, []).append(row["value"])
+        stored.setdefault(file_stem(row["source_file"]), []).append(row["value"])
     judged = {n for n, v in VERDICTS.items() if v[0] in ("valid", "missing_columns")}
     assert set(stored) == judged
     for name in judged - {"bom"}:
         assert stored[name] == FILES[name].splitlines()
+    files, lines = quarantine(spark, workspace)
+    failed = {n for n, v in VERDICTS.items() if v[0] == "missing_columns"}
+    assert {file_stem(r["path"]) for r in files.collect()} == failed
+    assert {file_stem(r["source_file"]) for r in lines.collect()} == failed
     verdicts = {r["verdict"] for r in archive.select("verdict").distinct().collect()}
     assert verdicts == {"valid", "missing_columns"}
 
