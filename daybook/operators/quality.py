@@ -104,6 +104,13 @@ def rejected_files(checked: DataFrame, file_column: str = "source_file") -> Data
     return broken.unionByName(repeated)
 
 
+def reasons_by_file(rejected: DataFrame, file_column: str = "source_file") -> DataFrame:
+    """(file, reasons): the distinct reasons, at most one per rule."""
+    return rejected.groupBy(file_column).agg(
+        F.sort_array(F.collect_set("reason")).alias("reasons")
+    )
+
+
 def split_by_file(
     rows: DataFrame, rejected: DataFrame, file_column: str = "source_file"
 ) -> tuple[DataFrame, DataFrame]:

@@ -7,7 +7,7 @@ A run that breaks off leaves rows nobody reads, and its files are judged anew.
 
 import datetime as dt
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,9 +22,11 @@ from daybook.plans.workspace import Workspace
 from daybook.schemas import (
     ARCHIVE_LINES,
     CLEAN_ROWS,
+    EMPTY,
     GATE_LOG,
     MISSING_COLUMNS,
     REQUIRED_COLUMNS,
+    UNREADABLE,
     VALID,
 )
 from daybook.sinks.manifest import write_manifest
@@ -117,26 +119,37 @@ def layouts(verdicts: DataFrame) -> list[Layout]:
     return list(found.values())
 
 
-def _in_run(rows: DataFrame, run_date: dt.date, run_id: str) -> DataFrame:
-    return rows.withColumns({"dt": F.lit(run_date), "run_id": F.lit(run_id)})
+def in_run(rows: DataFrame, run_date: dt.date, run_id: str) -> DataFrame:
+    """Typed rows with the partition columns they are stored by."""
+    return rows.withColumns(
+        {
+            "dt": F.lit(run_date),
+            "run_id": F.lit(run_id),
+            "order_month": month_of("order_date"),
+        }
+    )
 
 
-def clean_rows(
-    spark: SparkSession, judged: list[Layout], file_type: str, run_date: dt.date, run_id: str
+def text_rows(
+    spark: SparkSession, judged: list[Layout], file_type: str, columns: list[str]
 ) -> DataFrame | None:
-    """Typed rows of the valid files of a type; one CSV read per distinct header."""
+    """The named columns of the valid files of a type; one CSV read per distinct header."""
     reads = [
-        read_csv_layout(
-            spark, files.paths, files.header, REQUIRED_COLUMNS[file_type], files.multiline
-        )
+        read_csv_layout(spark, files.paths, files.header, columns, files.multiline)
         for files in judged
         if files.file_type == file_type and files.verdict == VALID
     ]
-    if not reads:
+    return reduce(DataFrame.unionByName, reads) if reads else None
+
+
+def clean_rows(
+    spark: SparkSession, judged: list[Layout], file_type: str, run_date: dt.date, run_id: str
+) -> DataFrame | None:
+    """Typed rows of the valid files of a type, as they are stored."""
+    raw = text_rows(spark, judged, file_type, REQUIRED_COLUMNS[file_type])
+    if raw is None:
         return None
-    typed = CLEAN[file_type](reduce(DataFrame.unionByName, reads))
-    stored = _in_run(typed.withColumn("order_month", month_of("order_date")), run_date, run_id)
-    return stored.select(*CLEAN_ROWS[file_type].names)
+    return in_run(CLEAN[file_type](raw), run_date, run_id).select(*CLEAN_ROWS[file_type].names)
 
 
 def archive_lines(
@@ -153,31 +166,50 @@ def archive_lines(
     reads = [
         read_lines(spark, names)
         .withColumnRenamed("path", "source_file")
-        .withColumns({"file_type": F.lit(file_type), "verdict": F.lit(verdict)})
+        .withColumns(
+            {
+                "file_type": F.lit(file_type),
+                "verdict": F.lit(verdict),
+                "dt": F.lit(run_date),
+                "run_id": F.lit(run_id),
+            }
+        )
         for (file_type, verdict), names in paths.items()
     ]
-    return _in_run(reduce(DataFrame.unionByName, reads), run_date, run_id) if reads else None
+    return reduce(DataFrame.unionByName, reads) if reads else None
 
 
-def list_incoming(spark: SparkSession, workspace: Workspace) -> DataFrame:
-    """All CSV files of every known type."""
+def list_incoming(
+    spark: SparkSession, workspace: Workspace, file_types: Iterable[str] = REQUIRED_COLUMNS
+) -> DataFrame:
+    """All CSV files of the given types."""
     listings = [
         list_csv_files(spark, workspace.incoming(file_type)).withColumn(
             "file_type", F.lit(file_type)
         )
-        for file_type in REQUIRED_COLUMNS
+        for file_type in file_types
     ]
     return reduce(DataFrame.unionByName, listings)
 
 
 def unjudged(files: DataFrame, gate_log: DataFrame) -> DataFrame:
     """Files without a final verdict; empty and unreadable ones are tried again."""
-    judged = gate_log.where(F.col("verdict").isin(VALID, MISSING_COLUMNS)).select(
+    judged = gate_log.where(~F.col("verdict").isin(EMPTY, UNREADABLE)).select(
         "path", "modified_at"
     )
     return files.join(judged, ["path", "modified_at"], "left_anti")
 
 
+def new_arrivals(
+    spark: SparkSession, workspace: Workspace, file_types: Iterable[str], work: str
+) -> DataFrame:
+    """Files to judge, written down so that every step sees the same ones."""
+    gate_log = read_table(spark, workspace.gate_log, GATE_LOG)
+    files = unjudged(list_incoming(spark, workspace, file_types), gate_log)
+    files.write.mode("overwrite").parquet(f"{work}/files")
+    return spark.read.parquet(f"{work}/files")
+
+
 def quarantine(spark: SparkSession, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
     """(files with missing columns and the names they miss, their archived lines)."""
     files = read_table(spark, workspace.gate_log, GATE_LOG).where(
@@ -204,11 +236,7 @@ def run_gate(
     run_date = run_date or utc_today()
     run_id = run_id or new_run_id()
     work = f"{workspace.staging(run_id)}/gate"
-    gate_log = read_table(spark, workspace.gate_log, GATE_LOG)
-    unjudged(list_incoming(spark, workspace), gate_log).write.mode("overwrite").parquet(
-        f"{work}/files"
-    )
-    files = spark.read.parquet(f"{work}/files")
+    files = new_arrivals(spark, workspace, REQUIRED_COLUMNS, work)
     verdicts = judge(spark, files, run_date, run_id, work)
 
     judged = layouts(verdicts)

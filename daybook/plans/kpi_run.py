@@ -50,14 +50,20 @@ class KpiRun:
         return run_summary(counted)
 
 
+def valid_files(spark: SparkSession, workspace: Workspace) -> DataFrame:
+    """Valid order and item files of all committed gate runs."""
+    return read_table(spark, workspace.gate_log, GATE_LOG).where(
+        (F.col("verdict") == VALID) & F.col("file_type").isin(list(REQUIRED_COLUMNS))
+    )
+
+
 def pending_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -> DataFrame:
     """Valid files of committed gate runs that the ledger does not know.
 
     `latest_only` keeps the last key of each type and leaves the others for
     later runs.
     """
-    valid = read_table(spark, workspace.gate_log, GATE_LOG).where(F.col("verdict") == VALID)
-    pending = new_files(valid, read_ledger(spark, workspace.ledger))
+    pending = new_files(valid_files(spark, workspace), read_ledger(spark, workspace.ledger))
     if latest_only:
         latest = latest_file_per_type(pending).select(F.col("latest_key").alias("file_key"))
         pending = pending.join(latest, "file_key", "left_semi")
@@ -180,8 +186,7 @@ def process_files(
     if files.select("file_type").distinct().count() < len(REQUIRED_COLUMNS):
         return None
 
-    valid = read_table(spark, workspace.gate_log, GATE_LOG).where(F.col("verdict") == VALID)
-    runs = gate_runs(valid, files)
+    runs = gate_runs(valid_files(spark, workspace), files)
     orders = new_rows(spark, workspace, runs, files, "orders")
     items = new_rows(spark, workspace, runs, files, "order_items")
     category_items = items

@@ -23,6 +23,11 @@ class Workspace:
         """Typed rows of valid files, stored by day of the gate run, run and month."""
         return self._at(f"validated/{file_type}")
 
+    @property
+    def clean_flat(self) -> str:
+        """Typed rows of flat files without a broken row."""
+        return self._at("cleaned")
+
     @property
     def manifests(self) -> str:
         return self._at("validated/manifests")

@@ -40,6 +40,9 @@ VALID = "valid"
 MISSING_COLUMNS = "missing_columns"
 EMPTY = "empty"
 UNREADABLE = "unreadable"
+REJECTED_ROWS = "rejected_rows"
+
+FLAT_TYPE = "flat_orders"
 
 MONEY = "decimal(10,2)"
 TOTAL = "decimal(30,2)"
@@ -125,6 +128,19 @@ CLEAN_ROWS = {
     ),
 }
 
+CLEAN_FLAT = _struct(
+    order_id=_text,
+    customer_id=_text,
+    order_date=_day,
+    category=_text,
+    product_id=_text,
+    quantity=T.IntegerType(),
+    unit_price=T.DecimalType(10, 2),
+    returned=T.BooleanType(),
+    source_file=_text,
+    **_RUN,
+)
+
 _named = _struct(name=_text)
 _keyed = _struct(key=_text)
 NOTIFICATION = _struct(Records=T.ArrayType(_struct(s3=_struct(bucket=_named, object=_keyed))))

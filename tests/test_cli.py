@@ -1,0 +1,50 @@
+"""The jobs as a user starts them."""
+
+from daybook.__main__ import main
+from daybook.plans.workspace import Workspace
+from tests.landing import golden_workspace, put
+
+
+def test_validate_then_transform(spark, tmp_path, capfd):
+    workspace = golden_workspace(tmp_path)
+    assert main(["validate", "--root", workspace.root]) == 0
+    assert main(["transform", "--root", workspace.root]) == 0
+    assert main(["transform", "--root", workspace.root]) == 0
+    shown = capfd.readouterr().out
+    assert "category_kpis" in shown
+    assert "no new validated files" in shown
+
+
+def test_stream(spark, tmp_path):
+    workspace = golden_workspace(tmp_path)
+    main(["validate", "--root", workspace.root, "--no-archive"])
+    checkpoint = str(tmp_path / "checkpoint")
+    assert main(["stream", "--root", workspace.root, "--checkpoint", checkpoint]) == 0
+    assert (tmp_path / "kpis" / "order_daily" / "order_month=2025-07").is_dir()
+    assert not (tmp_path / "archive").exists()
+
+
+def test_flat(spark, tmp_path):
+    workspace = Workspace(str(tmp_path))
+    put(workspace, "static/products.csv", "id,category\n1,Books\n")
+    put(
+        workspace,
+        "incoming/flat_orders/a.csv",
+        "order_id,customer_id,order_date,category,product_id,quantity,unit_price,returned\n"
+        "1,c,2025-07-06,Books,1,2,3.00,false\n",
+    )
+    assert main(["flat", "--root", workspace.root]) == 0
+    assert (tmp_path / "kpis" / "category_daily" / "order_month=2025-07").is_dir()
+
+
+def test_arrivals(spark, tmp_path, capfd):
+    document = '{"Records": [{"s3": {"bucket": {"name": "b"}, "object": {"key": "incoming/x"}}}]}'
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.json").write_text(document + "\n")
+    common = ["--notifications", str(tmp_path / "in"), "--bucket", "b"]
+    assert main(["arrivals", *common, "--events", str(tmp_path / "out")]) == 0
+    assert "accepted" in capfd.readouterr().out
+    streamed = ["--events", str(tmp_path / "out2"), "--checkpoint", str(tmp_path / "c")]
+    assert main(["arrivals-stream", *common, *streamed]) == 0
+    assert spark.read.json(str(tmp_path / "out")).count() == 1
+    assert spark.read.json(str(tmp_path / "out2")).count() == 1
