@@ -1,6 +1,6 @@
 """The jobs on the command line.
 
-    spark-submit --py-files daybook.zip run.py validate --root s3a://bucket
+    spark-submit --py-files daybook.zip daybook/__main__.py validate --root s3a://bucket
     python -m daybook transform --root /data/shop --recompute
 """
 

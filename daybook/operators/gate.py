@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from daybook.functions.csv_lines import field_count, has_open_quote, header_names
 from daybook.functions.paths import dated_key, plain_path
+from daybook.operators.joins import join_on_key
 from daybook.schemas import EMPTY, MISSING_COLUMNS, REQUIRED_COLUMNS, UNREADABLE, VALID, VALIDATED
 
+NOT_UTF8 = "not utf-8"
+
 
 def profile_lines(lines: DataFrame) -> DataFrame:
     """One row per file: header, number of rows, and what is wrong with its text.
 
     `lines` has path, block_start, line_id and value. Partial results are a few
-    values per file and task, however large the files are. A file is ragged when
-    a row has more fields than the header, unless all rows have the same number:
-    then each row ends in the same extra separators.
+    values per file and task, however large the files are. `uneven` files have
+    rows of more fields than the header, and not all rows have the same number;
+    whether that is a problem depends on the first row, see `ragged_files`.
     """
     return (
         lines.withColumn("_fields", field_count(F.col("value")))
@@ -27,12 +30,12 @@ def profile_lines(lines: DataFrame) -> DataFrame:
             F.max("_fields").alias("_widest"),
             F.sum("_fields").alias("_all_fields"),
             F.max(has_open_quote(F.col("value"))).alias("multiline"),
-            F.collect_set(F.when(~F.is_valid_utf8("value"), F.lit("not utf-8"))).alias("problems"),
+            F.collect_set(F.when(~F.is_valid_utf8("value"), F.lit(NOT_UTF8))).alias("problems"),
         )
         .withColumn("header", header_names(F.col("_header")))
         .withColumn("_width", F.size("header"))
         .withColumn(
-            "_ragged",
+            "_uneven",
             (F.col("_widest") > F.col("_width"))
             & (F.col("_all_fields") - F.col("_width") < (F.col("_lines") - 1) * F.col("_widest")),
         )
@@ -41,13 +44,34 @@ def profile_lines(lines: DataFrame) -> DataFrame:
             "header",
             (F.col("_lines") - 1).alias("n_rows"),
             "multiline",
-            F.when(F.col("_ragged"), F.array_append("problems", F.lit("too many fields")))
-            .otherwise(F.col("problems"))
-            .alias("problems"),
+            "problems",
+            F.col("_widest").alias("widest"),
+            F.col("_uneven").alias("uneven"),
         )
     )
 
 
+def ragged_files(lines: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Paths of uneven files with a row wider than both the header and the first row.
+
+    The first row may be wider than the header: it then sets the width, as with
+    a separator at the end of each row. `lines` are those of the uneven files.
+    """
+    at = F.struct("block_start", "line_id")
+    header_at = lines.groupBy("path").agg(F.min(at).alias("_header_at"))
+    first_rows = (
+        join_on_key(lines, header_at, "path", "inner")
+        .where(at > F.col("_header_at"))
+        .groupBy("path")
+        .agg(F.min_by(field_count(F.col("value")), at).alias("_first"))
+    )
+    return (
+        profiles.join(first_rows, "path")
+        .where(F.col("widest") > F.greatest(F.size("header"), F.col("_first")))
+        .select("path")
+    )
+
+
 def required_columns(required: Mapping[str, Sequence[str]]) -> Column:
     """The required names of a row's `file_type`, as an array."""
     names = F.array().cast("array<string>")

@@ -7,7 +7,7 @@ A run that breaks off leaves rows nobody reads, and its files are judged anew.
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from daybook.functions.casting import month_of
 from daybook.functions.paths import plain_path
 from daybook.operators.cleaning import CLEAN
-from daybook.operators.gate import judge_files, profile_lines
+from daybook.operators.gate import NOT_UTF8, judge_files, profile_lines, ragged_files
 from daybook.plans.workspace import Workspace
 from daybook.schemas import (
     ARCHIVE_LINES,
@@ -49,28 +49,46 @@ def path_list(files: DataFrame) -> list[str]:
     return [row[0] for row in files.select(plain_path("path")).toLocalIterator()]
 
 
+def _profiles(
+    spark: SparkSession,
+    read: Callable[[SparkSession, list[str]], DataFrame],
+    paths: list[str],
+    table: str,
+) -> DataFrame:
+    """Written profiles of files read as lines or as records."""
+    profile_lines(read(spark, paths)).write.mode("overwrite").parquet(table)
+    profiles = spark.read.parquet(table)
+    uneven = profiles.where("uneven")
+    names = path_list(uneven)
+    if not names:
+        return profiles
+    ragged = ragged_files(read(spark, names), uneven).withColumn("_ragged", F.lit(True))
+    return profiles.join(ragged, "path", "left").withColumn(
+        "problems",
+        F.when(F.col("_ragged"), F.array_append("problems", F.lit("too many fields"))).otherwise(
+            F.col("problems")
+        ),
+    ).drop("_ragged")
+
+
 def profile_files(spark: SparkSession, paths: list[str], work: str) -> DataFrame:
     """Profiles of text files; those with quoted line breaks are read a second time."""
-    profile_lines(read_lines(spark, paths)).write.mode("overwrite").parquet(f"{work}/profiles")
-    profiles = spark.read.parquet(f"{work}/profiles")
-    multiline = path_list(profiles.where("multiline"))
+    profiles = _profiles(spark, read_lines, paths, f"{work}/profiles")
+    columns = ["path", "header", "n_rows", "multiline", "problems"]
+    multiline = path_list(spark.read.parquet(f"{work}/profiles").where("multiline"))
     if not multiline:
-        return profiles
-    again = profile_lines(read_records(spark, multiline)).select(
-        "path", "header", "n_rows", "problems"
-    )
+        return profiles.select(columns)
     # Encoding was checked on the raw lines: the CSV reader replaces bad bytes.
-    checked = profiles.where("multiline").select("path", F.col("problems").alias("_raw"))
-    again = again.join(checked, "path").withColumn(
-        "problems",
-        F.array_union(
-            "problems", F.filter("_raw", lambda problem: problem == "not utf-8")
-        ),
+    not_utf8 = profiles.where("multiline").select(
+        "path", F.filter("problems", lambda problem: problem == NOT_UTF8).alias("_raw")
     )
-    return (
-        profiles.where("NOT multiline")
-        .unionByName(again.drop("_raw").withColumn("multiline", F.lit(True)))
+    records = (
+        _profiles(spark, read_records, multiline, f"{work}/record_profiles")
+        .join(not_utf8, "path")
+        .withColumn("problems", F.array_union("problems", "_raw"))
+        .withColumn("multiline", F.lit(True))
     )
+    return profiles.where("NOT multiline").select(columns).unionByName(records.select(columns))
 
 
 def judge(

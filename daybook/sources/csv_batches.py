@@ -20,16 +20,17 @@ def read_csv_layout(
     each distinct header gets a read of its own and columns are picked by name.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(literal_paths(paths))
-        .select(
-            *[F.col(f"c{header.index(name)}").alias(name) for name in columns],
-            F.col("_metadata.file_path").alias("source_file"),
-        )
+    reader = spark.read.option("header", True).option("escape", '"')
+    if multiline:
+        # Read this way a line of blanks is a record; its text tells it from others.
+        reader = reader.option("multiLine", True).option("columnNameOfCorruptRecord", "_record")
+        rows = reader.schema(schema.add("_record", "string")).csv(literal_paths(paths))
+        rows = rows.where("_record IS NULL OR trim(_record) <> ''")
+    else:
+        rows = reader.schema(schema).csv(literal_paths(paths))
+    return rows.select(
+        *[F.col(f"c{header.index(name)}").alias(name) for name in columns],
+        F.col("_metadata.file_path").alias("source_file"),
     )
 
 

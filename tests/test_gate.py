@@ -24,6 +24,8 @@ FILES = {
     "zero": "",
     "blank": "\n  \n",
     "too_many_fields": f"{HEADER}\n{ROW.format(1)}\n{ROW.format(1)},extra\n",
+    "wide_first_row": f"{HEADER}\n{ROW.format(11)},extra\n{ROW.format(12)}\n",
+    "wide_first_and_wider": f"{HEADER}\n{ROW.format(11)},extra\n{ROW.format(12)},extra,more\n",
     "trailing_commas": f"{HEADER}\n{ROW.format(4)},\n{ROW.format(5)},\n",
     "too_few_fields": f"{HEADER}\n6,10,2025-07-06,complete\n",
     "quoted_newline": f'{HEADER}\n7,"1\n0",2025-07-06,complete,1\n',
@@ -45,6 +47,10 @@ VERDICTS = {
     "zero": ("unreadable", None, 0),
     "blank": ("unreadable", None, 0),
     "too_many_fields": ("unreadable", None, 2),
+    "wide_first_row": f"{HEADER}\n{ROW.format(11)},extra\n{ROW.format(12)}\n",
+    "wide_first_and_wider": f"{HEADER}\n{ROW.format(11)},extra\n{ROW.format(12)},extra,more\n",
+    "wide_first_row": ("valid", None, 2),
+    "wide_first_and_wider": ("unreadable", None, 2),
     "trailing_commas": ("valid", None, 2),
     "too_few_fields": ("valid", None, 1),
     "quoted_newline": ("valid", None, 1),
@@ -98,6 +104,8 @@ def test_rows_of_valid_files_are_kept(spark, gated):
     assert as_rows(rows, "order_id", "user_id", "order_date", "status", "num_of_item") == [
         ("1", "10", DAY, "complete", 2),
         ("10", "10", DAY, "complete", 2),
+        ("11", "10", DAY, "complete", 2),
+        ("12", "10", DAY, "complete", 2),
         ("2", "10", DAY, "complete", 2),
         ("3", "11", DAY, "complete", 4),
         ("4", "10", DAY, "complete", 2),
