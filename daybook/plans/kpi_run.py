@@ -5,6 +5,8 @@ written last, in one append. A run that breaks off is repeated with the same
 files and replaces the same rows.
 """
 
+import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -57,75 +59,83 @@ def valid_files(spark: SparkSession, workspace: Workspace) -> DataFrame:
     )
 
 
-def pending_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -> DataFrame:
-    """Valid files of committed gate runs that the ledger does not know.
+def marked_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -> DataFrame:
+    """Valid files with `counted` and `wanted`.
 
-    `latest_only` keeps the last key of each type and leaves the others for
-    later runs.
+    `counted`: the first file of its key; the ledger knows files by key, so one
+    that comes again under the same key is never processed. `wanted`: a counted
+    file that the ledger does not know. `latest_only` wants the last key of each
+    type and leaves the others for later runs.
     """
-    pending = new_files(valid_files(spark, workspace), read_ledger(spark, workspace.ledger))
+    valid = valid_files(spark, workspace)
+    first = valid.groupBy("file_key").agg(F.min("run_id").alias("_first"))
+    marked = (
+        valid.join(first, "file_key")
+        .withColumn("counted", F.col("run_id") == F.col("_first"))
+        .drop("_first")
+    )
+    pending = new_files(marked.where("counted"), read_ledger(spark, workspace.ledger))
     if latest_only:
         latest = latest_file_per_type(pending).select(F.col("latest_key").alias("file_key"))
         pending = pending.join(latest, "file_key", "left_semi")
-    return pending
+    wanted = pending.select("file_key", "run_id", F.lit(True).alias("wanted"))
+    return marked.join(wanted, ["file_key", "run_id"], "left").withColumn(
+        "wanted", F.coalesce("wanted", F.lit(False))
+    )
 
 
 @dataclass(frozen=True)
 class GateRun:
-    """The valid files of one type in one committed gate run."""
+    """The valid files of one type in one committed gate run, by number."""
 
     file_type: str
     folder: str
-    n_valid: int
+    n_files: int
+    n_counted: int
     n_wanted: int
 
 
-def gate_runs(valid: DataFrame, wanted: DataFrame) -> list[GateRun]:
-    """All committed runs, with how many of their valid files are wanted now."""
-    marked = wanted.select("file_key", "run_id", F.lit(1).alias("_wanted"))
-    counts = (
-        valid.join(marked, ["file_key", "run_id"], "left")
-        .groupBy("file_type", "dt", "run_id")
-        .agg(F.count("*").alias("n_valid"), F.count("_wanted").alias("n_wanted"))
+def gate_runs(files: DataFrame) -> list[GateRun]:
+    """All committed runs: how many files each has, how many count, how many are wanted now."""
+    counts = files.groupBy("file_type", "dt", "run_id").agg(
+        F.count("*").alias("n_files"),
+        F.count_if("counted").alias("n_counted"),
+        F.count_if("wanted").alias("n_wanted"),
     )
     return [
         GateRun(
             row["file_type"],
             f"dt={row['dt']}/run_id={row['run_id']}",
-            row["n_valid"],
+            row["n_files"],
+            row["n_counted"],
             row["n_wanted"],
         )
         for row in counts.toLocalIterator()
     ]
 
 
-def clean_rows_of(
-    spark: SparkSession, workspace: Workspace, runs: list[GateRun], file_type: str
-) -> DataFrame:
-    """Clean rows of whole runs; only their folders are listed and read."""
-    folders = [run.folder for run in runs if run.file_type == file_type]
-    return read_partitions(spark, workspace.clean(file_type), CLEAN_ROWS[file_type], folders)
-
-
-def new_rows(
+def rows_of(
     spark: SparkSession,
     workspace: Workspace,
     runs: list[GateRun],
     files: DataFrame,
     file_type: str,
+    number: Callable[[GateRun], int],
 ) -> DataFrame:
-    """Clean rows of the wanted files. Rows are matched with files only in runs
-    of which some files were wanted earlier or will be wanted later."""
-    touched = [run for run in runs if run.n_wanted]
-    whole = [run for run in touched if run.n_wanted == run.n_valid]
-    partial = [run for run in touched if run.n_wanted < run.n_valid]
-    rows = clean_rows_of(spark, workspace, whole, file_type)
-    if any(run.file_type == file_type for run in partial):
-        wanted = files.where(F.col("file_type") == file_type).select(
-            F.col("path").alias("source_file"), "run_id"
-        )
-        some = clean_rows_of(spark, workspace, partial, file_type)
-        rows = rows.unionByName(some.join(wanted, ["source_file", "run_id"], "left_semi"))
+    """Clean rows of the given files, `number` of them in each run.
+
+    Only the folders of runs with such files are read, and rows are matched with
+    files only in runs that also have others.
+    """
+    runs = [run for run in runs if run.file_type == file_type and number(run)]
+    whole = [run.folder for run in runs if number(run) == run.n_files]
+    partial = [run.folder for run in runs if number(run) < run.n_files]
+    table, schema = workspace.clean(file_type), CLEAN_ROWS[file_type]
+    rows = read_partitions(spark, table, schema, whole)
+    if partial:
+        named = files.select(F.col("path").alias("source_file"), "run_id")
+        some = read_partitions(spark, table, schema, partial)
+        rows = rows.unionByName(some.join(named, ["source_file", "run_id"], "left_semi"))
     return rows
 
 
@@ -171,31 +181,41 @@ def recomputed(
     return touched, touched_items, _on_days(all_items, days["category"])
 
 
-def process_files(
+def run_kpis(
     spark: SparkSession,
     workspace: Workspace,
-    pending: DataFrame,
-    recompute: bool,
-    run_id: str,
-    processed_at=None,
+    latest_only: bool = False,
+    recompute: bool = False,
+    run_id: str | None = None,
+    processed_at: dt.datetime | None = None,
 ) -> KpiRun | None:
-    """KPIs of the pending files into the tables; None if a type has no new file."""
+    """Process the new valid files once; None if either type has no new file.
+
+    KPI rows replace stored rows of the same key. By default they come from the
+    new files alone; `recompute` takes all valid rows of the touched days, which
+    is right also when one day is spread over several files.
+    """
+    run_id = run_id or new_run_id()
     work = f"{workspace.staging(run_id)}/kpis"
-    pending.write.mode("overwrite").parquet(f"{work}/files")
-    files = spark.read.schema(GATE_LOG).parquet(f"{work}/files")
-    if files.select("file_type").distinct().count() < len(REQUIRED_COLUMNS):
+    marked_files(spark, workspace, latest_only).write.mode("overwrite").parquet(f"{work}/files")
+    files = spark.read.parquet(f"{work}/files")
+    runs = gate_runs(files)
+    if {run.file_type for run in runs if run.n_wanted} != set(REQUIRED_COLUMNS):
         return None
+    wanted = files.where("wanted")
+    counted = files.where("counted")
 
-    runs = gate_runs(valid_files(spark, workspace), files)
-    orders = new_rows(spark, workspace, runs, files, "orders")
-    items = new_rows(spark, workspace, runs, files, "order_items")
+    def new(file_type: str) -> DataFrame:
+        return rows_of(spark, workspace, runs, wanted, file_type, lambda run: run.n_wanted)
+
+    def all_rows(file_type: str) -> DataFrame:
+        return rows_of(spark, workspace, runs, counted, file_type, lambda run: run.n_counted)
+
+    orders, items = new("orders"), new("order_items")
     category_items = items
     if recompute:
         orders, items, category_items = recomputed(
-            clean_rows_of(spark, workspace, runs, "orders"),
-            clean_rows_of(spark, workspace, runs, "order_items"),
-            orders,
-            items,
+            all_rows("orders"), all_rows("order_items"), orders, items
         )
     products = read_csv(spark, latest_file(spark, workspace.products))
 
@@ -212,30 +232,10 @@ def process_files(
         stage(rows, f"{work}/{name}", schema, keys)
     for name, (_, target, schema, keys) in tables.items():
         apply_staged(spark, f"{work}/{name}", f"{work}/{name}_merged", target, schema, keys)
-    mark_processed(files, workspace.ledger, processed_at)
+    mark_processed(wanted, workspace.ledger, processed_at)
     return KpiRun(
         run_id,
-        files,
+        wanted,
         stored_kpis(spark, f"{work}/category", CATEGORY_KPI),
         stored_kpis(spark, f"{work}/order", ORDER_KPI),
     )
-
-
-def run_kpis(
-    spark: SparkSession,
-    workspace: Workspace,
-    latest_only: bool = False,
-    recompute: bool = False,
-    run_id: str | None = None,
-    processed_at=None,
-) -> KpiRun | None:
-    """Process the new valid files once.
-
-    KPI rows replace stored rows of the same key. By default they come from the
-    new files alone; `recompute` takes all valid rows of the touched days, which
-    is right also when one day is spread over several files.
-    """
-    pending = pending_files(spark, workspace, latest_only)
-    return process_files(
-        spark, workspace, pending, recompute, run_id or new_run_id(), processed_at
-    )

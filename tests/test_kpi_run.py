@@ -151,6 +151,22 @@ def test_latest_only_takes_one_file_per_type(spark, tmp_path):
     assert run_kpis(spark, workspace, latest_only=True) is None
 
 
+@pytest.mark.parametrize("recompute", [False, True])
+def test_a_key_is_processed_once(spark, tmp_path, recompute):
+    """A file that lands again on the same day under the same name changes nothing."""
+    workspace = golden_workspace(tmp_path)
+    run_gate(spark, workspace, D7, "g1")
+    run_kpis(spark, workspace)
+    put(workspace, "incoming/orders/batch1.csv", MORE_ORDERS)
+    put(workspace, "incoming/orders/batch2.csv", MORE_ORDERS)
+    put(workspace, "incoming/order_items/batch2.csv", MORE_ITEMS)
+    assert run_gate(spark, workspace, D7, "g2").count() == 3
+    run = run_kpis(spark, workspace, recompute=recompute)
+    assert run.files.count() == 2
+    expected = RECOMPUTED_DAYS[0] if recompute else (D6, 1, Decimal("4.00"), 1, 0.0, 1)
+    assert order_table(spark, workspace) == [expected, GOLDEN_DAYS[1]]
+
+
 def test_a_broken_run_is_repeated(spark, tmp_path, monkeypatch):
     workspace = golden_workspace(tmp_path)
     run_gate(spark, workspace, D7, "g1")
