@@ -33,7 +33,7 @@ from daybook.sinks.manifest import write_manifest
 from daybook.sinks.tables import append
 from daybook.sources.csv_batches import read_csv_layout
 from daybook.sources.files import list_csv_files, read_lines, read_records
-from daybook.sources.tables import read_table
+from daybook.sources.tables import read_table, small_rows
 
 
 def new_run_id() -> str:
@@ -46,7 +46,7 @@ def utc_today() -> dt.date:
 
 def path_list(files: DataFrame) -> list[str]:
     """File names for a reader. Only names come to the driver, never rows."""
-    return [row[0] for row in files.select(plain_path("path")).toLocalIterator()]
+    return [row[0] for row in small_rows(files.select(plain_path("path")))]
 
 
 def _profiles(
@@ -130,8 +130,8 @@ def layouts(verdicts: DataFrame) -> list[Layout]:
     found: dict[tuple, Layout] = {}
     judged = verdicts.where(F.col("verdict").isin(VALID, MISSING_COLUMNS))
     keys = ("file_type", "verdict", "header", "multiline")
-    named = judged.select(*keys, plain_path("path").alias("path")).orderBy("path")
-    for row in named.toLocalIterator():
+    named = judged.select(*keys, plain_path("path").alias("path"))
+    for row in small_rows(named.orderBy("path")):
         key = (row["file_type"], row["verdict"], tuple(row["header"]), row["multiline"])
         found.setdefault(key, Layout(*key[:2], row["header"], key[3], [])).paths.append(row["path"])
     return list(found.values())

@@ -33,7 +33,7 @@ from daybook.sinks.ledger import mark_processed
 from daybook.sinks.upsert import apply_staged, stage, stored_kpis
 from daybook.sources.csv_batches import read_csv
 from daybook.sources.files import latest_file
-from daybook.sources.tables import read_ledger, read_partitions, read_table
+from daybook.sources.tables import read_ledger, read_partitions, read_table, small_rows
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,7 @@ def gate_runs(files: DataFrame) -> list[GateRun]:
             row["n_counted"],
             row["n_wanted"],
         )
-        for row in counts.toLocalIterator()
+        for row in small_rows(counts)
     ]
 
 
@@ -161,7 +161,7 @@ def touched_days(all_orders: DataFrame, orders: DataFrame, items: DataFrame) ->
     ]
     marked = [rows.select("order_date", F.lit(kpi).alias("kpi")) for rows, kpi in found]
     distinct = reduce(DataFrame.unionByName, marked).where("order_date IS NOT NULL").distinct()
-    for row in distinct.toLocalIterator():
+    for row in small_rows(distinct):
         days[row["kpi"]].add(row["order_date"])
     return days
 

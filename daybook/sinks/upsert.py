@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 from daybook.functions.casting import month_of
 from daybook.operators.merge import complete_keys, merge_by_key
 from daybook.sinks.tables import overwrite_partitions
-from daybook.sources.tables import read_table
+from daybook.sources.tables import read_table, small_rows
 
 MONTH = "order_month"
 
@@ -43,7 +43,7 @@ def apply_staged(
     and a failed replacement can be repeated from them.
     """
     staged = stored_kpis(spark, staged_path, schema)
-    months = [row[0] for row in staged.select(MONTH).distinct().toLocalIterator()]
+    months = [row[0] for row in small_rows(staged.select(MONTH).distinct())]
     if not months:
         return
     stored = stored_kpis(spark, target_path, schema).where(F.col(MONTH).isin(months))

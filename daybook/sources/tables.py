@@ -1,6 +1,8 @@
 """Reading Parquet tables, with an empty table where none was written yet."""
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import StructType
 
 from daybook.operators.ledger import distinct_ledger
@@ -28,5 +30,13 @@ def read_partitions(
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 
 
+def small_rows(df: DataFrame) -> Iterator[Row]:
+    """Rows of a small result the driver needs: file names, gate runs, days, months.
+
+    One partition, as the iterator starts a job for each.
+    """
+    return df.coalesce(1).toLocalIterator()
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return distinct_ledger(read_table(spark, path, LEDGER))

@@ -11,7 +11,9 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("daybook-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        # Many small queries: quick compilation matters more than fast code.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -Xss4m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .config("spark.driver.memory", "4g")
