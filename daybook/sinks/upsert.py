@@ -40,7 +40,7 @@ def apply_staged(
 
     Only the months that have new rows are read and replaced. The merged rows
     are written out first, so the target is never read and replaced in one job,
-    and a failed replacement can be repeated from them.
+    and a replacement cut off within its commit can be put right from them.
     """
     staged = stored_kpis(spark, staged_path, schema)
     months = [row[0] for row in small_rows(staged.select(MONTH).distinct())]
