@@ -1,0 +1,40 @@
+"""Small corpora with the awkward cases that every operator must answer."""
+
+import random
+
+#: Extra columns carry names that operators use for their own results or steps.
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, score double, "
+    "row string, digest string, block long, bucket int, component_id string, list int, n_words string"
+)
+VOCABULARY = [a + b for a in "ka lo mi ne ru ta vo zé".split() for b in "ban dor fin gul ham".split()]
+
+
+def sentence(rng, n):
+    return " ".join(rng.choice(VOCABULARY) for _ in range(n))
+
+
+def rows(seed=1, n=60):
+    """(doc_id, text) with shared passages, exact and near copies, repeats inside a text, nulls and empties."""
+    rng = random.Random(seed)
+    passages = [sentence(rng, k) for k in (36, 40, 60, 90)]
+    out = []
+    for i in range(n):
+        words = [sentence(rng, rng.choice([0, 3, 20, 50, 120]))]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            words += [rng.choice(passages), sentence(rng, rng.choice([0, 2, 30]))]
+        out.append((i, rng.choice([" ", "\n", " \t "]).join(w for w in words if w)))
+    out += [(n, out[3][1]), (n + 1, out[3][1]), (n + 2, out[5][1] + " tail"), (n + 3, None), (n + 4, ""), (n + 5, "  \n ")]
+    out += [(n + 6, passages[3] + " " + passages[3]), (n + 7, "ka " * 200), (n + 8, " é\x1c ü" * 30), (n + 9, "x" * 5000)]
+    out += [out[7], out[7], (None, out[8][1]), (None, "alone here")]
+    return out
+
+
+def table(spark, pairs):
+    full = [(i, t, "en", "s", len(t or ""), 0.5, "r", "d", 1, 2, "c", 3, "w") for i, t in pairs]
+    return spark.createDataFrame(full, SCHEMA).repartition(3) if full else spark.createDataFrame([], SCHEMA)
+
+
+def bag(values):
+    """A list in an order that does not mind nulls."""
+    return sorted(values, key=repr)

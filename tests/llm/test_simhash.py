@@ -1,0 +1,109 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from daybook.llm import simhash
+from daybook.llm.components import connected_components
+from tests.llm.corpus import bag, rows, table
+
+
+def brute_print(text, shingle=3):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(p.encode(), 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(prints, ids, distance):
+    group = list(range(len(prints)))
+
+    def find(k):
+        while group[k] != k:
+            k = group[k]
+        return k
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= distance:
+                group[find(i)] = find(j)
+    least = {}
+    for k, i in enumerate(ids):
+        if i is not None:
+            least[find(k)] = min(least.get(find(k), i), i)
+    return [least.get(find(k)) for k in range(len(prints))]
+
+
+def near_rows():
+    pairs = rows(6)
+    rng = random.Random(3)
+    base = pairs[9][1] + " " + pairs[11][1] + " " + pairs[12][1]
+    words = base.split()
+    for k in range(40):  # a crowd of near copies
+        own = list(words)
+        own[rng.randrange(len(own))] = f"edit{k % 7}"
+        pairs.append((200 + k, " ".join(own)))
+    return pairs + [(400, "One"), (401, "one"), (402, "ONE TWO")]
+
+
+@pytest.mark.parametrize("distance", [3, 2, 0])
+def test_components_against_brute_force(spark, distance):
+    pairs = near_rows()
+    found = simhash.near_duplicates(table(spark, pairs), 3, distance).collect()
+    prints = [brute_print(t) for _, t in pairs]
+    want = zip([d for d, _ in pairs], prints, brute_components(prints, [d for d, _ in pairs], distance))
+    assert bag((r.doc_id, r.print % 2**64, r.component_id) for r in found) == bag(want)
+
+
+def test_links_find_every_pair_within_distance(spark):
+    rng = random.Random(5)
+    prints = {rng.getrandbits(64) for _ in range(30)}
+    for p in list(prints):
+        for _ in range(4):
+            q = p
+            for bit in rng.sample(range(64), rng.randrange(1, 5)):
+                q ^= 1 << bit
+            prints.add(q)
+    prints = sorted(prints)
+    frame = spark.createDataFrame([(int(np.uint64(p).view(np.int64)),) for p in prints], "print long")
+    for distance in (1, 3, 5):
+        edges = simhash.links(frame, distance).collect()
+        assert all(((e.a ^ e.b) % 2**64).bit_count() <= distance for e in edges)
+        roots = {r.node: r.root for r in connected_components(simhash.links(frame, distance)).collect()}
+        got = [roots.get(k, k) for k in (int(np.uint64(p).view(np.int64)) for p in prints)]
+        want = brute_components(prints, list(range(len(prints))), distance)
+        assert len({*zip(got, want)}) == len(set(got)) == len(set(want))
+
+
+def test_long_chain_and_hub(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(200, 200)]
+    found = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{k: 0 for k in range(1, 41)}, **{100 + k: 100 for k in range(1, 60)}}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_one_per_group(spark):
+    pairs = near_rows()
+    docs = table(spark, pairs)
+    kept = simhash.one_per_group(docs)
+    assert kept.columns == docs.columns
+    prints = [brute_print(t) for _, t in pairs]
+    components = brute_components(prints, [d for d, _ in pairs], 3)
+    got = [r.doc_id for r in kept.collect()]
+    assert sorted(x for x in got if x is not None) == sorted({c for c in components if c is not None})
+    assert len(got) == len({c for c in components if c is not None}) + sum(1 for c in components if c is None)
+
+
+def test_empty_table(spark):
+    assert simhash.near_duplicates(table(spark, [])).collect() == []
+    assert simhash.one_per_group(table(spark, [])).collect() == []
+
+
+def test_crowds_cost_a_chain_of_links():
+    prints = np.arange(512, dtype=np.uint64)
+    assert len(simhash.spanning_links(prints, 3)) == 511

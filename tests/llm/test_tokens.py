@@ -1,0 +1,113 @@
+import collections
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from daybook.llm import packing, token_counts
+from tests.llm.corpus import bag, rows, table
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
+ODD = [(500, "A <|endoftext|>b<|startoftext|> c</s> <s>"), (501, "ΑΣ ΣΑΣ Σ don't I'M 12ab,.!"), (502, "é e\u0301 \u0301x \u00a0 \u3000y\x1cz \x85"), (503, "ﬁ Ａ 👩‍👩‍👧 漢字 𝔘")]
+
+
+def test_counts_are_those_of_the_library(spark, tmp_path):
+    import sentencepiece
+
+    pieces = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    pairs = rows(7) + ODD
+    found = token_counts.count_tokens(table(spark, pairs), PIECES, str(tmp_path / "cache"), limit=100)
+    want = [(d, len((t or "").encode()), n := len(pieces.encode(t or "")), n > 100) for d, t in pairs]
+    assert bag(map(tuple, found.collect())) == bag(want)
+
+
+def test_cache_is_used_and_grows(spark, tmp_path, monkeypatch):
+    cache = str(tmp_path / "cache")
+    first = table(spark, [(1, "one two"), (2, "one two"), (3, None)])
+    assert len(token_counts.count_tokens(first, WORDS, cache).collect()) == 3
+    version = token_counts.file_digest(WORDS)
+    assert token_counts.stored_counts(spark, cache, version).count() == 2  # each content once
+    planted = spark.read.parquet(cache).withColumn("n_tokens", token_counts.F.lit(77).cast("long"))
+    other = str(tmp_path / "planted")
+    planted.write.parquet(other)
+    found = token_counts.count_tokens(table(spark, [(1, "one two"), (4, "three")]), WORDS, other).collect()
+    assert {r.doc_id: r.n_tokens for r in found} == {1: 77, 4: 1}  # a stored count is not computed again
+    assert token_counts.stored_counts(spark, other, version).count() == 3
+    assert token_counts.stored_counts(spark, other, "another tokenizer").count() == 0
+    again = token_counts.count_tokens(first, PIECES, cache).collect()  # another tokenizer has its own counts
+    assert {r.n_tokens for r in again} == {0, 2}
+    assert token_counts.count_tokens(table(spark, []), WORDS, cache).collect() == []
+
+
+def all_ids(text):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [1]
+
+
+@pytest.mark.parametrize("size,block", [(2048, 8 << 20), (64, 500)])
+def test_packing_round_trip(spark, size, block):
+    pairs = [(d if d is not None else -k, t) for k, (d, t) in enumerate(rows(8) + ODD) if k not in (70, 71)]
+    pairs = list(dict(pairs).items())
+    pieces = packing.pack(table(spark, pairs), WORDS, size=size, block_tokens=block).collect()
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        by_sequence[p.sequence_id].append(p)
+    for doc, text in pairs:
+        ids, at = all_ids(text), 0
+        for p in sorted(by_doc[doc], key=lambda p: p.start):
+            assert (p.start, p.doc_tokens) == (at, len(ids))
+            assert p.ids_crc32 == zlib.crc32(np.array(ids[at : at + p.length], "<u4").tobytes())
+            at += p.length
+        assert at == len(ids)
+    for own in by_sequence.values():
+        at = 0
+        for p in sorted(own, key=lambda p: p.offset):
+            assert p.offset == at and p.length > 0
+            at += p.length
+        assert at <= size and (at == size or at & (at - 1) == 0)  # no padding at all
+        assert {p.sequence_tokens for p in own} == {at}
+
+
+def test_packing_awkward_rows(spark):
+    found = packing.pack(table(spark, [(1, None), (1, None), (None, "")]), WORDS).collect()
+    assert bag((p.doc_id, p.start, p.length, p.doc_tokens) for p in found) == bag([(1, 0, 1, 1), (1, 0, 1, 1), (None, 0, 1, 1)])
+    assert packing.pack(table(spark, []), WORDS).collect() == []
+
+
+def test_known_words_start_anew():
+    words = packing.WordIds(WORDS, room=3)
+    for text in (b"one two three four", b"five one", b"six <|endoftext|>x seven"):
+        ids, _ = words.encode([text])
+        assert ids.tolist() == all_ids(text.decode())[:-1]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 200), max_size=40))
+def test_assignment_fills_sequences(lengths):
+    size = 32
+    pieces = packing.assign(lengths, size, 0.1)
+    filled = collections.Counter()
+    for _, _, n, s, offset in pieces:
+        assert offset == filled[s] and n > 0
+        filled[s] += n
+    assert sorted(filled.values(), reverse=True) == sorted(packing.capacities(sum(lengths), size), reverse=True)
+    got = collections.Counter()
+    for d, _, n, _, _ in pieces:
+        got[d] += n
+    assert [got[d] for d in range(len(lengths))] == lengths
+
+
+def test_costs_are_balanced():
+    rng = np.random.default_rng(0)
+    lengths = rng.integers(1, 64, 4000).tolist()
+    pieces = packing.assign(lengths, 128, 1 / 128)
+    cost = collections.Counter()
+    for _, _, n, s, _ in pieces:
+        cost[s] += n + n * n / 128
+    whole = sorted(cost.values())[20:]
+    assert max(whole) < 1.35 * np.mean(whole)
