@@ -1,7 +1,7 @@
 """The jobs on the command line.
 
     spark-submit --py-files daybook.zip daybook/__main__.py validate --root s3a://bucket
-    python -m daybook transform --root /data/shop --recompute
+    python -m daybook transform --root /data/shop
 """
 
 import argparse
@@ -14,7 +14,7 @@ from daybook.plans.kpi_run import run_kpis
 from daybook.plans.workspace import Workspace
 from daybook.session import get_session
 from daybook.sources.csv_batches import read_csv
-from daybook.sources.files import latest_file
+from daybook.sources.files import latest_delivery
 from daybook.streaming.arrivals_stream import stream_start_events
 from daybook.streaming.kpi_stream import stream_kpis
 
@@ -34,7 +34,9 @@ def _parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name, parents=[on_root], help=text)
         job.add_argument("--latest-only", action="store_true", help="one file per type and run")
         job.add_argument(
-            "--recompute", action="store_true", help="all valid rows of the touched days"
+            "--new-files-only",
+            action="store_true",
+            help="KPIs of the new files alone, not of all valid rows of the touched days",
         )
     jobs.choices["stream"].add_argument("--checkpoint", required=True)
     flat = jobs.add_parser("flat", parents=[on_root], help="process flat order files")
@@ -66,11 +68,11 @@ def main(argv: list[str] | None = None) -> int:
         verdicts = run_gate(spark, workspace, archive=not args.no_archive)
         verdicts.groupBy("file_type", "verdict").count().show()
     elif args.job == "flat":
-        categories = args.categories or read_csv(spark, latest_file(spark, workspace.products))
+        categories = args.categories or read_csv(spark, latest_delivery(spark, workspace.products))
         run_flat(spark, workspace, categories).groupBy("verdict").count().show()
     elif args.job == "transform":
         run = run_kpis(
-            spark, workspace, latest_only=args.latest_only, recompute=args.recompute
+            spark, workspace, latest_only=args.latest_only, recompute=not args.new_files_only
         )
         if run is None:
             print("no new validated files to process")
@@ -81,7 +83,7 @@ def main(argv: list[str] | None = None) -> int:
             spark,
             workspace,
             args.checkpoint,
-            recompute=args.recompute,
+            recompute=not args.new_files_only,
             latest_only=args.latest_only,
         ).awaitTermination()
     return 0

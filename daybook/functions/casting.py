@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.schemas import MONEY, RETURNED_STATUS
+from daybook.schemas import EXACT_PRICE, MONEY, RETURNED_STATUS
 
 # An integer, or a decimal number whose fraction is cut off; no exponent.
 _WHOLE_PART = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
@@ -26,6 +26,17 @@ def to_money(column) -> Column:
     return F.col(column).try_cast(MONEY) if isinstance(column, str) else column.try_cast(MONEY)
 
 
+def to_price(column) -> Column:
+    """Price of a flat row, as exact as it is written; NULL if it does not fit.
+
+    Rows and their rule share this expression, so no row passes the rule and
+    then loses its price.
+    """
+    column = F.col(column) if isinstance(column, str) else column
+    exact = column.try_cast(EXACT_PRICE)
+    return F.when(exact == column.try_cast("decimal(38,16)"), exact)
+
+
 def is_returned(status="status") -> Column:
     """Exact comparison: case and blanks matter, NULL stays NULL."""
     return F.col(status) == RETURNED_STATUS

@@ -3,15 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.schemas import (
-    ERROR_MESSAGE,
-    EVENT_DETAIL_TYPE,
-    EVENT_SOURCE,
-    INCOMING,
-    NO_RECORDS_MESSAGE,
-    NOTIFICATION,
-    PROCESSED_MESSAGE,
-)
+from daybook.schemas import EVENT_DETAIL_TYPE, EVENT_SOURCE, INCOMING, NOTIFICATION
 
 ACCEPTED = "accepted"
 SKIPPED = "skipped"
@@ -30,7 +22,7 @@ def _verdict(record: Column, bucket: str, prefix: str) -> Column:
 
 
 def parse_notifications(documents: DataFrame, body: str = "body") -> DataFrame:
-    """Add `records` up to the first incomplete one, `status_code` and `message`.
+    """Add `records` up to the first incomplete one, and `status_code`.
 
     400: the document has no `Records`. 500: a record lacks its bucket or key;
     records before it still count, later ones do not. 200: everything else.
@@ -54,12 +46,6 @@ def parse_notifications(documents: DataFrame, body: str = "body") -> DataFrame:
             .when(F.col("_all").isNull() | (F.col("_incomplete") > 0), 500)
             .otherwise(200),
         )
-        .withColumn(
-            "message",
-            F.when(F.col("status_code") == 400, NO_RECORDS_MESSAGE)
-            .when(F.col("status_code") == 500, ERROR_MESSAGE)
-            .otherwise(PROCESSED_MESSAGE),
-        )
         .drop("_all", "_incomplete")
     )
 
@@ -70,7 +56,7 @@ def arrivals(parsed: DataFrame, bucket: str, prefix: str = INCOMING) -> DataFram
     The outer form keeps Spark from parsing every document a second time, to
     drop those without records.
     """
-    kept = [name for name in parsed.columns if name not in ("records", "body", "message")]
+    kept = [name for name in parsed.columns if name not in ("records", "body")]
     return (
         parsed.select(*kept, F.explode_outer("records").alias("record"))
         .where("record IS NOT NULL")
@@ -84,9 +70,13 @@ def arrivals(parsed: DataFrame, bucket: str, prefix: str = INCOMING) -> DataFram
 
 
 def start_events(arrived: DataFrame, emitted_at: Column | None = None) -> DataFrame:
-    """The event of each accepted arrival: its fields and its JSON `detail`."""
+    """The event of each accepted arrival: its fields and its JSON `detail`.
+
+    The time is in UTC, whatever the zone of the session.
+    """
     emitted_at = F.current_timestamp() if emitted_at is None else emitted_at
-    timestamp = F.date_format(emitted_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    in_utc = F.convert_timezone(None, F.lit("UTC"), emitted_at)
+    timestamp = F.date_format(in_utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return (
         arrived.where(F.col("verdict") == ACCEPTED)
         .withColumn("timestamp", timestamp)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.casting import returned_flag, to_count
+from daybook.functions.casting import returned_flag, to_count, to_price
 from daybook.schemas import TOTAL
 
 
@@ -15,13 +15,14 @@ def clean_flat(raw: DataFrame) -> DataFrame:
             if raw.schema["order_date"].dataType.typeName() == "string"
             else F.col("order_date").cast("date"),
             "quantity": to_count(raw, "quantity"),
-            "unit_price": F.col("unit_price").try_cast("decimal(10,2)"),
+            "unit_price": to_price("unit_price"),
             "returned": F.lower(F.col("returned").cast("string")) == "true",
         }
     )
 
 
 def with_revenue(flat: DataFrame) -> DataFrame:
+    """Exact revenue of a row; only sums are rounded to cents."""
     return flat.withColumn("revenue", F.col("quantity") * F.col("unit_price"))
 
 

@@ -11,6 +11,8 @@ from daybook.operators.joins import join_on_key
 from daybook.schemas import EMPTY, MISSING_COLUMNS, REQUIRED_COLUMNS, UNREADABLE, VALID, VALIDATED
 
 NOT_UTF8 = "not utf-8"
+NO_LINES = "no lines"
+HIDDEN = "hidden from readers by its name"
 
 
 def profile_lines(lines: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def judge_files(
     run_id: str,
     required: Mapping[str, Sequence[str]] = REQUIRED_COLUMNS,
 ) -> DataFrame:
-    """Verdict of each listed file; a file without a profile has no line at all.
+    """Verdict of each listed file; a file without a profile has no line at all, or is gone.
 
     Names are compared exactly, so blanks and case matter. A required column has
     to be there once; twice is as unusable as missing.
@@ -97,6 +99,7 @@ def judge_files(
         lambda name: F.size(F.filter("header", lambda found: found == name)) != 1,
     )
     unreadable = F.col("header").isNull() | (F.size("problems") > 0)
+    unseen = F.when(F.col("hidden"), HIDDEN).otherwise(NO_LINES)
     return (
         files.join(profiles, "path", "left")
         .withColumn("_required", required_columns(required))
@@ -120,7 +123,7 @@ def judge_files(
             "file_key",
             "verdict",
             F.when(F.col("verdict") == MISSING_COLUMNS, F.col("missing")).alias("missing"),
-            F.when(F.col("header").isNull(), F.array(F.lit("no lines")))
+            F.when(F.col("header").isNull(), F.array(unseen))
             .otherwise(F.col("problems"))
             .alias("problems"),
             F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"),
@@ -134,13 +137,8 @@ def judge_files(
     )
 
 
-def manifest(files: DataFrame, parts: int = 1) -> DataFrame:
-    """(dt, file_type, part, files): sorted keys of the valid files of a day.
-
-    One entry per day and type, or `parts` of them for days with very many files.
-    """
-    part = F.pmod(F.xxhash64("file_key"), F.lit(parts)).cast("int")
-    return (
-        files.groupBy("dt", "file_type", part.alias("part"))
-        .agg(F.sort_array(F.collect_list("file_key")).alias("files"))
+def manifest(files: DataFrame) -> DataFrame:
+    """(dt, file_type, files): sorted keys of the files of each day and type, for small listings."""
+    return files.groupBy("dt", "file_type").agg(
+        F.sort_array(F.collect_list("file_key")).alias("files")
     )

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daybook.functions.casting import to_price
 from daybook.functions.labels import labels_where
 from daybook.operators.joins import join_on_key
 from daybook.schemas import FLAT_COLUMNS
@@ -25,9 +26,7 @@ def _rules(categories: Sequence[str] | None) -> dict[str, Column]:
     ).try_cast("date").isNotNull()
     rules["bad order_date"] = ~strict_day
     rules["bad quantity"] = F.coalesce(F.col("quantity").try_cast("int") <= 0, F.lit(True))
-    rules["bad unit_price"] = F.coalesce(
-        F.col("unit_price").try_cast("decimal(38,10)") <= 0, F.lit(True)
-    )
+    rules["bad unit_price"] = F.coalesce(to_price("unit_price") <= 0, F.lit(True))
     rules["bad returned"] = ~F.lower("returned").isin("true", "false")
     if categories is not None:
         rules["unknown category"] = ~F.col("category").isin(list(categories))
@@ -86,22 +85,22 @@ def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def rejected_files(checked: DataFrame, file_column: str = "source_file") -> DataFrame:
     """One row per rejected file: every reason and how many rows give it.
 
-    An order id that occurs again within its file counts as a reason too. Both
-    parts are aggregates with partial sums, so a file of any size is fine.
+    An order id that occurs again within its file counts as a reason too. The
+    rows are read once: each counts for its order id and for each of its
+    reasons, in two aggregates with partial sums, so a file of any size is fine.
     """
-    broken = (
-        checked.select(file_column, F.explode_outer("reasons").alias("reason"))
-        .where("reason IS NOT NULL")
-        .groupBy(file_column, "reason")
+    itself = F.array(F.lit(DUPLICATE_ORDER))
+    by_order = (
+        checked.select(
+            file_column, "order_id", F.explode(F.concat(itself, "reasons")).alias("reason")
+        )
+        .groupBy(file_column, "order_id", "reason")
         .agg(F.count("*").alias("n"))
     )
-    repeated = (
-        duplicate_keys(checked.where(F.col("order_id") != ""), [file_column, "order_id"])
-        .groupBy(file_column)
-        .agg(F.sum("n").alias("n"))
-        .select(file_column, F.lit(DUPLICATE_ORDER).alias("reason"), "n")
+    unique = (F.col("reason") == DUPLICATE_ORDER) & (
+        (F.col("n") == 1) | (F.coalesce("order_id", F.lit("")) == "")
     )
-    return broken.unionByName(repeated)
+    return by_order.where(~unique).groupBy(file_column, "reason").agg(F.sum("n").alias("n"))
 
 
 def reasons_by_file(rejected: DataFrame, file_column: str = "source_file") -> DataFrame:

@@ -1,7 +1,8 @@
 """The flat variant as a job: files -> row rules -> cleaned rows -> both KPI tables.
 
 A file with one broken row is rejected as a whole, with the reasons in the gate
-log. KPI rows replace stored rows of the same key.
+log; its rows are kept with the rules they break. All judged files are archived.
+KPI rows replace stored rows of the same key, in tables of their own.
 """
 
 import datetime as dt
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from daybook.operators.flat import clean_flat, flat_category_kpi, flat_daily_kpi
 from daybook.operators.quality import check_rows, reasons_by_file, rejected_files, split_by_file
 from daybook.plans.gate_run import (
+    archive_files,
     in_run,
     judge,
     layouts,
@@ -31,6 +33,7 @@ from daybook.schemas import (
     GATE_LOG,
     ORDER_KPI,
     ORDER_KPI_KEYS,
+    REJECTED_FLAT,
     REJECTED_ROWS,
     VALID,
 )
@@ -65,21 +68,26 @@ def run_flat(
     work = f"{workspace.staging(run_id)}/flat"
     files = new_arrivals(spark, workspace, [FLAT_TYPE], work)
     verdicts = judge(spark, files, run_date, run_id, work, {FLAT_TYPE: FLAT_COLUMNS})
-    rows = text_rows(spark, layouts(verdicts), FLAT_TYPE, FLAT_COLUMNS)
+    judged_files = layouts(verdicts)
+    rows = text_rows(spark, judged_files, FLAT_TYPE, FLAT_COLUMNS)
     if rows is None:
-        verdicts.coalesce(1).write.mode("append").parquet(workspace.gate_log)
+        archive_files(spark, workspace, judged_files, run_date, run_id)
+        append(verdicts.hint("rebalance"), workspace.gate_log)
         return verdicts
 
     check_rows(rows, categories).write.mode("overwrite").parquet(f"{work}/checked")
     checked = spark.read.parquet(f"{work}/checked")
     rejected_files(checked).write.mode("overwrite").parquet(f"{work}/rejected")
     rejected = spark.read.parquet(f"{work}/rejected")
-    accepted, _ = split_by_file(checked, rejected)
+    accepted, refused = split_by_file(checked, rejected)
+    kept = refused.withColumns({"dt": F.lit(run_date), "run_id": F.lit(run_id)})
+    append(kept.select(*REJECTED_FLAT.names), workspace.rejected_rows, "dt", "run_id")
     cleaned = in_run(clean_flat(accepted), run_date, run_id).select(*CLEAN_FLAT.names)
     append(cleaned, workspace.clean_flat, "dt", "run_id", "order_month")
 
     _with_row_verdicts(verdicts, rejected).write.mode("overwrite").parquet(f"{work}/judged")
     judged = spark.read.schema(GATE_LOG).parquet(f"{work}/judged")
+    archive_files(spark, workspace, layouts(judged), run_date, run_id)
     accepted_files = judged.where(F.col("verdict") == VALID)
     if not accepted_files.isEmpty():
         stored = read_partitions(
@@ -91,7 +99,7 @@ def run_flat(
             spark,
             f"{work}/category",
             f"{work}/category_merged",
-            workspace.category_kpis,
+            workspace.flat_category_kpis,
             CATEGORY_KPI,
             CATEGORY_KPI_KEYS,
         )
@@ -99,10 +107,10 @@ def run_flat(
             spark,
             f"{work}/order",
             f"{work}/order_merged",
-            workspace.order_kpis,
+            workspace.flat_order_kpis,
             ORDER_KPI,
             ORDER_KPI_KEYS,
         )
         mark_processed(accepted_files, workspace.ledger)
-    judged.coalesce(1).write.mode("append").parquet(workspace.gate_log)
+    append(judged.hint("rebalance"), workspace.gate_log)
     return judged

@@ -25,6 +25,7 @@ from daybook.schemas import (
     EMPTY,
     GATE_LOG,
     MISSING_COLUMNS,
+    REJECTED_ROWS,
     REQUIRED_COLUMNS,
     UNREADABLE,
     VALID,
@@ -32,7 +33,13 @@ from daybook.schemas import (
 from daybook.sinks.manifest import write_manifest
 from daybook.sinks.tables import append
 from daybook.sources.csv_batches import read_csv_layout
-from daybook.sources.files import list_csv_files, read_lines, read_records
+from daybook.sources.files import (
+    list_csv_files,
+    present,
+    read_lines,
+    read_raw_lines,
+    read_records,
+)
 from daybook.sources.tables import read_table, small_rows
 
 
@@ -99,8 +106,12 @@ def judge(
     work: str,
     required: Mapping[str, Sequence[str]] = REQUIRED_COLUMNS,
 ) -> DataFrame:
-    """Verdicts of listed files (file_type, path, length, modified_at), as a written table."""
-    readable = path_list(files.where("length > 0"))
+    """Verdicts of listed files (file_type, path, length, modified_at, hidden), as a written table.
+
+    A file that has gone since it was listed is unreadable; the others are judged.
+    """
+    readable = path_list(files.where("length > 0 AND NOT hidden"))
+    readable = present(spark, readable) if readable else readable
     if readable:
         profiles = profile_files(spark, readable, work)
     else:
@@ -128,7 +139,7 @@ class Layout:
 def layouts(verdicts: DataFrame) -> list[Layout]:
     """File names by layout, for the readers. Only names come to the driver, never rows."""
     found: dict[tuple, Layout] = {}
-    judged = verdicts.where(F.col("verdict").isin(VALID, MISSING_COLUMNS))
+    judged = verdicts.where(F.col("verdict").isin(VALID, MISSING_COLUMNS, REJECTED_ROWS))
     keys = ("file_type", "verdict", "header", "multiline")
     named = judged.select(*keys, plain_path("path").alias("path"))
     for row in small_rows(named.orderBy("path")):
@@ -170,31 +181,44 @@ def clean_rows(
     return in_run(CLEAN[file_type](raw), run_date, run_id).select(*CLEAN_ROWS[file_type].names)
 
 
-def archive_lines(
-    spark: SparkSession, judged: list[Layout], run_date: dt.date, run_id: str
-) -> DataFrame | None:
-    """Raw lines of every judged file, so that any file can be given back as it came.
+def archive_files(
+    spark: SparkSession,
+    workspace: Workspace,
+    judged: list[Layout],
+    run_date: dt.date,
+    run_id: str,
+) -> None:
+    """Keep the raw lines of every judged file, so that any file can be given back as it came.
 
-    Each type and verdict reads its own files, so no line is shuffled to learn
-    which file it belongs to.
+    Each type and verdict is written to its own folder straight from its own
+    files: no line is shuffled, and none is looked at to learn where it belongs.
     """
     paths: dict[tuple[str, str], list[str]] = {}
     for files in judged:
         paths.setdefault((files.file_type, files.verdict), []).extend(files.paths)
-    reads = [
-        read_lines(spark, names)
-        .withColumnRenamed("path", "source_file")
-        .withColumns(
-            {
-                "file_type": F.lit(file_type),
-                "verdict": F.lit(verdict),
-                "dt": F.lit(run_date),
-                "run_id": F.lit(run_id),
-            }
-        )
-        for (file_type, verdict), names in paths.items()
-    ]
-    return reduce(DataFrame.unionByName, reads) if reads else None
+    for (file_type, verdict), names in paths.items():
+        folder = f"file_type={file_type}/verdict={verdict}/dt={run_date}/run_id={run_id}"
+        lines = read_raw_lines(spark, names)
+        lines.write.mode("overwrite").parquet(f"{workspace.archive}/{folder}")
+
+
+def file_endings(lines: DataFrame, gate_log: DataFrame) -> DataFrame:
+    """(source_file, has_mark, ends_with_break): what the archived lines of a file leave open.
+
+    The lines joined by line feeds are shorter than the file by the length of a
+    byte order mark and of a last line feed.
+    """
+    joined = lines.groupBy("source_file", "run_id").agg(
+        (F.sum(F.octet_length("value")) + F.count("*") - 1).alias("_joined")
+    )
+    log = gate_log.select(F.col("path").alias("source_file"), "run_id", "length")
+    rest = F.col("length") - F.col("_joined")
+    return joined.join(log, ["source_file", "run_id"]).select(
+        "source_file",
+        "run_id",
+        (rest >= 3).alias("has_mark"),
+        (rest % 3 == 1).alias("ends_with_break"),
+    )
 
 
 def list_incoming(
@@ -229,13 +253,10 @@ def new_arrivals(
 
 
 def quarantine(spark: SparkSession, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
-    """(files with missing columns and the names they miss, their archived lines)."""
-    files = read_table(spark, workspace.gate_log, GATE_LOG).where(
-        F.col("verdict") == MISSING_COLUMNS
-    )
-    lines = read_table(spark, workspace.archive, ARCHIVE_LINES).where(
-        F.col("verdict") == MISSING_COLUMNS
-    )
+    """(files that failed, with what they miss or break; their archived lines)."""
+    failed = F.col("verdict").isin(MISSING_COLUMNS, REJECTED_ROWS)
+    files = read_table(spark, workspace.gate_log, GATE_LOG).where(failed)
+    lines = read_table(spark, workspace.archive, ARCHIVE_LINES).where(failed)
     return files, lines
 
 
@@ -262,11 +283,9 @@ def run_gate(
         rows = clean_rows(spark, judged, file_type, run_date, run_id)
         if rows is not None:
             append(rows, workspace.clean(file_type), "dt", "run_id", "order_month")
-    lines = archive_lines(spark, judged, run_date, run_id) if archive else None
-    if lines is not None:
-        append(lines, workspace.archive, "file_type", "verdict", "dt", "run_id")
-    n_valid = sum(len(files.paths) for files in judged if files.verdict == VALID)
+    if archive:
+        archive_files(spark, workspace, judged, run_date, run_id)
     valid = verdicts.where(F.col("verdict") == VALID)
-    write_manifest(valid, workspace.manifests, str(run_date), n_valid)
-    verdicts.coalesce(1).write.mode("append").parquet(workspace.gate_log)
+    write_manifest(valid, workspace.manifests, str(run_date))
+    append(verdicts.hint("rebalance"), workspace.gate_log)
     return verdicts

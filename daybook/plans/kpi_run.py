@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.joins import join_on_key
 from daybook.operators.kpis import category_kpis, order_kpis
-from daybook.operators.ledger import latest_file_per_type, new_files
+from daybook.operators.ledger import latest_files, new_files
 from daybook.operators.summary import run_summary
 from daybook.plans.gate_run import new_run_id
 from daybook.plans.workspace import Workspace
@@ -23,6 +23,7 @@ from daybook.schemas import (
     CATEGORY_KPI,
     CATEGORY_KPI_KEYS,
     CLEAN_ROWS,
+    FILE_IDENTITY,
     GATE_LOG,
     ORDER_KPI,
     ORDER_KPI_KEYS,
@@ -32,7 +33,7 @@ from daybook.schemas import (
 from daybook.sinks.ledger import mark_processed
 from daybook.sinks.upsert import apply_staged, stage, stored_kpis
 from daybook.sources.csv_batches import read_csv
-from daybook.sources.files import latest_file
+from daybook.sources.files import latest_delivery
 from daybook.sources.tables import read_ledger, read_partitions, read_table, small_rows
 
 
@@ -60,26 +61,19 @@ def valid_files(spark: SparkSession, workspace: Workspace) -> DataFrame:
 
 
 def marked_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -> DataFrame:
-    """Valid files with `counted` and `wanted`.
+    """Valid files with `wanted`: those the ledger does not know.
 
-    `counted`: the first file of its key; the ledger knows files by key, so one
-    that comes again under the same key is never processed. `wanted`: a counted
-    file that the ledger does not know. `latest_only` wants the last key of each
+    A file is known by its path and time, so files of one name in different
+    folders are different files, and so is one that lands again at its old
+    path: its rows come in addition. `latest_only` wants the last file of each
     type and leaves the others for later runs.
     """
     valid = valid_files(spark, workspace)
-    first = valid.groupBy("file_key").agg(F.min("run_id").alias("_first"))
-    marked = (
-        valid.join(first, "file_key")
-        .withColumn("counted", F.col("run_id") == F.col("_first"))
-        .drop("_first")
-    )
-    pending = new_files(marked.where("counted"), read_ledger(spark, workspace.ledger))
+    pending = new_files(valid, read_ledger(spark, workspace.ledger))
     if latest_only:
-        latest = latest_file_per_type(pending).select(F.col("latest_key").alias("file_key"))
-        pending = pending.join(latest, "file_key", "left_semi")
-    wanted = pending.select("file_key", "run_id", F.lit(True).alias("wanted"))
-    return marked.join(wanted, ["file_key", "run_id"], "left").withColumn(
+        pending = latest_files(pending)
+    wanted = pending.select(*FILE_IDENTITY, F.lit(True).alias("wanted"))
+    return valid.join(wanted, FILE_IDENTITY, "left").withColumn(
         "wanted", F.coalesce("wanted", F.lit(False))
     )
 
@@ -91,15 +85,13 @@ class GateRun:
     file_type: str
     folder: str
     n_files: int
-    n_counted: int
     n_wanted: int
 
 
 def gate_runs(files: DataFrame) -> list[GateRun]:
-    """All committed runs: how many files each has, how many count, how many are wanted now."""
+    """All committed runs: how many files each has, how many are wanted now."""
     counts = files.groupBy("file_type", "dt", "run_id").agg(
         F.count("*").alias("n_files"),
-        F.count_if("counted").alias("n_counted"),
         F.count_if("wanted").alias("n_wanted"),
     )
     return [
@@ -107,7 +99,6 @@ def gate_runs(files: DataFrame) -> list[GateRun]:
             row["file_type"],
             f"dt={row['dt']}/run_id={row['run_id']}",
             row["n_files"],
-            row["n_counted"],
             row["n_wanted"],
         )
         for row in small_rows(counts)
@@ -185,15 +176,15 @@ def run_kpis(
     spark: SparkSession,
     workspace: Workspace,
     latest_only: bool = False,
-    recompute: bool = False,
+    recompute: bool = True,
     run_id: str | None = None,
     processed_at: dt.datetime | None = None,
 ) -> KpiRun | None:
     """Process the new valid files once; None if either type has no new file.
 
-    KPI rows replace stored rows of the same key. By default they come from the
-    new files alone; `recompute` takes all valid rows of the touched days, which
-    is right also when one day is spread over several files.
+    KPI rows replace stored rows of the same key. They come from all valid rows
+    of the touched days, which is right also when one day is spread over several
+    files; without `recompute` they come from the new files alone.
     """
     run_id = run_id or new_run_id()
     work = f"{workspace.staging(run_id)}/kpis"
@@ -203,13 +194,12 @@ def run_kpis(
     if {run.file_type for run in runs if run.n_wanted} != set(REQUIRED_COLUMNS):
         return None
     wanted = files.where("wanted")
-    counted = files.where("counted")
 
     def new(file_type: str) -> DataFrame:
         return rows_of(spark, workspace, runs, wanted, file_type, lambda run: run.n_wanted)
 
     def all_rows(file_type: str) -> DataFrame:
-        return rows_of(spark, workspace, runs, counted, file_type, lambda run: run.n_counted)
+        return rows_of(spark, workspace, runs, files, file_type, lambda run: run.n_files)
 
     orders, items = new("orders"), new("order_items")
     category_items = items
@@ -217,7 +207,7 @@ def run_kpis(
         orders, items, category_items = recomputed(
             all_rows("orders"), all_rows("order_items"), orders, items
         )
-    products = read_csv(spark, latest_file(spark, workspace.products))
+    products = read_csv(spark, latest_delivery(spark, workspace.products))
 
     tables = {
         "category": (

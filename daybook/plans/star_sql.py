@@ -33,13 +33,14 @@ ok as (
 
 FILES = """files as (
   select distinct concat('validated/orders/dt=', cast(cast(o_orderdate as date) as varchar),
-                         '/part-', o_orderstatus, '.csv') file_key,
+                         '/part-', o_orderstatus,
+                         case when day(o_orderdate) = 31 then '.txt' else '.csv' end) file_key,
          cast(o_orderdate as date) dt, concat('orders_', lower(o_orderstatus)) file_type
   from orders),
 pending as (
   select f.file_type, f.file_key from files f
   left join (select file_key from files where month(dt) <= 6) l on f.file_key = l.file_key
-  where l.file_key is null)"""
+  where l.file_key is null and f.file_key like '%.csv')"""
 
 TEXT = """t_orders as (
   select cast(o_orderkey as varchar) order_id, cast(o_custkey as varchar) user_id,
@@ -145,7 +146,7 @@ ORACLES = {
     "kpi_reconciliation": f"""with {ITEMS}
         select count(*) items_without_product,
                cast(sum(sale_price) as decimal(30,2)) revenue_without_product
-        from i where product_id not in (select p_partkey from part where p_type = 'ECONOMY')""",
+        from i where product_id % 10 = 0""",
     "new_files": f"with {FILES} select file_type, file_key from pending",
     "latest_file_per_type": f"""with {FILES}
         select file_type, max(file_key) latest_key, count(*) pending from pending group by 1""",
@@ -186,17 +187,59 @@ ORACLES = {
           group by 1)
         select * from u
         union all select * from ok where order_date not in (select order_date from u)""",
-    "file_gate": """select
-          case o_orderpriority when '1-URGENT' then 'plain' when '2-HIGH' then 'reordered'
-               when '3-MEDIUM' then 'no_user' when '4-NOT SPECIFIED' then 'other_case'
-               else 'ragged' end batch,
-          case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'valid'
-               when o_orderpriority = '5-LOW' then 'unreadable'
-               else 'missing_columns' end verdict,
-          case o_orderpriority when '3-MEDIUM' then 'user_id'
-               when '4-NOT SPECIFIED' then 'order_id' else '' end missing,
-          count(*) n_rows
-        from orders group by 1, 2, 3""",
+    "file_gate": """with low as (
+          select count(*) n, count(distinct o_orderkey // 2000) files
+          from orders where o_orderpriority = '5-LOW')
+        select case o_orderpriority when '1-URGENT' then 'plain' when '2-HIGH' then 'reordered'
+                    when '3-MEDIUM' then 'no_user' else 'other_case' end batch,
+               case when o_orderpriority in ('1-URGENT', '2-HIGH') then 'valid'
+                    else 'missing_columns' end verdict,
+               case o_orderpriority when '3-MEDIUM' then 'user_id'
+                    when '4-NOT SPECIFIED' then 'order_id' else '' end missing,
+               '' problems, count(*) n_rows
+        from orders where o_orderpriority <> '5-LOW' group by 1, 2, 3
+        union all select 'ragged', 'unreadable', '', 'too many fields', n + files from low
+        union all select 'quoted_break', 'valid', '', '', n + files from low
+        union all select 'bad_byte', 'unreadable', '', 'not utf-8', n + files from low
+        union all select 'header_only', 'empty', '', '', 0
+        union all select 'zero', 'unreadable', '', 'no lines', 0
+        union all select 'hidden', 'unreadable', '', 'hidden from readers by its name', 0""",
+    "written_manifest": """select distinct '2025-07-06' dt, 'orders' file_type, o_orderpriority batch,
+               'validated/orders/dt=2025-07-06/' key_folder
+        from orders where o_orderpriority in ('1-URGENT', '2-HIGH')
+        union all select distinct '2025-07-06', 'order_items', l_returnflag,
+               'validated/order_items/dt=2025-07-06/'
+        from lineitem where l_returnflag = 'R'""",
+    "stored_ledger": """with o as (
+          select o_orderkey, case when o_orderdate < timestamp '1998-07-01' then 'first'
+                                  else 'second' end batch from orders),
+        f as (
+          select 'orders' file_type, batch, count(*) n_rows from o group by 2
+          union all
+          select 'order_items', batch, count(*) from lineitem join o on l_orderkey = o_orderkey
+          group by 2)
+        select file_type, batch, case batch when 'first' then 'done' else 'pending' end state,
+               n_rows from f""",
+    "latest_only_kpi": f"""with {ORDER_KPI} select * from ok
+        where order_date = (select max(cast(o_orderdate as date)) from orders)""",
+    "flat_job_kpi": """with r as (
+          select distinct l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate,
+                 l_suppkey, l_discount, l_tax, o_custkey, l_returnflag,
+                 cast(l_quantity as integer) quantity,
+                 case when l_quantity = 1 then 100000000.000
+                      when l_quantity = 3 then cast(p_retailprice as decimal(10,2)) + 0.005
+                      else cast(p_retailprice as decimal(10,2)) end unit_price
+          from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey)
+        select cast(l_shipdate as date) order_date, count(*) total_orders,
+               cast(sum(quantity * cast(unit_price as decimal(18,3))) as decimal(30,2)) total_revenue,
+               cast(sum(quantity) as bigint) total_items_sold,
+               avg(case when l_returnflag = 'R' then 1.0E0 else 0.0E0 end) return_rate,
+               count(distinct o_custkey) unique_customers
+        from r group by 1""",
+    "quarantined_lines": f"""with {FLAT_TEXT}
+        select 'missing_columns' verdict, 'user_id' reason, count(*) n
+        from orders where o_orderpriority = '3-MEDIUM'
+        union all select 'rejected_rows', reason, count(*) from reasons group by 2""",
     "stream_order_kpi": f"with {ORDER_KPI} select * from ok",
     "landed_category_kpi": f"with {CATEGORY_KPI} select * from ck",
     "run_summary": f"""with {CATEGORY_KPI}, {ORDER_KPI}, {FILES}

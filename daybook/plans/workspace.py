@@ -54,5 +54,19 @@ class Workspace:
     def order_kpis(self) -> str:
         return self._at("kpis/order_daily")
 
+    @property
+    def flat_category_kpis(self) -> str:
+        """KPIs of the flat variant, apart from those of orders and items."""
+        return self._at("kpis/flat_category_daily")
+
+    @property
+    def flat_order_kpis(self) -> str:
+        return self._at("kpis/flat_order_daily")
+
+    @property
+    def rejected_rows(self) -> str:
+        """Text rows of rejected flat files, each with the rules it breaks."""
+        return self._at("rejected_rows")
+
     def staging(self, run_id: str) -> str:
         return self._at(f"staging/{run_id}")

@@ -30,11 +30,6 @@ PRODUCTS = "static/"
 EVENT_SOURCE = "custom.s3.upload"
 EVENT_DETAIL_TYPE = "StartEphemeralPipeline"
 
-# What the sender of a notification is told.
-NO_RECORDS_MESSAGE = "No S3 records in event."
-PROCESSED_MESSAGE = "Event(s) processed successfully."
-ERROR_MESSAGE = "Unexpected error: a record lacks its bucket or key"
-
 # Verdicts of the file gate.
 VALID = "valid"
 MISSING_COLUMNS = "missing_columns"
@@ -45,6 +40,7 @@ REJECTED_ROWS = "rejected_rows"
 FLAT_TYPE = "flat_orders"
 
 MONEY = "decimal(10,2)"
+EXACT_PRICE = "decimal(18,6)"
 TOTAL = "decimal(30,2)"
 
 _text, _day, _time = T.StringType(), T.DateType(), T.TimestampType()
@@ -74,7 +70,9 @@ ORDER_KPI = _struct(
     unique_customers=T.LongType(),
 )
 
-LEDGER = _struct(file_key=_text, processed_at=_time)
+LEDGER = _struct(path=_text, modified_at=_time, file_key=_text, processed_at=_time)
+# A file is what lies at a path since a time; its key is a label, which two files may share.
+FILE_IDENTITY = ["path", "modified_at"]
 
 GATE_LOG = _struct(
     file_type=_text,
@@ -135,12 +133,20 @@ CLEAN_FLAT = _struct(
     category=_text,
     product_id=_text,
     quantity=T.IntegerType(),
-    unit_price=T.DecimalType(10, 2),
+    unit_price=T.DecimalType(18, 6),
     returned=T.BooleanType(),
     source_file=_text,
     **_RUN,
 )
 
+REJECTED_FLAT = _struct(
+    **{name: _text for name in FLAT_COLUMNS},
+    source_file=_text,
+    reasons=_texts,
+    dt=_day,
+    run_id=_text,
+)
+
 _named = _struct(name=_text)
 _keyed = _struct(key=_text)
 NOTIFICATION = _struct(Records=T.ArrayType(_struct(s3=_struct(bucket=_named, object=_keyed))))

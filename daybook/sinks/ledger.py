@@ -3,13 +3,16 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daybook.schemas import LEDGER
+
 
 def mark_processed(files: DataFrame, path: str, processed_at=None) -> None:
-    """Append the `file_key` of each file with the time it was processed."""
+    """Append identity and key of each file with the time it was processed."""
     processed_at = F.current_timestamp() if processed_at is None else F.lit(processed_at)
     (
-        files.select("file_key", processed_at.cast("timestamp").alias("processed_at"))
-        .coalesce(1)
+        files.withColumn("processed_at", processed_at.cast("timestamp"))
+        .select(*LEDGER.names)
+        .hint("rebalance")
         .write.mode("append")
         .parquet(path)
     )

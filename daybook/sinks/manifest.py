@@ -2,16 +2,17 @@
 
 from pyspark.sql import DataFrame
 
-from daybook.operators.gate import manifest
+MANIFEST = "file_type string, file_key string, path string"
 
-FILES_PER_ENTRY = 10_000
 
+def write_manifest(valid: DataFrame, folder: str, dt: str) -> str | None:
+    """Write `<folder>/dt=<day>`, replacing an earlier one; nothing without valid files.
 
-def write_manifest(valid: DataFrame, folder: str, dt: str, n_valid: int) -> str | None:
-    """Write `<folder>/dt=<day>`, replacing an earlier one; nothing without valid files."""
-    if n_valid == 0:
+    One line per file, whatever their number.
+    """
+    if valid.isEmpty():
         return None
     path = f"{folder}/dt={dt}"
-    parts = -(-n_valid // FILES_PER_ENTRY)
-    manifest(valid, parts).drop("dt").coalesce(1).write.mode("overwrite").json(path)
+    entries = valid.select("file_type", "file_key", "path")
+    entries.hint("rebalance").write.mode("overwrite").json(path)
     return path

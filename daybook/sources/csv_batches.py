@@ -35,10 +35,7 @@ def read_csv_layout(
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header row; every column is text."""
-    return spark.read.option("header", True).option("escape", '"').csv(literal_paths([path]))
-
-
-def read_flat(spark: SparkSession, path: str) -> DataFrame:
-    """Flat order files as text, with the file each row comes from."""
-    return read_csv(spark, path).withColumn("source_file", F.col("_metadata.file_path"))
+    """A CSV file, or all those of a folder, with a header row; every column is text."""
+    reader = spark.read.option("header", True).option("escape", '"')
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+    return reader.csv(literal_paths([path]))

@@ -2,22 +2,24 @@
 
 import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.paths import plain_path, reported_path
+from daybook.functions.paths import reported_path
 from daybook.sources.tables import path_exists
 
-_LISTING = "path string, length bigint, modified_at timestamp"
+_LISTING = "path string, length bigint, modified_at timestamp, hidden boolean"
 
 
 def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, length, modified_at) of every `.csv` file at any depth below a folder.
+    """(path, length, modified_at, hidden) of every `.csv` file at any depth below a folder.
 
     Paths are in the form in which a scan reports them, see `reported_path`.
-
-    Only file status is read. A scan leaves out files of zero bytes, so these are
-    added from the paths Spark listed for it.
+    Only file status is read. A scan leaves out files of zero bytes; if there
+    are any, they are added from the paths Spark listed for it. Files that readers
+    skip because their name or that of a folder starts with `_` or `.` are
+    `hidden`.
     """
     if not path_exists(spark, folder):
         return spark.createDataFrame([], _LISTING)
@@ -32,23 +34,87 @@ def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
         "length",
         F.col("modificationTime").alias("modified_at"),
     )
-    listed = spark.createDataFrame([(p,) for p in scan.inputFiles()], "path string").select(
-        reported_path("path").alias("path")
-    )
-    zero_bytes = listed.join(filled, "path", "left_anti").select(
+    listed = scan._jdf.inputFiles()
+    seen = filled.withColumn("hidden", F.lit(False))
+    if len(listed) > filled.count():
+        seen = seen.unionByName(_zero_bytes(spark, list(listed), filled))
+    hidden = _hidden_files(spark, folder)
+    if not hidden:
+        return seen
+    unseen = spark.createDataFrame(hidden, "path string, length bigint, millis bigint").select(
         "path",
-        F.lit(0).cast("bigint").alias("length"),
-        F.lit(None).cast("timestamp").alias("modified_at"),
+        "length",
+        F.timestamp_millis("millis").alias("modified_at"),
+        F.lit(True).alias("hidden"),
+    )
+    return seen.unionByName(unseen)
+
+
+def _zero_bytes(spark: SparkSession, listed: list[str], filled: DataFrame) -> DataFrame:
+    """Listed files that the scan leaves out."""
+    return (
+        spark.createDataFrame([(name,) for name in listed], "path string")
+        .select(reported_path("path").alias("path"))
+        .join(filled, "path", "left_anti")
+        .select(
+            "path",
+            F.lit(0).cast("bigint").alias("length"),
+            F.lit(None).cast("timestamp").alias("modified_at"),
+            F.lit(False).alias("hidden"),
+        )
     )
-    return filled.unionByName(zero_bytes)
 
 
-def latest_file(spark: SparkSession, folder: str) -> str:
-    """The last `.csv` path below a folder in text order."""
-    path = list_csv_files(spark, folder).agg(F.max(plain_path("path"))).first()[0]
-    if path is None:
-        raise FileNotFoundError(f"no product files found in {folder}")
-    return path
+def _hidden_files(spark: SparkSession, folder: str) -> list[tuple]:
+    """Files that no reader sees. Levels are matched in the file system's own glob; only hidden names come here."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    system = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    found, level = [], literal_paths([folder.rstrip("/")])[0]
+    while True:
+        for status in system.globStatus(path_of(f"{level}/[_.]*")) or ():
+            if status.isFile():
+                found.append(status)
+            else:
+                files = system.listFiles(status.getPath(), True)
+                while files.hasNext():
+                    found.append(files.next())
+        level += "/[!_.]*"
+        if not len(system.globStatus(path_of(level)) or ()):
+            break
+    return [
+        (
+            re.sub("^file:/+", "file:/", status.getPath().toUri().toString()),
+            status.getLen(),
+            status.getModificationTime(),
+        )
+        for status in found
+        if status.getPath().getName().endswith(".csv")
+    ]
+
+
+def latest_delivery(spark: SparkSession, folder: str) -> str:
+    """The last entry of a folder in text order that holds CSV files: a file, or a folder with all its files."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    system = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = []
+    if path_exists(spark, folder):
+        entries = system.listStatus(path_of(folder))
+        names = sorted((e.getPath().getName() for e in entries), reverse=True)
+    for name in names:
+        entry = f"{folder.rstrip('/')}/{name}"
+        if name[0] not in "_." and not _no_csv(spark, entry):
+            return entry
+    raise FileNotFoundError(f"no product files found in {folder}")
+
+
+def _no_csv(spark: SparkSession, entry: str) -> bool:
+    filled = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(literal_paths([entry])[0])
+    )
+    return filled.select("length").isEmpty()
 
 
 def literal_paths(paths: list[str]) -> list[str]:
@@ -56,13 +122,26 @@ def literal_paths(paths: list[str]) -> list[str]:
     return [re.sub(r"([\\*?\[\]{}])", r"\\\1", path) for path in paths]
 
 
+def present(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that are still there. Each is asked for only if a reader misses one."""
+    try:
+        spark.read.text(literal_paths(paths))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return [path for path in paths if path_exists(spark, path)]
+    return paths
+
+
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(path, block_start, line_id, value) of every line that is not blank.
 
-    Files are split, so `(block_start, line_id)` orders the lines of a file.
+    Files are split, so `(block_start, line_id)` orders the lines of a file. A
+    file that vanishes meanwhile has no lines.
     """
     return (
-        spark.read.text(literal_paths(paths))
+        spark.read.option("ignoreMissingFiles", True)
+        .text(literal_paths(paths))
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block_start"),
@@ -73,6 +152,25 @@ def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
+def read_raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(source_file, block_start, line_id, value) of all that stands between line feeds.
+
+    Blank lines and carriage returns stay, so the lines of a file in order,
+    joined by line feeds, are its bytes; a byte order mark and whether the last
+    line ends with a line feed follow from the file's length.
+    """
+    return (
+        spark.read.option("lineSep", "\n")
+        .text(literal_paths(paths))
+        .select(
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col("_metadata.file_block_start").alias("block_start"),
+            F.monotonically_increasing_id().alias("line_id"),
+            "value",
+        )
+    )
+
+
 def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Like `read_lines`, with quoted line breaks kept inside one record.
 
@@ -84,6 +182,7 @@ def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
         .option("columnNameOfCorruptRecord", "_record")
         .option("multiLine", True)
         .option("escape", '"')
+        .option("ignoreMissingFiles", True)
         .csv(literal_paths(paths))
         .select(
             F.col("_metadata.file_path").alias("path"),

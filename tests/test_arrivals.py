@@ -95,6 +95,17 @@ def test_event_fields(parsed):
     assert (one["source"], one["detail_type"]) == ("custom.s3.upload", "StartEphemeralPipeline")
 
 
+def test_event_time_is_utc_in_any_session(spark, parsed):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        at = F.timestamp_seconds(F.lit(1751812687))  # 2025-07-06 14:38:07 UTC
+        one = start_events(arrivals(parsed, BUCKET).where("name = 'accepted'"), at).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert one["timestamp"] == "2025-07-06T14:38:07.000000"
+
+
 def test_stream_emits_each_arrival_once(spark, tmp_path):
     landing, events = tmp_path / "notifications", tmp_path / "events"
     landing.mkdir()

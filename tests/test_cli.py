@@ -34,7 +34,7 @@ def test_flat(spark, tmp_path):
         "1,c,2025-07-06,Books,1,2,3.00,false\n",
     )
     assert main(["flat", "--root", workspace.root]) == 0
-    assert (tmp_path / "kpis" / "category_daily" / "order_month=2025-07").is_dir()
+    assert (tmp_path / "kpis" / "flat_category_daily" / "order_month=2025-07").is_dir()
 
 
 def test_arrivals(spark, tmp_path, capfd):

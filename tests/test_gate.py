@@ -6,7 +6,9 @@ import urllib.parse
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.plans.gate_run import quarantine, run_gate
+from daybook.operators.gate import HIDDEN
+from daybook.plans import gate_run
+from daybook.plans.gate_run import file_endings, judge, list_incoming, quarantine, run_gate
 from daybook.plans.workspace import Workspace
 from daybook.schemas import CLEAN_ROWS, GATE_LOG
 from tests.conftest import as_rows
@@ -38,6 +40,9 @@ FILES = {
     "space": f"{HEADER.replace('order_id', ' order_id ')}\n{ROW.format(1)}\n",
     "dup_header": f"{HEADER},order_id\n{ROW.format(1)},1\n",
     "names [1]{a} 50% + more": f"{HEADER}\n{ROW.format(10)}\n",
+    "blank_inside": f'{HEADER}\r\n\r\n13,"u\r\n\r\nv",2025-07-06,complete,1\r\n   \r\n\r\n14,10,2025-07-06,complete,1',
+    "_late": f"{HEADER}\n{ROW.format(1)}\n",
+    ".dotted": "",
 }
 VERDICTS = {
     "good": ("valid", None, 2),
@@ -47,8 +52,6 @@ VERDICTS = {
     "zero": ("unreadable", None, 0),
     "blank": ("unreadable", None, 0),
     "too_many_fields": ("unreadable", None, 2),
-    "wide_first_row": f"{HEADER}\n{ROW.format(11)},extra\n{ROW.format(12)}\n",
-    "wide_first_and_wider": f"{HEADER}\n{ROW.format(11)},extra\n{ROW.format(12)},extra,more\n",
     "wide_first_row": ("valid", None, 2),
     "wide_first_and_wider": ("unreadable", None, 2),
     "trailing_commas": ("valid", None, 2),
@@ -63,6 +66,9 @@ VERDICTS = {
     "space": ("missing_columns", ["order_id"], 1),
     "dup_header": ("missing_columns", ["order_id"], 1),
     "names [1]{a} 50% + more": ("valid", None, 1),
+    "blank_inside": ("valid", None, 2),
+    "_late": ("unreadable", None, 0),
+    ".dotted": ("unreadable", None, 0),
 }
 
 
@@ -95,6 +101,7 @@ def test_problems_are_named(gated):
     assert problems["too_many_fields"] == ["too many fields"]
     assert problems["bad_utf8"] == problems["bad_utf8_quoted"] == ["not utf-8"]
     assert problems["zero"] == problems["blank"] == ["no lines"]
+    assert problems["_late"] == problems[".dotted"] == ["hidden from readers by its name"]
     assert problems["good"] == []
 
 
@@ -106,6 +113,8 @@ def test_rows_of_valid_files_are_kept(spark, gated):
         ("10", "10", DAY, "complete", 2),
         ("11", "10", DAY, "complete", 2),
         ("12", "10", DAY, "complete", 2),
+        ("13", "u\n\nv", DAY, "complete", 1),
+        ("14", "10", DAY, "complete", 1),
         ("2", "10", DAY, "complete", 2),
         ("3", "11", DAY, "complete", 4),
         ("4", "10", DAY, "complete", 2),
@@ -128,8 +137,14 @@ def test_archive_gives_files_back(spark, gated):
         stored.setdefault(file_stem(row["source_file"]), []).append(row["value"])
     judged = {n for n, v in VERDICTS.items() if v[0] in ("valid", "missing_columns")}
     assert set(stored) == judged
-    for name in judged - {"bom"}:
-        assert stored[name] == FILES[name].splitlines()
+    log = spark.read.schema(GATE_LOG).parquet(workspace.gate_log)
+    for row in file_endings(archive, log).collect():
+        name = file_stem(row["source_file"])
+        content = "\n".join(stored.pop(name)) + "\n" * row["ends_with_break"]
+        given_back = b"\xef\xbb\xbf" * row["has_mark"] + content.encode()
+        original = FILES[name]
+        assert given_back == (original if isinstance(original, bytes) else original.encode())
+    assert not stored
     files, lines = quarantine(spark, workspace)
     failed = {n for n, v in VERDICTS.items() if v[0] == "missing_columns"}
     assert {file_stem(r["path"]) for r in files.collect()} == failed
@@ -141,16 +156,49 @@ def test_archive_gives_files_back(spark, gated):
 def test_manifest(gated):
     workspace, verdicts = gated
     folder = pathlib.Path(workspace.manifests) / f"dt={DAY}"
-    text = "".join(p.read_text() for p in folder.glob("part-*"))
-    entry = json.loads(text)
+    lines = "".join(p.read_text() for p in folder.glob("part-*")).splitlines()
+    entries = [json.loads(line) for line in lines]
     valid = sorted(n for n, v in VERDICTS.items() if v[0] == "valid")
-    assert entry["file_type"] == "orders"
-    assert entry["files"] == sorted(f"validated/orders/dt={DAY}/{n}.csv" for n in valid)
+    assert {entry["file_type"] for entry in entries} == {"orders"}
+    keys = sorted(entry["file_key"] for entry in entries)
+    assert keys == sorted(f"validated/orders/dt={DAY}/{n}.csv" for n in valid)
+
+
+def test_hidden_folders_are_listed(spark, tmp_path):
+    workspace = Workspace(str(tmp_path))
+    for name in ("a.csv", "_x/b.csv", "p/q/_c.csv", "p/.r/s/d.csv", "p/_e.txt"):
+        put(workspace, f"incoming/orders/{name}", FILES["good"])
+    verdicts = run_gate(spark, workspace, DAY, "run1").collect()
+    found = {row["path"].rsplit("/orders/", 1)[1]: (row["verdict"], row["problems"]) for row in verdicts}
+    hidden = ("unreadable", [HIDDEN])
+    assert found == {"a.csv": ("valid", []), "_x/b.csv": hidden, "p/q/_c.csv": hidden, "p/.r/s/d.csv": hidden}
+
+
+def test_a_file_that_goes_does_not_stop_the_others(spark, tmp_path):
+    workspace = golden_workspace(tmp_path)
+    gone = put(workspace, "incoming/orders/gone.csv", FILES["good"])
+    put(workspace, "incoming/orders/gone2.csv", FILES["good"])
+    listed = list_incoming(spark, workspace)
+    listed.write.parquet(str(tmp_path / "listed"))
+    gone.unlink()
+    verdicts = judge(spark, spark.read.parquet(str(tmp_path / "listed")), DAY, "r", workspace.staging("r"))
+    found = {pathlib.Path(r["path"]).name: r["verdict"] for r in verdicts.collect()}
+    assert found == {"batch1.csv": "valid", "gone.csv": "unreadable", "gone2.csv": "valid"}
+
+
+def test_the_archive_shuffles_nothing(spark, tmp_path):
+    workspace = golden_workspace(tmp_path)
+    lines = gate_run.read_raw_lines(spark, [str(tmp_path / "incoming/orders/batch1.csv")])
+    assert "Exchange" not in lines._jdf.queryExecution().executedPlan().toString()
+    run_gate(spark, workspace, DAY, "run1")
+    stored = spark.read.parquet(workspace.archive)
+    assert stored.where("file_type = 'orders'").count() == 5
 
 
 def test_landed_files_stay(gated):
     workspace, _ = gated
-    assert len(list(pathlib.Path(workspace.incoming("orders")).rglob("*.csv"))) == len(FILES)
+    landed = pathlib.Path(workspace.incoming("orders"))
+    assert len([p for p in landed.rglob("*") if p.suffix == ".csv"]) == len(FILES)
 
 
 def test_judged_files_are_not_judged_again(spark, tmp_path):

@@ -93,7 +93,7 @@ def test_replace_takes_the_new_files_alone(spark, tmp_path):
     run_kpis(spark, workspace)
     land_more(workspace)
     run_gate(spark, workspace, D7, "g2")
-    run_kpis(spark, workspace)
+    run_kpis(spark, workspace, recompute=False)
     assert order_table(spark, workspace) == [
         (D6, 1, Decimal("4.00"), 1, 0.0, 1),
         GOLDEN_DAYS[1],
@@ -126,7 +126,7 @@ def test_recompute_takes_all_rows_of_the_touched_days(spark, tmp_path):
     run_kpis(spark, workspace)
     land_more(workspace)
     run_gate(spark, workspace, D7, "g2")
-    run_kpis(spark, workspace, recompute=True)
+    run_kpis(spark, workspace)
     assert order_table(spark, workspace) == RECOMPUTED_DAYS
     assert category_table(spark, workspace) == recomputed_categories()
 
@@ -144,27 +144,43 @@ def test_latest_only_takes_one_file_per_type(spark, tmp_path):
     workspace = golden_workspace(tmp_path)
     land_more(workspace)
     run_gate(spark, workspace, D7, "g1")
-    run_kpis(spark, workspace, latest_only=True)
+    run_kpis(spark, workspace, latest_only=True, recompute=False)
     assert order_table(spark, workspace) == [(D6, 1, Decimal("4.00"), 1, 0.0, 1)]
-    run_kpis(spark, workspace, latest_only=True)
+    run_kpis(spark, workspace, latest_only=True, recompute=False)
     assert order_table(spark, workspace) == GOLDEN_DAYS
     assert run_kpis(spark, workspace, latest_only=True) is None
 
 
-@pytest.mark.parametrize("recompute", [False, True])
-def test_a_key_is_processed_once(spark, tmp_path, recompute):
-    """A file that lands again on the same day under the same name changes nothing."""
+def test_files_of_one_name_are_different_files(spark, tmp_path):
+    """Equal base names in one run and in two, and a name that lands again."""
     workspace = golden_workspace(tmp_path)
+    head_orders, head_items = (text.strip().splitlines()[0] for text in (MORE_ORDERS, MORE_ITEMS))
+    for k, folder in ((21, "a"), (22, "b")):
+        put(workspace, f"incoming/orders/{folder}/x.csv", f"{head_orders}\n{k},1{k},2025-07-06,complete,1\n")
+        put(workspace, f"incoming/order_items/{folder}/x.csv", f"{head_items}\n{k},100,2025-07-06,1.00,complete\n")
     run_gate(spark, workspace, D7, "g1")
-    run_kpis(spark, workspace)
-    put(workspace, "incoming/orders/batch1.csv", MORE_ORDERS)
-    put(workspace, "incoming/orders/batch2.csv", MORE_ORDERS)
-    put(workspace, "incoming/order_items/batch2.csv", MORE_ITEMS)
+    run = run_kpis(spark, workspace)
+    assert dict(as_rows(run.summary(), "output", "n_rows"))["orders_files"] == 3
+    assert order_table(spark, workspace)[0] == (D6, 5, Decimal("39.51"), 6, 1 / 5, 4)
+    for file_type, text in (("orders", MORE_ORDERS), ("order_items", MORE_ITEMS)):
+        put(workspace, f"incoming/{file_type}/c/x.csv", text)
+    put(workspace, "incoming/orders/batch1.csv", MORE_ORDERS.replace("5,13", "6,14"))
     assert run_gate(spark, workspace, D7, "g2").count() == 3
-    run = run_kpis(spark, workspace, recompute=recompute)
-    assert run.files.count() == 2
-    expected = RECOMPUTED_DAYS[0] if recompute else (D6, 1, Decimal("4.00"), 1, 0.0, 1)
-    assert order_table(spark, workspace) == [expected, GOLDEN_DAYS[1]]
+    run = run_kpis(spark, workspace)
+    assert run.files.count() == 3
+    assert order_table(spark, workspace)[0] == (D6, 7, Decimal("44.51"), 8, 1 / 7, 6)
+    assert run_kpis(spark, workspace) is None
+
+
+def test_all_files_of_the_last_product_delivery_count(spark, tmp_path):
+    workspace = golden_workspace(tmp_path)
+    put(workspace, "static/products_2025-07-03/part-1.csv", "id,category\n100,Books\n")
+    put(workspace, "static/products_2025-07-03/part-2.csv", "id,category\n101,Toys\n")
+    put(workspace, "static/products_2025-07-04/notes.txt", "no delivery")
+    put(workspace, "static/_later/products.csv", "id,category\n100,Hidden\n")
+    run_gate(spark, workspace, D7, "g1")
+    run_kpis(spark, workspace)
+    assert category_table(spark, workspace) == GOLDEN_CATEGORIES
 
 
 def test_a_broken_run_is_repeated(spark, tmp_path, monkeypatch):

@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from daybook.operators.ledger import latest_file_per_type, new_files
+from daybook.operators.ledger import latest_file_per_type, latest_files, new_files
 from daybook.operators.merge import merge_by_key
 from daybook.schemas import CATEGORY_KPI, CATEGORY_KPI_KEYS, ORDER_KPI, ORDER_KPI_KEYS
 from daybook.sinks.ledger import mark_processed
@@ -12,10 +12,12 @@ from daybook.sources.tables import read_ledger
 from tests.conftest import as_rows
 
 D6, D7 = dt.date(2025, 7, 6), dt.date(2025, 7, 7)
+D6_NOON = dt.datetime(2025, 7, 6, 12)
 
 
 def keys(spark, *names):
-    return spark.createDataFrame([(n, "orders") for n in names], "file_key string, file_type string")
+    rows = [(n, "orders", f"file:/in/{n}", D6_NOON) for n in names]
+    return spark.createDataFrame(rows, "file_key string, file_type string, path string, modified_at timestamp")
 
 
 def test_known_files_are_not_new(spark, tmp_path):
@@ -28,6 +30,18 @@ def test_known_files_are_not_new(spark, tmp_path):
     assert new_files(listed, read_ledger(spark, path)).count() == 0
 
 
+def test_a_file_is_its_path_and_time(spark, tmp_path):
+    """Equal keys in two folders are two files, and so is a file that lands again."""
+    path = str(tmp_path / "ledger")
+    schema = "file_key string, file_type string, path string, modified_at timestamp"
+    later = dt.datetime(2025, 7, 7)
+    rows = [("v/x.csv", "orders", p, t) for p, t in (("a/x.csv", D6_NOON), ("b/x.csv", D6_NOON), ("a/x.csv", later))]
+    mark_processed(spark.createDataFrame(rows[:1], schema), path)
+    fresh = new_files(spark.createDataFrame(rows, schema), read_ledger(spark, path))
+    assert as_rows(fresh, "path", "modified_at") == [("a/x.csv", later), ("b/x.csv", D6_NOON)]
+    assert as_rows(latest_files(fresh), "path", "modified_at") == [("a/x.csv", later)]
+
+
 def test_ledger_keeps_the_last_time(spark, tmp_path):
     path = str(tmp_path / "ledger")
     for hour in (9, 11, 10):
