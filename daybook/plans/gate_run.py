@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from daybook.functions.casting import month_of
 from daybook.functions.paths import plain_path
 from daybook.operators.cleaning import CLEAN
-from daybook.operators.gate import NOT_UTF8, judge_files, profile_lines, ragged_files
+from daybook.operators.gate import judge_files, profile_lines, ragged_files
+from daybook.operators.records import OPEN_QUOTE
 from daybook.plans.workspace import Workspace
 from daybook.schemas import (
     ARCHIVE_LINES,
@@ -35,6 +36,7 @@ from daybook.sinks.tables import append
 from daybook.sources.csv_batches import read_csv_layout
 from daybook.sources.files import (
     list_csv_files,
+    open_quotes,
     present,
     read_lines,
     read_raw_lines,
@@ -79,20 +81,19 @@ def _profiles(
 
 
 def profile_files(spark: SparkSession, paths: list[str], work: str) -> DataFrame:
-    """Profiles of text files; those with quoted line breaks are read a second time."""
+    """Profiles of text files; those with quoted line breaks are read again as records."""
     profiles = _profiles(spark, read_lines, paths, f"{work}/profiles")
     columns = ["path", "header", "n_rows", "multiline", "problems"]
     multiline = path_list(spark.read.parquet(f"{work}/profiles").where("multiline"))
     if not multiline:
         return profiles.select(columns)
-    # Encoding was checked on the raw lines: the CSV reader replaces bad bytes.
-    not_utf8 = profiles.where("multiline").select(
-        "path", F.filter("problems", lambda problem: problem == NOT_UTF8).alias("_raw")
-    )
+    unfinished = open_quotes(spark, multiline).withColumn("_open", F.array(F.lit(OPEN_QUOTE)))
     records = (
         _profiles(spark, read_records, multiline, f"{work}/record_profiles")
-        .join(not_utf8, "path")
-        .withColumn("problems", F.array_union("problems", "_raw"))
+        .join(unfinished, "path", "left")
+        .withColumn(
+            "problems", F.concat("problems", F.coalesce("_open", F.array().cast("array<string>")))
+        )
         .withColumn("multiline", F.lit(True))
     )
     return profiles.where("NOT multiline").select(columns).unionByName(records.select(columns))

@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.sources.files import literal_paths
+from daybook.operators.joins import join_on_key
+from daybook.sources.files import literal_paths, read_records
 
 
 def read_csv_layout(
@@ -20,20 +21,29 @@ def read_csv_layout(
     each distinct header gets a read of its own and columns are picked by name.
     """
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    reader = spark.read.option("header", True).option("escape", '"')
     if multiline:
-        # Read this way a line of blanks is a record; its text tells it from others.
-        reader = reader.option("multiLine", True).option("columnNameOfCorruptRecord", "_record")
-        rows = reader.schema(schema.add("_record", "string")).csv(literal_paths(paths))
-        rows = rows.where("_record IS NULL OR trim(_record) <> ''")
-    else:
-        rows = reader.schema(schema).csv(literal_paths(paths))
-    return rows.select(
+        return _rows_of_records(read_records(spark, paths), schema, header, columns)
+    reader = spark.read.option("header", True).option("escape", '"')
+    return reader.schema(schema).csv(literal_paths(paths)).select(
         *[F.col(f"c{header.index(name)}").alias(name) for name in columns],
         F.col("_metadata.file_path").alias("source_file"),
     )
 
 
+def _rows_of_records(
+    records: DataFrame, schema: T.StructType, header: list[str], columns: list[str]
+) -> DataFrame:
+    """The named columns of records, without the first of each file."""
+    at = F.struct("block_start", "line_id")
+    first = records.groupBy("path").agg(F.min(at).alias("_first"))
+    rows = join_on_key(records, first, "path", "inner").where(at > F.col("_first"))
+    parsed = F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"escape": '"'})
+    return rows.select(parsed.alias("_row"), "path").select(
+        *[F.col(f"_row.c{header.index(name)}").alias(name) for name in columns],
+        F.col("path").alias("source_file"),
+    )
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file, or all those of a folder, with a header row; every column is text."""
     reader = spark.read.option("header", True).option("escape", '"')

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.functions.paths import reported_path
+from daybook.operators.records import assemble_records
 from daybook.sources.tables import path_exists
 
 _LISTING = "path string, length bigint, modified_at timestamp, hidden boolean"
@@ -171,24 +172,30 @@ def read_raw_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Like `read_lines`, with quoted line breaks kept inside one record.
-
-    Read as a one-column CSV, so that the text of any longer record is reported.
-    Spark cannot split such files; only files with quoted line breaks come here.
-    """
+def read_all_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Like `read_lines`, with blank lines, which may be part of a quoted field."""
     return (
-        spark.read.schema("_first string, _record string")
-        .option("columnNameOfCorruptRecord", "_record")
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("ignoreMissingFiles", True)
-        .csv(literal_paths(paths))
+        spark.read.option("ignoreMissingFiles", True)
+        .text(literal_paths(paths))
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("block_start"),
-            F.coalesce("_record", "_first").alias("value"),
+            F.monotonically_increasing_id().alias("line_id"),
+            "value",
         )
-        .where(F.trim("value") != "")
-        .withColumn("line_id", F.monotonically_increasing_id())
     )
+
+
+def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Like `read_lines`, with quoted line breaks kept inside one record.
+
+    Files are read in splits like any other; only files with quoted line breaks
+    come here.
+    """
+    records, _ = assemble_records(read_all_lines(spark, paths))
+    return records.where(F.trim("value") != "")
+
+
+def open_quotes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Paths of files that end inside a quoted field."""
+    return assemble_records(read_all_lines(spark, paths))[1]

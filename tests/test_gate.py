@@ -1,6 +1,9 @@
+import csv
 import datetime as dt
+import io
 import json
 import pathlib
+import random
 import urllib.parse
 
 import pytest
@@ -10,6 +13,7 @@ from daybook.operators.gate import HIDDEN
 from daybook.plans import gate_run
 from daybook.plans.gate_run import file_endings, judge, list_incoming, quarantine, run_gate
 from daybook.plans.workspace import Workspace
+from daybook.sources.files import open_quotes, read_records
 from daybook.schemas import CLEAN_ROWS, GATE_LOG
 from tests.conftest import as_rows
 from tests.landing import golden_workspace, put
@@ -41,6 +45,7 @@ FILES = {
     "dup_header": f"{HEADER},order_id\n{ROW.format(1)},1\n",
     "names [1]{a} 50% + more": f"{HEADER}\n{ROW.format(10)}\n",
     "blank_inside": f'{HEADER}\r\n\r\n13,"u\r\n\r\nv",2025-07-06,complete,1\r\n   \r\n\r\n14,10,2025-07-06,complete,1',
+    "open_quote": f'{HEADER}\n15,10,2025-07-06,complete,1\n16,"10,2025-07-06,complete,1\n17,10,x,y,1\n',
     "_late": f"{HEADER}\n{ROW.format(1)}\n",
     ".dotted": "",
 }
@@ -67,6 +72,7 @@ VERDICTS = {
     "dup_header": ("missing_columns", ["order_id"], 1),
     "names [1]{a} 50% + more": ("valid", None, 1),
     "blank_inside": ("valid", None, 2),
+    "open_quote": ("unreadable", None, 1),
     "_late": ("unreadable", None, 0),
     ".dotted": ("unreadable", None, 0),
 }
@@ -164,6 +170,29 @@ def test_manifest(gated):
     assert keys == sorted(f"validated/orders/dt={DAY}/{n}.csv" for n in valid)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_records_of_split_files(spark, tmp_path, seed):
+    """Records with line breaks are those of Python's reader, however the file is cut into blocks."""
+    rng = random.Random(seed)
+    values = ["a", "", '"x\ny"', '"\n"', '"p ""q"" \n\n r"', '"\n""\n"', 'in"side', '""', '"z, w"', '"one\ntwo\nthree"']
+    text = "".join(",".join(rng.choice(values) for _ in range(3)) + "\n" for _ in range(400))
+    path = put(Workspace(str(tmp_path)), "r.csv", text)
+    limits = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key) for key in limits}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        records = read_records(spark, [str(path)]).orderBy("block_start", "line_id").collect()
+        blocks = len({r["block_start"] for r in records})
+        assert open_quotes(spark, [str(path)]).count() == 0
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert blocks > 5
+    wanted = [row for row in csv.reader(io.StringIO(text)) if any(field.strip() for field in row) or len(row) > 1]
+    assert [next(csv.reader(io.StringIO(r["value"], newline=""))) for r in records] == wanted
+
+
 def test_hidden_folders_are_listed(spark, tmp_path):
     workspace = Workspace(str(tmp_path))
     for name in ("a.csv", "_x/b.csv", "p/q/_c.csv", "p/.r/s/d.csv", "p/_e.txt"):
