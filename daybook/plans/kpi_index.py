@@ -1,0 +1,65 @@
+"""What a recomputation has to read: days of known orders, and months in which their items lie.
+
+Three small tables follow the processed rows. They are written before the
+ledger and only say where to look: rows left behind by a run that broke off
+make a later run read a little more, and change no result.
+"""
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from daybook.functions.casting import month_of
+from daybook.operators.joins import join_on_key
+from daybook.plans.workspace import Workspace
+from daybook.schemas import ITEM_MONTHS, ORDER_DAYS, ORPHAN_ITEMS
+from daybook.sinks.tables import append
+from daybook.sources.tables import path_exists, read_table, small_rows
+
+BUCKETS = 64
+
+
+def _bucket(order_id: str = "order_id"):
+    return F.pmod(F.xxhash64(order_id), F.lit(BUCKETS)).cast("int")
+
+
+def is_built(spark: SparkSession, workspace: Workspace) -> bool:
+    return path_exists(spark, workspace.order_days)
+
+
+def days_of_orders(spark: SparkSession, workspace: Workspace, ids: DataFrame) -> DataFrame:
+    """(order_id, order_date) of the known orders among `ids`; only their buckets are read."""
+    buckets = [row[0] for row in small_rows(ids.select(_bucket().alias("bucket")).distinct())]
+    known = read_table(spark, workspace.order_days, ORDER_DAYS).where(F.col("bucket").isin(buckets))
+    return join_on_key(known.select("order_id", "order_date"), ids, "order_id", "left_semi")
+
+
+def add_to_index(
+    spark: SparkSession, workspace: Workspace, orders: DataFrame, items: DataFrame
+) -> None:
+    """Follow new rows: days of the orders, months of the items by month of their order."""
+    days = orders.select("order_id", "order_date").where("order_date IS NOT NULL").distinct()
+    append(days.withColumn("bucket", _bucket()), workspace.order_days, "bucket")
+    months = items.select("order_id", month_of("order_date").alias("item_month")).distinct()
+    known = days_of_orders(spark, workspace, months.select("order_id").distinct()).select(
+        "order_id", month_of("order_date").alias("order_month")
+    )
+    placed = join_on_key(months, known.distinct(), "order_id", "left")
+    pairs = placed.where("order_month IS NOT NULL").select("order_month", "item_month").distinct()
+    pairs.hint("rebalance").write.mode("append").parquet(workspace.item_months)
+    orphans = placed.where("order_month IS NULL").select("order_id", "item_month")
+    orphans.hint("rebalance").write.mode("append").parquet(workspace.orphan_items)
+
+
+def item_months(
+    spark: SparkSession, workspace: Workspace, order_months: list[str], new_ids: DataFrame
+) -> list[str]:
+    """Months of the items of all orders of some months, and of items that came before the new orders.
+
+    As many as the calendar has at most.
+    """
+    pairs = read_table(spark, workspace.item_months, ITEM_MONTHS)
+    placed = pairs.where(F.col("order_month").isin(order_months)).select("item_month")
+    orphans = read_table(spark, workspace.orphan_items, ORPHAN_ITEMS)
+    early = join_on_key(orphans, new_ids, "order_id", "left_semi").select("item_month")
+    found = placed.union(early).where("item_month IS NOT NULL").distinct()
+    return sorted(row[0] for row in small_rows(found))

@@ -18,6 +18,7 @@ from daybook.operators.kpis import category_kpis, order_kpis
 from daybook.operators.ledger import latest_files, new_files
 from daybook.operators.summary import run_summary
 from daybook.plans.gate_run import new_run_id
+from daybook.plans.kpi_index import add_to_index, days_of_orders, is_built, item_months
 from daybook.plans.workspace import Workspace
 from daybook.schemas import (
     CATEGORY_KPI,
@@ -61,7 +62,7 @@ def valid_files(spark: SparkSession, workspace: Workspace) -> DataFrame:
 
 
 def marked_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -> DataFrame:
-    """Valid files with `wanted`: those the ledger does not know.
+    """Valid files with `wanted`: those the ledger does not know, and `counted`: those and the known ones.
 
     A file is known by its path and time, so files of one name in different
     folders are different files, and so is one that lands again at its old
@@ -69,12 +70,17 @@ def marked_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -
     type and leaves the others for later runs.
     """
     valid = valid_files(spark, workspace)
-    pending = new_files(valid, read_ledger(spark, workspace.ledger))
+    known = read_ledger(spark, workspace.ledger).select(*FILE_IDENTITY, F.lit(True).alias("_known"))
+    pending = new_files(valid, known)
     if latest_only:
         pending = latest_files(pending)
     wanted = pending.select(*FILE_IDENTITY, F.lit(True).alias("wanted"))
-    return valid.join(wanted, FILE_IDENTITY, "left").withColumn(
-        "wanted", F.coalesce("wanted", F.lit(False))
+    return (
+        valid.join(known, FILE_IDENTITY, "left")
+        .join(wanted, FILE_IDENTITY, "left")
+        .withColumn("wanted", F.coalesce("wanted", F.lit(False)))
+        .withColumn("counted", F.col("wanted") | F.coalesce("_known", F.lit(False)))
+        .drop("_known")
     )
 
 
@@ -85,6 +91,7 @@ class GateRun:
     file_type: str
     folder: str
     n_files: int
+    n_counted: int
     n_wanted: int
 
 
@@ -92,6 +99,7 @@ def gate_runs(files: DataFrame) -> list[GateRun]:
     """All committed runs: how many files each has, how many are wanted now."""
     counts = files.groupBy("file_type", "dt", "run_id").agg(
         F.count("*").alias("n_files"),
+        F.count_if("counted").alias("n_counted"),
         F.count_if("wanted").alias("n_wanted"),
     )
     return [
@@ -99,6 +107,7 @@ def gate_runs(files: DataFrame) -> list[GateRun]:
             row["file_type"],
             f"dt={row['dt']}/run_id={row['run_id']}",
             row["n_files"],
+            row["n_counted"],
             row["n_wanted"],
         )
         for row in small_rows(counts)
@@ -137,13 +146,12 @@ def _on_days(rows: DataFrame, days: set) -> DataFrame:
     return rows.where(F.col("order_month").isin(months)).join(wanted, "order_date", "left_semi")
 
 
-def touched_days(all_orders: DataFrame, orders: DataFrame, items: DataFrame) -> dict[str, set]:
+def touched_days(late: DataFrame, orders: DataFrame, items: DataFrame) -> dict[str, set]:
     """Days whose KPIs new rows change; as many as the calendar has at most.
 
-    New orders change their own day, new items the day of their order, and for
-    the category KPIs new items change their own day.
+    New orders change their own day, new items the day of their order (`late`),
+    and for the category KPIs new items change their own day.
     """
-    late = join_on_key(all_orders, items.select("order_id").distinct(), "order_id", "left_semi")
     days: dict[str, set] = {"order": set(), "category": set()}
     found = [
         (orders, "order"),
@@ -158,20 +166,38 @@ def touched_days(all_orders: DataFrame, orders: DataFrame, items: DataFrame) ->
 
 
 def recomputed(
-    all_orders: DataFrame, all_items: DataFrame, orders: DataFrame, items: DataFrame
+    spark: SparkSession,
+    workspace: Workspace,
+    all_orders: DataFrame,
+    all_items: DataFrame,
+    orders: DataFrame,
+    items: DataFrame,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Orders, their items, and category items of all days that new rows touch.
 
-    Stored months prune the reads of orders and category items; revenue needs
-    the items of the touched orders from any day.
+    The index tells the days of earlier orders of new items, and the months in
+    which the items of touched orders lie; so every read of stored rows is
+    pruned to months.
     """
-    days = touched_days(all_orders, orders, items)
+    late = days_of_orders(spark, workspace, items.select("order_id").distinct())
+    days = touched_days(late, orders, items)
     touched = _on_days(all_orders, days["order"])
     touched_ids = touched.select("order_id").distinct()
-    touched_items = join_on_key(all_items, touched_ids, "order_id", "left_semi")
+    order_months = sorted({f"{day:%Y-%m}" for day in days["order"]})
+    new_ids = orders.select("order_id").distinct()
+    months = item_months(spark, workspace, order_months, new_ids)
+    near = all_items.where(F.col("order_month").isin(months))
+    if any_undated(all_items):
+        near = near.unionByName(all_items.where("order_month IS NULL"))
+    touched_items = join_on_key(near, touched_ids, "order_id", "left_semi")
     return touched, touched_items, _on_days(all_items, days["category"])
 
 
+def any_undated(items: DataFrame) -> bool:
+    """Whether there are items without a day; they lie in a partition of their own."""
+    return not items.where("order_month IS NULL").select("order_id").isEmpty()
+
+
 def run_kpis(
     spark: SparkSession,
     workspace: Workspace,
@@ -194,18 +220,26 @@ def run_kpis(
     if {run.file_type for run in runs if run.n_wanted} != set(REQUIRED_COLUMNS):
         return None
     wanted = files.where("wanted")
+    counted = files.where("counted")
 
     def new(file_type: str) -> DataFrame:
         return rows_of(spark, workspace, runs, wanted, file_type, lambda run: run.n_wanted)
 
     def all_rows(file_type: str) -> DataFrame:
-        return rows_of(spark, workspace, runs, files, file_type, lambda run: run.n_files)
+        return rows_of(spark, workspace, runs, counted, file_type, lambda run: run.n_counted)
 
     orders, items = new("orders"), new("order_items")
     category_items = items
+    built = is_built(spark, workspace)
+    add_to_index(
+        spark,
+        workspace,
+        orders if built else all_rows("orders"),
+        items if built else all_rows("order_items"),
+    )
     if recompute:
         orders, items, category_items = recomputed(
-            all_rows("orders"), all_rows("order_items"), orders, items
+            spark, workspace, all_rows("orders"), all_rows("order_items"), orders, items
         )
     products = read_csv(spark, latest_delivery(spark, workspace.products))
 

@@ -101,6 +101,10 @@ ARCHIVE_LINES = _struct(
     run_id=_text,
 )
 
+ORDER_DAYS = _struct(order_id=_text, order_date=_day, bucket=T.IntegerType())
+ITEM_MONTHS = _struct(order_month=_text, item_month=_text)
+ORPHAN_ITEMS = _struct(order_id=_text, item_month=_text)
+
 _RUN = {"dt": _day, "run_id": _text, "order_month": _text}
 CLEAN_ROWS = {
     "orders": _struct(

@@ -12,6 +12,7 @@ from daybook.sources.tables import read_ledger
 from daybook.streaming.kpi_stream import stream_kpis
 from tests.conftest import as_rows
 from tests.landing import golden_workspace, put
+from tests.planning import scans
 
 D6, D7 = dt.date(2025, 7, 6), dt.date(2025, 7, 7)
 GOLDEN_CATEGORIES = [
@@ -210,6 +211,42 @@ def test_rows_of_an_uncommitted_gate_run_do_not_count(spark, tmp_path, monkeypat
     assert order_table(spark, workspace) == GOLDEN_DAYS
 
 
+def test_recompute_reads_stored_rows_by_month(spark, tmp_path):
+    """Items and orders far apart in time, in three deliveries, and no unpruned read of stored rows."""
+    workspace = golden_workspace(tmp_path)
+    run_gate(spark, workspace, D7, "g1")
+    run_kpis(spark, workspace)
+    head_orders, head_items = (text.strip().splitlines()[0] for text in (MORE_ORDERS, MORE_ITEMS))
+    put(  # an item of an order that is not there yet, one without a day, and one of a known order
+        workspace,
+        "incoming/order_items/early.csv",
+        f"{head_items}\n70,100,2024-01-05,3.00,complete\n70,100,bad,0.50,complete\n2,100,2026-02-01,1.00,complete\n",
+    )
+    put(workspace, "incoming/orders/other.csv", f"{head_orders}\n60,16,2025-09-01,complete,1\n")
+    run_gate(spark, workspace, D7, "g2")
+    run_kpis(spark, workspace)
+    put(workspace, "incoming/orders/late.csv", f"{head_orders}\n70,17,2025-07-07,complete,1\n")
+    put(workspace, "incoming/order_items/late.csv", f"{head_items}\n60,101,2025-09-01,9.00,complete\n")
+    run_gate(spark, workspace, D7, "g3")
+    run_kpis(spark, workspace)
+    assert order_table(spark, workspace) == [
+        (D6, 3, Decimal("38.51"), 4, 1 / 3, 2),
+        (D7, 2, Decimal("10.50"), 1, 0.0, 2),
+        (dt.date(2025, 9, 1), 1, Decimal("9.00"), 1, 0.0, 1),
+    ]
+    marked = kpi_run.marked_files(spark, workspace, False)
+    runs = kpi_run.gate_runs(marked)
+
+    def stored(file_type):
+        return kpi_run.rows_of(spark, workspace, runs, marked, file_type, lambda run: run.n_files)
+
+    new = [stored(t).where("run_id = 'g3'").checkpoint() for t in ("orders", "order_items")]
+    found = kpi_run.recomputed(spark, workspace, stored("orders"), stored("order_items"), *new)
+    for rows in found:
+        for scan in scans(rows):
+            assert "order_month" in scan["PartitionFilters"] or "bucket" in scan["PartitionFilters"]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     workspace = golden_workspace(tmp_path / "w")
     checkpoint = str(tmp_path / "checkpoint")
