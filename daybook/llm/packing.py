@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import zlib
 
 import numpy as np
@@ -42,18 +43,28 @@ DDL = (
 )
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_SMALL = np.isin(np.arange(256), list(range(97, 123)))
+
+
 class WordIds:
     """Token ids of texts, one lookup per word.
 
     The tokenizer splits at white space and never joins across it, so the ids of
     a text are those of its words in turn. Words are cut at ASCII white space
-    only; unknown ones are encoded together, parted by a special token. A text
-    or word that holds a special token's string is encoded by itself. The
+    only; unknown ones are encoded together, parted by a special token. The
     table of known words starts anew beyond `room` words.
+
+    The tokenizer lower-cases and splits runs of letters from runs of other
+    signs. So that fewer words are distinct, A-Z is lower-cased here first, and
+    a comma or full stop between a letter and white space is set apart. Texts
+    with a special token's opening, or with combining accents, stay as they are.
     """
 
-    def __init__(self, path: str, room: int = 400_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, room: int = 500_000):
+        from tokenizers import Tokenizer, normalizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -62,6 +73,17 @@ class WordIds:
         self.special = [t.content.encode() for t in special.values()]
         self.mark_id, mark = next(iter(special.items()))
         self.mark = mark.content
+        self.lowers = '"Lowercase"' in self.tokenizer.to_str()
+        self.ends_word = self.bare = None
+        if self.lowers and getattr(self.tokenizer.model, "end_of_word_suffix", None):
+            suffix = self.tokenizer.model.end_of_word_suffix
+            self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+            # for words that normalisation does not change
+            self.bare = Tokenizer.from_file(path)
+            self.bare.no_truncation()
+            self.bare.no_padding()
+            self.bare.normalizer = normalizers.Sequence([])
         self.room = room
         self._clear()
 
@@ -70,50 +92,93 @@ class WordIds:
         self.flat = np.zeros(1 << 20, np.uint32)
         self.start = np.zeros(1, np.int64)
 
+    def _parted(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and lengths of words, with the special token between them."""
+        text = self.mark.join([w.decode() for w in words])
+        (one,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        out = np.array(one.ids, np.uint32)
+        cuts = np.flatnonzero(out == self.mark_id)
+        if len(cuts) != len(words) - 1:
+            raise ValueError("the tokenizer does not keep the mark between words")
+        return np.delete(out, cuts), np.diff(cuts, prepend=-1, append=len(out)) - 1
+
+    def _of_letters(self, words: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of letters alone: each is one run, whose last id ends a word."""
+        (one,) = tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        out = np.array(one.ids, np.uint32)
+        ends = np.flatnonzero(self.ends_word[out]) + 1
+        if len(ends) != len(words):  # some word is more than one run after all
+            return self._parted([w.encode() for w in words])
+        return out, np.diff(ends, prepend=0)
+
     def _add(self, words: list[bytes]) -> None:
-        plain = [w for w in words if not any(s in w for s in self.special)]
-        texts = [w.decode() for w in plain]
-        ids = []
-        for at in range(0, len(texts), 2000):
-            part = texts[at : at + 2000]
-            out = np.array(self.tokenizer.encode(self.mark.join(part), add_special_tokens=False).ids, np.uint32)
-            cuts = np.flatnonzero(out == self.mark_id)
-            ids += np.split(out, cuts)  # every part but the first starts with the mark
-            if len(cuts) != len(part) - 1:
-                raise ValueError("the tokenizer does not keep the mark between words")
-            first = len(ids) - len(part)
-            for k in range(first + 1, len(ids)):
-                ids[k] = ids[k][1:]
-        odd = [w for w in words if any(s in w for s in self.special)]
-        ids += [np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, np.uint32) for w in odd]
+        special = any(s in b" ".join(words) for s in self.special)
+        small, letters, other, odd = [], [], [], []
+        for word in words:
+            if self.ends_word is not None and word.isascii() and word.isalpha() and word.islower():
+                small.append(word)
+            elif special and any(s in word for s in self.special):
+                odd.append(word)
+            elif self.ends_word is not None and word.decode().isalpha():
+                letters.append(word)
+            else:
+                other.append(word)
+        found = []
+        for group, size, encode in (
+            (small, 2000, lambda part: self._of_letters([w.decode() for w in part], self.bare)),
+            (letters, 500, lambda part: self._of_letters([w.decode() for w in part], self.tokenizer)),
+            (other, 100, self._parted),
+        ):
+            found += [encode(group[at : at + size]) for at in range(0, len(group), size)]
+        for word in odd:
+            ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+            found.append((np.array(ids, np.uint32), np.array([len(ids)])))
         base = len(self.known)
-        self.known.update(zip(plain + odd, range(base, base + len(ids))))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        end = self.start[-1]
-        need = int(end + lengths.sum())
+        self.known.update(zip(small + letters + other + odd, range(base, base + len(words))))
+        end = int(self.start[-1])
+        need = end + sum(len(ids) for ids, _ in found)
         if need > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros(max(need, len(self.flat)), np.uint32)])
-        if ids:
-            self.flat[end:need] = np.concatenate(ids)
-        self.start = np.concatenate([self.start, end + np.cumsum(lengths)])
+            self.flat = np.concatenate([self.flat, np.zeros(max(need - end, len(self.flat)), np.uint32)])
+        self.flat[end:need] = np.concatenate([ids for ids, _ in found])
+        self.start = np.concatenate([self.start, end + np.cumsum(np.concatenate([n for _, n in found]))])
+
+    def _plainer(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same texts with fewer distinct words and the same ids."""
+        if not len(data):
+            return data, ends
+        odd = np.flatnonzero((data == 0xCC) | (data == 0xCD) | (data == ord("<")))
+        change = np.ones(len(ends) - 1, bool)
+        change[np.searchsorted(ends, odd, side="right") - 1] = False
+        inside = np.repeat(change, np.diff(ends))
+        low = np.where(inside, _LOWER[data], data)
+        apart = np.zeros(len(data), bool)
+        apart[1:] = ((low[1:] == ord(",")) | (low[1:] == ord("."))) & _SMALL[low[:-1]] & inside[1:]
+        apart[:-1] &= _SPACE[low[1:]]
+        first = ends[:-1][ends[:-1] < len(data)]
+        apart[first] = False
+        apart[first[first > 0] - 1] = False
+        at = np.flatnonzero(apart)
+        return np.insert(low, at, ord(" ")), ends + np.searchsorted(at, ends)
 
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in turn, and where each text starts, with the end."""
         if len(self.known) > self.room:
             self._clear()
-        words = [t.split() for t in texts]
+        if self.lowers:
+            data, ends = self._plainer(data, ends)
+        raw = data.tobytes()
+        words = [raw[a:b].split() for a, b in zip(ends.tolist(), ends[1:].tolist())]
         counts = np.fromiter(map(len, words), np.int64, len(words))
-        flat = [w for ws in words for w in ws]
+        flat = list(itertools.chain.from_iterable(words))
         missing = set(flat).difference(self.known)
         if missing:
-            self._add(sorted(missing))
-        known = self.known
-        index = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+            self._add(list(missing))
+        index = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
         begin, n = self.start[index], self.start[index + 1] - self.start[index]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(begin - (ends - n), n) + np.arange(total)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        stop = np.cumsum(n)
+        total = int(stop[-1]) if len(stop) else 0
+        ids = self.flat[np.repeat(begin - (stop - n), n) + np.arange(total)]
+        bounds = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(counts)])]
         return ids, bounds
 
 
@@ -215,8 +280,7 @@ def _pack(path: str, size: int, end_id: int, quadratic: float, block_tokens: int
         encoder, task, first = word_ids(path), TaskContext.get().partitionId(), 0
         doc_ids, parts, lengths, have = [], [], [], 0
         for rows, data, ends in text_blocks(batches):
-            raw = data.tobytes()
-            ids, bounds = encoder.encode([raw[a:b] for a, b in zip(ends, ends[1:])])
+            ids, bounds = encoder.encode(data, ends)
             # the end id after each document
             closed = np.insert(ids, bounds[1:], end_id)
             doc_ids += rows.column("doc_id").to_pylist()

@@ -1,4 +1,5 @@
 import collections
+import functools
 import zlib
 
 import numpy as np
@@ -42,10 +43,15 @@ def test_cache_is_used_and_grows(spark, tmp_path, monkeypatch):
     assert token_counts.count_tokens(table(spark, []), WORDS, cache).collect() == []
 
 
-def all_ids(text):
+@functools.cache
+def library():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(WORDS).encode(text or "", add_special_tokens=False).ids + [1]
+    return Tokenizer.from_file(WORDS)
+
+
+def all_ids(text):
+    return library().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 @pytest.mark.parametrize("size,block", [(2048, 8 << 20), (64, 500)])
@@ -82,10 +88,24 @@ def test_packing_awkward_rows(spark):
 def test_known_words_start_anew():
     words = packing.WordIds(WORDS, room=3)
     for text in (b"one two three four", b"five one", b"six <|endoftext|>x seven"):
-        ids, _ = words.encode([text])
+        ids, _ = words.encode(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
         assert ids.tolist() == all_ids(text.decode())[:-1]
 
 
+ALPHABET = "aZt.,'s <|ÀΣσé\u0308\u0301\n1!\u00a0漢"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from(ALPHABET) | st.characters(codec="utf-8"), max_size=30), max_size=5))
+def test_word_ids_are_those_of_the_library(texts):
+    raw = [t.encode() for t in texts]
+    ids, bounds = ONE.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(x) for x in raw]))
+    assert [ids[a:b].tolist() + [1] for a, b in zip(bounds, bounds[1:])] == [all_ids(t) for t in texts]
+
+
+ONE = packing.WordIds(WORDS)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 200), max_size=40))
 def test_assignment_fills_sequences(lengths):
