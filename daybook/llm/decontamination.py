@@ -18,7 +18,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -78,17 +77,37 @@ def walk_keys(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, size: int
     return mix(keys + (np.arange(WALKS * TABLES, dtype=U) << U(8)))
 
 
-def build(items: list[tuple[int, str]], similarity: float = 0.8) -> tuple[list[ItemIndex], np.ndarray]:
-    """Index per item length, and the sorted hashes of the items' word pairs."""
+@dataclass(frozen=True)
+class Pairs:
+    """Word pairs of the items, and the lengths of the items that hold each."""
+
+    hashes: np.ndarray  # sorted
+    seen: np.ndarray  # whether a pair may be there, by the first bits of its hash
+    first: np.ndarray  # where the lengths of each pair start, with the end
+    groups: np.ndarray
+
+    def hits(self, both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, group) of each pair that an item holds, by group and place."""
+        place = np.flatnonzero(self.seen[(both >> U(44)).astype(np.int64)])
+        found = np.minimum(np.searchsorted(self.hashes, both[place]), max(0, len(self.hashes) - 1))
+        real = self.hashes[found] == both[place] if len(self.hashes) else np.zeros(0, bool)
+        place, found = place[real], found[real]
+        count = self.first[found + 1] - self.first[found]
+        slot = np.repeat(self.first[found] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+        group, place = self.groups[slot], np.repeat(place, count)
+        order = np.argsort(group, kind="stable")
+        return place[order], group[order]
+
+
+def build(items: list[tuple[int, str]], similarity: float = 0.8) -> tuple[list[ItemIndex], Pairs]:
+    """Index per item length, and the items' word pairs."""
     by_size: dict[int, list] = {}
-    pairs = [np.zeros(0, U)]
     for item_id, text in items:
         raw = np.frombuffer((text or "").encode(), np.uint8)
         hashes, _ = tokenize(raw, np.array([0, len(raw)]))
         if len(hashes) >= MIN_WORDS:
             by_size.setdefault(len(hashes), []).append((item_id, hashes))
-            pairs.append(grams(hashes, 2))
-    out = []
+    out, pairs, groups = [], [np.zeros(0, U)], [np.zeros(0, np.int64)]
     for size, found in sorted(by_size.items()):
         matrix = np.stack([h for _, h in found])
         flat = matrix.reshape(-1)
@@ -97,8 +116,30 @@ def build(items: list[tuple[int, str]], similarity: float = 0.8) -> tuple[list[I
         owner = np.repeat(np.arange(len(found)), keys.shape[1])
         order = np.argsort(keys.reshape(-1), kind="stable")
         allowed = math.floor(size * (1 - similarity) + 1e-9)
+        own = np.unique(np.concatenate([grams(h, 2) for _, h in found]))
+        pairs.append(own)
+        groups.append(np.full(len(own), len(out)))
         out.append(ItemIndex(size, allowed, np.array([i for i, _ in found]), matrix, keys.reshape(-1)[order], owner[order]))
-    return out, np.unique(np.concatenate(pairs))
+    pair, group = np.concatenate(pairs), np.concatenate(groups)
+    order = np.lexsort((group, pair))
+    pair, group = pair[order], group[order]
+    distinct, first = np.unique(pair, return_index=True)
+    seen = np.zeros(1 << 20, bool)
+    seen[(distinct >> U(44)).astype(np.int64)] = True
+    return out, Pairs(distinct, seen, np.concatenate([first, [len(pair)]]), group)
+
+
+def _starts(places: np.ndarray, size: int, need: int, total: int) -> np.ndarray:
+    """Starts of windows of `size` words with at least `need` of the pairs at sorted `places`."""
+    if need <= 0:
+        return np.arange(total)
+    if len(places) < need:
+        return np.zeros(0, np.int64)
+    low = np.maximum(places[need - 1 :] - (size - 2), 0)
+    high = places[: len(places) - need + 1]
+    fits = low <= high
+    change = np.bincount(low[fits], minlength=total + 1) - np.bincount(high[fits] + 1, minlength=total + 1) if fits.any() else np.zeros(1, np.int64)
+    return np.flatnonzero(np.cumsum(change) > 0)
 
 
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -123,26 +164,22 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return row[end], origin[end], end - origin[end]
 
 
-def find(index: list[ItemIndex], pairs: np.ndarray, data: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+def find(index: list[ItemIndex], pairs: Pairs, data: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(text, item id, distance, first word, words) of the best match of each text and item within the distance."""
     hashes, first = tokenize(data, ends)
-    if len(hashes) < 1 or not index:
+    if not len(hashes) or not index:
         return []
     text_of = np.repeat(np.arange(len(ends) - 1), np.diff(first))
-    shared = np.zeros(len(hashes) + 1, np.int32)
     both = grams(hashes, 2)
-    if len(both):
-        place = np.minimum(np.searchsorted(pairs, both), len(pairs) - 1)
-        hit = (pairs[place] == both) & (text_of[1:] == text_of[:-1])
-        np.cumsum(hit, out=shared[1 : len(hit) + 1])
-        shared[len(hit) + 1 :] = shared[len(hit)]
+    place, group_of = pairs.hits(both) if len(both) else (np.zeros(0, np.int64),) * 2
+    inside = text_of[place] == text_of[np.minimum(place + 1, len(hashes) - 1)]
+    place, group_of = place[inside], group_of[inside]
+    cuts = np.searchsorted(group_of, np.arange(len(index) + 1))
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
     stop_of = first[1:]
-    places = np.arange(len(hashes))
-    for group in index:
-        need = max(0, group.size - 1 - 2 * group.allowed)
-        to = np.minimum(places + group.size - 1, len(hashes))
-        start = np.flatnonzero(shared[to] - shared[:-1] >= need)
+    for k, group in enumerate(index):
+        need = group.size - 1 - 2 * group.allowed
+        start = _starts(place[cuts[k] : cuts[k + 1]], group.size, need, len(hashes))
         # words that the text must have left for a match
         start = start[stop_of[text_of[start]] - start >= group.size - group.allowed]
         for at in range(0, len(start), 1 << 16):
@@ -163,16 +200,23 @@ def _verify(group: ItemIndex, met: np.ndarray, hashes, text_of, first, out) -> N
         return
     item, start = met[:, 0], met[:, 1]
     text = text_of[start]
+    whole = start + group.size <= first[text + 1]
+    reach = np.arange(group.size)
+    exact = np.zeros(len(met), bool)
+    exact[whole] = (hashes[start[whole, None] + reach] == group.words[item[whole]]).all(axis=1)
     cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(text) != 0) | (np.diff(start) > group.allowed + 1)) + 1
-    for a, b in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(met)]])):
+    for a, b in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(met)]]).tolist()):
         t = int(text[a])
-        low = max(int(first[t]), int(start[a]) - group.allowed)
-        high = min(int(first[t + 1]), int(start[b - 1]) + group.size + group.allowed)
-        distance, at, n = best_match(group.words[item[a]], hashes[low:high])
+        if exact[a:b].any():
+            distance, at, n = 0, int(start[a + int(exact[a:b].argmax())]) - int(first[t]), group.size
+        else:
+            low = max(int(first[t]), int(start[a]) - group.allowed)
+            high = min(int(first[t + 1]), int(start[b - 1]) + group.size + group.allowed)
+            distance, at, n = best_match(group.words[item[a]], hashes[low:high])
+            at += low - int(first[t])
         if distance <= group.allowed:
             key = (t, int(group.ids[item[a]]))
-            found = (distance, low - int(first[t]) + at, n)
-            out[key] = min(out.get(key, found), found)
+            out[key] = min(out.get(key, (distance, at, n)), (distance, at, n))
 
 
 def item_blocks(benchmark: DataFrame, block: int, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
@@ -208,7 +252,7 @@ def contaminated(
         def run(batches, shared=shared):
             index, pairs = shared.value
             sizes = {int(i): g.size for g in index for i in g.ids}
-            for rows, data, ends in text_blocks(batches, size=2 << 20):
+            for rows, data, ends in text_blocks(batches):
                 found = find(index, pairs, data, ends)
                 if found:
                     text, item, distance, first, n = map(np.array, zip(*found))
@@ -233,13 +277,13 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = 0
 def _holds(docs: DataFrame, index, text_col: str) -> Column:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    @F.pandas_udf("boolean")
-    def holds(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
         out = np.zeros(len(texts), bool)
-        column = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string()), pa.array(np.arange(len(texts)))], names=["text", "at"])
-        for rows, data, ends in text_blocks([column], size=2 << 20):
+        column = pa.RecordBatch.from_arrays([texts, pa.array(np.arange(len(texts)))], names=["text", "at"])
+        for rows, data, ends in text_blocks([column]):
             hit = {t for t, *_ in find(*shared.value, data, ends)}
             out[rows.column("at").to_numpy()[sorted(hit)]] = True
-        return pd.Series(out)
+        return pa.array(out)
 
     return holds(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
