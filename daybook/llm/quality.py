@@ -12,7 +12,6 @@ import functools
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -149,9 +148,9 @@ def score_column(docs: DataFrame, model: QualityModel, text_col: str = "text") -
     """The score of a text column, for a filter that keeps all columns of `docs` as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([score(shared.value, x.encode()) for x in texts], dtype="float64")
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array([score(shared.value, x.as_py().encode()) for x in texts], pa.float64())
 
     return scored(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
