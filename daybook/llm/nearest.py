@@ -9,6 +9,8 @@ Distances of what is left are computed on the original vectors.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -56,6 +58,27 @@ def nearest_lists(vectors: np.ndarray, centers: np.ndarray, n: int) -> np.ndarra
     return np.concatenate(out) if out else np.zeros((0, n), np.int64)
 
 
+def probes_for(sample: np.ndarray, centers: np.ndarray, k: int, recall: float, queries: int = 256) -> int:
+    """Lists to probe so that the share `recall` of true neighbours within the sample lies in them.
+
+    Neighbours in the whole table are nearer than those in a sample of it, so
+    the share there is larger.
+    """
+    asked = sample[:queries]
+    own = nearest_lists(sample, centers, 1)[:, 0]
+    order = nearest_lists(asked, centers, len(centers))
+    rank = np.empty_like(order)
+    np.put_along_axis(rank, order, np.arange(len(centers))[None, :], axis=1)
+    needed = []
+    for q, vector in enumerate(asked):
+        distance = ((sample - vector) ** 2).sum(axis=1)
+        distance[q] = np.inf
+        near = np.argsort(distance, kind="stable")[: min(k, len(sample) - 1)]
+        needed.append(rank[q, own[near]])
+    needed = np.sort(np.concatenate(needed)) if needed else np.zeros(0, np.int64)
+    return int(needed[math.ceil(recall * len(needed)) - 1]) + 1 if len(needed) else 1
+
+
 def scan(query: np.ndarray, rotated_query: np.ndarray, vectors: np.ndarray, columns: list[np.ndarray], ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(ids, distances) of the k nearest found in one list, ties to the smaller id, each id once."""
     dims = len(query)
@@ -87,15 +110,16 @@ def scan(query: np.ndarray, rotated_query: np.ndarray, vectors: np.ndarray, colu
 
 
 def search(
-    table: DataFrame, is_query: Column, k: int = 10, lists: int | None = None, probes: int = 24, sample: int = 20_000,
+    table: DataFrame, is_query: Column, k: int = 10, lists: int | None = None, recall: float = 0.98, sample: int = 20_000,
     block_rows: int = 8192, block_queries: int = 2048, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """`query_id, rank, vec_id, score` (Euclidean, double): up to `k` neighbours of each row that `is_query` marks.
 
     Every usable row is indexed. Centroids are fitted on at most about `sample`
     rows, taken by a hash of the id, at most 32 MB; there are `lists` of them,
-    by default half the root of the rows, from 1 to 4,096. The nearest `probes` lists are searched,
-    and further ones until they hold 50 * k rows. Long lists are cut into blocks
+    by default half the root of the rows, from 1 to 4,096. As many of the nearest lists are
+    searched as hold the share `recall` of the true neighbours of 256 sample
+    rows within the sample, and further ones until they hold 50 * k rows. Long lists are cut into blocks
     of `block_rows` rows and `block_queries` queries, so that a vector that
     repeats for a third of all rows fills many tasks.
 
@@ -120,6 +144,7 @@ def search(
     n_lists = lists or int(min(4096, max(1, np.sqrt(total) / 2)))
     turn = rotation(dims)
     centers = centroids(fitted @ turn, n_lists)
+    probes = probes_for(fitted @ turn, centers, k, recall)
     shared = spark.sparkContext.broadcast((turn, centers))
 
     def matrix(column: pa.Array) -> np.ndarray:

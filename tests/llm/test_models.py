@@ -1,13 +1,14 @@
 import math
+import os
 import random
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.llm import language_id, nearest, quality, url_filter
-from daybook.llm.rows import held_out
-from tests.llm.corpus import bag, table
+from daybook.llm import language_id, nearest, quality, queries, url_filter
+from daybook.llm.rows import held_out, read_table
+from tests.llm.corpus import bag
 
 LETTERS = {"aa": "abcde", "bb": "fghij", "cc": "éüñkl"}
 
@@ -171,7 +172,7 @@ def test_nearest_against_brute_force(spark):
         vectors[i] = vectors[0]  # a vector that many share
     odd = [(2000, None), (2001, [0.0] * 24), (2002, [float("nan")] * 24), (2003, [None] + [1.0] * 23), (2004, [float("inf")] * 24), (2005, [1.0]), (2006, []), (None, vectors[5]), (7, vectors[7])]
     table_ = spark.createDataFrame([(i, v, 1, 2) for i, v in [*vectors.items(), *odd]], "vec_id long, embedding array<float>, list int, rank int")
-    found = nearest.search(table_, F.col("vec_id") % 50 == 0, k=10, lists=16, probes=6, block_rows=100, block_queries=8).collect()
+    found = nearest.search(table_, F.col("vec_id") % 50 == 0, k=10, lists=16, recall=0.95, block_rows=100, block_queries=8).collect()
     by_query = {}
     for r in found:
         by_query.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
@@ -212,4 +213,17 @@ def test_scan_abandons_little_that_counts():
         want = np.sort(np.sqrt(((data - q) ** 2).sum(1)))[:10]
         hits += np.isclose(score[:, None], want[None]).any(1).sum()
     assert hits >= 0.97 * 200
-    assert table is not None
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_recall_on_the_test_table(spark):
+    found = queries.op10_nearest(spark, "/root/testdata/sf0.1").collect()
+    rows = read_table(spark, "/root/testdata/sf0.1", "embeddings").select("vec_id", "embedding").collect()
+    vectors = {r.vec_id: list(r.embedding) for r in rows}
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = [i for i in vectors if i % 100 == 0]
+    assert set(got) == set(asked)
+    hits = sum(len(got[q] & {i for _, i in brute_nearest(vectors, q, 10)}) for q in asked)
+    assert hits >= 0.9 * 10 * len(asked)
