@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.llm.rows import id_and_text, text_blocks
+from daybook.operators.joins import join_on_key
 
 CACHE = T.StructType(
     [
@@ -108,6 +109,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096,
     misses = distinct.join(stored_counts(spark, cache, version), "digest", "left_anti")
     misses.mapInArrow(_encode(tokenizer, version), CACHE).write.mode("append").parquet(cache)
     keyed = texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("digest"))
-    return keyed.join(stored_counts(spark, cache, version), "digest", "left").select(
+    # copies of one text may be a third of all rows; this join splits them
+    return join_on_key(keyed, stored_counts(spark, cache, version), "digest", "left").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
