@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 from daybook.functions.casting import month_of
 from daybook.operators.merge import complete_keys, merge_by_key
 from daybook.sinks.tables import overwrite_partitions
-from daybook.sources.tables import read_table, small_rows
+from daybook.sources.tables import path_exists, read_table, small_rows
 
 MONTH = "order_month"
 
@@ -41,15 +41,19 @@ def apply_staged(
     Only the months that have new rows are read and replaced. The merged rows
     are written out first, so the target is never read and replaced in one job,
     and a replacement cut off within its commit can be put right from them.
+    Months that the target does not have come straight from the staged rows.
     """
     staged = stored_kpis(spark, staged_path, schema)
     months = [row[0] for row in small_rows(staged.select(MONTH).distinct())]
-    if not months:
-        return
-    stored = stored_kpis(spark, target_path, schema).where(F.col(MONTH).isin(months))
-    merge_by_key(stored, staged, keys).write.mode("overwrite").parquet(merged_path)
-    merged = stored_kpis(spark, merged_path, schema)
-    overwrite_partitions(merged, target_path, MONTH)
+    old = [month for month in months if path_exists(spark, f"{target_path}/{MONTH}={month}")]
+    if len(old) < len(months):
+        fresh = staged.where(~F.col(MONTH).isin(old)) if old else staged
+        overwrite_partitions(fresh, target_path, MONTH)
+    if old:
+        stored = stored_kpis(spark, target_path, schema).where(F.col(MONTH).isin(old))
+        replaced = staged.where(F.col(MONTH).isin(old))
+        merge_by_key(stored, replaced, keys).write.mode("overwrite").parquet(merged_path)
+        overwrite_partitions(stored_kpis(spark, merged_path, schema), target_path, MONTH)
 
 
 def upsert(
