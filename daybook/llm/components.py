@@ -11,7 +11,9 @@ from daybook.llm.rows import written
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return both.where("b > a").join(least, "a").where("b <> m").select(
+        F.col("b").alias("a"), F.col("m").alias("b")
+    )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -29,7 +31,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     A node of very many edges is split by adaptive execution, as both sides
     of its joins come from their own shuffles.
     """
-    now = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "components")
+    now = written(
+        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(),
+        "components",
+    )
     before = None
     while True:
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

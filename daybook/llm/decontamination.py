@@ -72,7 +72,9 @@ def walk_keys(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, size: int
             for t, _ in zip(*np.nonzero(picks[w] == step)):
                 column = w * TABLES + t
                 keys[:, column] = mix(keys[:, column] * U(3) + here + U(column + 1))
-            move = (mix(here + U((w * 100_003 + step + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> U(63)).astype(np.int64)
+            move = (
+                mix(here + U((w * 100_003 + step + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> U(63)
+            ).astype(np.int64)
             at += move & on
     return mix(keys + (np.arange(WALKS * TABLES, dtype=U) << U(8)))
 
@@ -119,7 +121,11 @@ def build(items: list[tuple[int, str]], similarity: float = 0.8) -> tuple[list[I
         own = np.unique(np.concatenate([grams(h, 2) for _, h in found]))
         pairs.append(own)
         groups.append(np.full(len(own), len(out)))
-        out.append(ItemIndex(size, allowed, np.array([i for i, _ in found]), matrix, keys.reshape(-1)[order], owner[order]))
+        out.append(
+            ItemIndex(
+                size, allowed, np.array([i for i, _ in found]), matrix, keys.reshape(-1)[order], owner[order]
+            )
+        )
     pair, group = np.concatenate(pairs), np.concatenate(groups)
     order = np.lexsort((group, pair))
     pair, group = pair[order], group[order]
@@ -138,7 +144,9 @@ def _starts(places: np.ndarray, size: int, need: int, total: int) -> np.ndarray:
     low = np.maximum(places[need - 1 :] - (size - 2), 0)
     high = places[: len(places) - need + 1]
     fits = low <= high
-    change = np.bincount(low[fits], minlength=total + 1) - np.bincount(high[fits] + 1, minlength=total + 1) if fits.any() else np.zeros(1, np.int64)
+    change = np.bincount(low[fits], minlength=total + 1) - np.bincount(
+        high[fits] + 1, minlength=total + 1
+    ) if fits.any() else np.zeros(1, np.int64)
     return np.flatnonzero(np.cumsum(change) > 0)
 
 
@@ -164,7 +172,9 @@ def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return row[end], origin[end], end - origin[end]
 
 
-def find(index: list[ItemIndex], pairs: Pairs, data: np.ndarray, ends: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+def find(
+    index: list[ItemIndex], pairs: Pairs, data: np.ndarray, ends: np.ndarray
+) -> list[tuple[int, int, int, int, int]]:
     """(text, item id, distance, first word, words) of the best match of each text and item within the distance."""
     hashes, first = tokenize(data, ends)
     if not len(hashes) or not index:
@@ -204,7 +214,9 @@ def _verify(group: ItemIndex, met: np.ndarray, hashes, text_of, first, out) -> N
     reach = np.arange(group.size)
     exact = np.zeros(len(met), bool)
     exact[whole] = (hashes[start[whole, None] + reach] == group.words[item[whole]]).all(axis=1)
-    cuts = np.flatnonzero((np.diff(item) != 0) | (np.diff(text) != 0) | (np.diff(start) > group.allowed + 1)) + 1
+    cuts = np.flatnonzero(
+        (np.diff(item) != 0) | (np.diff(text) != 0) | (np.diff(start) > group.allowed + 1)
+    ) + 1
     for a, b in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(met)]]).tolist()):
         t = int(text[a])
         if exact[a:b].any():
@@ -219,12 +231,20 @@ def _verify(group: ItemIndex, met: np.ndarray, hashes, text_of, first, out) -> N
             out[key] = min(out.get(key, (distance, at, n)), (distance, at, n))
 
 
-def item_blocks(benchmark: DataFrame, block: int, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def item_blocks(
+    benchmark: DataFrame, block: int, id_col: str, text_col: str
+) -> Iterator[list[tuple[int, str]]]:
     """The benchmark in parts of about `block` items, read one at a time: a benchmark of any size is a loop over blocks."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")).where("item_id is not null and text is not null")
+    items = benchmark.select(
+        F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")
+    ).where("item_id is not null and text is not null")
     parts = max(1, -(-items.count() // block))
     for part in range(parts):
-        yield [(r["item_id"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part).orderBy("item_id", "text").collect()]
+        yield [
+            (r["item_id"], r["text"]) for r in items.where(
+                F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part
+            ).orderBy("item_id", "text").collect()
+        ]
 
 
 def contaminated(
@@ -244,7 +264,10 @@ def contaminated(
     read in one narrow pass per block of `block` items, whose index is broadcast.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+    )
     out = None
     for items in item_blocks(benchmark, block, item_id_col, item_text_col):
         shared = spark.sparkContext.broadcast(build(items, similarity))
@@ -258,16 +281,33 @@ def contaminated(
                     text, item, distance, first, n = map(np.array, zip(*found))
                     size = np.array([sizes[i] for i in item.tolist()], np.float64)
                     yield pa.RecordBatch.from_arrays(
-                        [rows.column("doc_id").take(pa.array(text)), pa.array(item), pa.array(distance.astype(np.int32)), pa.array(1 - distance / size), pa.array(first), pa.array(n)],
+                        [
+                            rows.column("doc_id").take(pa.array(text)),
+                            pa.array(item),
+                            pa.array(distance.astype(np.int32)),
+                            pa.array(1 - distance / size),
+                            pa.array(first),
+                            pa.array(n),
+                        ],
                         names=["doc_id", "item_id", "distance", "similarity", "first_word", "n_words"],
                     )
 
-        part = texts.mapInArrow(run, "doc_id long, item_id long, distance int, similarity double, first_word long, n_words long")
+        part = texts.mapInArrow(
+            run, "doc_id long, item_id long, distance int, similarity double, first_word long, n_words long"
+        )
         out = part if out is None else out.union(part)
     return out
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, block: int = 20_000, text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def clean_documents(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    similarity: float = 0.8,
+    block: int = 20_000,
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+) -> DataFrame:
     """The rows of `docs`, with all columns, that hold no item."""
     for items in item_blocks(benchmark, block, item_id_col, item_text_col):
         docs = docs.where(~_holds(docs, build(items, similarity), text_col))

@@ -111,7 +111,11 @@ def train(
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")
     ).where("id is not null and lang is not null and length(text) > 0")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
+    counts = {
+        r["lang"]: r["n"] for r in rows.groupBy("lang").agg(
+            F.count("*").alias("n")
+        ).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    }
     if not counts:
         return build({})
     wanted = 8 * reference_bytes // excerpt_bytes
@@ -181,7 +185,13 @@ def classify(model: LanguageModel, data: np.ndarray, ends: np.ndarray) -> tuple[
     return best, 1 - ranked[:, 0] / np.maximum(ranked[:, 1], 1e-9)
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: dict[str, Column] | None = None) -> DataFrame:
+def identify(
+    docs: DataFrame,
+    model: LanguageModel,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep: dict[str, Column] | None = None,
+) -> DataFrame:
     """`doc_id, lang_pred, score` per row, and the columns in `keep`.
 
     A null text, one without a letter and any text under a model without a
@@ -208,7 +218,12 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
             sure = rows.column("has_letter").to_numpy(zero_copy_only=False).astype(bool) & bool(model.languages)
             best = np.where(sure, best, len(model.languages))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), *[rows.column(x) for x in extras], pa.array(names).take(pa.array(best)), pa.array(np.where(sure, score, 0.0))],
+                [
+                    rows.column("doc_id"),
+                    *[rows.column(x) for x in extras],
+                    pa.array(names).take(pa.array(best)),
+                    pa.array(np.where(sure, score, 0.0)),
+                ],
                 names=["doc_id", *extras, "lang_pred", "score"],
             )
 

@@ -26,7 +26,9 @@ ROWS_AT_ONCE = 1024
 def usable(vector: Column) -> Column:
     """Neither null, empty nor zero, and all components finite."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False))
+    return F.coalesce(
+        vector.isNotNull() & (F.size(vector) > 0) & ~bad & F.exists(vector, lambda x: x != 0), F.lit(False)
+    )
 
 
 def rotation(dims: int) -> np.ndarray:
@@ -79,7 +81,14 @@ def probes_for(sample: np.ndarray, centers: np.ndarray, k: int, recall: float, q
     return int(needed[math.ceil(recall * len(needed)) - 1]) + 1 if len(needed) else 1
 
 
-def scan(query: np.ndarray, rotated_query: np.ndarray, vectors: np.ndarray, columns: list[np.ndarray], ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def scan(
+    query: np.ndarray,
+    rotated_query: np.ndarray,
+    vectors: np.ndarray,
+    columns: list[np.ndarray],
+    ids: np.ndarray,
+    k: int,
+) -> tuple[np.ndarray, np.ndarray]:
     """(ids, distances) of the k nearest found in one list, ties to the smaller id, each id once."""
     dims = len(query)
     best_id, best = np.zeros(0, np.int64), np.zeros(0)
@@ -130,16 +139,24 @@ def search(
     repeats is answered once, as its smallest vector. No rows give no rows.
     """
     spark = table.sparkSession
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("query"))
+    rows = table.select(
+        F.col(id_col).cast("long").alias("vec_id"),
+        F.col(vector_col).alias("vector"),
+        F.coalesce(is_query, F.lit(False)).alias("query"),
+    )
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
     result = "query_id long, rank int, vec_id long, score double"
-    lengths = rows.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
+    lengths = rows.groupBy(
+        F.size("vector").alias("d")
+    ).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if lengths is None:
         return spark.createDataFrame([], result)
     dims, total = lengths["d"], lengths["n"]
     rows = rows.where(F.size("vector") == dims)
     bound = min(sample, (32 << 20) // (8 * dims))
-    taken = rows.where(uniform("vec_id") < min(1.0, bound / total)).select(F.col("vector").cast("array<double>").alias("v"), "vec_id").orderBy(F.xxhash64("vec_id"), "vec_id").limit(2 * bound).collect()
+    taken = rows.where(uniform("vec_id") < min(1.0, bound / total)).select(
+        F.col("vector").cast("array<double>").alias("v"), "vec_id"
+    ).orderBy(F.xxhash64("vec_id"), "vec_id").limit(2 * bound).collect()
     fitted = np.array([r["v"] for r in taken] or [[1.0] * dims])
     n_lists = lists or int(min(4096, max(1, np.sqrt(total) / 2)))
     turn = rotation(dims)
@@ -155,10 +172,14 @@ def search(
         for batch in batches:
             if batch.num_rows:
                 own = nearest_lists(matrix(batch.column("vector")) @ turn, centers, 1)[:, 0]
-                yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), *batch.columns], names=["list", *batch.schema.names])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own.astype(np.int32)), *batch.columns], names=["list", *batch.schema.names]
+                )
 
     kind = dict(rows.dtypes)["vector"]
-    assigned = written(rows.mapInArrow(assign, f"list int, vec_id long, vector {kind}, query boolean"), "nearest")
+    assigned = written(
+        rows.mapInArrow(assign, f"list int, vec_id long, vector {kind}, query boolean"), "nearest"
+    )
     sizes = np.zeros(len(centers), np.int64)
     for r in assigned.groupBy("list").agg(F.count("*").alias("n")).collect():  # one row per list
         sizes[r["list"]] = r["n"]
@@ -171,11 +192,17 @@ def search(
                 continue
             near = nearest_lists(matrix(batch.column("vector")) @ turn, centers, len(centers))
             held = np.cumsum(sizes[near], axis=1)
-            wanted = (np.arange(near.shape[1]) < probes) | (np.concatenate([np.zeros((len(near), 1)), held[:, :-1]], axis=1) < 50 * k)
+            wanted = (np.arange(near.shape[1]) < probes) | (
+                np.concatenate([np.zeros((len(near), 1)), held[:, :-1]], axis=1) < 50 * k
+            )
             wanted &= sizes[near] > 0
             who, which = np.nonzero(wanted)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(near[who, which].astype(np.int32)), batch.column("vec_id").take(pa.array(who)), batch.column("vector").take(pa.array(who))],
+                [
+                    pa.array(near[who, which].astype(np.int32)),
+                    batch.column("vec_id").take(pa.array(who)),
+                    batch.column("vector").take(pa.array(who)),
+                ],
                 names=["list", "query_id", "target"],
             )
 
@@ -211,12 +238,18 @@ def search(
                 out["query_id"] += [own] * int(min(k, keep.sum()))
                 out["vec_id"] += found[keep][:k].tolist()
                 out["score"] += score[keep][:k].tolist()
-        return pa.table(out, schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
+        return pa.table(
+            out, schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+        )
 
     keys = ["list", "row_part", "query_part"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(block, "query_id long, vec_id long, score double")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        block, "query_id long, vec_id long, score double"
+    )
     once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    ranked = once.groupBy("query_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("best"))
+    ranked = once.groupBy("query_id").agg(
+        F.slice(F.array_sort(F.collect_list(F.struct("score", "vec_id"))), 1, k).alias("best")
+    )
     return ranked.select("query_id", F.posexplode("best").alias("at", "hit")).select(
         "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), F.col("hit.score").alias("score")
     )

@@ -288,11 +288,23 @@ def _pack(path: str, size: int, end_id: int, quadratic: float, block_tokens: int
             lengths.append(np.diff(bounds) + 1)
             have += len(closed)
             if have >= block_tokens:
-                batch, first = flush(doc_ids, np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(lengths))]), task, first)
+                batch, first = flush(
+                    doc_ids,
+                    np.concatenate(parts),
+                    np.concatenate([[0], np.cumsum(np.concatenate(lengths))]),
+                    task,
+                    first,
+                )
                 yield batch
                 doc_ids, parts, lengths, have = [], [], [], 0
         if doc_ids:
-            yield flush(doc_ids, np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(lengths))]), task, first)[0]
+            yield flush(
+                doc_ids,
+                np.concatenate(parts),
+                np.concatenate([[0], np.cumsum(np.concatenate(lengths))]),
+                task,
+                first,
+            )[0]
 
     return run
 
@@ -314,4 +326,6 @@ def pack(
     A single text longer than `block_tokens` makes its block as long as it is.
     Sequence ids are the task's number and a counter, the same if the task is run again.
     """
-    return id_and_text(docs, id_col, text_col).mapInArrow(_pack(tokenizer, size, end_id, quadratic, block_tokens), DDL)
+    return id_and_text(docs, id_col, text_col).mapInArrow(
+        _pack(tokenizer, size, end_id, quadratic, block_tokens), DDL
+    )

@@ -93,7 +93,9 @@ def fit(good: list[bytes], bad: list[bytes], size: int = 64 << 10, odds: float |
         return QualityModel(b"", b"", 0.0, float(np.log(share / (1 - share))))
 
     def split(texts):
-        return [t for k, t in enumerate(texts) if k % 3], [t for k, t in enumerate(texts) if k % 3 == 0] or texts
+        return [t for k, t in enumerate(texts) if k % 3], [
+            t for k, t in enumerate(texts) if k % 3 == 0
+        ] or texts
 
     (learn_good, check_good), (learn_bad, check_bad) = split(good), split(bad)
     first = QualityModel(_dictionary(learn_good or good, size), _dictionary(learn_bad or bad, size), 1.0, 0.0)
@@ -122,10 +124,15 @@ def train(
         .agg((F.avg("label") >= 0.5).alias("good"))
     )
     counts = {r["good"]: r["n"] for r in marked.groupBy("good").agg(F.count("*").alias("n")).collect()}
-    share = F.when(F.col("good"), min(1.0, per_class / counts.get(True, 1))).otherwise(min(1.0, per_class / counts.get(False, 1)))
+    share = F.when(
+        F.col("good"), min(1.0, per_class / counts.get(True, 1))
+    ).otherwise(min(1.0, per_class / counts.get(False, 1)))
     few = marked.where(uniform("id") < share).limit(3 * per_class)
     rows = (
-        docs.select(F.col(id_col).cast("long").alias("id"), F.substring(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 1, excerpt).alias("text"))
+        docs.select(
+            F.col(id_col).cast("long").alias("id"),
+            F.substring(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 1, excerpt).alias("text"),
+        )
         .join(F.broadcast(few), "id")  # at most 3 * per_class rows
         .groupBy("id", "good", "text")
         .agg(F.lit(1))
@@ -136,7 +143,9 @@ def train(
     kinds: dict[bool, list[bytes]] = {True: [], False: []}
     for row in sorted(rows, key=lambda r: (hash_key(r["id"]), r["text"])):
         kinds[row["good"]].append(row["text"].encode())
-    return fit(kinds[True], kinds[False], size, counts.get(True, 0) / counts[False] if counts.get(False) else None)
+    return fit(
+        kinds[True], kinds[False], size, counts.get(True, 0) / counts[False] if counts.get(False) else None
+    )
 
 
 def hash_key(value: int) -> int:
@@ -155,7 +164,9 @@ def score_column(docs: DataFrame, model: QualityModel, text_col: str = "text") -
     return scored(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
-def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3) -> DataFrame:
+def score_quality(
+    docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.3
+) -> DataFrame:
     """`doc_id, score, predicted` per row. One narrow pass; the model is two dictionaries of a fixed size.
 
     A null text is empty; empty texts get the score of no difference. Repeated
@@ -172,5 +183,8 @@ def score_quality(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
                 names=["doc_id", "score", "predicted"],
             )
 
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+    )
     return texts.mapInArrow(run, "doc_id long, score double, predicted int")

@@ -37,7 +37,9 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = f"{scratch_folder(spark, 'token-cache')}/{uuid.uuid4().hex[:8]}"
-    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), cache, limit=4096)
+    return token_counts.count_tokens(
+        read_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), cache, limit=4096
+    )
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,15 +51,21 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.where(~held_out("doc_id")))
-    return quality.score_quality(docs, model, threshold=0.3).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+    return quality.score_quality(docs, model, threshold=0.3).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), size=2048, end_id=1)
+    return packing.pack(
+        read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), size=2048, end_id=1
+    )
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), similarity=0.8)
+    return decontamination.contaminated(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), similarity=0.8
+    )
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,7 +79,9 @@ class FMIndex:
         counts = np.bincount(text, minlength=symbols)
         self.first = np.cumsum(counts) - counts
         self.base = self.matrix.descend(np.arange(symbols), np.zeros(symbols, np.int64))
-        self.weight = np.concatenate([[0], np.cumsum((np.ones(len(text), np.int64) if weight is None else weight)[order])])
+        self.weight = np.concatenate(
+            [[0], np.cumsum((np.ones(len(text), np.int64) if weight is None else weight)[order])]
+        )
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of `symbol` followed by what the rows from `low` to `high` begin with."""
@@ -91,7 +93,9 @@ class FMIndex:
         return self.weight[high] - self.weight[low]
 
 
-def repeated_windows(index: FMIndex, text: np.ndarray, start: np.ndarray, size: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_windows(
+    index: FMIndex, text: np.ndarray, start: np.ndarray, size: np.ndarray, window: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(stretch, first window, windows) that occur at least twice; stretches are text[start : start + size].
 
     All stretches advance together. Each holds a range of windows not yet
@@ -174,7 +178,9 @@ def _runs(start: np.ndarray, length: np.ndarray, first: np.ndarray) -> pa.Array:
     cuts = np.searchsorted(start, first)
     cuts[-1] = len(start)
     of = np.searchsorted(first, start, side="right") - 1
-    values = pa.StructArray.from_arrays([pa.array(start - first[of]), pa.array(length)], names=["start", "length"])
+    values = pa.StructArray.from_arrays(
+        [pa.array(start - first[of]), pa.array(length)], names=["start", "length"]
+    )
     return pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), values)
 
 
@@ -199,7 +205,9 @@ def _kept_texts(data, ends, start, end, first, a, b) -> list[bytes]:
     return out
 
 
-def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """`doc_id, n_words, removed, kept` per row of `docs`.
 
     A word (a run of bytes other than ASCII white space) is removed if it lies
@@ -212,11 +220,18 @@ def remove_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", te
     rows; other columns are ignored. All occurrences count, in whole texts.
     """
     texts = id_and_text(docs, id_col, text_col)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("removed", SPANS), ("kept", pa.string())])
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n_words", pa.int64()), ("removed", SPANS), ("kept", pa.string())]
+    )
 
     def finish(rows, data, ends, start, end, first, a, b):
         return pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.array(np.diff(first)), _runs(a, b - a, first), pa.array(_kept_texts(data, ends, start, end, first, a, b), pa.binary()).cast(pa.string())],
+            [
+                rows.column("doc_id"),
+                pa.array(np.diff(first)),
+                _runs(a, b - a, first),
+                pa.array(_kept_texts(data, ends, start, end, first, a, b), pa.binary()).cast(pa.string()),
+            ],
             names=schema.names,
         )
 
@@ -235,9 +250,20 @@ def cut_repeats(docs: DataFrame, window: int = 35, id_col: str = "doc_id", text_
 
     def finish(rows, data, ends, start, end, first, a, b):
         kept = pa.array(_kept_texts(data, ends, start, end, first, a, b), pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays([kept if n == text_col else rows.column(n) for n in plain.names], names=plain.names)
+        return pa.RecordBatch.from_arrays(
+            [kept if n == text_col else rows.column(n) for n in plain.names], names=plain.names
+        )
 
-    return without_repeats(texts, Rule("word", window, min(GRAM, _power(window)), False), shard_of(window), finish, texts.schema, plain, id_col, text_col)
+    return without_repeats(
+        texts,
+        Rule("word", window, min(GRAM, _power(window)), False),
+        shard_of(window),
+        finish,
+        texts.schema,
+        plain,
+        id_col,
+        text_col,
+    )
 
 
 def _power(window: int) -> int:

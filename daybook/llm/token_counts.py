@@ -58,7 +58,10 @@ def _local_distinct(batches):
         for text in rows.column("text").to_pylist():
             raw = text.encode()
             found.setdefault(hashlib.sha256(raw).digest(), raw)
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array([squeeze(x) for x in found.values()], pa.binary())], schema=schema)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(found), pa.binary()), pa.array([squeeze(x) for x in found.values()], pa.binary())],
+            schema=schema,
+        )
 
 
 def _encode(path: str, version: str):
@@ -76,8 +79,14 @@ def _encode(path: str, version: str):
                     size += len(texts[-1])
                 if texts and (size > 1 << 20 or i + 1 == len(digests)):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([version] * len(fresh), pa.string()), pa.array(fresh, pa.binary()), pa.array(counts(texts), pa.int64())],
-                        schema=pa.schema([("tokenizer", pa.string()), ("digest", pa.binary()), ("n_tokens", pa.int64())]),
+                        [
+                            pa.array([version] * len(fresh), pa.string()),
+                            pa.array(fresh, pa.binary()),
+                            pa.array(counts(texts), pa.int64()),
+                        ],
+                        schema=pa.schema(
+                            [("tokenizer", pa.string()), ("digest", pa.binary()), ("n_tokens", pa.int64())]
+                        ),
                     )
                     fresh, texts, size = [], [], 0
 
@@ -92,10 +101,19 @@ def stored_counts(spark, cache: str, version: str) -> DataFrame:
         if "PATH_NOT_FOUND" not in str(error):
             raise
         stored = spark.createDataFrame([], CACHE)
-    return stored.where(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    return stored.where(F.col("tokenizer") == version).groupBy("digest").agg(
+        F.max("n_tokens").alias("n_tokens")
+    )
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def count_tokens(
+    docs: DataFrame,
+    tokenizer: str,
+    cache: str,
+    limit: int = 4096,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """`doc_id, n_bytes, n_tokens, over_limit` per row of `docs`; appends to the table in `cache`.
 
     A null text is empty and has 0 tokens. Rows that repeat are answered each.
@@ -105,10 +123,16 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str, limit: int = 4096,
     spark = docs.sparkSession
     version = file_digest(tokenizer)
     texts = id_and_text(docs, id_col, text_col)
-    distinct = texts.select("text").mapInArrow(_local_distinct, "digest binary, packed binary").repartition("digest")
+    distinct = texts.select("text").mapInArrow(
+        _local_distinct, "digest binary, packed binary"
+    ).repartition("digest")
     misses = distinct.join(stored_counts(spark, cache, version), "digest", "left_anti")
     misses.mapInArrow(_encode(tokenizer, version), CACHE).write.mode("append").parquet(cache)
-    keyed = texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("digest"))
+    keyed = texts.select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        F.unhex(F.sha2("text", 256)).alias("digest"),
+    )
     # copies of one text may be a third of all rows; this join splits them
     return join_on_key(keyed, stored_counts(spark, cache, version), "digest", "left").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")

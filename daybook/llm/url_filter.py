@@ -35,7 +35,9 @@ def parse(url: Column) -> tuple[Column, Column]:
     path = F.regexp_extract(F.substr(rest, F.length(host) + F.lit(1)), r"^[^?#]*", 0)
     lower = F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     empty = F.lit("")
-    return F.when(F.coalesce(known, F.lit(False)), lower).otherwise(empty), F.when(F.coalesce(known, F.lit(False)), path).otherwise(empty)
+    return F.when(
+        F.coalesce(known, F.lit(False)), lower
+    ).otherwise(empty), F.when(F.coalesce(known, F.lit(False)), path).otherwise(empty)
 
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> tuple[Column, Column]:
@@ -66,7 +68,9 @@ def lexical(rows: DataFrame) -> DataFrame:
     entropy = F.aggregate(
         F.array_distinct(letters),
         F.lit(0.0),
-        lambda total, c: total - (F.size(F.filter(letters, lambda x: x == c)) / length) * F.log2(F.size(F.filter(letters, lambda x: x == c)) / length),
+        lambda total, c: total - (
+            F.size(F.filter(letters, lambda x: x == c)) / length
+        ) * F.log2(F.size(F.filter(letters, lambda x: x == c)) / length),
     )
     one = F.greatest(length, F.lit(1))
     columns = {
@@ -89,7 +93,9 @@ def lexical(rows: DataFrame) -> DataFrame:
 def _suffix_statistics(rows: DataFrame, key: str, name: str, prior: float) -> DataFrame:
     """Share of blocked URLs among those that rules judge, per value of `key`, drawn to the mean where few are known."""
     known, blocked = F.count("verdict"), F.sum(F.when(F.col("verdict") == "block", 1.0).otherwise(0.0))
-    return rows.groupBy(key).agg(((blocked + 20 * prior) / (known + 20)).alias(name), F.count("*").cast("double").alias(f"{name}_n"))
+    return rows.groupBy(key).agg(
+        ((blocked + 20 * prior) / (known + 20)).alias(name), F.count("*").cast("double").alias(f"{name}_n")
+    )
 
 
 def judge(
@@ -113,13 +119,23 @@ def judge(
     host, path = parse(F.col("url"))
     rows = rows.withColumn("host", host).withColumn("path", path)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", rule).withColumn("verdict", verdict).withColumn("suffix", suffix(F.col("host"))).withColumn("last_label", F.substring_index("host", ".", -1))
-    counts = {r["verdict"]: r["n"] for r in rows.where("verdict is not null").groupBy("verdict").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("rule", rule).withColumn("verdict", verdict).withColumn("suffix", suffix(F.col("host"))).withColumn(
+        "last_label", F.substring_index("host", ".", -1)
+    )
+    counts = {
+        r["verdict"]: r["n"] for r in rows.where("verdict is not null").groupBy("verdict").agg(
+            F.count("*").alias("n")
+        ).collect()
+    }
     total = sum(counts.values())
     done = ["page_id", "host", "path", "rule"]
     if len(counts) < 2:
         only = next(iter(counts), "allow")
-        return rows.select(*done, F.coalesce("verdict", F.lit(only)).alias("verdict"), F.lit(float(only == "block")).alias("block_score"))
+        return rows.select(
+            *done,
+            F.coalesce("verdict", F.lit(only)).alias("verdict"),
+            F.lit(float(only == "block")).alias("block_score"),
+        )
     prior = counts["block"] / total
     by_suffix = _suffix_statistics(rows, "suffix", "suffix_blocked", prior)
     by_label = _suffix_statistics(rows, "last_label", "last_label_blocked", prior).drop("last_label_blocked_n")
@@ -141,7 +157,9 @@ def judge(
     model = Pipeline(
         stages=[
             VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep"),
-            GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=7, maxBins=32),
+            GBTClassifier(
+                labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=7, maxBins=32
+            ),
         ]
     ).fit(training)
     scored = model.transform(featured).withColumn("block_score", vector_to_array("probability")[1])

@@ -24,8 +24,20 @@ def rows(seed=1, n=60):
         for _ in range(rng.choice([0, 0, 1, 2])):
             words += [rng.choice(passages), sentence(rng, rng.choice([0, 2, 30]))]
         out.append((i, rng.choice([" ", "\n", " \t "]).join(w for w in words if w)))
-    out += [(n, out[3][1]), (n + 1, out[3][1]), (n + 2, out[5][1] + " tail"), (n + 3, None), (n + 4, ""), (n + 5, "  \n ")]
-    out += [(n + 6, passages[3] + " " + passages[3]), (n + 7, "ka " * 200), (n + 8, " é\x1c ü" * 30), (n + 9, "x" * 5000)]
+    out += [
+        (n, out[3][1]),
+        (n + 1, out[3][1]),
+        (n + 2, out[5][1] + " tail"),
+        (n + 3, None),
+        (n + 4, ""),
+        (n + 5, "  \n "),
+    ]
+    out += [
+        (n + 6, passages[3] + " " + passages[3]),
+        (n + 7, "ka " * 200),
+        (n + 8, " é\x1c ü" * 30),
+        (n + 9, "x" * 5000),
+    ]
     out += [out[7], out[7], (None, out[8][1]), (None, "alone here")]
     return out
 

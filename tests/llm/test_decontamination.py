@@ -39,14 +39,23 @@ def edited(rng, words, n):
 
 def planted():
     rng = random.Random(11)
-    items = [(i, sentence(rng, rng.randrange(12, 60))) for i in range(25)] + [(90, None), (None, "a b c d e f g"), (91, "one two"), (92, "")]
+    items = [(i, sentence(rng, rng.randrange(12, 60))) for i in range(25)] + [
+        (90, None), (None, "a b c d e f g"), (91, "one two"), (92, "")
+    ]
     docs = rows(12, 20)
     for k in range(200):
         item, text = items[rng.randrange(25)]
         words = text.split()
         edits = rng.randrange(0, int(len(words) * 0.2) + 1)
         own = " ".join(edited(rng, words, edits))
-        docs.append((1000 + k, f"{sentence(rng, 40)}. {own.upper() if k % 5 == 0 else own}.&&& {sentence(rng, rng.randrange(0, 30))}"))
+        docs.append(
+            (
+                1000 + k,
+                f"{sentence(rng, 40)}. {own.upper() if k % 5 == 0 else own}.&&& {
+                    sentence(rng, rng.randrange(0, 30))
+                }",
+            )
+        )
     return docs, items
 
 
@@ -86,10 +95,14 @@ def test_clean_documents_keep_all_columns(spark):
 
 def test_awkward_rows(spark):
     item = " ".join(VOCABULARY[:20])
-    docs = [(1, item), (1, item), (None, item), (2, None), (3, ""), (4, " ".join([item] * 400)), (5, "word " * 3000)]
+    docs = [
+        (1, item), (1, item), (None, item), (2, None), (3, ""), (4, " ".join([item] * 400)), (5, "word " * 3000)
+    ]
     bench = spark.createDataFrame([(7, item), (7, item)], "item_id long, text string")
     found = d.contaminated(table(spark, docs), bench).collect()
-    assert bag((r.doc_id, r.item_id, r.distance) for r in found) == bag([(1, 7, 0), (1, 7, 0), (None, 7, 0), (4, 7, 0)])
+    assert bag(
+        (r.doc_id, r.item_id, r.distance) for r in found
+    ) == bag([(1, 7, 0), (1, 7, 0), (None, 7, 0), (4, 7, 0)])
     assert d.contaminated(table(spark, []), bench).collect() == []
     assert d.contaminated(table(spark, docs), bench.limit(0)).collect() == []
     assert d.clean_documents(table(spark, docs), bench.limit(0)).count() == len(docs)

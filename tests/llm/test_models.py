@@ -14,13 +14,18 @@ LETTERS = {"aa": "abcde", "bb": "fghij", "cc": "éüñkl"}
 
 
 def speech(rng, lang, words):
-    return " ".join("".join(rng.choice(LETTERS[lang]) for _ in range(rng.randrange(2, 7))) for _ in range(words))
+    return " ".join(
+        "".join(rng.choice(LETTERS[lang]) for _ in range(rng.randrange(2, 7))) for _ in range(words)
+    )
 
 
 def spoken(spark, n=240):
     rng = random.Random(0)
     data = [(i, speech(rng, lang := sorted(LETTERS)[i % 3], rng.randrange(5, 200)), lang) for i in range(n)]
-    return spark.createDataFrame([(i, t, lang, "x", 0.1) for i, t, lang in data], "doc_id long, text string, lang string, has_letter string, score double")
+    return spark.createDataFrame(
+        [(i, t, lang, "x", 0.1) for i, t, lang in data],
+        "doc_id long, text string, lang string, has_letter string, score double",
+    )
 
 
 def brute_phrases(reference, text):
@@ -40,23 +45,38 @@ def test_phrases_against_brute_force():
     rng = random.Random(1)
     texts = {lang: (speech(rng, lang, 60) + " " + speech(rng, "aa", 5)).encode() for lang in LETTERS}
     model = language_id.build(texts)
-    asked = [speech(rng, "aa", 90).upper().encode(), b"", speech(rng, "cc", 20).encode(), b"zzz 12 !!", bytes(range(256))]
+    asked = [
+        speech(rng, "aa", 90).upper().encode(),
+        b"",
+        speech(rng, "cc", 20).encode(),
+        b"zzz 12 !!",
+        bytes(range(256)),
+    ]
     ends = np.cumsum([0] + [len(t) for t in asked])
     got = language_id.phrases(model, np.frombuffer(b"".join(asked), np.uint8), ends)
     for k, lang in enumerate(model.languages):
         reference = model.classes[np.frombuffer(texts[lang], np.uint8)].tobytes()
-        want = [brute_phrases(reference, model.classes[np.frombuffer(t, np.uint8)].tobytes() if t else b"") for t in asked]
+        want = [
+            brute_phrases(
+                reference, model.classes[np.frombuffer(t, np.uint8)].tobytes() if t else b""
+            ) for t in asked
+        ]
         assert got[:, k].tolist() == want
 
 
 def test_language_held_out_and_awkward(spark):
     docs = spoken(spark)
     model = language_id.train(docs.where(~held_out("doc_id")), reference_bytes=4096)
-    found = language_id.identify(docs, model, keep={"held_out": held_out("doc_id"), "truth": F.col("lang")}).collect()
+    found = language_id.identify(
+        docs, model, keep={"held_out": held_out("doc_id"), "truth": F.col("lang")}
+    ).collect()
     tested = [r for r in found if r.held_out]
     assert 20 < len(tested) < 90 and np.mean([r.lang_pred == r.truth for r in tested]) > 0.95
     assert all(0 <= r.score <= 1 for r in found)
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "12 !"), (None, "abc"), (5, "abc " * 50_000), (5, "abc " * 50_000)], "doc_id long, text string")
+    odd = spark.createDataFrame(
+        [(1, None), (2, ""), (3, "12 !"), (None, "abc"), (5, "abc " * 50_000), (5, "abc " * 50_000)],
+        "doc_id long, text string",
+    )
     got = {(r.doc_id, r.lang_pred) for r in language_id.identify(odd, model).collect()}
     assert got == {(1, "und"), (2, "und"), (3, "und"), (None, "aa"), (5, "aa")}
     assert language_id.identify(odd.limit(0), model).collect() == []
@@ -73,7 +93,9 @@ def graded(spark, n=400):
         docs.append((i, text, 1.0, 2))
         labels.append((i, int(good), 0))
     labels += [(None, 1, 0), (5, None, 0), (1, 0, 0)] + [(0, 0, 0)] * 3
-    return spark.createDataFrame(docs, "doc_id long, text string, score double, predicted int"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    return spark.createDataFrame(
+        docs, "doc_id long, text string, score double, predicted int"
+    ), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
 
 
 def test_quality_held_out_and_awkward(spark):
@@ -84,10 +106,16 @@ def test_quality_held_out_and_awkward(spark):
     assert np.mean([r.predicted == (r.doc_id % 4 != 0) for r in tested]) > 0.95
     assert all(r.predicted == (r.score >= 0.3) for r in found)
     kept = docs.where(quality.score_column(docs, model) >= 0.3)
-    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in found if r.predicted)
-    odd = spark.createDataFrame([(1, None), (2, ""), (2, ""), (None, "x" * 300_000)], "doc_id long, text string")
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == sorted(
+        r.doc_id for r in found if r.predicted
+    )
+    odd = spark.createDataFrame(
+        [(1, None), (2, ""), (2, ""), (None, "x" * 300_000)], "doc_id long, text string"
+    )
     scores = quality.score_quality(odd, model).collect()
-    assert len(scores) == 4 and all(0 <= r.score <= 1 for r in scores) and len({r.score for r in scores if r.doc_id}) == 1
+    assert len(scores) == 4 and all(0 <= r.score <= 1 for r in scores) and len(
+        {r.score for r in scores if r.doc_id}
+    ) == 1
     assert quality.score_quality(odd.limit(0), model).collect() == []
 
 
@@ -127,9 +155,17 @@ URLS = [
 
 def test_url_rules_and_method(spark):
     rng = random.Random(0)
-    more = [(100 + k, f"http://{speech(rng, 'aa', 1)}.{'com' if k % 2 else 'net'}/{'en' if k % 2 else 'es'}/{k}") for k in range(200)]
-    data = [(i, u, "h", "p", "r", "v") for i, u, *_ in URLS] + [(i, u, "h", "p", "r", "v") for i, u in more] + [(None, "http://q.org/1", "h", "p", "r", "v")] * 2
-    pages = spark.createDataFrame(data, "page_id long, url string, host string, path string, rule string, verdict string")
+    more = [
+        (
+            100 + k, f"http://{speech(rng, 'aa', 1)}.{'com' if k % 2 else 'net'}/{'en' if k % 2 else 'es'}/{k}"
+        ) for k in range(200)
+    ]
+    data = [
+        (i, u, "h", "p", "r", "v") for i, u, *_ in URLS
+    ] + [(i, u, "h", "p", "r", "v") for i, u in more] + [(None, "http://q.org/1", "h", "p", "r", "v")] * 2
+    pages = spark.createDataFrame(
+        data, "page_id long, url string, host string, path string, rule string, verdict string"
+    )
     found = url_filter.judge(pages, trees=3, depth=2).collect()
     assert len(found) == len(data)
     by_id = {r.page_id: r for r in found if r.page_id}
@@ -144,16 +180,27 @@ def test_url_rules_and_method(spark):
 
 def test_url_features(spark):
     host, path = url_filter.parse(F.col("url"))
-    rows = spark.createDataFrame([("http://a-b.c.com/x/1?u=1&v=2#f",), ("",)], "url string").withColumn("host", host).withColumn("path", path)
+    rows = spark.createDataFrame(
+        [("http://a-b.c.com/x/1?u=1&v=2#f",), ("",)], "url string"
+    ).withColumn("host", host).withColumn("path", path)
     first, empty = url_filter.lexical(rows).collect()
     text = "http://a-b.c.com/x/1?u=1&v=2#f"
     counts = [text.count(c) / len(text) for c in set(text)]
     assert first.entropy == pytest.approx(-sum(p * math.log2(p) for p in counts))
-    assert (first.url_length, first.host_depth, first.path_depth, first.parameters, first.hyphens, first.has_fragment) == (30, 3, 2, 2, 1, 1)
+    assert (
+        first.url_length,
+        first.host_depth,
+        first.path_depth,
+        first.parameters,
+        first.hyphens,
+        first.has_fragment,
+    ) == (30, 3, 2, 2, 1, 1)
     assert first.digit_ratio == pytest.approx(3 / 30) and empty.entropy == 0 and empty.url_length == 0
 
 
-@pytest.mark.parametrize("urls,verdict", [(["http://a.org/"], "allow"), (["http://a.net/es/", "http://a.org"], "block"), ([], None)])
+@pytest.mark.parametrize(
+    "urls,verdict", [(["http://a.org/"], "allow"), (["http://a.net/es/", "http://a.org"], "block"), ([], None)]
+)
 def test_urls_without_both_verdicts(spark, urls, verdict):
     pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
     assert {r.verdict for r in url_filter.judge(pages).collect()} == ({verdict} if verdict else set())
@@ -161,18 +208,39 @@ def test_urls_without_both_verdicts(spark, urls, verdict):
 
 def brute_nearest(vectors, query, k):
     q = np.array(vectors[query], np.float64)
-    return sorted((float(np.sqrt(((np.array(v, np.float64) - q) ** 2).sum())), i) for i, v in vectors.items() if i != query)[:k]
+    return sorted(
+        (
+            float(np.sqrt(((np.array(v, np.float64) - q) ** 2).sum())), i
+        ) for i, v in vectors.items() if i != query
+    )[:k]
 
 
 def test_nearest_against_brute_force(spark):
     rng = np.random.default_rng(0)
     centers = rng.standard_normal((20, 24))
-    vectors = {i: (centers[i % 20] + 0.4 * rng.standard_normal(24)).astype(np.float32).tolist() for i in range(1500)}
+    vectors = {
+        i: (centers[i % 20] + 0.4 * rng.standard_normal(24)).astype(np.float32).tolist() for i in range(1500)
+    }
     for i in range(0, 600, 2):
         vectors[i] = vectors[0]  # a vector that many share
-    odd = [(2000, None), (2001, [0.0] * 24), (2002, [float("nan")] * 24), (2003, [None] + [1.0] * 23), (2004, [float("inf")] * 24), (2005, [1.0]), (2006, []), (None, vectors[5]), (7, vectors[7])]
-    table_ = spark.createDataFrame([(i, v, 1, 2) for i, v in [*vectors.items(), *odd]], "vec_id long, embedding array<float>, list int, rank int")
-    found = nearest.search(table_, F.col("vec_id") % 50 == 0, k=10, lists=16, recall=0.95, block_rows=100, block_queries=8).collect()
+    odd = [
+        (2000, None),
+        (2001, [0.0] * 24),
+        (2002, [float("nan")] * 24),
+        (2003, [None] + [1.0] * 23),
+        (2004, [float("inf")] * 24),
+        (2005, [1.0]),
+        (2006, []),
+        (None, vectors[5]),
+        (7, vectors[7]),
+    ]
+    table_ = spark.createDataFrame(
+        [(i, v, 1, 2) for i, v in [*vectors.items(), *odd]],
+        "vec_id long, embedding array<float>, list int, rank int",
+    )
+    found = nearest.search(
+        table_, F.col("vec_id") % 50 == 0, k=10, lists=16, recall=0.95, block_rows=100, block_queries=8
+    ).collect()
     by_query = {}
     for r in found:
         by_query.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
@@ -182,7 +250,11 @@ def test_nearest_against_brute_force(spark):
         rows.sort()
         assert [r for r, _, _ in rows] == list(range(1, 11))
         want = brute_nearest(vectors, query, 10)
-        assert all(s == pytest.approx(float(np.sqrt(((np.array(vectors[i]) - np.array(vectors[query])) ** 2).sum())), abs=1e-12) for _, i, s in rows)
+        assert all(
+            s == pytest.approx(
+                float(np.sqrt(((np.array(vectors[i]) - np.array(vectors[query])) ** 2).sum())), abs=1e-12
+            ) for _, i, s in rows
+        )
         hits += len({i for _, i, _ in rows} & {i for _, i in want})
         total += 10
         if query < 600:  # equal distances go to the smaller ids
@@ -193,7 +265,9 @@ def test_nearest_against_brute_force(spark):
 def test_nearest_few_rows(spark):
     schema = "vec_id long, embedding array<double>"
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.5])], schema)
-    assert bag((r.query_id, r.rank, r.vec_id) for r in nearest.search(few, F.col("vec_id") == 0).collect()) == bag([(0, 1, 2), (0, 2, 1)])
+    assert bag(
+        (r.query_id, r.rank, r.vec_id) for r in nearest.search(few, F.col("vec_id") == 0).collect()
+    ) == bag([(0, 1, 2), (0, 2, 1)])
     assert nearest.search(few.limit(0), F.lit(True)).collect() == []
     assert nearest.search(few.where("vec_id = 0"), F.lit(True)).collect() == []
     assert nearest.search(few, F.lit(False)).collect() == []

@@ -28,15 +28,44 @@ def test_query_against_sql(spark, name):
 
 
 @pytest.mark.parametrize("name,columns", [
-    ("op1_substring_dedup", {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"}),
+    (
+        "op1_substring_dedup",
+        {"doc_id": "bigint", "n_words": "bigint", "n_removed": "bigint", "kept_sha256": "string"},
+    ),
     ("op2_simhash_dedup", {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"}),
-    ("op3_token_counts", {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"}),
+    (
+        "op3_token_counts",
+        {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
+    ),
     ("op4_language_id", {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"}),
     ("op5_quality", {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}),
-    ("op6_packing", {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint", "sequence_id": "bigint", "offset": "bigint"}),
+    (
+        "op6_packing",
+        {
+            "doc_id": "bigint",
+            "start": "bigint",
+            "length": "bigint",
+            "ids_crc32": "bigint",
+            "doc_tokens": "bigint",
+            "sequence_id": "bigint",
+            "offset": "bigint",
+        },
+    ),
     ("op7_decontamination", {"doc_id": "bigint", "item_id": "bigint", "distance": "int"}),
-    ("op8_suffix_dedup", {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"}),
-    ("op9_url_filter", {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"}),
+    (
+        "op8_suffix_dedup",
+        {
+            "doc_id": "bigint",
+            "n_bytes": "bigint",
+            "n_removed": "bigint",
+            "n_spans": "bigint",
+            "kept_sha256": "string",
+        },
+    ),
+    (
+        "op9_url_filter",
+        {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
+    ),
     ("op10_nearest", {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"}),
 ])
 def test_query_columns_and_rows(spark, name, columns):

@@ -12,7 +12,12 @@ from tests.llm.corpus import bag, rows, table
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
-ODD = [(500, "A <|endoftext|>b<|startoftext|> c</s> <s>"), (501, "ΑΣ ΣΑΣ Σ don't I'M 12ab,.!"), (502, "é e\u0301 \u0301x \u00a0 \u3000y\x1cz \x85"), (503, "ﬁ Ａ 👩‍👩‍👧 漢字 𝔘")]
+ODD = [
+    (500, "A <|endoftext|>b<|startoftext|> c</s> <s>"),
+    (501, "ΑΣ ΣΑΣ Σ don't I'M 12ab,.!"),
+    (502, "é e\u0301 \u0301x \u00a0 \u3000y\x1cz \x85"),
+    (503, "ﬁ Ａ 👩‍👩‍👧 漢字 𝔘"),
+]
 
 
 def test_counts_are_those_of_the_library(spark, tmp_path):
@@ -81,7 +86,9 @@ def test_packing_round_trip(spark, size, block):
 
 def test_packing_awkward_rows(spark):
     found = packing.pack(table(spark, [(1, None), (1, None), (None, "")]), WORDS).collect()
-    assert bag((p.doc_id, p.start, p.length, p.doc_tokens) for p in found) == bag([(1, 0, 1, 1), (1, 0, 1, 1), (None, 0, 1, 1)])
+    assert bag(
+        (p.doc_id, p.start, p.length, p.doc_tokens) for p in found
+    ) == bag([(1, 0, 1, 1), (1, 0, 1, 1), (None, 0, 1, 1)])
     assert packing.pack(table(spark, []), WORDS).collect() == []
 
 
