@@ -62,7 +62,10 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     blocks = (
         marked.groupBy(*block)
         .agg(F.max(last).alias("_end"), begins[0].alias("_begins0"), begins[1].alias("_begins1"))
-        .withColumn("_forces", F.coalesce("_end._forces", (F.col("_end._last") + F.col("_end._flips") + F.col("_end._turns")) % 2))
+        .withColumn(
+            "_forces",
+            F.coalesce("_end._forces", (F.col("_end._last") + F.col("_end._flips") + F.col("_end._turns")) % 2),
+        )
         .withColumn(
             "_turns",
             F.when(F.col("_forces").isNull(), (F.col("_end._flips") + F.col("_end._turns")) % 2).otherwise(0),
@@ -95,8 +98,12 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         .withColumn("_before", _state(F.col("_start")))
         .withColumn("_after", F.coalesce("_forces", (F.col("_before") + F.col("_turns")) % 2))
         .withColumn("_number", F.count_if(F.col("_before") == 0).over(upto))
-        .withColumn("_block", F.when(F.col("_number") > 0, F.col("block_start")).otherwise(F.col("_owner.block_start")))
-        .withColumn("_record", F.when(F.col("_number") > 0, F.col("_number")).otherwise(F.col("_owner._begins")))
+        .withColumn(
+            "_block", F.when(F.col("_number") > 0, F.col("block_start")).otherwise(F.col("_owner.block_start"))
+        )
+        .withColumn(
+            "_record", F.when(F.col("_number") > 0, F.col("_number")).otherwise(F.col("_owner._begins"))
+        )
     )
     columns = [*block, "line_id", "value"]
     single = numbered.where("_before = 0 AND _after = 0").select(*columns)

@@ -343,7 +343,9 @@ def deliver(spark: SparkSession, folder: str, workspace: Workspace, first: bool)
     land(spark, folder, workspace, before if first else ~before, "first" if first else "second")
 
 
-def land(spark: SparkSession, folder: str, workspace: Workspace, wanted: Column, batch: str, **options: int) -> None:
+def land(
+    spark: SparkSession, folder: str, workspace: Workspace, wanted: Column, batch: str, **options: int
+) -> None:
     """CSV files of the wanted orders and of their items, in a folder of their own."""
     orders = table(spark, folder, "orders").where(wanted)
     keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
