@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.components import connected_components
 from daybook.llm.rows import id_and_digest, id_and_text, text_blocks, written
+from daybook.operators.joins import join_on_key
 
 SEED = 42
 HASHES_AT_ONCE = 1 << 16
@@ -37,12 +38,16 @@ def fingerprint(text: bytes, shingle: int) -> int:
     for at in range(0, len(first), HASHES_AT_ONCE):
         part = zip(first[at : at + HASHES_AT_ONCE], last[at : at + HASHES_AT_ONCE])
         h = np.array([digest(joined[a:b], SEED) for a, b in part], np.dtype("<u8"))
-        counts += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        counts += np.unpackbits(
+            h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"
+        ).sum(axis=0, dtype=np.int64)
     bits = (2 * counts > len(first)).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """`doc_id, digest, print` per row: the text's xxhash64 and its SimHash, each 64 bits as a long."""
 
     def run(batches):
@@ -50,7 +55,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             raw = data.tobytes()
             prints = np.array([fingerprint(raw[a:b], shingle) for a, b in zip(ends, ends[1:])], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), rows.column("digest"), pa.array(prints.view(np.int64))], names=["doc_id", "digest", "print"]
+                [
+                    rows.column("doc_id"), rows.column("digest"), pa.array(prints.view(np.int64))
+                ], names=["doc_id", "digest", "print"]
             )
 
     texts = id_and_text(docs, id_col, text_col).withColumn("digest", F.xxhash64("text"))
@@ -92,7 +99,11 @@ def _index(distance: int, buckets: int):
             for code, _, masked in _variant_keys(prints, distance):
                 codes.append(np.full(len(prints), code, np.uint8))
                 copies.append(prints)
-                places.append((_mix(masked + (np.uint64(code + 1) << np.uint64(40))) % np.uint64(buckets)).astype(np.int32))
+                places.append(
+                    (
+                        _mix(masked + (np.uint64(code + 1) << np.uint64(40))) % np.uint64(buckets)
+                    ).astype(np.int32)
+                )
             if not len(prints):
                 continue
             code, copy, place = np.concatenate(codes), np.concatenate(copies), np.concatenate(places)
@@ -193,11 +204,15 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
     if not 0 <= distance <= 7:
         raise ValueError("distance must be from 0 to 7")
     parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    index = distinct.select("print").mapInArrow(_index(distance, max(1024, 4 * parts)), "bucket int, codes binary, prints binary")
+    index = distinct.select("print").mapInArrow(
+        _index(distance, max(1024, 4 * parts)), "bucket int, codes binary, prints binary"
+    )
     return index.repartition("bucket").mapInArrow(_verify(distance), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """`doc_id, digest, print, component_id, root` per row of `docs`.
 
     `component_id` is the smallest id that links reach, `root` a print that
@@ -209,12 +224,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col
     prints = written(fingerprints(docs, shingle, id_col, text_col), "prints")
     distinct = written(prints.groupBy("print").agg(F.min("doc_id").alias("least")), "prints")
     roots = connected_components(links(distinct, distance)).withColumnRenamed("node", "print")
-    labelled = distinct.join(roots, "print", "left").select("print", "least", F.coalesce("root", "print").alias("root"))
+    labelled = distinct.join(roots, "print", "left").select(
+        "print", "least", F.coalesce("root", "print").alias("root")
+    )
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(labelled.select("print", "root").join(least, "root"), "print").select("doc_id", "digest", "print", "component_id", "root")
+    named = join_on_key(labelled.select("print", "root"), least, "root", "inner")
+    return join_on_key(prints, named, "print", "inner").select(
+        "doc_id", "digest", "print", "component_id", "root"
+    )
 
 
-def one_per_group(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_per_group(
+    docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """All columns of one row of each component: that of its smallest id.
 
     Null ids come last; of equal ids with different texts, or of repeated rows, one stays.
@@ -224,5 +246,9 @@ def one_per_group(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col:
     )
     kept = best.select(F.col("best.doc_id").alias("kept_id"), F.col("best.digest").alias("kept_digest"))
     rows = docs.select(F.struct("*").alias("row"), *id_and_digest(docs, id_col, text_col))
-    chosen = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")), "left_semi")
+    chosen = rows.join(
+        kept,
+        F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")),
+        "left_semi",
+    )
     return chosen.dropDuplicates(["doc_id", "digest"]).select("row.*")

@@ -82,7 +82,9 @@ def test_links_find_every_pair_within_distance(spark):
 
 def test_long_chain_and_hub(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 60)] + [(200, 200)]
-    found = {r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {
+        r.node: r.root for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    }
     assert found == {**{k: 0 for k in range(1, 41)}, **{100 + k: 100 for k in range(1, 60)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
