@@ -118,19 +118,20 @@ from documents d left join kept using (doc_id)
 
 _OP8 = """
 with hexed as (
-    select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, ''))) as n from documents
+    select doc_id, octet_length(encode(coalesce(text, ''))) as n, hex(encode(coalesce(text, ''))) as h from documents
 ), byte as (
-    select doc_id, n, unnest(range(0, n)) as i from hexed
+    select doc_id, n, unnest(b) as x, generate_subscripts(b, 1) as i
+    from (select doc_id, n, regexp_extract_all(h, '..') as b from hexed)
 ), windowed as (
-    select b.doc_id, b.i, h[2 * b.i + 1 : 2 * b.i + 2] as x,
-        case when b.i + 50 <= b.n then md5_number(h[2 * b.i + 1 : 2 * b.i + 100]) end as win
-    from byte b join hexed using (doc_id)
+    select doc_id, i, x,
+        case when i + 49 <= n then string_agg(x, '') over (partition by doc_id order by i rows between current row and 49 following) end as win
+    from byte
 ), least as (
-    select win, min(doc_id) as first_doc from windowed where win is not null group by win
+    select doc_id, i, x, case when win is not null then min(doc_id) over (partition by win) end as first_doc from windowed
 ), marked as (
-    select w.doc_id, w.i, w.x,
-        max(case when l.first_doc < w.doc_id then 1 else 0 end) over (partition by w.doc_id order by w.i rows between 49 preceding and current row) as gone
-    from windowed w left join least l using (win)
+    select doc_id, i, x,
+        max(case when first_doc < doc_id then 1 else 0 end) over (partition by doc_id order by i rows between 49 preceding and current row) as gone
+    from least
 ), spans as (
     select *, case when gone = 1 and coalesce(lag(gone) over (partition by doc_id order by i), 0) = 0 then 1 else 0 end as opens from marked
 ), kept as (
