@@ -41,7 +41,7 @@ from daybook.llm.rows import text_blocks, uniform, written
 from daybook.llm.units import U, PrefixHash, byte_values, grams, mix, stretches, word_hashes, words
 
 NO_ID = np.iinfo(np.int64).max
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 
 
 @dataclass(frozen=True)
@@ -62,8 +62,8 @@ class Rule:
 class Units:
     """The units of a block of texts."""
 
-    start: np.ndarray  # first byte of each unit
-    end: np.ndarray
+    start: np.ndarray | None  # first byte of each word
+    end: np.ndarray | None
     first: np.ndarray  # first unit of each text, with the end
     g: np.ndarray
     content: PrefixHash
@@ -75,14 +75,11 @@ class Units:
 
 def units_of(rule: Rule, data: np.ndarray, ends: np.ndarray) -> Units:
     if rule.unit == "byte":
-        n = len(data)
-        at = np.arange(max(0, n - rule.gram + 1))
-        g = mix(PrefixHash(byte_values(data)).raw(at, at + rule.gram)) if len(at) else np.zeros(0, U)
-        place = np.arange(n)
-        return Units(place, place + 1, ends, g, PrefixHash(byte_values(data, 1), 1))
+        g = mix(PrefixHash(byte_values(data)).runs(rule.gram))
+        return Units(None, None, ends, g, PrefixHash(byte_values(data, 1)))
     start, end, first = words(data, ends)
     h = word_hashes(data, start, end)
-    return Units(start, end, first, grams(h, rule.gram), PrefixHash(h, 1))
+    return Units(start, end, first, grams(h, rule.gram), PrefixHash(h))
 
 
 @dataclass
@@ -110,14 +107,18 @@ def requests_of(rule: Rule, units: Units, ids: np.ndarray, hot: np.ndarray, buck
         single = hot[place] == route
         if single.any():
             many = windows[single]
-            own = np.repeat(first[single], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            own = np.repeat(first[single], many) + np.arange(many.sum()) - np.repeat(
+                np.cumsum(many) - many, many
+            )
             first = np.concatenate([first[~single], own])
             windows = np.concatenate([windows[~single], np.ones(len(own), np.int64)])
             route = np.concatenate([route[~single], mix(units.digest(own, own + rule.window) + U(1))])
     text = np.searchsorted(units.first, first, side="right") - 1
     content = units.digest(first, first + windows + rule.window - 1)
     key = ids[text] if rule.smaller_id else np.zeros(len(text), np.int64)
-    order = np.lexsort((key, content, route)) if rule.smaller_id else np.lexsort((content, route))
+    # one sort brings equal stretches together; should two kinds of stretch share
+    # a sort key, they ask more than once, which changes no answer
+    order = np.argsort(route ^ mix(content), kind="stable")
     r, c = route[order], content[order]
     new = np.ones(len(order), bool)
     new[1:] = (r[1:] != r[:-1]) | (c[1:] != c[:-1])
@@ -126,9 +127,21 @@ def requests_of(rule: Rule, units: Units, ids: np.ndarray, hot: np.ndarray, buck
     lead[order] = group
     heads = order[new]
     count = np.bincount(group, minlength=len(heads)) if len(order) else np.zeros(0, np.int64)
-    least = key[heads]
+    least = np.minimum.reduceat(key[order], np.flatnonzero(new)) if len(order) else key
     bucket = ((route[heads] >> U(40)) % U(buckets)).astype(np.int64)
-    return Requests(first, windows, text, lead, key > least[lead] if len(lead) else np.zeros(0, bool), route[heads], content[heads], least, count, bucket, heads)
+    return Requests(
+        first,
+        windows,
+        text,
+        lead,
+        key > least[lead] if len(lead) else np.zeros(0, bool),
+        route[heads],
+        content[heads],
+        least,
+        count,
+        bucket,
+        heads,
+    )
 
 
 def pack(value) -> bytes:
@@ -164,7 +177,15 @@ def _check(ids: np.ndarray, ends: np.ndarray) -> int:
 
 #: (destination, block, check, kind, payload): rows that travel.
 ROWS = "bucket int, block long, digest long, kind int, payload binary"
-_SCHEMA = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("digest", pa.int64()), ("kind", pa.int32()), ("payload", pa.binary())])
+_SCHEMA = pa.schema(
+    [
+        ("bucket", pa.int32()),
+        ("block", pa.int64()),
+        ("digest", pa.int64()),
+        ("kind", pa.int32()),
+        ("payload", pa.binary()),
+    ]
+)
 
 
 def _row(*values) -> pa.RecordBatch:
@@ -172,7 +193,9 @@ def _row(*values) -> pa.RecordBatch:
 
 
 def _rows(values: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([v[k] for v in values], f.type) for k, f in enumerate(_SCHEMA)], schema=_SCHEMA)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([v[k] for v in values], f.type) for k, f in enumerate(_SCHEMA)], schema=_SCHEMA
+    )
 
 
 def _numbered_blocks(batches, id_name: str, text_name: str) -> Iterator:
@@ -199,7 +222,15 @@ def _ask(rule: Rule, hot, buckets: int, id_name: str, text_name: str):
                 route = np.ascontiguousarray(asked.route[own]).view(np.uint8).reshape(-1, 8)[:, :6]
                 content = asked.content[own]
                 extra = _small(asked.least[own]) if rule.smaller_id else None
-                rows.append((bucket, block, check, 0, pack((np.ascontiguousarray(route), content, extra, _small(asked.count[own])))))
+                rows.append(
+                    (
+                        bucket,
+                        block,
+                        check,
+                        0,
+                        pack((np.ascontiguousarray(route), content, extra, _small(asked.count[own]))),
+                    )
+                )
             if rows:
                 yield _rows(rows)
 
@@ -235,7 +266,9 @@ def _answer(rule: Rule):
         alike = np.add.reduceat(n, np.flatnonzero(new))[of_content]
         if rule.smaller_id:
             least = k[new][of_content]
-            removed, sent = k > least, k == least
+            # stretches that are all alike have nothing to be compared with
+            kinds = np.add.reduceat(new.astype(np.int64), np.flatnonzero(new_route))[of_route]
+            removed, sent = k > least, (k == least) & (kinds > 1)
         else:
             removed, sent = alike > 1, new
         out = np.empty(len(order), np.uint8)
@@ -247,7 +280,9 @@ def _answer(rule: Rule):
 
     def run(batches):
         for bucket, rows in _gathered(batches):
-            found = [(bucket, block, check, 0, pack(out)) for block, check, out in bucket_answers(rows) if out.any()]
+            found = [
+                (bucket, block, check, 0, pack(out)) for block, check, out in bucket_answers(rows) if out.any()
+            ]
             if found:
                 yield _rows(found)
 
@@ -258,7 +293,9 @@ def _gathered(batches) -> Iterator[tuple[int, list]]:
     """The rows of a task by bucket; payloads stay packed until their bucket's turn."""
     held: dict[int, list] = {}
     for batch in batches:
-        for bucket, block, check, payload in zip(*(batch.column(c).to_pylist() for c in ("bucket", "block", "digest", "payload"))):
+        for bucket, block, check, payload in zip(
+            *(batch.column(c).to_pylist() for c in ("bucket", "block", "digest", "payload"))
+        ):
             held.setdefault(bucket, []).append((block, check, payload))
     for bucket in sorted(held):
         yield bucket, held.pop(bucket)
@@ -287,12 +324,16 @@ def _blocks(id_name: str, text_name: str):
 def _one_block(blocks: pa.Table, others: pa.Table, id_name: str, text_name: str):
     """The rows of a block with its ids and text, and what others say about it."""
     if blocks.num_rows != 1:
-        raise ValueError("answers for a block that is not there: the input changed between two reads; write it first")
+        raise ValueError(
+            "answers for a block that is not there: the input changed between two reads; write it first"
+        )
     check = blocks.column("digest")[0].as_py()
     if any(x != check for x in others.column("digest").to_pylist()):
         raise ValueError("a block differs between two reads of the input; write it first")
     rows = _from_ipc(blocks.column("payload")[0].as_py())
-    _, data, ends = next(text_blocks([rows], size=1 << 62, text=text_name)) if rows.num_rows else (rows, np.zeros(0, np.uint8), np.zeros(1, np.int64))
+    _, data, ends = next(text_blocks([rows], size=1 << 62, text=text_name)) if rows.num_rows else (
+        rows, np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    )
     return rows, _ids(rows, id_name), data, ends
 
 
@@ -309,8 +350,16 @@ def _send(rule: Rule, hot, buckets: int, id_name: str, text_name: str):
         for bucket, payload in zip(answers.column("bucket").to_pylist(), answers.column("payload").to_pylist()):
             state[places[bucket]] = unpack(payload)
         mine = state[asked.lead]
-        gone = ((mine & REMOVED) > 0) | (asked.later & (mine > 0) if rule.smaller_id else False)
-        rows = [(block % buckets, block, check, 1, pack(_spans(asked.first[gone], asked.windows[gone], rule.window)))] if gone.any() else []
+        gone = ((mine & REMOVED) > 0) | asked.later
+        rows = [
+            (
+                block % buckets,
+                block,
+                check,
+                1,
+                pack(_spans(asked.first[gone], asked.windows[gone], rule.window)),
+            )
+        ] if gone.any() else []
         raw = data.tobytes()
         if rule.smaller_id:  # each stretch of the least id asks for itself
             go = np.flatnonzero(((mine & SENT) > 0) & ~asked.later)
@@ -318,10 +367,21 @@ def _send(rule: Rule, hot, buckets: int, id_name: str, text_name: str):
             go = asked.head[np.flatnonzero((state & SENT) > 0)]
         weight = np.where(state & REMOVED, 2, 1)[asked.lead[go]]
         last = asked.first[go] + asked.windows[go] + rule.window - 2
-        low, high = units.start[asked.first[go]], units.end[last]
+        if rule.unit == "byte":
+            low, high = asked.first[go], last + 1
+        else:
+            low, high = units.start[asked.first[go]], units.end[last]
         for bucket, own in by_bucket(asked.bucket[asked.lead[go]]):
             texts = b"".join([raw[a:b] for a, b in zip(low[own].tolist(), high[own].tolist())])
-            payload = pack((_small((high - low)[own]), texts, asked.first[go][own].astype(np.int64), ids[asked.text[go][own]], weight[own].astype(np.uint8)))
+            payload = pack(
+                (
+                    _small((high - low)[own]),
+                    texts,
+                    asked.first[go][own].astype(np.int64),
+                    ids[asked.text[go][own]],
+                    weight[own].astype(np.uint8),
+                )
+            )
             rows.append((bucket, block, check, 0, payload))
         return pa.Table.from_batches([_rows(rows)]) if rows else _SCHEMA.empty_table()
 
@@ -351,7 +411,9 @@ def _compare(rule: Rule, buckets: int, shard: Shard):
             if passed.num_rows:
                 yield passed
             sent = batch.filter(pc.equal(batch.column("kind"), 0))
-            for bucket, block, check, payload in zip(*(sent.column(c).to_pylist() for c in ("bucket", "block", "digest", "payload"))):
+            for bucket, block, check, payload in zip(
+                *(sent.column(c).to_pylist() for c in ("bucket", "block", "digest", "payload"))
+            ):
                 held.setdefault(bucket, []).append((block, check, payload))
         for bucket in sorted(held):
             rows = held.pop(bucket)
@@ -359,19 +421,29 @@ def _compare(rule: Rule, buckets: int, shard: Shard):
             owner = np.repeat(np.arange(len(rows)), [len(x) for x in sizes])
             ends = np.concatenate([[0], np.cumsum(np.concatenate([_wide(x) for x in sizes]))])
             first = np.concatenate(firsts)
-            stretch, at, windows = shard(np.frombuffer(b"".join(texts), np.uint8), ends, np.concatenate(ids), np.concatenate(weights))
+            stretch, at, windows = shard(
+                np.frombuffer(b"".join(texts), np.uint8), ends, np.concatenate(ids), np.concatenate(weights)
+            )
             start, of = first[stretch] + at, owner[stretch]
             out = []
             for k, own in by_bucket(of):
-                out.append((rows[k][0] % buckets, rows[k][0], rows[k][1], 1, pack(_spans(start[own], windows[own], rule.window))))
+                out.append(
+                    (
+                        rows[k][0] % buckets,
+                        rows[k][0],
+                        rows[k][1],
+                        1,
+                        pack(_spans(start[own], windows[own], rule.window)),
+                    )
+                )
             if out:
                 yield _rows(out)
 
     return run
 
 
-#: (rows, ids, bytes, ends, units, merged runs of removed units) -> rows of the result
-Finish = Callable[[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray, Units, np.ndarray, np.ndarray], pa.RecordBatch]
+#: (rows, bytes, ends, starts and ends of words, first units of texts, starts and ends of removed runs) -> rows of the result
+Finish = Callable[..., pa.RecordBatch]
 
 
 def _finish(rule: Rule, id_name: str, text_name: str, schema: pa.Schema, finish: Finish):
@@ -393,7 +465,9 @@ def _finish(rule: Rule, id_name: str, text_name: str, schema: pa.Schema, finish:
         inside = (a[at] < cut) & (cut < b[at]) if len(cut) else np.zeros(0, bool)
         extra = np.unique(cut[inside])
         a, b = np.sort(np.concatenate([a, extra])), np.sort(np.concatenate([b, extra]))
-        return pa.Table.from_batches([finish(rows, data, ends, start, end, first, a, b).cast(schema)]) if rows.num_rows else schema.empty_table()
+        return pa.Table.from_batches(
+            [finish(rows, data, ends, start, end, first, a, b).cast(schema)]
+        ) if rows.num_rows else schema.empty_table()
 
     return run
 
@@ -416,16 +490,32 @@ def hot_anchors(rule: Rule, texts: DataFrame, id_name: str, text_name: str, samp
             units = units_of(rule, data, ends)
             first, _, anchor = stretches(units.g, units.first, rule.window, rule.gram)
             text = np.searchsorted(units.first, first, side="right") - 1
-            pairs = np.unique(np.stack([units.g[anchor].view(np.int64), text], axis=1), axis=0) if len(anchor) else np.zeros((0, 2), np.int64)
+            pairs = np.unique(
+                np.stack([units.g[anchor].view(np.int64), text], axis=1), axis=0
+            ) if len(anchor) else np.zeros((0, 2), np.int64)
             anchor, count = np.unique(pairs[:, 0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(anchor, pa.int64()), pa.array(count, pa.int64())], names=["anchor", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor, pa.int64()), pa.array(count, pa.int64())], names=["anchor", "n"]
+            )
 
     some = texts.where(uniform(F.struct(F.col(id_name), F.length(text_name))) < min(1.0, wanted / total))
-    found = some.mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n")).where("n >= 32").select("anchor").collect()
+    found = some.mapInArrow(
+        run, "anchor long, n long"
+    ).groupBy("anchor").agg(F.sum("n").alias("n")).where("n >= 32").select("anchor").collect()
     return np.sort(np.array([r["anchor"] for r in found], np.int64).view(U))
 
 
-def without_repeats(texts: DataFrame, rule: Rule, shard: Shard, finish: Finish, result: str, schema: pa.Schema, id_name: str, text_name: str, sample_texts: int = 5000) -> DataFrame:
+def without_repeats(
+    texts: DataFrame,
+    rule: Rule,
+    shard: Shard,
+    finish: Finish,
+    result: str,
+    schema: pa.Schema,
+    id_name: str,
+    text_name: str,
+    sample_texts: int = 5000,
+) -> DataFrame:
     """The result of `finish` for all rows of `texts`, whose text column must not be null."""
     spark = texts.sparkSession
     if "Exchange" in texts._jdf.queryExecution().executedPlan().toString():
@@ -436,6 +526,10 @@ def without_repeats(texts: DataFrame, rule: Rule, shard: Shard, finish: Finish,
     keyed = texts.select(F.col(id_name), F.col(text_name))
     asked = keyed.mapInArrow(_ask(rule, hot, buckets, id_name, text_name), ROWS)
     answers = asked.repartition("bucket").mapInArrow(_answer(rule), ROWS)
-    sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_send(rule, hot, buckets, id_name, text_name), ROWS)
+    sent = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
+        _send(rule, hot, buckets, id_name, text_name), ROWS
+    )
     spans = sent.repartition("bucket").mapInArrow(_compare(rule, buckets, shard), ROWS)
-    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(_finish(rule, id_name, text_name, schema, finish), result)
+    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(
+        _finish(rule, id_name, text_name, schema, finish), result
+    )

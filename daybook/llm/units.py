@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 
 U = np.uint64
@@ -24,13 +22,19 @@ def _inverse(odd: int) -> int:
     return x
 
 
-@functools.lru_cache(maxsize=6)
-def _powers(size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse, modulo 2**64."""
-    base = int(mix(np.array([seed + 1], U))[0]) | 5
-    up, down = np.ones(size, U), np.ones(size, U)
-    up[1:], down[1:] = U(base), U(_inverse(base))
-    return np.cumprod(up), np.cumprod(down)
+_BASE = 0x2545F4914F6CDD1D | 5
+_powers_now: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2**64, kept for the longest run so far."""
+    if len(_powers_now[0]) < size:
+        size = max(1 << 16, size + size // 8)
+        for k, factor in enumerate((_BASE, _inverse(_BASE))):
+            grown = np.full(size, U(factor))
+            grown[0] = 1
+            _powers_now[k] = np.cumprod(grown)
+    return _powers_now
 
 
 def byte_values(data: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -40,9 +44,8 @@ def byte_values(data: np.ndarray, seed: int = 0) -> np.ndarray:
 class PrefixHash:
     """Polynomial prefix hashes of a run of 64-bit values: the hash of any part in a few steps."""
 
-    def __init__(self, values: np.ndarray, seed: int = 0):
-        size = 1 << max(16, int(len(values) + 1).bit_length())
-        up, self.down = _powers(size, seed)
+    def __init__(self, values: np.ndarray):
+        up, self.down = _powers(len(values) + 1)
         self.sums = np.zeros(len(values) + 1, U)
         np.cumsum(values * up[: len(values)], out=self.sums[1:])
 
@@ -50,6 +53,11 @@ class PrefixHash:
         """Equal for equal values; not mixed."""
         return (self.sums[end] - self.sums[start]) * self.down[start]
 
+    def runs(self, width: int) -> np.ndarray:
+        """`raw` of each run of `width` values, as many as fit."""
+        n = max(0, len(self.sums) - width)
+        return (self.sums[width:] - self.sums[:n]) * self.down[:n]
+
 
 def table(separators: bytes) -> np.ndarray:
     """Which bytes are parts of words."""
@@ -62,7 +70,9 @@ def table(separators: bytes) -> np.ndarray:
 NOT_SPACE = table(b" \t\n\v\f\r")
 
 
-def words(data: np.ndarray, ends: np.ndarray, part_of_word: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, ends: np.ndarray, part_of_word: np.ndarray = NOT_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word of texts that lie one after the other, and the first word of each text (with the end)."""
     inside = part_of_word[data]
     before = np.empty_like(inside)
@@ -80,7 +90,7 @@ def words(data: np.ndarray, ends: np.ndarray, part_of_word: np.ndarray = NOT_SPA
 
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
-    return mix(PrefixHash(byte_values(data, seed), seed).raw(start, end) + (end - start).astype(U) * _ODD)
+    return mix(PrefixHash(byte_values(data, seed)).raw(start, end) + (end - start).astype(U) * _ODD)
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:
@@ -109,7 +119,9 @@ _PLACE = U((1 << 24) - 1)
 _CHUNK = 1 << 22
 
 
-def stretches(g: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def stretches(
+    g: np.ndarray, first: np.ndarray, window: int, gram: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows of texts, gathered into stretches that share an anchor.
 
     The anchor of a window of `window` units is its run of `gram` units of the
@@ -120,7 +132,8 @@ def stretches(g: np.ndarray, first: np.ndarray, window: int, gram: int) -> tuple
     """
     total = int(first[-1])
     starts, anchors = [], []
-    room = np.repeat(first[1:], np.diff(first)) - np.arange(total) if total else np.zeros(0, np.int64)
+    kind = np.int32 if total < 1 << 31 else np.int64
+    room = np.repeat(first[1:].astype(kind), np.diff(first)) - np.arange(total, dtype=kind)
     width = window - gram + 1
     for a in range(0, max(0, total - window + 1), _CHUNK):
         b = min(a + _CHUNK, total - window + 1)
