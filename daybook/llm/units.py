@@ -116,7 +116,7 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 _PLACE = U((1 << 24) - 1)
-_CHUNK = 1 << 22
+_CHUNK = 1 << 16
 
 
 def stretches(
