@@ -210,7 +210,8 @@ def run_kpis(
 
     KPI rows replace stored rows of the same key. They come from all valid rows
     of the touched days, which is right also when one day is spread over several
-    files; without `recompute` they come from the new files alone.
+    files; without `recompute`, or where no file came before, they come from the
+    new files alone.
     """
     run_id = run_id or new_run_id()
     work = f"{workspace.staging(run_id)}/kpis"
@@ -237,7 +238,8 @@ def run_kpis(
         orders if built else all_rows("orders"),
         items if built else all_rows("order_items"),
     )
-    if recompute:
+    earlier = any(run.n_counted > run.n_wanted for run in runs)
+    if recompute and earlier:
         orders, items, category_items = recomputed(
             spark, workspace, all_rows("orders"), all_rows("order_items"), orders, items
         )
