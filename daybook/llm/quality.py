@@ -1,9 +1,10 @@
 """Quality scores by compression.
 
 Two zstandard dictionaries are built, one from labelled good text and one from
-bad. A text is compressed piece by piece with both; the difference of the sizes
-over the length of the text says which it resembles, and a logistic curve fitted
-on texts that the dictionaries have not seen makes it a probability.
+bad. A text is compressed piece by piece with both; the normalised difference of
+the sizes says which it resembles. A logistic curve over it, and over how well
+the text compresses at all for its length, is fitted on texts that the
+dictionaries have not seen and makes it a probability.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from daybook.llm.rows import text_blocks, uniform
 
-PIECE = 2048
+PIECE = 512
 LEVEL = 3
 
 
@@ -27,8 +28,7 @@ LEVEL = 3
 class QualityModel:
     good: bytes
     bad: bytes
-    scale: float
-    offset: float
+    weights: tuple[float, ...]  # of the measures, and an offset
 
 
 @functools.lru_cache(maxsize=8)
@@ -40,18 +40,34 @@ def _compressor(content: bytes):
     return zstandard.ZstdCompressor(dict_data=held, write_content_size=False, write_dict_id=False).compress
 
 
-def difference(model: QualityModel, text: bytes) -> float:
-    """Bytes saved per byte of text by the good dictionary against the bad one, over all pieces."""
+def measures(model: QualityModel, text: bytes) -> np.ndarray:
+    """The difference of the sizes with both dictionaries, normalised by the text and by the sizes,
+    how well each dictionary compresses, and the length."""
     good, bad = _compressor(model.good), _compressor(model.bad)
-    saved = 0
+    as_good = as_bad = 0
     for at in range(0, len(text), PIECE):
         piece = text[at : at + PIECE]
-        saved += len(bad(piece)) - len(good(piece))
-    return saved / max(len(text), 1)
+        as_good += len(good(piece))
+        as_bad += len(bad(piece))
+    n = max(len(text), 1)
+    return np.array(
+        [
+            (as_bad - as_good) / n,
+            (as_bad - as_good) / (as_bad + as_good + 1),
+            np.log((as_good + 8) / n),
+            np.log((as_bad + 8) / n),
+            np.log(n + 16),
+        ]
+    )
+
+
+MEASURES = 5
 
 
 def score(model: QualityModel, text: bytes) -> float:
-    return float(1 / (1 + np.exp(-np.clip(model.scale * difference(model, text) + model.offset, -30, 30))))
+    *weights, offset = model.weights
+    value = float(np.dot(weights, measures(model, text))) + offset
+    return float(1 / (1 + np.exp(-np.clip(value, -30, 30))))
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
@@ -66,19 +82,20 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
     return b"\n".join(texts)[-size:]
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton's method, with a little weight against extremes."""
-    spread = float(x.std()) or 1.0
-    features = np.stack([x / spread, np.ones_like(x)], axis=1)
-    w = np.zeros(2)
-    for _ in range(50):
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights and offset by Newton's method, with a little weight against extremes."""
+    middle, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    features = np.c_[(x - middle) / spread, np.ones(len(x))]
+    w = np.zeros(features.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(features @ w, -30, 30)))
-        hessian = (features * (p * (1 - p))[:, None]).T @ features + 1e-3 * np.eye(2)
-        change = np.linalg.solve(hessian, features.T @ (y - p) - 1e-3 * w)
+        hessian = (features * (p * (1 - p))[:, None]).T @ features + 1e-2 * np.eye(len(w))
+        change = np.linalg.solve(hessian, features.T @ (y - p) - 1e-2 * w)
         w += change
         if np.abs(change).max() < 1e-9:
             break
-    return float(w[0] / spread), float(w[1])
+    plain = w[:-1] / spread
+    return np.append(plain, w[-1] - plain @ middle)
 
 
 def fit(good: list[bytes], bad: list[bytes], size: int = 64 << 10, odds: float | None = None) -> QualityModel:
@@ -90,7 +107,7 @@ def fit(good: list[bytes], bad: list[bytes], size: int = 64 << 10, odds: float |
     """
     if not good or not bad:
         share = (len(good) + 1) / (len(good) + len(bad) + 2) if good or bad else 0.5
-        return QualityModel(b"", b"", 0.0, float(np.log(share / (1 - share))))
+        return QualityModel(b"", b"", (0.0,) * MEASURES + (float(np.log(share / (1 - share))),))
 
     def split(texts):
         return [t for k, t in enumerate(texts) if k % 3], [
@@ -98,13 +115,14 @@ def fit(good: list[bytes], bad: list[bytes], size: int = 64 << 10, odds: float |
         ] or texts
 
     (learn_good, check_good), (learn_bad, check_bad) = split(good), split(bad)
-    first = QualityModel(_dictionary(learn_good or good, size), _dictionary(learn_bad or bad, size), 1.0, 0.0)
-    x = np.array([difference(first, t) for t in check_good + check_bad])
+    learned = _dictionary(learn_good or good, size), _dictionary(learn_bad or bad, size)
+    first = QualityModel(*learned, ())
+    x = np.array([measures(first, t) for t in check_good + check_bad])
     y = np.array([1.0] * len(check_good) + [0.0] * len(check_bad))
-    scale, offset = _logistic(x, y)
+    weights = _logistic(x, y)
     if odds:
-        offset += float(np.log(odds / (y.sum() / (len(y) - y.sum()))))
-    return QualityModel(first.good, first.bad, scale, offset)
+        weights[-1] += np.log(odds / (y.sum() / (len(y) - y.sum())))
+    return QualityModel(*learned, tuple(weights.tolist()))
 
 
 def train(
