@@ -9,6 +9,9 @@ edit distance itself.
 Windows as long as an item are taken at every word. Those that share fewer
 word pairs with the items than the edit distance allows are left out before the
 walk; no window within the distance is lost by that.
+
+The longer an item, the rarer a walk keeps pace with an edited copy. So each
+length gets as many walks as edited copies of random items need to be found.
 """
 
 from __future__ import annotations
@@ -16,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +34,12 @@ _SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
 WORD_BYTES = table(_SEPARATORS)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-WALKS, TABLES, SAMPLES = 4, 8, 4
+TABLES, SAMPLES = 8, 4  # per walk, per table
+LEAST_WALKS, MOST_WALKS = 4, 256
+#: Share of trial items, edited as often as allowed, that the walks must find; above the 0.99 that is promised.
+TRIALS, TRIAL_RECALL = 400, 0.995
 MIN_WORDS = 5
+ITEM_BYTES = 600
 PAD = U(0xD1B54A32D192ED03)
 
 
@@ -41,6 +49,7 @@ class ItemIndex:
 
     size: int
     allowed: int
+    walks: int  # 0: no number of walks will do, all items are compared
     ids: np.ndarray
     words: np.ndarray  # item, word
     keys: np.ndarray  # sorted
@@ -53,30 +62,74 @@ def tokenize(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return word_hashes(_LOWER[data], start, end), first
 
 
-def _samples(size: int) -> np.ndarray:
-    """Sampled steps of each walk and table; steps lie in the part of the walk that crosses the window."""
-    rng = np.random.default_rng(size)
-    return np.sort(rng.integers(0, 2 * size, (WALKS, TABLES, SAMPLES)), axis=2)
+@lru_cache(4096)
+def _samples(size: int, walk: int) -> np.ndarray:
+    """Sampled steps of each table of a walk; steps lie in the part of the walk that crosses the window."""
+    rng = np.random.default_rng((size, walk))
+    return np.sort(rng.integers(0, 2 * size, (TABLES, SAMPLES)), axis=1)
+
 
+def walk_keys(
+    hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, size: int, low: int, high: int
+) -> np.ndarray:
+    """Keys (window, walk * table) of walks `low` up to `high` over the windows of `size` words from `start`.
 
-def walk_keys(hashes: np.ndarray, start: np.ndarray, stop: np.ndarray, size: int) -> np.ndarray:
-    """Keys (window, walk * table) of the windows of `size` words from `start`, which end at `stop` at the latest."""
-    picks = _samples(size)
-    keys = np.zeros((len(start), WALKS * TABLES), U)
+    Windows end at `stop` at the latest.
+    """
+    picks = np.concatenate([_samples(size, w) for w in range(low, high)])
+    column = np.arange(low * TABLES, high * TABLES, dtype=U)[:, None]
+    turn = np.arange(low, high, dtype=U)[:, None] * U(100_003)
+    keys = np.zeros((len(picks), len(start)), U)
+    at = np.tile(start, (high - low, 1))
     end = np.minimum(start + size, stop)
-    for w in range(WALKS):
-        at = start.copy()
-        for step in range(int(picks[w].max()) + 1):
-            on = at < end
-            here = np.where(on, hashes[np.minimum(at, len(hashes) - 1)], PAD)
-            for t, _ in zip(*np.nonzero(picks[w] == step)):
-                column = w * TABLES + t
-                keys[:, column] = mix(keys[:, column] * U(3) + here + U(column + 1))
-            move = (
-                mix(here + U((w * 100_003 + step + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> U(63)
-            ).astype(np.int64)
-            at += move & on
-    return mix(keys + (np.arange(WALKS * TABLES, dtype=U) << U(8)))
+    for step in range(int(picks.max()) + 1):
+        on = at < end
+        here = np.where(on, hashes[np.minimum(at, len(hashes) - 1)], PAD)
+        for k in range(SAMPLES):
+            own = np.flatnonzero(picks[:, k] == step)
+            if len(own):
+                keys[own] = mix(keys[own] * U(3) + here[own // TABLES] + (column[own] + U(1)))
+        move = (mix(here + (turn + U(step + 1)) * U(0x9E3779B97F4A7C15)) >> U(63)).astype(np.int64)
+        at += move & on
+    return mix(keys + (column << U(8))).T
+
+
+def _edited(rng: np.random.Generator, words: list, edits: int) -> list:
+    """Words with so many random substitutions, deletions and insertions."""
+    words = list(words)
+    for kind, place, word in zip(
+        rng.integers(0, 3, edits).tolist(), rng.random(edits).tolist(),
+        rng.integers(0, 1 << 64, edits, U).tolist(),
+    ):
+        at = int(place * len(words))
+        words[at : at + (kind != 2)] = [] if kind == 1 else [word]
+    return words
+
+
+@lru_cache(4096)
+def walks_needed(size: int, allowed: int) -> int:
+    """Walks that find items of `size` words after `allowed` edits, from trials; 0 if no number up to the most does.
+
+    A trial counts the window at the start of the copy alone; its neighbours find some more.
+    """
+    if not allowed:
+        return 1
+    rng = np.random.default_rng((size, allowed))
+    items = rng.integers(0, 1 << 64, (TRIALS, size), U)
+    copies = [
+        (_edited(rng, item, allowed) + rng.integers(0, 1 << 64, size, U).tolist())[:size] for item in items.tolist()
+    ]
+    copies, missed, low, high = np.array(copies, U), np.arange(TRIALS), 0, LEAST_WALKS
+    while high <= MOST_WALKS:
+        start = np.arange(len(missed)) * size
+        own, other = (
+            walk_keys(h[missed].reshape(-1), start, start + size, size, low, high) for h in (items, copies)
+        )
+        missed = missed[~(own == other).any(axis=1)]
+        if len(missed) <= TRIALS * (1 - TRIAL_RECALL):
+            return high
+        low, high = high, high * 2
+    return 0
 
 
 @dataclass(frozen=True)
@@ -112,18 +165,21 @@ def build(items: list[tuple[int, str]], similarity: float = 0.8) -> tuple[list[I
     out, pairs, groups = [], [np.zeros(0, U)], [np.zeros(0, np.int64)]
     for size, found in sorted(by_size.items()):
         matrix = np.stack([h for _, h in found])
-        flat = matrix.reshape(-1)
-        start = np.arange(len(found)) * size
-        keys = walk_keys(flat, start, start + size, size)
-        owner = np.repeat(np.arange(len(found)), keys.shape[1])
-        order = np.argsort(keys.reshape(-1), kind="stable")
         allowed = math.floor(size * (1 - similarity) + 1e-9)
+        walks = walks_needed(size, allowed)
+        start = np.arange(len(found)) * size
+        keys = (
+            walk_keys(matrix.reshape(-1), start, start + size, size, 0, walks).reshape(-1)
+            if walks else np.zeros(0, U)
+        )
+        owner = np.repeat(np.arange(len(found), dtype=np.int32), walks * TABLES)
+        order = np.argsort(keys, kind="stable")
         own = np.unique(np.concatenate([grams(h, 2) for _, h in found]))
         pairs.append(own)
         groups.append(np.full(len(own), len(out)))
         out.append(
             ItemIndex(
-                size, allowed, np.array([i for i, _ in found]), matrix, keys.reshape(-1)[order], owner[order]
+                size, allowed, walks, np.array([i for i, _ in found]), matrix, keys[order], owner[order]
             )
         )
     pair, group = np.concatenate(pairs), np.concatenate(groups)
@@ -192,18 +248,28 @@ def find(
         start = _starts(place[cuts[k] : cuts[k + 1]], group.size, need, len(hashes))
         # words that the text must have left for a match
         start = start[stop_of[text_of[start]] - start >= group.size - group.allowed]
-        for at in range(0, len(start), 1 << 16):
-            some = start[at : at + (1 << 16)]
-            keys = walk_keys(hashes, some, stop_of[text_of[some]], group.size)
-            low = np.searchsorted(group.keys, keys.reshape(-1), "left")
-            count = np.searchsorted(group.keys, keys.reshape(-1), "right") - low
-            window = np.repeat(np.repeat(np.arange(len(some)), keys.shape[1]), count)
-            slot = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-            met = np.unique(np.stack([group.owner[slot], some[window]], axis=1), axis=0)
-            _verify(group, met, hashes, text_of, first, out)
+        # what a step holds per window: keys, or all items' words
+        wide = group.walks * TABLES or group.words.size
+        some_at_once = max(1, (1 << 22) // wide)
+        for at in range(0, len(start), some_at_once):
+            some = start[at : at + some_at_once]
+            _verify(group, _meet(group, hashes, some, stop_of[text_of[some]]), hashes, text_of, first, out)
     return [(t, i, *x) for (t, i), x in sorted(out.items())]
 
 
+def _meet(group: ItemIndex, hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """(item, start) of the windows that share a key with an item, in order."""
+    if not group.walks:
+        item, window = np.divmod(np.arange(len(group.ids) * len(start)), len(start))
+        return np.stack([item, start[window]], axis=1)
+    keys = walk_keys(hashes, start, stop, group.size, 0, group.walks)
+    low = np.searchsorted(group.keys, keys.reshape(-1), "left")
+    count = np.searchsorted(group.keys, keys.reshape(-1), "right") - low
+    window = np.repeat(np.repeat(np.arange(len(start)), keys.shape[1]), count)
+    slot = np.repeat(low - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+    return np.unique(np.stack([group.owner[slot], start[window]], axis=1), axis=0)
+
+
 def _verify(group: ItemIndex, met: np.ndarray, hashes, text_of, first, out) -> None:
     """Windows of one text and item that lie close together are verified as one stretch."""
     if not len(met):
@@ -234,11 +300,15 @@ def _verify(group: ItemIndex, met: np.ndarray, hashes, text_of, first, out) -> N
 def item_blocks(
     benchmark: DataFrame, block: int, id_col: str, text_col: str
 ) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark in parts of about `block` items, read one at a time: a benchmark of any size is a loop over blocks."""
+    """The benchmark in parts of about `block` items, read one at a time: a benchmark of any size is a loop over blocks.
+
+    Longer items have more keys, so a part has no more than about `block` times ITEM_BYTES of text either.
+    """
     items = benchmark.select(
         F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text")
     ).where("item_id is not null and text is not null")
-    parts = max(1, -(-items.count() // block))
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // block), -(-size // (block * ITEM_BYTES)))
     for part in range(parts):
         yield [
             (r["item_id"], r["text"]) for r in items.where(
@@ -256,7 +326,8 @@ def contaminated(
     A document holds an item if some part of it is within
     floor((1 - similarity) * words) word edits of the item. Words are runs of
     ASCII letters and digits and of other characters' bytes, without regard to
-    the case of A-Z. Items of fewer than 5 words are not judged.
+    the case of A-Z. Items of fewer than 5 words are not judged. Of the items
+    edited as often as allowed, the walks find 0.99 at any length.
 
     Null or empty texts hold nothing; null item ids and texts are left out; a
     null doc_id stays null. Repeated documents are answered each, items with

@@ -119,3 +119,32 @@ def test_recall_of_the_tables(edits, least):
         text = " ".join(edited(rng, item.split(), edits) + ["end"] * 10).encode()
         met += bool(d.find(index, pairs, np.frombuffer(text, np.uint8), np.array([0, len(text)])))
     assert met >= least * 150
+
+
+@pytest.mark.parametrize("size", [15, 40, 100, 200])
+def test_recall_at_the_full_allowance(size):
+    """Of items edited as often as allowed, nearly all are found, whatever their length."""
+    rng = random.Random(size)
+    n, met = 100, 0
+    for _ in range(n):
+        item = [f"w{rng.randrange(10**9)}" for _ in range(size)]
+        index, pairs = d.build([(1, " ".join(item))])
+        around = [f"v{rng.randrange(10**9)}" for _ in range(2 * size)]
+        text = " ".join(around[:size] + edited(rng, item, size // 5) + around[size:]).encode()
+        met += bool(d.find(index, pairs, np.frombuffer(text, np.uint8), np.array([0, len(text)])))
+    assert met >= 0.97 * n
+
+
+def test_items_that_no_walks_suffice_for_are_compared(monkeypatch):
+    """Where the walks do not reach the recall, every window with enough pairs is compared with every item."""
+    monkeypatch.setattr(d, "MOST_WALKS", 0)
+    d.walks_needed.cache_clear()
+    rng = random.Random(3)
+    items = [[f"w{rng.randrange(10**9)}" for _ in range(100)] for _ in range(3)]
+    index, pairs = d.build([(k, " ".join(item)) for k, item in enumerate(items)])
+    d.walks_needed.cache_clear()
+    assert [g.walks for g in index] == [0]
+    for k, item in enumerate(items):
+        text = " ".join(["a", "b", *edited(rng, item, 20), "c"]).encode()
+        found = d.find(index, pairs, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        assert [(i, distance <= 20) for _, i, distance, *_ in found] == [(k, True)]
