@@ -50,7 +50,8 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     `lines` has those columns for all lines, blank ones too. Lines of a record
     are joined by line feeds; a record is where its first line is. An open
-    quote at the end of a file leaves its lines out of the records.
+    quote at the end of a file leaves its lines out of the records; they may be
+    most of the file, so they are left out before any lines are gathered.
     """
     opened, kept = has_open_quote(F.col("value")), has_open_quote(F.concat(F.lit('"'), "value"))
     block = ["path", "block_start"]
@@ -73,18 +74,20 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         .drop("_end")
     )
     in_file = Window.partitionBy("path").orderBy("block_start")
+    whole_file = in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    after = F.coalesce("_forces", (F.col("_start") + F.col("_turns")) % 2)
+    begun = F.when(F.col("_begins") > 0, F.struct("block_start", "_begins"))
     started = (
         _running(blocks, ["path"], ["block_start"])
         .withColumn("_start", _state(F.lit(0)))
         .withColumn("_begins", F.when(F.col("_start") == 0, F.col("_begins0")).otherwise(F.col("_begins1")))
         .withColumn(
             "_owner",
-            F.last(F.when(F.col("_begins") > 0, F.struct("block_start", "_begins")), ignorenulls=True).over(
-                in_file.rowsBetween(Window.unboundedPreceding, -1)
-            ),
+            F.last(begun, ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1)),
         )
+        # The record that the file ends in: only the last one can be open.
+        .withColumn("_open", F.last(F.when(after == 1, F.coalesce(begun, "_owner"))).over(whole_file))
     )
-    after = F.coalesce("_forces", (F.col("_start") + F.col("_turns")) % 2)
     unfinished = (
         started.groupBy("path")
         .agg(F.max_by(after, "block_start").alias("_open"))
@@ -94,7 +97,7 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     upto = Window.partitionBy(*block).orderBy("line_id").rowsBetween(Window.unboundedPreceding, 0)
     numbered = (
-        marked.join(started.select(*block, "_start", "_owner"), block)
+        marked.join(started.select(*block, "_start", "_owner", "_open"), block)
         .withColumn("_before", _state(F.col("_start")))
         .withColumn("_after", F.coalesce("_forces", (F.col("_before") + F.col("_turns")) % 2))
         .withColumn("_number", F.count_if(F.col("_before") == 0).over(upto))
@@ -109,12 +112,9 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     single = numbered.where("_before = 0 AND _after = 0").select(*columns)
     several = (
         numbered.where("_before = 1 OR _after = 1")
+        .where("_open IS NULL OR _block != _open.block_start OR _record != _open._begins")
         .groupBy("path", "_block", "_record")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("block_start", "line_id", "value"))).alias("_lines"),
-            F.max(F.struct("block_start", "line_id", "_after")).alias("_last"),
-        )
-        .where("_last._after = 0")
+        .agg(F.sort_array(F.collect_list(F.struct("block_start", "line_id", "value"))).alias("_lines"))
         .select(
             "path",
             F.col("_block").alias("block_start"),

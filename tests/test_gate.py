@@ -276,3 +276,30 @@ def test_header_is_found_in_split_files(spark, tmp_path):
     assert verdict["header"] == HEADER.split(",")
     kept = spark.read.schema(CLEAN_ROWS["orders"]).parquet(workspace.clean("orders"))
     assert kept.agg(F.countDistinct("order_id")).first()[0] == 20_000
+
+
+def test_lines_of_an_open_quote_are_not_gathered(spark, tmp_path, monkeypatch):
+    """A quote that is never closed may reach over the rest of a large file, which must not become one row."""
+    path = tmp_path / "open.csv"
+    rows = [ROW.format(i) for i in range(30)] + ['30,"1\n0",2025-07-06,complete,1'] * 5
+    swallowed = [f"{i},swallowed,2025-07-06,complete,1" for i in range(200)]
+    path.write_text("\n".join([HEADER, *rows, '99,"never closed', *swallowed]))
+    gather = F.collect_list
+    monkeypatch.setattr(
+        F,
+        "collect_list",
+        lambda line: gather(
+            F.when(F.contains(line["value"], F.lit("swallowed")), F.raise_error(F.lit("gathered"))).otherwise(line)
+        ),
+    )
+    limits = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, limit in limits.items():
+        spark.conf.set(name, limit)
+    try:
+        records = read_records(spark, [str(path)]).orderBy("block_start", "line_id").collect()
+        assert [r["value"] for r in records] == [HEADER, *rows]
+        assert open_quotes(spark, [str(path)]).count() == 1
+    finally:
+        for name, limit in before.items():
+            spark.conf.set(name, limit)
