@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm import decontamination, language_id, nearest, packing, quality, simhash, substring_dedup, suffix_dedup, token_counts, url_filter
+from daybook.llm import (
+    decontamination, fill_in_middle, language_id, nearest, packing, quality, simhash, substring_dedup, suffix_dedup,
+    token_counts, token_files, url_filter, whitening,
+)
 from daybook.llm.rows import held_out, read_table
 from daybook.session import scratch_folder
 
@@ -84,11 +87,38 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.fill_in_middle(read_table(spark, sf_dir, "documents"), percent=50, spm_percent=80, seed=42)
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model, error = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8, scale=1024, shift=100_000)
+    explained = F.array(*(F.lit(e).cast("double") for e in (model.explained if model else [])))
+    return rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation", "whitened", F.get(explained, F.col("at")).alias("explained"), F.lit(error).cast("double").alias("identity_error"),
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{scratch_folder(spark, 'token-files')}/{uuid.uuid4().hex[:8]}"
+    token_files.write_tokens(read_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), folder, end_id=1)
+    return token_files.read_tokens(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_substring_dedup, op2_simhash_dedup, op3_token_counts, op4_language_id, op5_quality,
         op6_packing, op7_decontamination, op8_suffix_dedup, op9_url_filter, op10_nearest,
+        op11_fill_in_middle, op12_whitening, op13_token_files,
     )
 }
 
@@ -144,5 +174,33 @@ select h.doc_id, h.n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_rem
 from hexed h left join kept using (doc_id)
 """
 
+_OP11 = r"""
+with cut as (
+    select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(doc_id::varchar, '')) as h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u
+    from documents
+), drawn as (
+    select *, len(u) as n, ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+        ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4
+    from cut
+), parted as (
+    select doc_id, text, n,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 50
+            then 'plain' when h4 % 100 < 80 then 'spm' else 'psm' end as form,
+        coalesce(array_to_string(u[1:least(h1 % (n + 1), h2 % (n + 1))], ''), '') as p,
+        coalesce(array_to_string(u[least(h1 % (n + 1), h2 % (n + 1)) + 1:greatest(h1 % (n + 1), h2 % (n + 1))], ''), '') as m,
+        coalesce(array_to_string(u[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], ''), '') as s
+    from drawn
+), counted as (
+    select *, length(p) as lp, length(m) as lm from parted
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then lp end::bigint as prefix_chars,
+    case when form <> 'plain' then lm end::bigint as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+        else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+    sha256(text) as restored_sha256
+from counted
+"""
+
 #: The other operators hash with XXH64, call tokenizers or learn; their tests hold them against brute force.
-ORACLES = {"op1_substring_dedup": _OP1, "op8_suffix_dedup": _OP8}
+ORACLES = {"op1_substring_dedup": _OP1, "op8_suffix_dedup": _OP8, "op11_fill_in_middle": _OP11}

@@ -17,7 +17,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 def test_queries_are_registered():
     numbers = [name.split("_")[0] for name in queries.QUERIES]
-    assert numbers == [f"op{n}" for n in range(1, 11)]
+    assert numbers == [f"op{n}" for n in range(1, 14)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(queries.ORACLES) <= set(contract.oracle_sql())
 
@@ -67,6 +67,34 @@ def test_query_against_sql(spark, name):
         {"page_id": "bigint", "host": "string", "path": "string", "rule": "string", "verdict": "string"},
     ),
     ("op10_nearest", {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"}),
+    (
+        "op11_fill_in_middle",
+        {
+            "doc_id": "bigint",
+            "n": "bigint",
+            "form": "string",
+            "prefix_chars": "bigint",
+            "middle_chars": "bigint",
+            "output_sha256": "string",
+            "restored_sha256": "string",
+        },
+    ),
+    (
+        "op12_whitening",
+        {
+            "vec_id": "bigint",
+            "component": "int",
+            "n": "bigint",
+            "deviation": "bigint",
+            "whitened": "double",
+            "explained": "double",
+            "identity_error": "double",
+        },
+    ),
+    (
+        "op13_token_files",
+        {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    ),
 ])
 def test_query_columns_and_rows(spark, name, columns):
     found = queries.QUERIES[name](spark, SF)
