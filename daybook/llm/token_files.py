@@ -22,6 +22,7 @@ files of attempts that failed do not count.
 from __future__ import annotations
 
 import bisect
+import functools
 import json
 import math
 import uuid
@@ -42,7 +43,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from daybook.llm.packing import word_ids
+from daybook.llm.packing import WordIds
 from daybook.llm.rows import id_and_text, text_blocks
 
 FORMAT = "token_files"
@@ -193,6 +194,12 @@ class TokenFile:
         return int(self.segment(k).ids(at - self.first[k], at - self.first[k] + 1)[0])
 
 
+@functools.lru_cache(maxsize=1)
+def _encoder(tokenizer: str) -> WordIds:
+    """Kept from task to task; a million known words take about 200 MB."""
+    return WordIds(tokenizer, room=1_000_000)
+
+
 @dataclass
 class Written(WriterCommitMessage):
     partition: int
@@ -202,13 +209,13 @@ class Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    """One file per task; `doc_id, ids` (little-endian unsigned 32-bit) in the order of the documents."""
+    """One file per task: encodes `doc_id, text` in the order of the rows."""
 
-    def __init__(self, folder: str, segment_ids: int):
-        self.folder, self.segment_ids = folder, segment_ids
+    def __init__(self, folder: str, tokenizer: str, end_id: int, segment_ids: int):
+        self.folder, self.tokenizer, self.end_id, self.segment_ids = folder, tokenizer, end_id, segment_ids
 
     def write(self, iterator) -> Written:
-        task = TaskContext.get()
+        task, encoder = TaskContext.get(), _encoder(self.tokenizer)
         name = f"part-{task.partitionId():06d}-{uuid.uuid4().hex[:8]}.tok"
         system, root = fs.FileSystem.from_uri(self.folder)
         system.create_dir(root, recursive=True)
@@ -217,24 +224,23 @@ class _Writer(DataSourceArrowWriter):
 
             def flush():
                 nonlocal offset
-                raw, record = segment(doc_ids, np.array(lengths, np.int64), np.concatenate(held))
+                raw, record = segment(doc_ids, np.concatenate(lengths), np.concatenate(held))
                 record["offset"] = offset
                 out.write(raw)
                 offset += len(raw)
                 records.append(record)
 
             doc_ids, lengths, held, have = [], [], [], 0
-            for batch in iterator:
-                for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                    ids = np.frombuffer(raw.as_buffer() or b"", "<u4")
-                    doc_ids.append(doc_id)
-                    lengths.append(len(ids))
-                    held.append(ids)
-                    have += len(ids)
-                    docs, total = docs + 1, total + len(ids)
-                    if have >= self.segment_ids or len(doc_ids) >= self.segment_ids:
-                        flush()
-                        doc_ids, lengths, held, have = [], [], [], 0
+            for rows, data, ends in text_blocks(iterator):
+                ids, bounds = encoder.encode(data, ends)
+                held.append(np.insert(ids, bounds[1:], self.end_id))
+                lengths.append(np.diff(bounds) + 1)
+                doc_ids += rows.column("doc_id").to_pylist()
+                have += len(held[-1])
+                docs, total = docs + rows.num_rows, total + len(held[-1])
+                if have >= self.segment_ids:
+                    flush()
+                    doc_ids, lengths, held, have = [], [], [], 0
             if doc_ids:
                 flush()
             out.write(b"".join(r.tobytes() for r in records) + len(records).to_bytes(8, "little") + MAGIC)
@@ -280,14 +286,16 @@ class _Reader(DataSourceReader):
         for k in range(len(file.records)):
             part = file.whole_segment(k)
             numbers, starts = part.documents()
-            raw = part.ids(0, int(starts[-1])).astype("<u4").tobytes()
-            cells = [raw[4 * a : 4 * b] for a, b in zip(starts.tolist(), starts[1:].tolist())]
+            raw = part.ids(0, int(starts[-1])).astype("<u4")
+            cells = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), part.docs, [None, pa.py_buffer(4 * starts), pa.py_buffer(raw)]
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(numbers, pa.int64()),
                     pa.array(starts[:-1] + (before + file.first[k])),
                     pa.array(np.diff(starts)),
-                    pa.array(cells, pa.binary()),
+                    cells.cast(pa.binary()),
                 ],
                 schema=SCHEMA,
             )
@@ -295,7 +303,7 @@ class _Reader(DataSourceReader):
 
 
 class TokenFiles(DataSource):
-    """`spark.read.format("token_files").load(folder)`; written with `doc_id, ids`, once per folder."""
+    """`spark.read.format("token_files").load(folder)`; written with `doc_id, text`, once per folder."""
 
     @classmethod
     def name(cls) -> str:
@@ -308,22 +316,8 @@ class TokenFiles(DataSource):
         return _Reader(self.options["path"])
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], int(self.options.get("segment_ids", str(4 << 20))))
-
-
-def _encode(tokenizer: str, end_id: int):
-    def run(batches):
-        encoder = word_ids(tokenizer)
-        for rows, data, ends in text_blocks(batches):
-            ids, bounds = encoder.encode(data, ends)
-            raw = np.insert(ids, bounds[1:], end_id).astype("<u4").tobytes()
-            edges = (4 * (bounds + np.arange(len(bounds)))).tolist()
-            cells = [raw[a:b] for a, b in zip(edges, edges[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(cells, pa.binary())], names=["doc_id", "ids"]
-            )
-
-    return run
+        o = self.options
+        return _Writer(o["path"], o["tokenizer"], int(o.get("end_id", "1")), int(o.get("segment_ids", str(4 << 20))))
 
 
 def write_tokens(
@@ -341,7 +335,7 @@ def write_tokens(
     There is a file per `file_bytes` of text, two per core at least. One shuffle
     by ranges of the id; rows of one id are ordered by their text's xxhash64 and
     may lie in several files, so an id that holds many rows fills many tasks. A
-    task holds a segment of `segment_ids` ids, or one document.
+    task holds a segment of about `segment_ids` ids, or one document.
 
     A null or empty text is the end id alone. Null ids come first and stay null.
     Repeated rows are written each. No rows give a manifest without files. Other
@@ -355,8 +349,8 @@ def write_tokens(
     # the last key parts rows that are alike
     keyed = texts.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})
     ordered = keyed.repartitionByRange(n_files, "doc_id", "_text", "_row").sortWithinPartitions("doc_id", "_text")
-    ids = ordered.select("doc_id", "text").mapInArrow(_encode(tokenizer, end_id), "doc_id long, ids binary")
-    ids.write.format(FORMAT).option("segment_ids", segment_ids).mode("append").save(folder)
+    options = {"tokenizer": tokenizer, "end_id": end_id, "segment_ids": segment_ids}
+    ordered.select("doc_id", "text").write.format(FORMAT).options(**options).mode("append").save(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
