@@ -82,48 +82,57 @@ def order_daily_kpi(orders: DataFrame, revenue: DataFrame, count_lines: bool = F
     Order rows are first brought down to one per order and day. That makes the
     distinct order count a plain count, leaves at most one row per day of any
     order for the join with its revenue, and keeps the weight of repeated order
-    rows in `_rows`. Distinct customers are counted from their own two columns.
+    rows in `n_rows`. Distinct customers are counted from their own two columns.
     Both parts meet in one last aggregate by day, with no join between them.
 
     With `count_lines` the items sold are the order's lines instead of the
     order's own `num_of_item`, for sources that have no such column.
     """
-    items = F.lit(None).cast("bigint") if count_lines else F.sum("num_of_item")
-    by_order = orders.groupBy("order_id", "order_date").agg(
-        F.count("*").alias("_rows"),
-        items.alias("_items"),
-        F.sum(returned_flag(F.col("status") == RETURNED_STATUS)).alias("_returned"),
-    )
+    by_order = orders_of_days(orders, count_lines=count_lines)
     valued = by_order.join(revenue, "order_id", "left")
     if count_lines:
-        valued = valued.withColumn(
-            "_items", F.col("_rows") * F.coalesce(F.col("n_lines"), F.lit(0).cast("bigint"))
-        )
+        lines = F.coalesce(F.col("n_lines"), F.lit(0).cast("bigint"))
+        valued = valued.withColumn("n_items", F.col("n_rows") * lines)
+    return daily_kpi(valued, customers_of_days(orders))
+
+
+def orders_of_days(orders: DataFrame, *more: str, count_lines: bool = False) -> DataFrame:
+    """One row per order and day, and per value of further columns. Counts of several such tables add up."""
+    items = F.lit(None).cast("bigint") if count_lines else F.sum("num_of_item")
+    return orders.groupBy("order_id", "order_date", *more).agg(
+        F.count("*").alias("n_rows"),
+        items.alias("n_items"),
+        F.sum(returned_flag(F.col("status") == RETURNED_STATUS)).alias("n_returned"),
+    )
+
+
+def customers_of_days(orders: DataFrame) -> DataFrame:
+    return orders.select("order_date", "user_id").distinct()
+
+
+def daily_kpi(valued: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders of days with `order_revenue`, and customers of days -> KPIs of each day."""
     order_part = valued.select(
         "order_date",
         F.col("order_id").isNotNull().cast("bigint").alias("_orders"),
         F.lit(0).cast("bigint").alias("_customers"),
         # Only a repeated order row needs the wide product.
-        F.when(F.col("_rows") == 1, F.col("order_revenue").cast("decimal(38,2)"))
-        .otherwise(F.col("order_revenue").cast("decimal(38,2)") * F.col("_rows"))
+        F.when(F.col("n_rows") == 1, F.col("order_revenue").cast("decimal(38,2)"))
+        .otherwise(F.col("order_revenue").cast("decimal(38,2)") * F.col("n_rows"))
         .cast("decimal(38,2)")
         .alias("_revenue"),
-        "_items",
-        "_returned",
-        "_rows",
+        F.col("n_items").alias("_items"),
+        F.col("n_returned").alias("_returned"),
+        F.col("n_rows").alias("_rows"),
     )
-    customer_part = (
-        orders.select("order_date", "user_id")
-        .distinct()
-        .select(
-            "order_date",
-            F.lit(0).cast("bigint").alias("_orders"),
-            F.col("user_id").isNotNull().cast("bigint").alias("_customers"),
-            F.lit(None).cast("decimal(38,2)").alias("_revenue"),
-            F.lit(None).cast("bigint").alias("_items"),
-            F.lit(0).cast("bigint").alias("_returned"),
-            F.lit(0).cast("bigint").alias("_rows"),
-        )
+    customer_part = customers.select(
+        "order_date",
+        F.lit(0).cast("bigint").alias("_orders"),
+        F.col("user_id").isNotNull().cast("bigint").alias("_customers"),
+        F.lit(None).cast("decimal(38,2)").alias("_revenue"),
+        F.lit(None).cast("bigint").alias("_items"),
+        F.lit(0).cast("bigint").alias("_returned"),
+        F.lit(0).cast("bigint").alias("_rows"),
     )
     return (
         order_part.unionByName(customer_part)

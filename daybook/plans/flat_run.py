@@ -2,7 +2,8 @@
 
 A file with one broken row is rejected as a whole, with the reasons in the gate
 log; its rows are kept with the rules they break. All judged files are archived.
-KPI rows replace stored rows of the same key, in tables of their own.
+KPI rows replace stored rows of the same key, in tables of their own; both
+tables and the ledger change in one commit.
 """
 
 import datetime as dt
@@ -40,6 +41,7 @@ from daybook.schemas import (
 from daybook.sinks.ledger import mark_processed
 from daybook.sinks.tables import append
 from daybook.sinks.upsert import apply_staged, stage
+from daybook.sinks.versions import Commit
 from daybook.sources.tables import read_partitions
 
 
@@ -95,22 +97,13 @@ def run_flat(
         )
         stage(flat_category_kpi(stored), f"{work}/category", CATEGORY_KPI, CATEGORY_KPI_KEYS)
         stage(flat_daily_kpi(stored), f"{work}/order", ORDER_KPI, ORDER_KPI_KEYS)
-        apply_staged(
-            spark,
-            f"{work}/category",
-            f"{work}/category_merged",
-            workspace.flat_category_kpis,
-            CATEGORY_KPI,
-            CATEGORY_KPI_KEYS,
-        )
-        apply_staged(
-            spark,
-            f"{work}/order",
-            f"{work}/order_merged",
-            workspace.flat_order_kpis,
-            ORDER_KPI,
-            ORDER_KPI_KEYS,
-        )
-        mark_processed(accepted_files, workspace.ledger)
+        commit = Commit(spark, workspace.root.rstrip("/"))
+        for name, target, schema, keys in (
+            ("category", workspace.flat_category_kpis, CATEGORY_KPI, CATEGORY_KPI_KEYS),
+            ("order", workspace.flat_order_kpis, ORDER_KPI, ORDER_KPI_KEYS),
+        ):
+            apply_staged(spark, f"{work}/{name}", target, schema, keys, commit)
+        mark_processed(accepted_files, workspace.ledger, commit=commit)
+        commit.finish()
     append(judged.hint("rebalance"), workspace.gate_log)
     return judged

@@ -1,24 +1,17 @@
-"""The KPI job: new valid files -> both KPI tables -> ledger.
-
-Both results are staged before either table is touched, and the ledger is
-written last, in one append. A run that breaks off is repeated with the same
-files and replaces the same rows.
-"""
+"""The KPI job: new valid files -> partial sums -> both KPI tables -> ledger, in one commit."""
 
 import datetime as dt
-from collections.abc import Callable
+import uuid
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.joins import join_on_key
 from daybook.operators.kpis import category_kpis, order_kpis
 from daybook.operators.ledger import latest_files, new_files
 from daybook.operators.summary import run_summary
 from daybook.plans.gate_run import new_run_id
-from daybook.plans.kpi_index import add_to_index, days_of_orders, is_built, item_months
+from daybook.plans.kpi_parts import compact_parts, is_built, kpis_of_days, touched_days, write_delivery
 from daybook.plans.workspace import Workspace
 from daybook.schemas import (
     CATEGORY_KPI,
@@ -26,16 +19,18 @@ from daybook.schemas import (
     CLEAN_ROWS,
     FILE_IDENTITY,
     GATE_LOG,
+    LEDGER,
     ORDER_KPI,
     ORDER_KPI_KEYS,
     REQUIRED_COLUMNS,
     VALID,
 )
-from daybook.sinks.ledger import mark_processed
+from daybook.sinks.ledger import compact_ledger, mark_processed
 from daybook.sinks.upsert import apply_staged, stage, stored_kpis
+from daybook.sinks.versions import Commit
 from daybook.sources.csv_batches import read_csv
 from daybook.sources.files import latest_delivery
-from daybook.sources.tables import read_ledger, read_partitions, read_table, small_rows
+from daybook.sources.tables import path_exists, read_partitions, read_table, small_rows
 
 
 @dataclass(frozen=True)
@@ -61,75 +56,61 @@ def valid_files(spark: SparkSession, workspace: Workspace) -> DataFrame:
     )
 
 
-def marked_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -> DataFrame:
-    """Valid files with `wanted`: those the ledger does not know, and `counted`: those and the known ones.
+def pending_files(spark: SparkSession, workspace: Workspace, latest_only: bool) -> DataFrame:
+    """Valid files that the ledger does not know.
 
     A file is known by its path and time, so files of one name in different
     folders are different files, and so is one that lands again at its old
-    path: its rows come in addition. `latest_only` wants the last file of each
+    path: its rows come in addition. `latest_only` takes the last file of each
     type and leaves the others for later runs.
     """
     valid = valid_files(spark, workspace)
-    known = read_ledger(spark, workspace.ledger).select(*FILE_IDENTITY, F.lit(True).alias("_known"))
-    pending = new_files(valid, known)
+    pending = new_files(valid, read_table(spark, workspace.ledger, LEDGER))
     if latest_only:
-        pending = latest_files(pending)
-    wanted = pending.select(*FILE_IDENTITY, F.lit(True).alias("wanted"))
-    return (
-        valid.join(known, FILE_IDENTITY, "left")
-        .join(wanted, FILE_IDENTITY, "left")
-        .withColumn("wanted", F.coalesce("wanted", F.lit(False)))
-        .withColumn("counted", F.col("wanted") | F.coalesce("_known", F.lit(False)))
-        .drop("_known")
-    )
+        pending = valid.join(latest_files(pending).select(*FILE_IDENTITY), FILE_IDENTITY, "left_semi")
+    return pending
+
+
+def known_files(spark: SparkSession, workspace: Workspace) -> DataFrame:
+    """Valid files that were processed before."""
+    known = read_table(spark, workspace.ledger, LEDGER).select(*FILE_IDENTITY)
+    return valid_files(spark, workspace).join(known, FILE_IDENTITY, "left_semi")
 
 
 @dataclass(frozen=True)
 class GateRun:
-    """The valid files of one type in one committed gate run, by number."""
+    """A gate run with files of one type to read, by number."""
 
     file_type: str
     folder: str
     n_files: int
-    n_counted: int
     n_wanted: int
 
 
-def gate_runs(files: DataFrame) -> list[GateRun]:
-    """All committed runs: how many files each has, how many are wanted now."""
-    counts = files.groupBy("file_type", "dt", "run_id").agg(
-        F.count("*").alias("n_files"),
-        F.count_if("counted").alias("n_counted"),
-        F.count_if("wanted").alias("n_wanted"),
-    )
+def gate_runs(spark: SparkSession, workspace: Workspace, wanted: DataFrame) -> list[GateRun]:
+    """The runs of some files: how many files each has, how many are wanted."""
+    keys = ["file_type", "dt", "run_id"]
+    asked = wanted.groupBy(*keys).agg(F.count("*").alias("n_wanted"))
+    valid = valid_files(spark, workspace).groupBy(*keys).agg(F.count("*").alias("n_files"))
     return [
         GateRun(
-            row["file_type"],
-            f"dt={row['dt']}/run_id={row['run_id']}",
-            row["n_files"],
-            row["n_counted"],
-            row["n_wanted"],
+            row["file_type"], f"dt={row['dt']}/run_id={row['run_id']}", row["n_files"], row["n_wanted"]
         )
-        for row in small_rows(counts)
+        for row in small_rows(asked.join(valid, keys))
     ]
 
 
 def rows_of(
-    spark: SparkSession,
-    workspace: Workspace,
-    runs: list[GateRun],
-    files: DataFrame,
-    file_type: str,
-    number: Callable[[GateRun], int],
+    spark: SparkSession, workspace: Workspace, files: DataFrame, runs: list[GateRun], file_type: str
 ) -> DataFrame:
-    """Clean rows of the given files, `number` of them in each run.
+    """Clean rows of the given files, which lie in the given runs.
 
-    Only the folders of runs with such files are read, and rows are matched with
-    files only in runs that also have others.
+    Only the folders of these runs are read, and rows are matched with files
+    only in runs that also have others.
     """
-    runs = [run for run in runs if run.file_type == file_type and number(run)]
-    whole = [run.folder for run in runs if number(run) == run.n_files]
-    partial = [run.folder for run in runs if number(run) < run.n_files]
+    runs = [run for run in runs if run.file_type == file_type]
+    whole = [run.folder for run in runs if run.n_wanted == run.n_files]
+    partial = [run.folder for run in runs if run.n_wanted < run.n_files]
     table, schema = workspace.clean(file_type), CLEAN_ROWS[file_type]
     rows = read_partitions(spark, table, schema, whole)
     if partial:
@@ -139,65 +120,6 @@ def rows_of(
     return rows
 
 
-def _on_days(rows: DataFrame, days: set) -> DataFrame:
-    """Rows of some days: their months prune the read, a broadcast list does the rest."""
-    months = sorted({f"{day:%Y-%m}" for day in days})
-    wanted = rows.sparkSession.createDataFrame([(day,) for day in days], "order_date date")
-    return rows.where(F.col("order_month").isin(months)).join(wanted, "order_date", "left_semi")
-
-
-def touched_days(late: DataFrame, orders: DataFrame, items: DataFrame) -> dict[str, set]:
-    """Days whose KPIs new rows change; as many as the calendar has at most.
-
-    New orders change their own day, new items the day of their order (`late`),
-    and for the category KPIs new items change their own day.
-    """
-    days: dict[str, set] = {"order": set(), "category": set()}
-    found = [
-        (orders, "order"),
-        (late, "order"),
-        (items, "category"),
-    ]
-    marked = [rows.select("order_date", F.lit(kpi).alias("kpi")) for rows, kpi in found]
-    distinct = reduce(DataFrame.unionByName, marked).where("order_date IS NOT NULL").distinct()
-    for row in small_rows(distinct):
-        days[row["kpi"]].add(row["order_date"])
-    return days
-
-
-def recomputed(
-    spark: SparkSession,
-    workspace: Workspace,
-    all_orders: DataFrame,
-    all_items: DataFrame,
-    orders: DataFrame,
-    items: DataFrame,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Orders, their items, and category items of all days that new rows touch.
-
-    The index tells the days of earlier orders of new items, and the months in
-    which the items of touched orders lie; so every read of stored rows is
-    pruned to months.
-    """
-    late = days_of_orders(spark, workspace, items.select("order_id").distinct())
-    days = touched_days(late, orders, items)
-    touched = _on_days(all_orders, days["order"])
-    touched_ids = touched.select("order_id").distinct()
-    order_months = sorted({f"{day:%Y-%m}" for day in days["order"]})
-    new_ids = orders.select("order_id").distinct()
-    months = item_months(spark, workspace, order_months, new_ids)
-    near = all_items.where(F.col("order_month").isin(months))
-    if any_undated(all_items):
-        near = near.unionByName(all_items.where("order_month IS NULL"))
-    touched_items = join_on_key(near, touched_ids, "order_id", "left_semi")
-    return touched, touched_items, _on_days(all_items, days["category"])
-
-
-def any_undated(items: DataFrame) -> bool:
-    """Whether there are items without a day; they lie in a partition of their own."""
-    return not items.where("order_month IS NULL").select("order_id").isEmpty()
-
-
 def run_kpis(
     spark: SparkSession,
     workspace: Workspace,
@@ -208,57 +130,49 @@ def run_kpis(
 ) -> KpiRun | None:
     """Process the new valid files once; None if either type has no new file.
 
-    KPI rows replace stored rows of the same key. They come from all valid rows
-    of the touched days, which is right also when one day is spread over several
-    files; without `recompute`, or where no file came before, they come from the
-    new files alone.
+    KPI rows replace stored rows of the same key. They come from the partial
+    sums of the touched days, those of earlier deliveries included, which is
+    right also when one day is spread over several files; without `recompute`
+    they come from the new files alone. Partial sums, both KPI tables and the
+    ledger change in one commit: a run that dies before it leaves everything as
+    it was and is repeated with the same files, and none counts twice.
     """
     run_id = run_id or new_run_id()
     work = f"{workspace.staging(run_id)}/kpis"
-    marked_files(spark, workspace, latest_only).write.mode("overwrite").parquet(f"{work}/files")
-    files = spark.read.parquet(f"{work}/files")
-    runs = gate_runs(files)
-    if {run.file_type for run in runs if run.n_wanted} != set(REQUIRED_COLUMNS):
+    pending_files(spark, workspace, latest_only).write.mode("overwrite").parquet(f"{work}/files")
+    wanted = spark.read.schema(GATE_LOG).parquet(f"{work}/files")
+    runs = gate_runs(spark, workspace, wanted)
+    if {run.file_type for run in runs} != set(REQUIRED_COLUMNS):
         return None
-    wanted = files.where("wanted")
-    counted = files.where("counted")
-
-    def new(file_type: str) -> DataFrame:
-        return rows_of(spark, workspace, runs, wanted, file_type, lambda run: run.n_wanted)
 
-    def all_rows(file_type: str) -> DataFrame:
-        return rows_of(spark, workspace, runs, counted, file_type, lambda run: run.n_counted)
-
-    orders, items = new("orders"), new("order_items")
-    category_items = items
-    built = is_built(spark, workspace)
-    add_to_index(
-        spark,
-        workspace,
-        orders if built else all_rows("orders"),
-        items if built else all_rows("order_items"),
-    )
-    earlier = any(run.n_counted > run.n_wanted for run in runs)
-    if recompute and earlier:
-        orders, items, category_items = recomputed(
-            spark, workspace, all_rows("orders"), all_rows("order_items"), orders, items
-        )
+    orders, items = (rows_of(spark, workspace, wanted, runs, t) for t in REQUIRED_COLUMNS)
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"
+    added = [orders, items]
+    if not is_built(spark, workspace) and path_exists(spark, workspace.ledger):  # from before the sums were kept
+        counted = wanted.unionByName(known_files(spark, workspace))
+        every = gate_runs(spark, workspace, counted)
+        added = [rows_of(spark, workspace, counted, every, t) for t in REQUIRED_COLUMNS]
+    delivery = write_delivery(spark, workspace, *added, f"{work}/delivery", version)
     products = read_csv(spark, latest_delivery(spark, workspace.products))
+    if recompute:
+        days = touched_days(spark, workspace, delivery)
+        category_rows, order_rows = kpis_of_days(spark, workspace, delivery, days, products)
+    else:
+        category_rows, order_rows = category_kpis(items, products), order_kpis(orders, items)
 
     tables = {
-        "category": (
-            category_kpis(category_items, products),
-            workspace.category_kpis,
-            CATEGORY_KPI,
-            CATEGORY_KPI_KEYS,
-        ),
-        "order": (order_kpis(orders, items), workspace.order_kpis, ORDER_KPI, ORDER_KPI_KEYS),
+        "category": (category_rows, workspace.category_kpis, CATEGORY_KPI, CATEGORY_KPI_KEYS),
+        "order": (order_rows, workspace.order_kpis, ORDER_KPI, ORDER_KPI_KEYS),
     }
-    for name, (rows, _, schema, keys) in tables.items():
+    commit = Commit(spark, workspace.root.rstrip("/"), version)
+    for name, (rows, target, schema, keys) in tables.items():
         stage(rows, f"{work}/{name}", schema, keys)
-    for name, (_, target, schema, keys) in tables.items():
-        apply_staged(spark, f"{work}/{name}", f"{work}/{name}_merged", target, schema, keys)
-    mark_processed(wanted, workspace.ledger, processed_at)
+        apply_staged(spark, f"{work}/{name}", target, schema, keys, commit)
+    delivery.commit(workspace, commit)
+    mark_processed(wanted, workspace.ledger, processed_at, commit)
+    commit.finish()
+    compact_parts(spark, workspace)
+    compact_ledger(spark, workspace.ledger)
     return KpiRun(
         run_id,
         wanted,

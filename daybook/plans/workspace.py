@@ -68,20 +68,9 @@ class Workspace:
         """Text rows of rejected flat files, each with the rules it breaks."""
         return self._at("rejected_rows")
 
-    @property
-    def order_days(self) -> str:
-        """Day of every processed order, by a hash of its id."""
-        return self._at("index/order_days")
-
-    @property
-    def item_months(self) -> str:
-        """Pairs of months: of orders, and of items they have."""
-        return self._at("index/item_months")
-
-    @property
-    def orphan_items(self) -> str:
-        """Months of items whose order was not known when they came."""
-        return self._at("index/orphan_items")
+    def part(self, name: str) -> str:
+        """Partial sums of processed rows, see `operators/parts.py`."""
+        return self._at(f"parts/{name}")
 
     def staging(self, run_id: str) -> str:
         return self._at(f"staging/{run_id}")

@@ -101,9 +101,31 @@ ARCHIVE_LINES = _struct(
     run_id=_text,
 )
 
-ORDER_DAYS = _struct(order_id=_text, order_date=_day, bucket=T.IntegerType())
-ITEM_MONTHS = _struct(order_month=_text, item_month=_text)
-ORPHAN_ITEMS = _struct(order_id=_text, item_month=_text)
+# Partial sums of processed rows. Sums of several rows of one key add up.
+_month = {"order_month": _text}
+_sum = {"order_revenue": T.DecimalType(30, 2), "n_lines": T.LongType()}
+ITEM_PARTS = _struct(
+    order_id=_text,
+    product_id=_text,
+    order_date=_day,
+    order_value=T.DecimalType(30, 2),
+    n_lines=T.LongType(),
+    returned_flag=T.IntegerType(),
+    **_month,
+)
+ORDER_PARTS = _struct(
+    order_id=_text,
+    user_id=_text,
+    order_date=_day,
+    n_rows=T.LongType(),
+    n_items=T.LongType(),
+    n_returned=T.LongType(),
+    **_month,
+)
+REVENUE_PARTS = _struct(order_id=_text, order_date=_day, **_sum, **_month)
+# By order id, in order of `place`.
+ORDER_DAYS = _struct(place=_text, order_id=_text, order_date=_day)
+WAITING_ITEMS = _struct(place=_text, order_id=_text, **_sum)
 
 _RUN = {"dt": _day, "run_id": _text, "order_month": _text}
 CLEAN_ROWS = {

@@ -16,14 +16,3 @@ def even(df: DataFrame, *columns: str) -> DataFrame:
 def append(df: DataFrame, path: str, *partitions: str) -> None:
     writer = (even(df, *partitions) if partitions else df).write.mode("append")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
-
-
-def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace exactly the partitions that `df` has rows for; running it twice is harmless."""
-    (
-        even(df, *partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )

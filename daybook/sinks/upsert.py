@@ -1,13 +1,16 @@
 """Keyed upsert into KPI tables stored by month."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daybook.functions.casting import month_of
 from daybook.operators.merge import complete_keys, merge_by_key
-from daybook.sinks.tables import overwrite_partitions
-from daybook.sources.tables import path_exists, read_table, small_rows
+from daybook.sinks.versions import Commit, put_state, write_rows
+from daybook.sources.tables import read_table, small_rows
+from daybook.sources.versions import read_folders, read_state
 
 MONTH = "order_month"
 
@@ -31,29 +34,31 @@ def stage(rows: DataFrame, path: str, schema: StructType, keys: list[str]) -> No
 def apply_staged(
     spark: SparkSession,
     staged_path: str,
-    merged_path: str,
     target_path: str,
     schema: StructType,
     keys: list[str],
+    commit: Commit | None = None,
 ) -> None:
     """Merge staged rows into the target, one whole row per key, last write wins.
 
-    Only the months that have new rows are read and replaced. The merged rows
-    are written out first, so the target is never read and replaced in one job,
-    and a replacement cut off within its commit can be put right from them.
-    Months that the target does not have come straight from the staged rows.
+    Only the months that have new rows are read and written again, to folders
+    of their own. The table changes with its next state: at once, or with
+    `commit`. A run that dies before that leaves the table as it was.
     """
     staged = stored_kpis(spark, staged_path, schema)
     months = [row[0] for row in small_rows(staged.select(MONTH).distinct())]
-    old = [month for month in months if path_exists(spark, f"{target_path}/{MONTH}={month}")]
-    if len(old) < len(months):
-        fresh = staged.where(~F.col(MONTH).isin(old)) if old else staged
-        overwrite_partitions(fresh, target_path, MONTH)
-    if old:
-        stored = stored_kpis(spark, target_path, schema).where(F.col(MONTH).isin(old))
-        replaced = staged.where(F.col(MONTH).isin(old))
-        merge_by_key(stored, replaced, keys).write.mode("overwrite").parquet(merged_path)
-        overwrite_partitions(stored_kpis(spark, merged_path, schema), target_path, MONTH)
+    if not months:
+        return
+    base = read_state(spark, target_path)
+    full = StructType([*schema.fields]).add(MONTH, "string")
+    old = [f for month in months for f in base.folders.get(month, ())]
+    rows = merge_by_key(read_folders(spark, target_path, full, old), staged, keys) if old else staged
+    written = write_rows(rows, target_path, uuid.uuid4().hex, MONTH, tuple(keys))
+    folders = base.folders | {month: [folder] for month, folder in written.items()}
+    if commit is not None:
+        commit.prepare(target_path, base, folders)
+    else:
+        put_state(spark, target_path, base, folders)
 
 
 def upsert(
@@ -66,4 +71,4 @@ def upsert(
 ) -> None:
     """Stage, merge and replace in one call."""
     stage(rows, f"{scratch}/new", schema, keys)
-    apply_staged(spark, f"{scratch}/new", f"{scratch}/merged", target_path, schema, keys)
+    apply_staged(spark, f"{scratch}/new", target_path, schema, keys)

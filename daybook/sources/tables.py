@@ -7,29 +7,20 @@ from pyspark.sql.types import StructType
 
 from daybook.operators.ledger import distinct_ledger
 from daybook.schemas import LEDGER
+from daybook.sources.versions import is_versioned, path_exists, read_partitions, read_versions
 
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+__all__ = ["path_exists", "read_ledger", "read_partitions", "read_table", "small_rows"]
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A plain table, or the committed rows of one that changes by commits."""
+    if is_versioned(spark, path):
+        return read_versions(spark, path, schema)
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 
-def read_partitions(
-    spark: SparkSession, path: str, schema: StructType, partitions: list[str]
-) -> DataFrame:
-    """Only the named partition folders are listed and read."""
-    if not partitions:
-        return spark.createDataFrame([], schema)
-    folders = [f"{path}/{partition}" for partition in partitions]
-    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
-
-
 def small_rows(df: DataFrame) -> Iterator[Row]:
     """Rows of a small result the driver needs: file names, gate runs, days, months.
 

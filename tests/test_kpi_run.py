@@ -1,12 +1,16 @@
 import datetime as dt
+import random
+import shutil
 from decimal import Decimal
 
 import pytest
 
-from daybook.plans import kpi_run
+from daybook.operators import kpis
+from daybook.plans import kpi_parts, kpi_run
 from daybook.plans.gate_run import run_gate
 from daybook.plans.kpi_run import run_kpis
 from daybook.schemas import CATEGORY_KPI, ORDER_KPI
+from daybook.sinks import versions
 from daybook.sinks.upsert import stored_kpis
 from daybook.sources.tables import read_ledger
 from daybook.streaming.kpi_stream import stream_kpis
@@ -211,8 +215,8 @@ def test_rows_of_an_uncommitted_gate_run_do_not_count(spark, tmp_path, monkeypat
     assert order_table(spark, workspace) == GOLDEN_DAYS
 
 
-def test_recompute_reads_stored_rows_by_month(spark, tmp_path):
-    """Items and orders far apart in time, in three deliveries, and no unpruned read of stored rows."""
+def test_items_and_orders_far_apart(spark, tmp_path):
+    """Items and orders far apart in time, in three deliveries."""
     workspace = golden_workspace(tmp_path)
     run_gate(spark, workspace, D7, "g1")
     run_kpis(spark, workspace)
@@ -234,17 +238,116 @@ def test_recompute_reads_stored_rows_by_month(spark, tmp_path):
         (D7, 2, Decimal("10.50"), 1, 0.0, 2),
         (dt.date(2025, 9, 1), 1, Decimal("9.00"), 1, 0.0, 1),
     ]
-    marked = kpi_run.marked_files(spark, workspace, False)
-    runs = kpi_run.gate_runs(marked)
 
-    def stored(file_type):
-        return kpi_run.rows_of(spark, workspace, runs, marked, file_type, lambda run: run.n_files)
 
-    new = [stored(t).where("run_id = 'g3'").checkpoint() for t in ("orders", "order_items")]
-    found = kpi_run.recomputed(spark, workspace, stored("orders"), stored("order_items"), *new)
-    for rows in found:
+def deliver(spark, workspace, name, orders, items):
+    """One gate run with an order file and an item file; `orders` are (id, user, day), `items` (id, product, day, price)."""
+    heads = [text.strip().splitlines()[0] for text in (MORE_ORDERS, MORE_ITEMS)]
+    lines = [
+        "".join(f"{i},{u},{d},complete,1\n" for i, u, d in orders),
+        "".join(f"{i},{p},{d},{price},complete\n" for i, p, d, price in items),
+    ]
+    for file_type, head, text in zip(("orders", "order_items"), heads, lines):
+        put(workspace, f"incoming/{file_type}/{name}.csv", f"{head}\n{text}")
+    run_gate(spark, workspace, D7, name)
+
+
+def test_a_delivery_reads_no_typed_row_of_another(spark, tmp_path):
+    """Typed rows of earlier runs are gone, and a delivery still gets its days right."""
+    workspace = golden_workspace(tmp_path)
+    run_gate(spark, workspace, D7, "g1")
+    run_kpis(spark, workspace)
+    for file_type in ("orders", "order_items"):
+        shutil.rmtree(tmp_path / f"validated/{file_type}/dt=2025-07-07/run_id=g1")
+    land_more(workspace)
+    run_gate(spark, workspace, D7, "g2")
+    run_kpis(spark, workspace)
+    assert order_table(spark, workspace) == RECOMPUTED_DAYS
+    assert category_table(spark, workspace) == recomputed_categories()
+
+
+def test_days_come_from_pruned_sums(spark, tmp_path):
+    workspace = golden_workspace(tmp_path)
+    deliver(spark, workspace, "g0", [(1, 1, "2025-05-01")], [(1, 100, "2025-05-01", "1.00")])
+    run_kpis(spark, workspace)
+    delivery = kpi_parts.Delivery({name: {} for name in kpi_parts.PARTS})
+    days = {"category": [D6], "order": [D6, D7]}
+    products = spark.createDataFrame([("100", "Books"), ("101", "Toys")], "id string, category string")
+    for rows in kpi_parts.kpis_of_days(spark, workspace, delivery, days, products):
         for scan in scans(rows):
-            assert "order_month" in scan["PartitionFilters"] or "bucket" in scan["PartitionFilters"]
+            assert "order_month" in scan["PartitionFilters"] and "order_date" in scan["PushedFilters"]
+        stored = [f for f in rows.inputFiles() if "/parts/" in f]
+        assert stored and not [f for f in stored if "2025-05" in f]
+
+
+def random_deliveries(seed, n):
+    """Orders over several days and deliveries, items before, with and after them, and without any."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        orders = [(rng.randrange(8), rng.randrange(4), dt.date(2025, rng.choice((6, 7)), rng.randrange(1, 4))) for _ in range(4)]
+        items = [
+            (rng.randrange(9), rng.choice((100, 101, 7)), rng.choice(("2025-06-30", "2025-07-01", "bad")), f"{rng.randrange(900) / 100:.2f}")
+            for _ in range(5)
+        ]
+        out.append((orders, items))
+    return out
+
+
+def test_deliveries_in_turn_equal_all_at_once(spark, tmp_path):
+    turns, once = golden_workspace(tmp_path / "turns"), golden_workspace(tmp_path / "once")
+    for k, (orders, items) in enumerate(random_deliveries(1, 3)):
+        deliver(spark, turns, f"g{k}", orders, items)
+        run_kpis(spark, turns)
+        deliver(spark, once, f"g{k}", orders, items)
+    run_kpis(spark, once)
+    assert order_table(spark, turns) == order_table(spark, once)
+    assert category_table(spark, turns) == category_table(spark, once)
+    # and both as the rows themselves say
+    orders, items = (
+        kpi_run.rows_of(spark, once, files, kpi_run.gate_runs(spark, once, files), t)
+        for files in [kpi_run.known_files(spark, once)]
+        for t in ("orders", "order_items")
+    )
+    plain = kpis.order_kpis(orders, items).where("order_date IS NOT NULL")
+    assert order_table(spark, once) == as_rows(plain, *ORDER_KPI.names)
+
+
+def test_a_killed_run_changes_nothing_and_the_next_needs_no_hand(spark, tmp_path, monkeypatch):
+    """The run ends between its last write and its commit."""
+    workspace = golden_workspace(tmp_path)
+    run_gate(spark, workspace, D7, "g1")
+    run_kpis(spark, workspace)
+    before = order_table(spark, workspace), category_table(spark, workspace), read_ledger(spark, workspace.ledger).count()
+    land_more(workspace)
+    run_gate(spark, workspace, D7, "g2")
+    with monkeypatch.context() as patch:
+        real = versions.create_once
+
+        def killed(session, path, text):
+            if "/commits/" in path:
+                raise OSError("lost")
+            real(session, path, text)
+
+        patch.setattr(versions, "create_once", killed)
+        with pytest.raises(OSError):
+            run_kpis(spark, workspace)
+    assert (order_table(spark, workspace), category_table(spark, workspace), read_ledger(spark, workspace.ledger).count()) == before
+    run_kpis(spark, workspace)
+    assert order_table(spark, workspace) == RECOMPUTED_DAYS
+    assert category_table(spark, workspace) == recomputed_categories()
+    assert run_kpis(spark, workspace) is None
+
+
+def test_sums_are_built_from_rows_processed_before_they_were_kept(spark, tmp_path):
+    workspace = golden_workspace(tmp_path)
+    run_gate(spark, workspace, D7, "g1")
+    run_kpis(spark, workspace)
+    shutil.rmtree(tmp_path / "parts")
+    land_more(workspace)
+    run_gate(spark, workspace, D7, "g2")
+    run_kpis(spark, workspace)
+    assert order_table(spark, workspace) == RECOMPUTED_DAYS
 
 
 def test_stream_equals_batch(spark, tmp_path):

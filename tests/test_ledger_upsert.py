@@ -9,6 +9,7 @@ from daybook.schemas import CATEGORY_KPI, CATEGORY_KPI_KEYS, ORDER_KPI, ORDER_KP
 from daybook.sinks.ledger import mark_processed
 from daybook.sinks.upsert import stored_kpis, upsert
 from daybook.sources.tables import read_ledger
+from daybook.sources.versions import read_state
 from tests.conftest import as_rows
 
 D6, D7 = dt.date(2025, 7, 6), dt.date(2025, 7, 7)
@@ -87,10 +88,11 @@ def test_upsert_leaves_other_months_alone(spark, tmp_path):
     march = dt.date(2025, 3, 1)
     first = category_rows(spark, ("A", march, 1), ("A", D6, 2))
     upsert(spark, first, str(target), CATEGORY_KPI, CATEGORY_KPI_KEYS, str(tmp_path / "s1"))
-    before = sorted(p.name for p in (target / "order_month=2025-03").iterdir())
+    before = read_state(spark, str(target)).folders
     new = category_rows(spark, ("A", D6, 5))
     upsert(spark, new, str(target), CATEGORY_KPI, CATEGORY_KPI_KEYS, str(tmp_path / "s2"))
-    assert sorted(p.name for p in (target / "order_month=2025-03").iterdir()) == before
+    after = read_state(spark, str(target)).folders
+    assert after["2025-03"] == before["2025-03"] and after["2025-07"] != before["2025-07"]
     assert as_rows(stored_kpis(spark, str(target), CATEGORY_KPI), "order_date", "daily_revenue") == [
         (march, Decimal("1.00")),
         (D6, Decimal("5.00")),
@@ -130,7 +132,7 @@ def test_failed_replacement_can_be_repeated(spark, tmp_path, monkeypatch):
         raise RuntimeError("lost")
 
     with monkeypatch.context() as patch:
-        patch.setattr(module, "overwrite_partitions", broken)
+        patch.setattr(module, "put_state", broken)
         with pytest.raises(RuntimeError):
             upsert(
                 spark,
@@ -140,6 +142,10 @@ def test_failed_replacement_can_be_repeated(spark, tmp_path, monkeypatch):
                 CATEGORY_KPI_KEYS,
                 str(tmp_path / "s2"),
             )
+    assert as_rows(stored_kpis(spark, target, CATEGORY_KPI), "category", "daily_revenue") == [
+        ("A", Decimal("1.00")),
+        ("B", Decimal("2.00")),
+    ]
     upsert(
         spark,
         category_rows(spark, ("B", D6, 9)),
