@@ -272,4 +272,4 @@ def _power(window: int) -> int:
 
 def kept_words(kept: Column) -> Column:
     """Words of a text joined by one space."""
-    return F.regexp_replace(F.regexp_replace(kept, r"[\x20\x09-\x0D]+", " "), "^ | $", "")
+    return F.regexp_replace(F.regexp_replace(kept, r"[\x20\x09-\x0D]+", " "), r"\A | \z", "")

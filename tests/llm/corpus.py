@@ -38,6 +38,8 @@ def rows(seed=1, n=60):
         (n + 8, " é\x1c ü" * 30),
         (n + 9, "x" * 5000),
     ]
+    # words that other rules than ASCII white space take for ends of lines
+    out += [(n + 10, "ka lo \u2028"), (n + 11, "\u0085 ka lo \u0085"), (n + 12, "lo \u2029 "), (n + 13, "lo \x1c")]
     out += [out[7], out[7], (None, out[8][1]), (None, "alone here")]
     return out
 
