@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.bindings import STAR_ITEMS, STAR_ORDERS, STAR_PRODUCTS, Binding
-from daybook.functions.paths import processed_key
+from daybook.functions.paths import base_name, plain_path, processed_key
 from daybook.operators import arrivals as arr
 from daybook.operators import flat, gate, kpis, ledger, quality, serving
 from daybook.operators.cleaning import clean_items, clean_orders, reject_counts
@@ -319,20 +319,28 @@ def q_file_gate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_written_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """The manifest of a gate run over files of both types, read back."""
+    """The manifest of a gate run over all orders and lines as files, read back; keys keep the files' names."""
     workspace = Workspace(scratch_folder(spark, "manifest"))
     orders, items = workspace.incoming("orders"), workspace.incoming("order_items")
     required = REQUIRED_COLUMNS["orders"]
-    for priority in ("1-URGENT", "2-HIGH"):
+    for priority in ("1-URGENT", "2-HIGH", "4-NOT SPECIFIED", "5-LOW"):
         rows = priority_rows(spark, folder, priority)
         _write_csv(rows.select(*required), f"{orders}/{priority}")
     _write_csv(priority_rows(spark, folder, "3-MEDIUM").drop("status"), f"{orders}/3-MEDIUM")
-    lines = STAR_ITEMS.apply(table(spark, folder, "lineitem").where("l_returnflag = 'R'"))
-    _write_csv(lines.select(*REQUIRED_COLUMNS["order_items"]), f"{items}/R")
+    lines = table(spark, folder, "lineitem")
+    for flag in ("R", "A", "N"):
+        rows = STAR_ITEMS.apply(lines.where(F.col("l_returnflag") == flag))
+        _write_csv(rows.select(*REQUIRED_COLUMNS["order_items"]), f"{items}/{flag}")
     run_gate(spark, workspace, dt.date(2025, 7, 6), archive=False)
     listed = spark.read.schema(f"{MANIFEST}, dt string").json(workspace.manifests)
-    folder_of = F.regexp_replace("file_key", "[^/]+$", "")
-    return listed.select("dt", "file_type", batch_of().alias("batch"), folder_of.alias("key_folder")).distinct()
+    landed = plain_path("path")
+    same = base_name(landed) == base_name("file_key")
+    return listed.groupBy(
+        "dt",
+        "file_type",
+        F.regexp_extract(landed, "incoming/[^/]+/([^/]+)/", 1).alias("batch"),
+        F.regexp_replace("file_key", "[^/]+$", "").alias("key_folder"),
+    ).agg(F.min(same.cast("int")).alias("names_kept"))
 
 
 def deliver(spark: SparkSession, folder: str, workspace: Workspace, first: bool) -> None:
@@ -576,11 +584,62 @@ def q_flat_job_kpi(spark: SparkSession, folder: str) -> DataFrame:
     return stored_kpis(spark, workspace.flat_order_kpis, ORDER_KPI).drop("order_month")
 
 
+def q_flat_file_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Flat files must start with a header row: with it, without it, and with nothing else."""
+    workspace = Workspace(scratch_folder(spark, "flat-gate"))
+    rows = star_flat_text(spark, folder).select(*FLAT_COLUMNS)
+    landing = workspace.incoming(FLAT_TYPE)
+    _write_csv(rows, f"{landing}/headed")
+    _write_csv(rows, f"{landing}/bare", header=False)
+    rows.where("false").coalesce(1).write.option("header", True).csv(f"{landing}/header_only")
+    verdicts = judge(
+        spark,
+        list_incoming(spark, workspace, [FLAT_TYPE]),
+        dt.date(2025, 7, 6),
+        "star",
+        workspace.staging("star"),
+        {FLAT_TYPE: FLAT_COLUMNS},
+    )
+    missing = F.coalesce(F.size("missing"), F.lit(0)).alias("n_missing")
+    first_rows = F.count_if(batch_of() == "bare")  # taken for headers
+    return verdicts.groupBy(batch_of().alias("batch"), "verdict", missing).agg(
+        (F.sum("n_rows") + first_rows).alias("n_rows")
+    )
+
+
+def q_idle_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run with order files alone does nothing and marks nothing; with item files it takes both."""
+    workspace = Workspace(scratch_folder(spark, "idle"))
+    deliver(spark, folder, workspace, first=True)
+    items = f"{workspace.incoming('order_items')}/first"
+    late = f"{workspace.incoming('order_items')}/_first"  # hidden, so still on its way
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    system = path_of(items).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.rename(path_of(items), path_of(late))
+    run_gate(spark, workspace, archive=False)
+    found = []
+    for step in ("orders alone", "both"):
+        if step == "both":
+            system.rename(path_of(late), path_of(items))
+            run_gate(spark, workspace, archive=False)
+        ran = run_kpis(spark, workspace) is not None
+        stored = stored_kpis(spark, workspace.order_kpis, ORDER_KPI).select(F.lit(1).alias("day"), F.lit(0).alias("known"))
+        known = read_ledger(spark, workspace.ledger).select(F.lit(0).alias("day"), F.lit(1).alias("known"))
+        found.append(
+            stored.unionByName(known).agg(
+                F.count_if(F.col("day") == 1).alias("n_days"),
+                (F.count_if(F.col("known") == 1) > 0).alias("marked"),
+            ).select(F.lit(step).alias("step"), F.lit(ran).alias("ran"), "n_days", "marked")
+        )
+    return found[0].unionByName(found[1])
+
+
 def q_quarantined_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Kept lines of files without a column, and kept rows of rejected flat files by broken rule."""
     workspace = Workspace(scratch_folder(spark, "quarantine"))
-    medium = priority_rows(spark, folder, "3-MEDIUM").drop("user_id")
-    _write_csv(medium, f"{workspace.incoming('orders')}/no_user")
+    orders = Binding({**STAR_ORDERS.columns, "num_of_item": "'1'"}).apply(table(spark, folder, "orders"))
+    without = orders.drop("user_id")
+    _write_csv(without, f"{workspace.incoming('orders')}/no_user")
     run_gate(spark, workspace, dt.date(2025, 7, 6))
     land_flat(star_flat_text(spark, folder), workspace)
     run_flat(spark, workspace, star_products(spark, folder), dt.date(2025, 7, 6))

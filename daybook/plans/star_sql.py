@@ -205,11 +205,11 @@ ORACLES = {
         union all select 'zero', 'unreadable', '', 'no lines', 0
         union all select 'hidden', 'unreadable', '', 'hidden from readers by its name', 0""",
     "written_manifest": """select distinct '2025-07-06' dt, 'orders' file_type, o_orderpriority batch,
-               'validated/orders/dt=2025-07-06/' key_folder
-        from orders where o_orderpriority in ('1-URGENT', '2-HIGH')
+               'validated/orders/dt=2025-07-06/' key_folder, 1 names_kept
+        from orders where o_orderpriority <> '3-MEDIUM'
         union all select distinct '2025-07-06', 'order_items', l_returnflag,
-               'validated/order_items/dt=2025-07-06/'
-        from lineitem where l_returnflag = 'R'""",
+               'validated/order_items/dt=2025-07-06/', 1
+        from lineitem""",
     "stored_ledger": """with o as (
           select o_orderkey, case when o_orderdate < timestamp '1998-07-01' then 'first'
                                   else 'second' end batch from orders),
@@ -238,8 +238,15 @@ ORACLES = {
         from r group by 1""",
     "quarantined_lines": f"""with {FLAT_TEXT}
         select 'missing_columns' verdict, 'user_id' reason, count(*) n
-        from orders where o_orderpriority = '3-MEDIUM'
+        from orders
         union all select 'rejected_rows', reason, count(*) from reasons group by 2""",
+    "flat_file_gate": f"""with {FLAT_TEXT}
+        select 'headed' batch, 'valid' verdict, 0 n_missing, count(*) n_rows from ft
+        union all select 'bare', 'missing_columns', 8, count(*) from ft
+        union all select 'header_only', 'empty', 0, 0""",
+    "idle_run": """select 'orders alone' step, false ran, 0 n_days, false marked
+        union all select 'both', true, count(distinct cast(o_orderdate as date)), true
+        from orders where o_orderdate < timestamp '1998-07-01'""",
     "stream_order_kpi": f"with {ORDER_KPI} select * from ok",
     "landed_category_kpi": f"with {CATEGORY_KPI} select * from ck",
     "run_summary": f"""with {CATEGORY_KPI}, {ORDER_KPI}, {FILES}
