@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.rows import uniform
+from daybook.operators.joins import join_on_key
 
 #: (verdict, host/path); the longest rule that fits decides.
 RULES = (
@@ -23,8 +24,12 @@ RULES = (
 )
 FEATURES = (
     "url_length", "host_length", "path_length", "host_depth", "path_depth", "digit_ratio", "upper_ratio", "entropy",
-    "parameters", "query_length", "hyphens", "has_fragment", "suffix_share", "suffix_blocked", "last_label_blocked",
+    "parameters", "query_length", "hyphens", "has_fragment", "suffix_blocked", "host_blocked", "segment_blocked",
 )
+#: Judged URLs are dealt into so many parts; statistics of a judged URL come from the other parts.
+PARTS = 5
+#: Judged URLs that the middle counts for in a statistic.
+PRIOR_WEIGHT = 10
 
 
 def parse(url: Column) -> tuple[Column, Column]:
@@ -90,14 +95,108 @@ def lexical(rows: DataFrame) -> DataFrame:
     return rows.withColumns({name: c.cast("double") for name, c in columns.items()})
 
 
-def _suffix_statistics(rows: DataFrame, key: str, name: str, prior: float) -> DataFrame:
-    """Share of blocked URLs among those that rules judge, per value of `key`, drawn to the mean where few are known."""
-    known, blocked = F.count("verdict"), F.sum(F.when(F.col("verdict") == "block", 1.0).otherwise(0.0))
-    return rows.groupBy(key).agg(
-        ((blocked + 20 * prior) / (known + 20)).alias(name), F.count("*").cast("double").alias(f"{name}_n")
+def segment(path: Column) -> Column:
+    """The first part of a path that is not empty, in small letters; numbers count as one."""
+    first = F.lower(F.regexp_extract(path, r"^/*([^/]*)", 1))
+    return F.regexp_replace(first, "[0-9]+", "0")
+
+
+def part_of(url: Column | str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("part"), url), F.lit(PARTS)).cast("int")
+
+
+def _statistics(judged: DataFrame, key: str) -> DataFrame:
+    """Judged and blocked URLs per value of `key`: in all, and per part as arrays."""
+
+    def per_part(condition: Column) -> Column:
+        return F.array(*[F.count_if(condition & (F.col("_part") == p)) for p in range(PARTS)])
+
+    return judged.groupBy(key).agg(
+        per_part(F.lit(True)).alias(f"_{key}_n"), per_part(F.col("verdict") == "block").alias(f"_{key}_b")
     )
 
 
+def _without_own_part(key: str, name: str) -> Column:
+    """A count that leaves out the part of a row that was learned from, so that its own verdict says nothing."""
+    parts = F.coalesce(F.col(f"_{key}_{name}"), F.array(*[F.lit(0).cast("long")] * PARTS))
+    total = F.aggregate(parts, F.lit(0).cast("long"), lambda a, x: a + x)
+    return total - F.when(F.col("_learn"), F.get(parts, F.col("_part"))).otherwise(0)
+
+
+def scored(rows: DataFrame, learn: Column, sample: int, trees: int, depth: int) -> DataFrame | None:
+    """`rows` (url, host, path, verdict) with `block_score`, from the verdicts of the rows that `learn` marks.
+
+    None if these have one verdict only.
+    """
+    spark = rows.sparkSession
+    rows = rows.withColumns(
+        {
+            "suffix": suffix(F.col("host")),
+            "segment": segment(F.col("path")),
+            "_learn": F.coalesce(learn, F.lit(False)),
+            "_part": part_of("url"),
+        }
+    )
+    judged = rows.where("_learn").select("url", "host", "suffix", "segment", "verdict", "_part").distinct()
+    counts = {r["verdict"]: r["n"] for r in judged.groupBy("verdict").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 2:
+        return None
+    total = sum(counts.values())
+    prior = counts["block"] / total
+    featured = lexical(rows)
+    for key in ("suffix", "host", "segment"):  # any of them may be that of a third of the rows
+        featured = join_on_key(featured, _statistics(judged, key), key, "left")
+    for key in ("suffix", "host", "segment"):
+        known, blocked = _without_own_part(key, "n"), _without_own_part(key, "b")
+        # both verdicts weigh the same in all, so a value that nothing is known of stands in the middle
+        b, a = blocked * 0.5 / prior, (known - blocked) * 0.5 / (1 - prior)
+        featured = featured.withColumn(f"{key}_blocked", (b + PRIOR_WEIGHT / 2) / (b + a + PRIOR_WEIGHT))
+    block = F.col("verdict") == "block"
+    training = (
+        featured.where(F.col("_learn") & (uniform("url") < min(1.0, sample / total)))
+        .dropDuplicates(["url"])
+        .withColumn("label", F.when(block, 1.0).otherwise(0.0))
+        .withColumn("weight", F.when(block, 0.5 / prior).otherwise(0.5 / (1 - prior)))
+        .orderBy(F.xxhash64("url"), "url")
+        .select("label", "weight", *FEATURES)
+        .limit(2 * sample)
+    )
+    training = spark.createDataFrame(training.toPandas(), training.schema).coalesce(1)  # bounded by `sample`
+    model = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep"),
+            GBTClassifier(
+                labelCol="label", featuresCol="features", weightCol="weight", maxIter=trees, maxDepth=depth, seed=7,
+                maxBins=32,
+            ),
+        ]
+    ).fit(training)
+    return model.transform(featured).withColumn("block_score", vector_to_array("probability")[1])
+
+
+def _ruled(pages: DataFrame, rules: Sequence[tuple[str, str]], id_col: str, url_col: str) -> DataFrame:
+    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
+    host, path = parse(F.col("url"))
+    rows = rows.withColumn("host", host).withColumn("path", path)
+    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    return rows.withColumn("rule", rule).withColumn("verdict", verdict)
+
+
+def held_out_accuracy(
+    pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: int = 20_000, trees: int = 12, depth: int = 4,
+    id_col: str = "page_id", url_col: str = "url",
+) -> dict[str, float]:
+    """Share of right verdicts of the trees on `allow` and `block` URLs they never saw, a fifth of those that rules judge."""
+    rows = _ruled(pages, rules, id_col, url_col)
+    held = F.pmod(F.xxhash64(F.lit("held out"), "url"), F.lit(5)) == 0
+    found = scored(rows, F.col("verdict").isNotNull() & ~held, sample, trees, depth)
+    if found is None:
+        return {}
+    right = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow") == F.col("verdict")
+    shares = found.where(F.col("verdict").isNotNull() & held).groupBy("verdict").agg(F.avg(right.cast("double")).alias("share"))
+    return {r["verdict"]: r["share"] for r in shares.collect()}
+
+
 def judge(
     pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, sample: int = 20_000, trees: int = 12, depth: int = 4,
     id_col: str = "page_id", url_col: str = "url",
@@ -106,62 +205,26 @@ def judge(
 
     Rules decide where one fits. Elsewhere boosted trees, trained on at most
     about `sample` URLs that rules have judged (chosen by a hash of the URL,
-    URLs alike for all their rows), give a score from 0 to 1; 0.5 or more is
-    `block`. Suffix statistics count all URLs. If rules give one verdict only,
-    it holds for the rest too; without any judged URL the rest is allowed.
+    each URL once, both verdicts with equal weight), give a score from 0 to 1;
+    0.5 or more is `block`. Statistics of suffix, host and first part of the
+    path count all judged URLs but those of a judged URL's own part, so no
+    verdict explains itself. If rules give one verdict only, it holds for the
+    rest too; without any judged URL the rest is allowed.
 
     A null URL has an empty host and path and the features of an empty text.
     Repeated rows are judged each and alike, a null id stays null, no rows give
     no rows, other columns are ignored.
     """
-    spark = pages.sparkSession
-    rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
-    host, path = parse(F.col("url"))
-    rows = rows.withColumn("host", host).withColumn("path", path)
-    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumn("rule", rule).withColumn("verdict", verdict).withColumn("suffix", suffix(F.col("host"))).withColumn(
-        "last_label", F.substring_index("host", ".", -1)
-    )
-    counts = {
-        r["verdict"]: r["n"] for r in rows.where("verdict is not null").groupBy("verdict").agg(
-            F.count("*").alias("n")
-        ).collect()
-    }
-    total = sum(counts.values())
+    rows = _ruled(pages, rules, id_col, url_col)
     done = ["page_id", "host", "path", "rule"]
-    if len(counts) < 2:
-        only = next(iter(counts), "allow")
+    found = scored(rows, F.col("verdict").isNotNull(), sample, trees, depth)
+    if found is None:
+        one = rows.where("verdict is not null").select("verdict").first()
+        only = one["verdict"] if one else "allow"
         return rows.select(
             *done,
             F.coalesce("verdict", F.lit(only)).alias("verdict"),
             F.lit(float(only == "block")).alias("block_score"),
         )
-    prior = counts["block"] / total
-    by_suffix = _suffix_statistics(rows, "suffix", "suffix_blocked", prior)
-    by_label = _suffix_statistics(rows, "last_label", "last_label_blocked", prior).drop("last_label_blocked_n")
-    featured = (
-        lexical(rows)
-        .join(by_suffix, "suffix", "left")
-        .join(by_label, "last_label", "left")
-        .withColumn("suffix_share", F.log1p("suffix_blocked_n"))
-    )
-    share = min(1.0, sample / total)
-    training = (
-        featured.where(F.col("verdict").isNotNull() & (uniform("url") < share))
-        .withColumn("label", F.when(F.col("verdict") == "block", 1.0).otherwise(0.0))
-        .select("label", *FEATURES)
-        .orderBy(*FEATURES, "label")
-        .limit(2 * sample)
-    )
-    training = spark.createDataFrame(training.toPandas(), training.schema).coalesce(1)  # bounded by `sample`
-    model = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep"),
-            GBTClassifier(
-                labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, seed=7, maxBins=32
-            ),
-        ]
-    ).fit(training)
-    scored = model.transform(featured).withColumn("block_score", vector_to_array("probability")[1])
     learned = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")
-    return scored.select(*done, F.coalesce("verdict", learned).alias("verdict"), "block_score")
+    return found.select(*done, F.coalesce("verdict", learned).alias("verdict"), "block_score")

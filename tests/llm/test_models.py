@@ -178,6 +178,21 @@ def test_url_rules_and_method(spark):
     assert by_id[6].verdict == "block" and by_id[11].verdict == "allow"  # the trees learned the suffix
 
 
+def test_url_verdicts_on_urls_never_seen(spark):
+    """Trees judge what rules judge, without the rules, and do not say the same of everything else."""
+    rng = random.Random(3)
+    data = []
+    for k in range(3000):
+        host = f"{speech(rng, 'aa', 1)}.example.{rng.choice(('com', 'com', 'net', 'org'))}"
+        data.append((k, f"http://{host}/{rng.choice(('en', 'es', 'fr', 'de'))}/{k}"))
+    data += [(3000 + k, data[5][1]) for k in range(1500)]  # one URL is a third of all rows
+    pages = spark.createDataFrame(data, "page_id long, url string").repartition(3)
+    found = url_filter.held_out_accuracy(pages, trees=5, depth=3)
+    assert set(found) == {"allow", "block"} and sum(found.values()) / 2 >= 0.8
+    rows = url_filter.judge(pages, trees=5, depth=3).collect()
+    assert len(rows) == len(data) and {r.verdict for r in rows if r.rule is None} == {"allow", "block"}
+
+
 def test_url_features(spark):
     host, path = url_filter.parse(F.col("url"))
     rows = spark.createDataFrame(
