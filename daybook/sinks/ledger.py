@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from daybook.operators.ledger import distinct_ledger
 from daybook.schemas import LEDGER
-from daybook.sinks.versions import Commit, merge_folders, put_state, write_rows
+from daybook.sinks.versions import Commit, merge_folders, put_state, take_over, write_rows
 from daybook.sources.versions import read_folders, read_state
 
 
@@ -16,6 +16,7 @@ def mark_processed(files: DataFrame, path: str, processed_at=None, commit: Commi
     spark = files.sparkSession
     processed_at = F.current_timestamp() if processed_at is None else F.lit(processed_at)
     entries = files.withColumn("processed_at", processed_at.cast("timestamp")).select(*LEDGER.names)
+    take_over(spark, path, LEDGER)
     written = write_rows(entries.hint("rebalance"), path, uuid.uuid4().hex)
     if commit is not None:
         commit.append(path, written)

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from daybook.functions.casting import month_of
 from daybook.operators.merge import complete_keys, merge_by_key
-from daybook.sinks.versions import Commit, put_state, write_rows
+from daybook.sinks.versions import Commit, put_state, take_over, write_rows
 from daybook.sources.tables import read_table, small_rows
 from daybook.sources.versions import read_folders, read_state
 
@@ -49,6 +49,7 @@ def apply_staged(
     months = [row[0] for row in small_rows(staged.select(MONTH).distinct())]
     if not months:
         return
+    take_over(spark, target_path, schema, MONTH)
     base = read_state(spark, target_path)
     full = StructType([*schema.fields]).add(MONTH, "string")
     old = [f for month in months for f in base.folders.get(month, ())]

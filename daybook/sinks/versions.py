@@ -8,9 +8,10 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
-from py4j.protocol import Py4JJavaError
+from pyspark.sql.types import StructType
 
 from daybook.sinks.tables import even
 from daybook.sources.versions import (
@@ -18,6 +19,7 @@ from daybook.sources.versions import (
     State,
     folder_names,
     hadoop_path,
+    is_versioned,
     read_state,
     state_names,
 )
@@ -109,6 +111,33 @@ def put_state(
     create_once(spark, f"{path}/{STATES}/{base.last + 1:09d}.json", content)
 
 
+def take_over(spark: SparkSession, path: str, schema: StructType, partition: str | None = None) -> None:
+    """Gives a plain table, as earlier versions wrote it, its first state; nothing if it has one.
+
+    Folders of partitions move below a version of their own, which a run that
+    dies in between leaves to the next. Rows without partitions are copied.
+    """
+    if is_versioned(spark, path):
+        return
+    names = [n for n in folder_names(spark, path) if n[0] not in "_." and not n.startswith("version=")]
+    first = "version=0"
+    if partition is not None:
+        for name in names:
+            system, source = hadoop_path(spark, f"{path}/{name}")
+            _, target = hadoop_path(spark, f"{path}/{first}/{name}")
+            system.mkdirs(target.getParent())
+            system.rename(source, target)
+        moved = [n for n in folder_names(spark, f"{path}/{first}") if n.startswith(f"{partition}=")]
+        folders = {n.partition("=")[2]: [f"{first}/{n}"] for n in moved}
+    elif names:
+        plain = spark.read.schema(schema).parquet(*[f"{path}/{n}" for n in names])
+        folders = {v: [f] for v, f in write_rows(plain, path, uuid.uuid4().hex).items()}
+    else:
+        folders = {}
+    if folders:
+        put_state(spark, path, State(), folders)
+
+
 def _size(spark: SparkSession, path: str) -> int:
     system, folder = hadoop_path(spark, path)
     return system.getContentSummary(folder).getLength()

@@ -64,7 +64,7 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def is_versioned(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path}/{STATES}")
+    return bool(state_names(spark, path))
 
 
 def state_names(spark: SparkSession, path: str) -> list[str]:

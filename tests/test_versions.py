@@ -1,5 +1,7 @@
 """Tables that change by commits, and the order index that is read where it is needed."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -7,11 +9,15 @@ from pyspark.sql import types as T
 from daybook.operators import parts
 from daybook.plans import kpi_parts
 from daybook.plans.workspace import Workspace
+from daybook.schemas import CATEGORY_KPI, CATEGORY_KPI_KEYS, LEDGER
 from daybook.sinks import versions
 from daybook.sinks.ledger import compact_ledger, mark_processed
+from daybook.sinks.upsert import stored_kpis, upsert
 from daybook.sources.tables import read_ledger, read_table
 from daybook.sources.versions import read_folders, read_state
-from tests.test_ledger_upsert import keys
+from tests.test_ledger_upsert import D6, category_rows, keys
+
+D3 = dt.date(2025, 3, 1)
 
 ROWS = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("m", T.StringType())])
 
@@ -43,6 +49,21 @@ def test_rows_count_with_their_commit(spark, tmp_path):
     assert stored(spark, str(moved / "a/t")) == [(1, "x"), (2, None), (4, "x")]
 
 
+def test_plain_tables_are_taken_over(spark, tmp_path):
+    """Tables as earlier versions wrote them keep their rows."""
+    kpis, ledger = str(tmp_path / "kpis"), str(tmp_path / "ledger")
+    march, july = category_rows(spark, ("A", D3, 1)), category_rows(spark, ("A", D6, 2), ("B", D6, 3))
+    plain = march.unionByName(july).withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
+    plain.write.partitionBy("order_month").parquet(kpis)
+    upsert(spark, category_rows(spark, ("B", D6, 9)), kpis, CATEGORY_KPI, CATEGORY_KPI_KEYS, str(tmp_path / "s"))
+    found = stored_kpis(spark, kpis, CATEGORY_KPI).select("category", "order_date", F.col("daily_revenue").cast("int"))
+    assert sorted(map(tuple, found.collect())) == [("A", D3, 1), ("A", D6, 2), ("B", D6, 9)]
+    entries = keys(spark, "a.csv", "b.csv").withColumn("processed_at", F.current_timestamp())
+    entries.select(*LEDGER.names).write.parquet(ledger)
+    mark_processed(keys(spark, "c.csv"), ledger)
+    assert {r.file_key for r in read_ledger(spark, ledger).collect()} == {"a.csv", "b.csv", "c.csv"}
+
+
 def test_two_writers_cannot_both_win(spark, tmp_path):
     path = str(tmp_path / "t")
     base = read_state(spark, path)
