@@ -2,6 +2,7 @@
 
 from daybook.__main__ import main
 from daybook.plans.workspace import Workspace
+from daybook.sources.versions import read_state
 from tests.landing import golden_workspace, put
 
 
@@ -20,7 +21,7 @@ def test_stream(spark, tmp_path):
     main(["validate", "--root", workspace.root, "--no-archive"])
     checkpoint = str(tmp_path / "checkpoint")
     assert main(["stream", "--root", workspace.root, "--checkpoint", checkpoint]) == 0
-    assert (tmp_path / "kpis" / "order_daily" / "order_month=2025-07").is_dir()
+    assert list(read_state(spark, workspace.order_kpis).folders) == ["2025-07"]
     assert not (tmp_path / "archive").exists()
 
 
@@ -34,7 +35,7 @@ def test_flat(spark, tmp_path):
         "1,c,2025-07-06,Books,1,2,3.00,false\n",
     )
     assert main(["flat", "--root", workspace.root]) == 0
-    assert (tmp_path / "kpis" / "flat_category_daily" / "order_month=2025-07").is_dir()
+    assert list(read_state(spark, workspace.flat_category_kpis).folders) == ["2025-07"]
 
 
 def test_arrivals(spark, tmp_path, capfd):
