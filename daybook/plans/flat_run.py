@@ -21,6 +21,7 @@ from daybook.plans.gate_run import (
     layouts,
     new_arrivals,
     new_run_id,
+    not_logged,
     text_rows,
     utc_today,
 )
@@ -71,10 +72,10 @@ def run_flat(
     files = new_arrivals(spark, workspace, [FLAT_TYPE], work)
     verdicts = judge(spark, files, run_date, run_id, work, {FLAT_TYPE: FLAT_COLUMNS})
     judged_files = layouts(verdicts)
-    rows = text_rows(spark, judged_files, FLAT_TYPE, FLAT_COLUMNS)
+    rows = text_rows(spark, verdicts, judged_files, FLAT_TYPE, FLAT_COLUMNS)
     if rows is None:
         archive_files(spark, workspace, judged_files, run_date, run_id)
-        append(verdicts.hint("rebalance"), workspace.gate_log)
+        append(not_logged(spark, workspace, verdicts).hint("rebalance"), workspace.gate_log)
         return verdicts
 
     check_rows(rows, categories).write.mode("overwrite").parquet(f"{work}/checked")
@@ -105,5 +106,5 @@ def run_flat(
             apply_staged(spark, f"{work}/{name}", target, schema, keys, commit)
         mark_processed(accepted_files, workspace.ledger, commit=commit)
         commit.finish()
-    append(judged.hint("rebalance"), workspace.gate_log)
+    append(not_logged(spark, workspace, judged).hint("rebalance"), workspace.gate_log)
     return judged

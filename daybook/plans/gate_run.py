@@ -33,7 +33,7 @@ from daybook.schemas import (
 )
 from daybook.sinks.manifest import write_manifest
 from daybook.sinks.tables import append
-from daybook.sources.csv_batches import read_csv_layout
+from daybook.sources.csv_batches import read_csv_files
 from daybook.sources.files import (
     list_csv_files,
     open_quotes,
@@ -128,11 +128,10 @@ def judge(
 
 @dataclass(frozen=True)
 class Layout:
-    """Judged files of one type and verdict that share a header."""
+    """Judged files of one type and verdict that are read in one way."""
 
     file_type: str
     verdict: str
-    header: list[str]
     multiline: bool
     paths: list[str]
 
@@ -141,11 +140,11 @@ def layouts(verdicts: DataFrame) -> list[Layout]:
     """File names by layout, for the readers. Only names come to the driver, never rows."""
     found: dict[tuple, Layout] = {}
     judged = verdicts.where(F.col("verdict").isin(VALID, MISSING_COLUMNS, REJECTED_ROWS))
-    keys = ("file_type", "verdict", "header", "multiline")
+    keys = ("file_type", "verdict", "multiline")
     named = judged.select(*keys, plain_path("path").alias("path"))
     for row in small_rows(named.orderBy("path")):
-        key = (row["file_type"], row["verdict"], tuple(row["header"]), row["multiline"])
-        found.setdefault(key, Layout(*key[:2], row["header"], key[3], [])).paths.append(row["path"])
+        key = tuple(row[name] for name in keys)
+        found.setdefault(key, Layout(*key, [])).paths.append(row["path"])
     return list(found.values())
 
 
@@ -161,11 +160,14 @@ def in_run(rows: DataFrame, run_date: dt.date, run_id: str) -> DataFrame:
 
 
 def text_rows(
-    spark: SparkSession, judged: list[Layout], file_type: str, columns: list[str]
+    spark: SparkSession, verdicts: DataFrame, judged: list[Layout], file_type: str, columns: list[str]
 ) -> DataFrame | None:
-    """The named columns of the valid files of a type; one CSV read per distinct header."""
+    """The named columns of the valid files of a type; one scan, and one more for quoted line breaks."""
+    valid = verdicts.where((F.col("file_type") == file_type) & (F.col("verdict") == VALID))
     reads = [
-        read_csv_layout(spark, files.paths, files.header, columns, files.multiline)
+        read_csv_files(
+            spark, files.paths, valid.where(F.col("multiline") == files.multiline), columns, files.multiline
+        )
         for files in judged
         if files.file_type == file_type and files.verdict == VALID
     ]
@@ -173,10 +175,15 @@ def text_rows(
 
 
 def clean_rows(
-    spark: SparkSession, judged: list[Layout], file_type: str, run_date: dt.date, run_id: str
+    spark: SparkSession,
+    verdicts: DataFrame,
+    judged: list[Layout],
+    file_type: str,
+    run_date: dt.date,
+    run_id: str,
 ) -> DataFrame | None:
     """Typed rows of the valid files of a type, as they are stored."""
-    raw = text_rows(spark, judged, file_type, REQUIRED_COLUMNS[file_type])
+    raw = text_rows(spark, verdicts, judged, file_type, REQUIRED_COLUMNS[file_type])
     if raw is None:
         return None
     return in_run(CLEAN[file_type](raw), run_date, run_id).select(*CLEAN_ROWS[file_type].names)
@@ -253,6 +260,15 @@ def new_arrivals(
     return spark.read.parquet(f"{work}/files")
 
 
+def not_logged(spark: SparkSession, workspace: Workspace, verdicts: DataFrame) -> DataFrame:
+    """Verdicts that say something new; empty and unreadable files that stay so are logged once."""
+    log = read_table(spark, workspace.gate_log, GATE_LOG)
+    known = log.where(F.col("verdict").isin(EMPTY, UNREADABLE)).select("path", "verdict", "length", "modified_at")
+    same = ["path", "verdict", "length", "modified_at"]
+    alike = reduce(lambda a, b: a & b, [F.col(f"new.{name}").eqNullSafe(F.col(f"old.{name}")) for name in same])
+    return verdicts.alias("new").join(known.alias("old"), alike, "left_anti")
+
+
 def quarantine(spark: SparkSession, workspace: Workspace) -> tuple[DataFrame, DataFrame]:
     """(files that failed, with what they miss or break; their archived lines)."""
     failed = F.col("verdict").isin(MISSING_COLUMNS, REJECTED_ROWS)
@@ -281,12 +297,12 @@ def run_gate(
 
     judged = layouts(verdicts)
     for file_type in REQUIRED_COLUMNS:
-        rows = clean_rows(spark, judged, file_type, run_date, run_id)
+        rows = clean_rows(spark, verdicts, judged, file_type, run_date, run_id)
         if rows is not None:
             append(rows, workspace.clean(file_type), "dt", "run_id", "order_month")
     if archive:
         archive_files(spark, workspace, judged, run_date, run_id)
     valid = verdicts.where(F.col("verdict") == VALID)
     write_manifest(valid, workspace.manifests, str(run_date))
-    append(verdicts.hint("rebalance"), workspace.gate_log)
+    append(not_logged(spark, workspace, verdicts).hint("rebalance"), workspace.gate_log)
     return verdicts

@@ -8,40 +8,59 @@ from daybook.operators.joins import join_on_key
 from daybook.sources.files import literal_paths, read_records
 
 
-def read_csv_layout(
+def read_csv_files(
     spark: SparkSession,
     paths: list[str],
-    header: list[str],
+    files: DataFrame,
     columns: list[str],
     multiline: bool = False,
-) -> DataFrame:
-    """The named columns, as text, of files that share one header.
+) -> DataFrame | None:
+    """The named columns, as text, of files with any headers, in one scan; None without files.
 
-    One CSV read gives all its files the columns of the first by position, so
-    each distinct header gets a read of its own and columns are picked by name.
+    `files` has (path, header) of the files at `paths`. One CSV read gives all
+    its files the same columns by position. Where all headers have the wanted
+    columns at the same places, these are the columns read. Else the fields of a
+    row become an array, and its file says at which places of it they are.
     """
-    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(header))])
-    if multiline:
-        return _rows_of_records(read_records(spark, paths), schema, header, columns)
+    places = files.select(
+        F.col("path").alias("source_file"),
+        F.array(*[F.array_position("header", name).cast("int") for name in columns]).alias("_places"),
+    )
+    least, most, width = places.agg(
+        F.min("_places"), F.max("_places"), F.max(F.array_max("_places"))
+    ).first()
+    if not paths or width is None:
+        return None
+    rows = _records(spark, paths, width) if multiline else _lines(spark, paths, width)
+    if least == most:
+        return rows.select(
+            *[F.col(f"c{at - 1}").alias(name) for name, at in zip(columns, most)], "source_file"
+        )
+    fields = rows.select(F.array(*[f"c{k}" for k in range(width)]).alias("_fields"), "source_file")
+    return join_on_key(fields, places, "source_file", "inner").select(
+        *[F.get("_fields", F.col("_places")[k] - 1).alias(name) for k, name in enumerate(columns)],
+        "source_file",
+    )
+
+
+def _lines(spark: SparkSession, paths: list[str], width: int) -> DataFrame:
+    """c0, c1, ... and source_file of the rows of files, without their headers."""
+    schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(width)])
     reader = spark.read.option("header", True).option("escape", '"')
     return reader.schema(schema).csv(literal_paths(paths)).select(
-        *[F.col(f"c{header.index(name)}").alias(name) for name in columns],
-        F.col("_metadata.file_path").alias("source_file"),
+        *schema.names, F.col("_metadata.file_path").alias("source_file")
     )
 
 
-def _rows_of_records(
-    records: DataFrame, schema: T.StructType, header: list[str], columns: list[str]
-) -> DataFrame:
-    """The named columns of records, without the first of each file."""
+def _records(spark: SparkSession, paths: list[str], width: int) -> DataFrame:
+    """The same of files with quoted line breaks."""
+    records = read_records(spark, paths)
     at = F.struct("block_start", "line_id")
     first = records.groupBy("path").agg(F.min(at).alias("_first"))
     rows = join_on_key(records, first, "path", "inner").where(at > F.col("_first"))
-    parsed = F.from_csv("value", schema.simpleString()[len("struct<") : -1].replace(":", " "), {"escape": '"'})
-    return rows.select(parsed.alias("_row"), "path").select(
-        *[F.col(f"_row.c{header.index(name)}").alias(name) for name in columns],
-        F.col("path").alias("source_file"),
-    )
+    schema = ", ".join(f"c{k} string" for k in range(width))
+    parsed = F.from_csv("value", schema, {"escape": '"'})
+    return rows.select(parsed.alias("_row"), "path").select("_row.*", F.col("path").alias("source_file"))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:

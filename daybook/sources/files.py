@@ -6,91 +6,32 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.functions.paths import reported_path
 from daybook.operators.records import assemble_records
+from daybook.sources.listing import SPLITS, CsvListing
 from daybook.sources.tables import path_exists
 
-_LISTING = "path string, length bigint, modified_at timestamp, hidden boolean"
 
-
-def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
+def list_csv_files(spark: SparkSession, folder: str, splits: int = SPLITS) -> DataFrame:
     """(path, length, modified_at, hidden) of every `.csv` file at any depth below a folder.
 
-    Paths are in the form in which a scan reports them, see `reported_path`.
-    Only file status is read. A scan leaves out files of zero bytes; if there
-    are any, they are added from the paths Spark listed for it. Files that readers
-    skip because their name or that of a folder starts with `_` or `.` are
-    `hidden`.
+    Tasks list the folders, so no name comes to the driver. Paths are in the
+    form in which a scan reports them, see `reported_path`. Only file status is
+    read. Files that readers skip because their name or that of a folder starts
+    with `_` or `.` are `hidden`.
     """
-    if not path_exists(spark, folder):
-        return spark.createDataFrame([], _LISTING)
-    scan = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(folder)
-    )
-    filled = scan.select(
-        F.col("_metadata.file_path").alias("path"),
-        "length",
-        F.col("modificationTime").alias("modified_at"),
-    )
-    listed = scan._jdf.inputFiles()
-    seen = filled.withColumn("hidden", F.lit(False))
-    if len(listed) > filled.count():
-        seen = seen.unionByName(_zero_bytes(spark, list(listed), filled))
-    hidden = _hidden_files(spark, folder)
-    if not hidden:
-        return seen
-    unseen = spark.createDataFrame(hidden, "path string, length bigint, millis bigint").select(
-        "path",
-        "length",
-        F.timestamp_millis("millis").alias("modified_at"),
-        F.lit(True).alias("hidden"),
-    )
-    return seen.unionByName(unseen)
-
-
-def _zero_bytes(spark: SparkSession, listed: list[str], filled: DataFrame) -> DataFrame:
-    """Listed files that the scan leaves out."""
-    return (
-        spark.createDataFrame([(name,) for name in listed], "path string")
-        .select(reported_path("path").alias("path"))
-        .join(filled, "path", "left_anti")
-        .select(
-            "path",
-            F.lit(0).cast("bigint").alias("length"),
-            F.lit(None).cast("timestamp").alias("modified_at"),
-            F.lit(False).alias("hidden"),
-        )
-    )
-
-
-def _hidden_files(spark: SparkSession, folder: str) -> list[tuple]:
-    """Files that no reader sees. Levels are matched in the file system's own glob; only hidden names come here."""
     path_of = spark._jvm.org.apache.hadoop.fs.Path
     system = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    found, level = [], literal_paths([folder.rstrip("/")])[0]
-    while True:
-        for status in system.globStatus(path_of(f"{level}/[_.]*")) or ():
-            if status.isFile():
-                found.append(status)
-            else:
-                files = system.listFiles(status.getPath(), True)
-                while files.hasNext():
-                    found.append(files.next())
-        level += "/[!_.]*"
-        if not len(system.globStatus(path_of(level)) or ()):
-            break
-    return [
-        (
-            re.sub("^file:/+", "file:/", status.getPath().toUri().toString()),
-            status.getLen(),
-            status.getModificationTime(),
-        )
-        for status in found
-        if status.getPath().getName().endswith(".csv")
-    ]
+    uri = system.makeQualified(path_of(folder)).toUri()
+    spark.dataSource.register(CsvListing)
+    listed = (
+        spark.read.format("csv_listing")
+        .option("scheme", uri.getScheme())
+        .option("authority", uri.getAuthority() or "")
+        .option("folder", uri.getPath())
+        .option("splits", splits)
+        .load()
+    )
+    return listed.select("path", "length", F.timestamp_millis("millis").alias("modified_at"), "hidden")
 
 
 def latest_delivery(spark: SparkSession, folder: str) -> str:

@@ -1,0 +1,86 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from daybook.functions.paths import plain_path
+from daybook.plans.gate_run import run_gate
+from daybook.plans.workspace import Workspace
+from daybook.schemas import GATE_LOG
+from daybook.sources.csv_batches import read_csv_files
+from daybook.sources.files import list_csv_files
+from daybook.sources.tables import read_table
+from tests.landing import put
+
+ODD = ["a b.csv", "p%20q.csv", "x+y.csv", "n" + chr(0xA0) + "b.csv", chr(0xE9) + ".csv", chr(0x1F600) + ".csv"]
+ODD += ["[1].csv", "q?#.csv", "k=v/{c}.csv", "_d=1/e.csv", "s" + chr(0x2028) + "^`~.csv"]
+
+
+def test_paths_and_times_are_those_of_a_scan(spark, tmp_path):
+    for k, name in enumerate(ODD):
+        path = tmp_path / "odd" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("a\n1\n")
+        os.utime(path, ns=(0, 1_700_000_000_123_456_789 + k * 10**9))
+    scan = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(str(tmp_path / "odd"))
+    expected = scan.select(F.col("_metadata.file_path"), "length", "modificationTime", F.lit(False)).collect()
+    listed = list_csv_files(spark, str(tmp_path / "odd"))
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, expected))
+    names = {row[0] for row in listed.select(plain_path("path")).collect()}
+    assert names == {f"file:{tmp_path}/odd/{name}" for name in ODD}
+
+
+@pytest.mark.parametrize("splits", [1, 2, 200])
+def test_levels_are_listed_once(spark, tmp_path, splits):
+    for name in ["a.csv", "x/b.csv", "x/y/c.csv", "z/d.csv", "z/e.txt", "_h/f.csv", "z/.g.csv"]:
+        path = tmp_path / "deep" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("" if name == "a.csv" else "a\n")
+    rows = list_csv_files(spark, str(tmp_path / "deep"), splits).collect()
+    found = sorted((row["path"].split("/deep/")[1], row["length"], row["hidden"]) for row in rows)
+    assert found == [
+        ("_h/f.csv", 2, True), ("a.csv", 0, False), ("x/b.csv", 2, False), ("x/y/c.csv", 2, False),
+        ("z/.g.csv", 2, True), ("z/d.csv", 2, False),
+    ]
+
+
+def test_a_missing_folder_has_no_files(spark, tmp_path):
+    assert list_csv_files(spark, str(tmp_path / "none")).collect() == []
+
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_any_number_of_headers_is_one_scan(spark, tmp_path, multiline):
+    text = '"x\ny"' if multiline else "xy"
+    files, expected, sizes = [], [], []
+    for k in range(500 if not multiline else 40):
+        header = [f"f{j}" for j in range(k % 7)] + ["b"] + [f"g{j}" for j in range(k % 5)] + ["a", f"own{k}"]
+        rows = [{"a": f"a{k}-{i}", "b": text if i else ""} for i in range(2)]
+        lines = [",".join(header)] + [",".join(row.get(name, "0") for name in header) for row in rows]
+        path = tmp_path / f"{k}.csv"
+        path.write_text("\n".join(lines) + "\n")
+        files.append((f"file:{path}", header))
+        expected += [(row["a"], row["b"].strip('"') or None, f"file:{path}") for row in rows]
+    for n in (2, len(files)):
+        table = spark.createDataFrame(files[:n], "path string, header array<string>")
+        df = read_csv_files(spark, [path for path, _ in files[:n]], table, ["a", "b"], multiline)
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(plan.count("Join"))
+        if not multiline:
+            assert plan.count(" csv") == 1
+    assert sizes[0] == sizes[1]
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_files_of_no_use_are_logged_once(spark, tmp_path):
+    workspace = Workspace(str(tmp_path))
+    late = put(workspace, "incoming/orders/zero.csv", "")
+    put(workspace, "incoming/orders/_moving.csv", "a\n1\n")
+    for _ in range(2):
+        assert run_gate(spark, workspace).count() == 2
+    log = read_table(spark, workspace.gate_log, GATE_LOG)
+    assert log.count() == 2
+    late.write_text("order_id\n1\n")
+    run_gate(spark, workspace)
+    found = read_table(spark, workspace.gate_log, GATE_LOG).groupBy("verdict").count().collect()
+    assert sorted(map(tuple, found)) == [("missing_columns", 1), ("unreadable", 2)]
