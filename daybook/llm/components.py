@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.rows import written
+from daybook.operators.joins import join_on_key
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-    return both.where("b > a").join(least, "a").where("b <> m").select(
+    return join_on_key(both.where("b > a"), least, "a", "inner").where("b <> m").select(
         F.col("b").alias("a"), F.col("m").alias("b")
     )
 
@@ -19,7 +20,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = join_on_key(down, least, "a", "inner").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
@@ -28,8 +29,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round is written to the shared folder. Only two numbers of a round
     reach the driver. The rounds grow as the logarithm of the longest path.
-    A node of very many edges is split by adaptive execution, as both sides
-    of its joins come from their own shuffles.
+    A node of very many edges is split by adaptive execution, as `join_on_key`
+    shuffles both sides of its joins for them. No edges give no rows.
     """
     now = written(
         edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(),

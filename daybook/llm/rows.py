@@ -14,6 +14,8 @@ from daybook.session import scratch_folder
 
 #: Text that one step of a Python task handles at once.
 BLOCK_BYTES = 4 << 20
+#: Bytes that a partition of a shuffle may hold before there are more partitions than Spark is set to.
+PARTITION_BYTES = 64 << 20
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +63,17 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def partitions_for(spark: SparkSession, n_bytes: int) -> int:
+    """Partitions of a shuffle of `n_bytes`: as many as Spark is set to, more where they would be too large."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // PARTITION_BYTES))
+
+
+def spread(df: DataFrame, parts: int, column: str) -> DataFrame:
+    """Rows by a column in `parts` partitions; Spark may merge them where that is its own number."""
+    own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, column) if parts > own else df.repartition(column)
+
+
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and the offsets of its rows, without a copy. Nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.components import connected_components
-from daybook.llm.rows import id_and_digest, id_and_text, text_blocks, written
+from daybook.llm.rows import id_and_digest, id_and_text, partitions_for, spread, text_blocks, written
 from daybook.operators.joins import join_on_key
 
 SEED = 42
@@ -198,16 +198,18 @@ def _layout(distance: int) -> dict[int, tuple[int, int]]:
 def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
     """`a, b`: links between distinct prints that connect all prints within `distance`, verified.
 
-    One shuffle of 9 bytes per variant. A task holds its share of the variants:
-    distinct prints only, so copies of one text never meet as rows.
+    One shuffle of 9 bytes per variant, in as many partitions as keep them at
+    `PARTITION_BYTES` or less. A task holds its share of the variants: distinct
+    prints only, so copies of one text never meet as rows.
     """
     if not 0 <= distance <= 7:
         raise ValueError("distance must be from 0 to 7")
-    parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = sum(width + 1 for _, width in segments(distance))
+    parts = partitions_for(distinct.sparkSession, distinct.count() * variants * 9)
     index = distinct.select("print").mapInArrow(
         _index(distance, max(1024, 4 * parts)), "bucket int, codes binary, prints binary"
     )
-    return index.repartition("bucket").mapInArrow(_verify(distance), "a long, b long").distinct()
+    return spread(index, parts, "bucket").mapInArrow(_verify(distance), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -240,15 +242,11 @@ def one_per_group(
     """All columns of one row of each component: that of its smallest id.
 
     Null ids come last; of equal ids with different texts, or of repeated rows, one stays.
+    A null id in a struct equals another, and one key for both steps means that rows move once.
     """
     best = near_duplicates(docs, shingle, distance, id_col, text_col).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("best")
     )
-    kept = best.select(F.col("best.doc_id").alias("kept_id"), F.col("best.digest").alias("kept_digest"))
-    rows = docs.select(F.struct("*").alias("row"), *id_and_digest(docs, id_col, text_col))
-    chosen = rows.join(
-        kept,
-        F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")),
-        "left_semi",
-    )
-    return chosen.dropDuplicates(["doc_id", "digest"]).select("row.*")
+    kept = best.select(F.struct("best.doc_id", "best.digest").alias("key"))
+    rows = docs.select(F.struct("*").alias("row"), F.struct(*id_and_digest(docs, id_col, text_col)).alias("key"))
+    return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
