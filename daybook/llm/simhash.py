@@ -21,6 +21,7 @@ from daybook.operators.joins import join_on_key
 
 SEED = 42
 HASHES_AT_ONCE = 1 << 16
+KEY = "struct<doc_id: bigint, digest: bigint>"
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -247,6 +248,8 @@ def one_per_group(
     best = near_duplicates(docs, shingle, distance, id_col, text_col).groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("best")
     )
-    kept = best.select(F.struct("best.doc_id", "best.digest").alias("key"))
-    rows = docs.select(F.struct("*").alias("row"), F.struct(*id_and_digest(docs, id_col, text_col)).alias("key"))
+    # one type on both sides, so that Spark compares the keys as they are
+    kept = best.select(F.struct("best.doc_id", "best.digest").cast(KEY).alias("key"))
+    key = F.struct(*id_and_digest(docs, id_col, text_col)).cast(KEY)
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"))
     return rows.join(kept, "key", "left_semi").dropDuplicates(["key"]).select("row.*")

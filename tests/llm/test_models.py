@@ -84,6 +84,37 @@ def test_language_held_out_and_awkward(spark):
     assert {r.lang_pred for r in language_id.identify(odd, unlearned).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(4)
+    vocabulary = {f"l{k:03}": ["".join(rng.choices("abcdefghij", k=7)) for _ in range(12)] for k in range(300)}
+    data = [
+        (i, " ".join(rng.choices(vocabulary[lang], k=20)), lang)
+        for i, lang in enumerate(sorted(vocabulary) * 4)
+    ]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = language_id.train(docs.where("doc_id < 900"), total_bytes=300 * 700)
+    assert model.languages == tuple(sorted(vocabulary))
+    assert len(model.masks) <= 2 * 300 * 701
+    found = language_id.identify(docs.where("doc_id >= 900"), model).collect()
+    assert np.mean([r.lang_pred == data[r.doc_id][2] for r in found]) > 0.95
+
+
+def test_excerpts_come_from_all_parts_of_texts(spark):
+    head = "licence " * 400
+    data = [(i, head + ("abc " if i % 2 else "xyz ") * 4000, "ab"[i % 2]) for i in range(60)]
+    model = language_id.train(spark.createDataFrame(data, "doc_id long, text string, lang string"))
+    found = language_id.identify(spark.createDataFrame([(1, "abc abc abc"), (2, "xyz xyz")], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: "b", 2: "a"}
+    few = language_id.train(spark.createDataFrame(data, "doc_id long, text string, lang string"), reference_bytes=64)
+    assert few.languages == ("a", "b") and len(few.masks) > 2
+
+
+def test_equal_needs_go_to_the_first_language(spark):
+    model = language_id.build({"b": b"abc abc", "a": b"abc abc"})
+    found = language_id.identify(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), model).collect()
+    assert [(r.lang_pred, r.score) for r in found] == [("a", 0.0)]
+
+
 def graded(spark, n=400):
     rng = random.Random(2)
     docs, labels = [], []

@@ -109,3 +109,42 @@ def test_empty_table(spark):
 def test_crowds_cost_a_chain_of_links():
     prints = np.arange(512, dtype=np.uint64)
     assert len(simhash.spanning_links(prints, 3)) == 511
+
+
+def test_a_hub_is_split_and_rows_move_once(spark):
+    from pyspark.sql import functions as F
+
+    from daybook.llm import components
+    from tests.planning import final_tree
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hub = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") * 7919 % 100_003)
+        edges = spark.range(1, 300_000, 1, 8).select(hub.alias("a"), (F.col("id") + 200_000).alias("b"))
+        assert "skew=true" in final_tree(components._large_star(edges))
+        kept = simhash.one_per_group(table(spark, near_rows()))
+        tree = final_tree(kept)
+        assert len(re.findall(r"Exchange \(", tree[: tree.index("SortMergeJoin")])) == 0
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_buckets_grow_with_the_prints(spark, monkeypatch):
+    from daybook.llm import rows as shared
+
+    monkeypatch.setattr(shared, "PARTITION_BYTES", 1 << 12)
+    pairs = near_rows()
+    got = [(r.doc_id, r.component_id) for r in simhash.near_duplicates(table(spark, pairs)).collect()]
+    prints = [brute_print(t) for _, t in pairs]
+    assert bag(got) == bag(list(zip([d for d, _ in pairs], brute_components(prints, [d for d, _ in pairs], 3))))
