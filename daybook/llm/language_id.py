@@ -138,8 +138,9 @@ def train(
         return build({})
     size = max(1, min(reference_bytes, total_bytes // len(counts)))
     wanted = -(-8 * size // excerpt_bytes)
+    # an Arrow table has a size that Spark knows, so it broadcasts it below its own threshold
     shares = docs.sparkSession.createDataFrame(
-        [(r["lang"], min(1.0, wanted / r["n"])) for r in counts], "lang string, share double"
+        pa.table({"lang": [r["lang"] for r in counts], "share": [min(1.0, wanted / r["n"]) for r in counts]})
     )
     place = F.pmod(F.xxhash64(F.lit("place"), "id"), F.greatest(F.length("text") - excerpt_bytes + 1, F.lit(1))) + 1
     order = ["rank", "id", "text"]
