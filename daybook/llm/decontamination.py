@@ -11,7 +11,10 @@ word pairs with the items than the edit distance allows are left out before the
 walk; no window within the distance is lost by that.
 
 The longer an item, the rarer a walk keeps pace with an edited copy. So each
-length gets as many walks as edited copies of random items need to be found.
+length gets as many walks as edited copies of random items need to be found, and
+items of more than 60 words are cut into parts: of a copy within the distance, some
+part is within its share of it. What a part finds is verified against the whole item.
+Items so short that no edit is allowed are looked up by the hash of their words.
 """
 
 from __future__ import annotations
@@ -23,43 +26,96 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.rows import text_blocks
-from daybook.llm.units import U, grams, mix, table, word_hashes, words
-
-#: Letters and digits of ASCII and all bytes of other characters make words.
-_SEPARATORS = bytes(b for b in range(128) if not chr(b).isalnum())
-WORD_BYTES = table(_SEPARATORS)
+from daybook.llm.units import U, PrefixHash, grams, mix, table, word_hashes
+
+#: Bytes that may be part of a word: ASCII letters and digits, and what other characters are made of.
+WORD_BYTES = table(bytes(b for b in range(128) if not chr(b).isalnum()))
+SEPARATOR, LETTER, ALONE = 0, 1, 2
+_LETTERS = regex.compile(r"[\p{L}\p{M}\p{N}]+")
+#: Scripts that are written without spaces: each character is a word.
+_ALONE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]+")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 TABLES, SAMPLES = 8, 4  # per walk, per table
 LEAST_WALKS, MOST_WALKS = 4, 256
 #: Share of trial items, edited as often as allowed, that the walks must find; above the 0.99 that is promised.
 TRIALS, TRIAL_RECALL = 400, 0.995
-MIN_WORDS = 5
+PART_WORDS = 60
 ITEM_BYTES = 600
 PAD = U(0xD1B54A32D192ED03)
 
 
+@dataclass(frozen=True)
+class Items:
+    """The items of a block."""
+
+    ids: np.ndarray
+    words: list[np.ndarray]
+    heads: np.ndarray  # first words
+    allowed: np.ndarray  # edits
+
+
 @dataclass(frozen=True)
 class ItemIndex:
-    """Items of one length: their words, and the keys of their walks."""
+    """Parts of one length: where they lie in their items, and the keys of their walks."""
 
     size: int
     allowed: int
-    walks: int  # 0: no number of walks will do, all items are compared
-    ids: np.ndarray
-    words: np.ndarray  # item, word
+    walks: int  # 0: no number of walks will do, all parts are compared
+    items: Items
+    item: np.ndarray  # of each part
+    offset: np.ndarray  # of each part within its item
     keys: np.ndarray  # sorted
-    owner: np.ndarray  # item of each key
+    owner: np.ndarray  # part of each key
+
+
+@lru_cache(1)
+def _character_kinds() -> np.ndarray:
+    """Whether each code point separates words, is a part of one, or is one alone."""
+    every = "".join(map(chr, range(0x110000)))
+    out = np.zeros(len(every), np.uint8)
+    for run in _LETTERS.finditer(every):
+        out[run.start() : run.end()] = LETTER
+    for run in _ALONE.finditer(every):
+        out[run.start() : run.end()][out[run.start() : run.end()] == LETTER] = ALONE
+    return out
+
+
+def _word_bounds(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word. Only characters beyond ASCII are decoded."""
+    inside = WORD_BYTES[data]
+    cut = np.zeros(len(data) + 1, bool)  # no word runs over these places
+    cut[ends] = True
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        bytes_ = [data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) for k in range(4)]
+        width = 2 + (bytes_[0] >= 0xE0) + (bytes_[0] >= 0xF0)
+        code = bytes_[0] & (0x7F >> width)
+        for k in range(1, 4):
+            code = np.where(width > k, (code << 6) | (bytes_[k] & 0x3F), code)
+        kind = _character_kinds()[np.minimum(code, 0x10FFFF)]
+        no_letter = np.flatnonzero(kind == SEPARATOR)
+        for k in range(4):
+            some = no_letter[width[no_letter] > k]
+            inside[np.minimum(lead[some] + k, len(data) - 1)] = False
+        alone = kind == ALONE
+        cut[lead[alone]] = True
+        cut[np.minimum(lead[alone] + width[alone], len(data))] = True
+    start, end = inside.copy(), inside
+    start[1:] &= ~inside[:-1] | cut[1:-1]
+    end[:-1] &= ~inside[1:] | cut[1:-1]
+    return np.flatnonzero(start), np.flatnonzero(end) + 1
 
 
 def tokenize(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, and the first word of each text (with the end)."""
-    start, end, first = words(data, ends, WORD_BYTES)
-    return word_hashes(_LOWER[data], start, end), first
+    start, end = _word_bounds(data, ends)
+    return word_hashes(_LOWER[data], start, end), np.searchsorted(start, ends)
 
 
 @lru_cache(4096)
@@ -154,34 +210,47 @@ class Pairs:
         return place[order], group[order]
 
 
-def build(items: list[tuple[int, str]], similarity: float = 0.8) -> tuple[list[ItemIndex], Pairs]:
-    """Index per item length, and the items' word pairs."""
-    by_size: dict[int, list] = {}
+def _parts(n_words: int) -> list[tuple[int, int]]:
+    """(offset, size) of the parts of an item: as few as possible of at most PART_WORDS words, alike in size."""
+    count = -(-n_words // PART_WORDS)
+    cuts = [n_words * k // count for k in range(count + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+
+def build(
+    items: list[tuple[int, str]], similarity: float = 0.8, min_words: int = 1
+) -> tuple[list[ItemIndex], Pairs]:
+    """Index per length of the items' parts, and their word pairs."""
+    ids, item_words, by_size = [], [], {}
     for item_id, text in items:
         raw = np.frombuffer((text or "").encode(), np.uint8)
         hashes, _ = tokenize(raw, np.array([0, len(raw)]))
-        if len(hashes) >= MIN_WORDS:
-            by_size.setdefault(len(hashes), []).append((item_id, hashes))
+        if len(hashes) >= max(1, min_words):
+            for offset, size in _parts(len(hashes)):
+                by_size.setdefault(size, []).append((len(ids), offset))
+            ids.append(item_id)
+            item_words.append(hashes)
+    allowed_edits = np.array([math.floor(len(w) * (1 - similarity) + 1e-9) for w in item_words], np.int64)
+    shared = Items(np.array(ids), item_words, np.array([w[0] for w in item_words], U), allowed_edits)
     out, pairs, groups = [], [np.zeros(0, U)], [np.zeros(0, np.int64)]
     for size, found in sorted(by_size.items()):
-        matrix = np.stack([h for _, h in found])
+        item, offset = np.array(found).T
+        matrix = np.stack([item_words[i][o : o + size] for i, o in found])
+        # an item within its distance has a part within this one
         allowed = math.floor(size * (1 - similarity) + 1e-9)
         walks = walks_needed(size, allowed)
-        start = np.arange(len(found)) * size
-        keys = (
-            walk_keys(matrix.reshape(-1), start, start + size, size, 0, walks).reshape(-1)
-            if walks else np.zeros(0, U)
-        )
-        owner = np.repeat(np.arange(len(found), dtype=np.int32), walks * TABLES)
+        keys, n_keys = np.zeros(0, U), 0
+        if not allowed:
+            keys, n_keys = _run_keys(matrix.reshape(-1), size)[::size], 1
+        elif walks:
+            start, n_keys = np.arange(len(found)) * size, walks * TABLES
+            keys = walk_keys(matrix.reshape(-1), start, start + size, size, 0, walks).reshape(-1)
+        owner = np.repeat(np.arange(len(found), dtype=np.int32), n_keys)
         order = np.argsort(keys, kind="stable")
-        own = np.unique(np.concatenate([grams(h, 2) for _, h in found]))
+        own = np.unique(np.concatenate([grams(h, 2) for h in matrix]))
         pairs.append(own)
         groups.append(np.full(len(own), len(out)))
-        out.append(
-            ItemIndex(
-                size, allowed, walks, np.array([i for i, _ in found]), matrix, keys[order], owner[order]
-            )
-        )
+        out.append(ItemIndex(size, allowed, walks, shared, item, offset, keys[order], owner[order]))
     pair, group = np.concatenate(pairs), np.concatenate(groups)
     order = np.lexsort((group, pair))
     pair, group = pair[order], group[order]
@@ -191,6 +260,11 @@ def build(items: list[tuple[int, str]], similarity: float = 0.8) -> tuple[list[I
     return out, Pairs(distinct, seen, np.concatenate([first, [len(pair)]]), group)
 
 
+def _run_keys(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of `size` words, as many as fit."""
+    return mix(PrefixHash(hashes).runs(size))
+
+
 def _starts(places: np.ndarray, size: int, need: int, total: int) -> np.ndarray:
     """Starts of windows of `size` words with at least `need` of the pairs at sorted `places`."""
     if need <= 0:
@@ -209,29 +283,28 @@ def _starts(places: np.ndarray, size: int, need: int, total: int) -> np.ndarray:
 def best_match(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     """(distance, start, length) of the part of `text` that is nearest to `item` by edits of words.
 
-    Ties go to the part that ends first, then to the longest.
+    Ties go to the part that ends first, then to the longest. A cell holds its
+    distance and its start in one number; a row is computed at once, as words
+    that only the text has are a running least value.
     """
-    row, origin = [0] * (len(text) + 1), list(range(len(text) + 1))
-    text = text.tolist()
-    for i, word in enumerate(item.tolist(), 1):
-        before, from_ = row, origin
-        row, origin = [i], [0]
-        for j, other in enumerate(text, 1):
-            cost, at = before[j - 1] + (word != other), from_[j - 1]
-            if before[j] + 1 < cost:
-                cost, at = before[j] + 1, from_[j]
-            if row[j - 1] + 1 < cost:
-                cost, at = row[j - 1] + 1, origin[j - 1]
-            row.append(cost)
-            origin.append(at)
-    end = min(range(len(row)), key=lambda j: row[j])
-    return row[end], origin[end], end - origin[end]
+    one = len(text) + 1  # an edit; what is below is the start
+    row, only_text = np.arange(one), np.arange(one) * one
+    for word in item:
+        now = row + one
+        np.minimum(now[1:], row[:-1] + (text != word) * one, out=now[1:])
+        row = np.minimum.accumulate(now - only_text) + only_text
+    end = int((row // one).argmin())
+    distance, start = divmod(int(row[end]), one)
+    return distance, start, end - start
 
 
 def find(
     index: list[ItemIndex], pairs: Pairs, data: np.ndarray, ends: np.ndarray
-) -> list[tuple[int, int, int, int, int]]:
-    """(text, item id, distance, first word, words) of the best match of each text and item within the distance."""
+) -> list[tuple[int, int, int, int, int, int]]:
+    """The best match of each text and item within the distance.
+
+    Each is (text, item id, distance, first word, words, words of the item).
+    """
     hashes, first = tokenize(data, ends)
     if not len(hashes) or not index:
         return []
@@ -241,15 +314,15 @@ def find(
     inside = text_of[place] == text_of[np.minimum(place + 1, len(hashes) - 1)]
     place, group_of = place[inside], group_of[inside]
     cuts = np.searchsorted(group_of, np.arange(len(index) + 1))
-    out: dict[tuple[int, int], tuple[int, int, int]] = {}
+    out: dict[tuple[int, int], tuple[int, int, int, int]] = {}
     stop_of = first[1:]
     for k, group in enumerate(index):
         need = group.size - 1 - 2 * group.allowed
         start = _starts(place[cuts[k] : cuts[k + 1]], group.size, need, len(hashes))
         # words that the text must have left for a match
         start = start[stop_of[text_of[start]] - start >= group.size - group.allowed]
-        # what a step holds per window: keys, or all items' words
-        wide = group.walks * TABLES or group.words.size
+        # what a step holds per window: keys, or all parts
+        wide = group.walks * TABLES or len(group.item)
         some_at_once = max(1, (1 << 22) // wide)
         for at in range(0, len(start), some_at_once):
             some = start[at : at + some_at_once]
@@ -258,11 +331,16 @@ def find(
 
 
 def _meet(group: ItemIndex, hashes: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """(item, start) of the windows that share a key with an item, in order."""
-    if not group.walks:
-        item, window = np.divmod(np.arange(len(group.ids) * len(start)), len(start))
-        return np.stack([item, start[window]], axis=1)
-    keys = walk_keys(hashes, start, stop, group.size, 0, group.walks)
+    """(part, start) of the windows that share a key with a part, in order."""
+    if not len(start):
+        return np.zeros((0, 2), np.int64)
+    if not group.allowed:
+        keys = _run_keys(hashes, group.size)[start][:, None]
+    elif not group.walks:
+        part, window = np.divmod(np.arange(len(group.item) * len(start)), len(start))
+        return np.stack([part, start[window]], axis=1)
+    else:
+        keys = walk_keys(hashes, start, stop, group.size, 0, group.walks)
     low = np.searchsorted(group.keys, keys.reshape(-1), "left")
     count = np.searchsorted(group.keys, keys.reshape(-1), "right") - low
     window = np.repeat(np.repeat(np.arange(len(start)), keys.shape[1]), count)
@@ -271,30 +349,39 @@ def _meet(group: ItemIndex, hashes: np.ndarray, start: np.ndarray, stop: np.ndar
 
 
 def _verify(group: ItemIndex, met: np.ndarray, hashes, text_of, first, out) -> None:
-    """Windows of one text and item that lie close together are verified as one stretch."""
+    """Whole items are verified where their parts met; what lies close together in a text is one stretch."""
     if not len(met):
         return
-    item, start = met[:, 0], met[:, 1]
-    text = text_of[start]
-    whole = start + group.size <= first[text + 1]
-    reach = np.arange(group.size)
-    exact = np.zeros(len(met), bool)
-    exact[whole] = (hashes[start[whole, None] + reach] == group.words[item[whole]]).all(axis=1)
+    items = group.items
+    item, text = group.item[met[:, 0]], text_of[met[:, 1]]
+    start = met[:, 1] - group.offset[met[:, 0]]  # of the whole item
+    order = np.lexsort((start, text, item))
+    item, text, start = item[order], text[order], start[order]
+    same_head = (start >= first[text]) & (hashes[np.maximum(start, 0)] == items.heads[item])
     cuts = np.flatnonzero(
-        (np.diff(item) != 0) | (np.diff(text) != 0) | (np.diff(start) > group.allowed + 1)
+        (np.diff(item) != 0) | (np.diff(text) != 0) | (np.diff(start) > items.allowed[item[1:]] + 1)
     ) + 1
-    for a, b in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(met)]]).tolist()):
-        t = int(text[a])
-        if exact[a:b].any():
-            distance, at, n = 0, int(start[a + int(exact[a:b].argmax())]) - int(first[t]), group.size
+    for a, b in zip(np.concatenate([[0], cuts]).tolist(), np.concatenate([cuts, [len(item)]]).tolist()):
+        t, words, allowed = int(text[a]), items.words[item[a]], int(items.allowed[item[a]])
+        key, n_words, begin, stop = (t, int(items.ids[item[a]])), len(words), int(first[t]), int(first[t + 1])
+        exact = next(
+            (
+                s for s in start[a:b][same_head[a:b]].tolist()
+                if s + n_words <= stop and np.array_equal(hashes[s : s + n_words], words)
+            ),
+            None,
+        )
+        if exact is not None:
+            best = (0, exact - begin, n_words, n_words)
+        elif key in out and not out[key][0]:
+            continue
         else:
-            low = max(int(first[t]), int(start[a]) - group.allowed)
-            high = min(int(first[t + 1]), int(start[b - 1]) + group.size + group.allowed)
-            distance, at, n = best_match(group.words[item[a]], hashes[low:high])
-            at += low - int(first[t])
-        if distance <= group.allowed:
-            key = (t, int(group.ids[item[a]]))
-            out[key] = min(out.get(key, (distance, at, n)), (distance, at, n))
+            low = max(begin, int(start[a]) - allowed)
+            high = min(stop, int(start[b - 1]) + n_words + allowed)
+            distance, at, n = best_match(words, hashes[low:high])
+            best = (distance, at + low - begin, n, n_words)
+        if best[0] <= allowed:
+            out[key] = min(out.get(key, best), best)
 
 
 def item_blocks(
@@ -318,16 +405,18 @@ def item_blocks(
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, block: int = 20_000,
+    docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, block: int = 20_000, min_words: int = 1,
     id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """`doc_id, item_id, distance, similarity, first_word, n_words` per document row and item that it holds.
 
     A document holds an item if some part of it is within
     floor((1 - similarity) * words) word edits of the item. Words are runs of
-    ASCII letters and digits and of other characters' bytes, without regard to
-    the case of A-Z. Items of fewer than 5 words are not judged. Of the items
-    edited as often as allowed, the walks find 0.99 at any length.
+    letters, digits and marks, without regard to the case of A-Z; of scripts
+    without spaces, such as Han or Thai, each character is a word. All else
+    separates words. Items that allow no edit, those of up to four words at 0.8, are
+    looked up exactly; `min_words` leaves shorter items out. Of the items edited
+    as often as allowed, the walks find 0.99 at any length.
 
     Null or empty texts hold nothing; null item ids and texts are left out; a
     null doc_id stays null. Repeated documents are answered each, items with
@@ -341,16 +430,14 @@ def contaminated(
     )
     out = None
     for items in item_blocks(benchmark, block, item_id_col, item_text_col):
-        shared = spark.sparkContext.broadcast(build(items, similarity))
+        shared = spark.sparkContext.broadcast(build(items, similarity, min_words))
 
         def run(batches, shared=shared):
             index, pairs = shared.value
-            sizes = {int(i): g.size for g in index for i in g.ids}
             for rows, data, ends in text_blocks(batches):
                 found = find(index, pairs, data, ends)
                 if found:
-                    text, item, distance, first, n = map(np.array, zip(*found))
-                    size = np.array([sizes[i] for i in item.tolist()], np.float64)
+                    text, item, distance, first, n, size = map(np.array, zip(*found))
                     yield pa.RecordBatch.from_arrays(
                         [
                             rows.column("doc_id").take(pa.array(text)),
@@ -375,13 +462,17 @@ def clean_documents(
     benchmark: DataFrame,
     similarity: float = 0.8,
     block: int = 20_000,
+    min_words: int = 1,
     text_col: str = "text",
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs`, with all columns, that hold no item."""
+    """The rows of `docs`, with all columns, that hold no item as `contaminated` finds them.
+
+    Rows with a null or empty text stay, repeated rows are kept or dropped alike.
+    """
     for items in item_blocks(benchmark, block, item_id_col, item_text_col):
-        docs = docs.where(~_holds(docs, build(items, similarity), text_col))
+        docs = docs.where(~_holds(docs, build(items, similarity, min_words), text_col))
     return docs
 
 
