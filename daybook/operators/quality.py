@@ -86,21 +86,28 @@ def rejected_files(checked: DataFrame, file_column: str = "source_file") -> Data
     """One row per rejected file: every reason and how many rows give it.
 
     An order id that occurs again within its file counts as a reason too. The
-    rows are read once: each counts for its order id and for each of its
-    reasons, in two aggregates with partial sums, so a file of any size is fine.
+    rows are read once. A row counts for its order id, and for each of its
+    reasons without the id: so reasons are added up before the shuffle, which
+    carries each id once and without any text beside it.
     """
-    itself = F.array(F.lit(DUPLICATE_ORDER))
-    by_order = (
-        checked.select(
-            file_column, "order_id", F.explode(F.concat(itself, "reasons")).alias("reason")
-        )
-        .groupBy(file_column, "order_id", "reason")
+    entry = "struct<order_id: string, reason: string>"
+    itself = F.when(
+        F.coalesce("order_id", F.lit("")) != "",
+        F.array(F.struct("order_id", F.lit(None).cast("string").alias("reason"))),
+    ).otherwise(F.array().cast(f"array<{entry}>"))
+    broken = F.transform(
+        "reasons", lambda reason: F.struct(F.lit(None).cast("string").alias("order_id"), reason.alias("reason"))
+    )
+    counted = (
+        checked.select(file_column, F.explode(F.concat(itself, broken)).alias("_of"))
+        .groupBy(file_column, "_of.order_id", "_of.reason")
         .agg(F.count("*").alias("n"))
     )
-    unique = (F.col("reason") == DUPLICATE_ORDER) & (
-        (F.col("n") == 1) | (F.coalesce("order_id", F.lit("")) == "")
+    return (
+        counted.where("reason IS NOT NULL OR n > 1")
+        .groupBy(file_column, F.coalesce("reason", F.lit(DUPLICATE_ORDER)).alias("reason"))
+        .agg(F.sum("n").alias("n"))
     )
-    return by_order.where(~unique).groupBy(file_column, "reason").agg(F.sum("n").alias("n"))
 
 
 def reasons_by_file(rejected: DataFrame, file_column: str = "source_file") -> DataFrame:

@@ -5,6 +5,9 @@ what a line makes of either beginning depends on the line alone: it ends inside
 or outside whatever came before, or it keeps the state, or it turns it. So each
 block of a file sums up its own lines, a few values per block are passed along,
 and every line then knows its beginning.
+
+The states of the blocks are a small table. Written, it is all that a second scan of
+the lines needs to put the records together.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +16,10 @@ from pyspark.sql import functions as F
 from daybook.functions.csv_lines import has_open_quote
 
 OPEN_QUOTE = "open quote at the end"
+TOO_LONG = "record too long"
+#: Bytes of a record of several lines that one task puts together.
+RECORD_BYTES = 64 << 20
+_BLOCK = ["path", "block_start"]
 
 
 def _effect(opened: Column, kept_open: Column) -> dict[str, Column]:
@@ -45,23 +52,23 @@ def _state(start: Column) -> Column:
     return (F.coalesce(F.col("_last"), start) + F.col("_flips")) % 2
 
 
-def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(path, block_start, line_id, value) of whole records, and the paths of files that end inside a quote.
+def _marked(lines: DataFrame) -> DataFrame:
+    opened, kept = has_open_quote(F.col("value")), has_open_quote(F.concat(F.lit('"'), "value"))
+    return _running(lines.withColumns(_effect(opened, kept)), _BLOCK, ["line_id"])
+
+
+def block_states(lines: DataFrame) -> DataFrame:
+    """Per (path, block_start): the state before it and after it, the record it goes on with, and the file's open record.
 
-    `lines` has those columns for all lines, blank ones too. Lines of a record
-    are joined by line feeds; a record is where its first line is. An open
-    quote at the end of a file leaves its lines out of the records; they may be
-    most of the file, so they are left out before any lines are gathered.
+    `lines` has path, block_start, line_id and value of all lines, blank ones too.
     """
-    opened, kept = has_open_quote(F.col("value")), has_open_quote(F.concat(F.lit('"'), "value"))
-    block = ["path", "block_start"]
-    marked = _running(lines.withColumns(_effect(opened, kept)), block, ["line_id"])
+    marked = _marked(lines)
 
     # Per block: the end it forces or its turns, and how many records begin under either state.
     begins = {s: F.count_if(_state(F.lit(s)) == 0) for s in (0, 1)}
     last = F.struct("line_id", "_last", "_flips", "_forces", "_turns")
     blocks = (
-        marked.groupBy(*block)
+        marked.groupBy(*_BLOCK)
         .agg(F.max(last).alias("_end"), begins[0].alias("_begins0"), begins[1].alias("_begins1"))
         .withColumn(
             "_forces",
@@ -77,7 +84,7 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     whole_file = in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     after = F.coalesce("_forces", (F.col("_start") + F.col("_turns")) % 2)
     begun = F.when(F.col("_begins") > 0, F.struct("block_start", "_begins"))
-    started = (
+    return (
         _running(blocks, ["path"], ["block_start"])
         .withColumn("_start", _state(F.lit(0)))
         .withColumn("_begins", F.when(F.col("_start") == 0, F.col("_begins0")).otherwise(F.col("_begins1")))
@@ -87,20 +94,32 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
         )
         # The record that the file ends in: only the last one can be open.
         .withColumn("_open", F.last(F.when(after == 1, F.coalesce(begun, "_owner"))).over(whole_file))
-    )
-    unfinished = (
-        started.groupBy("path")
-        .agg(F.max_by(after, "block_start").alias("_open"))
-        .where("_open = 1")
-        .select("path")
+        .select(*_BLOCK, "_start", "_owner", "_open")
     )
 
-    upto = Window.partitionBy(*block).orderBy("line_id").rowsBetween(Window.unboundedPreceding, 0)
+
+def unfinished_files(states: DataFrame) -> DataFrame:
+    """Paths of files that end inside a quote."""
+    return states.where("_open IS NOT NULL").select("path").distinct()
+
+
+def assemble_records(lines: DataFrame, states: DataFrame, limit: int) -> DataFrame:
+    """(path, block_start, line_id, value) of whole records.
+
+    `lines` are those that `states` was made of. Lines of a record are joined by
+    line feeds; a record is where its first line is. An open quote at the end of
+    a file leaves its lines out of the records; they may be most of the file, so
+    they are left out before any lines are gathered. So are the lines of a closed
+    record of more than `limit` bytes, whose value is null.
+    """
+    upto = Window.partitionBy(*_BLOCK).orderBy("line_id").rowsBetween(Window.unboundedPreceding, 0)
     numbered = (
-        marked.join(started.select(*block, "_start", "_owner", "_open"), block)
+        _marked(lines)
+        .join(states, _BLOCK)
         .withColumn("_before", _state(F.col("_start")))
         .withColumn("_after", F.coalesce("_forces", (F.col("_before") + F.col("_turns")) % 2))
         .withColumn("_number", F.count_if(F.col("_before") == 0).over(upto))
+        .withColumn("_inside", (F.col("_before") == 1) | (F.col("_after") == 1))
         .withColumn(
             "_block", F.when(F.col("_number") > 0, F.col("block_start")).otherwise(F.col("_owner.block_start"))
         )
@@ -108,18 +127,24 @@ def assemble_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
             "_record", F.when(F.col("_number") > 0, F.col("_number")).otherwise(F.col("_owner._begins"))
         )
     )
-    columns = [*block, "line_id", "value"]
-    single = numbered.where("_before = 0 AND _after = 0").select(*columns)
+    single = numbered.where("NOT _inside").select(*_BLOCK, "line_id", "value")
+    # The sum over a record holds its lines on disk where they are many; it needs no shuffle of its own.
+    in_record = Window.partitionBy("path", "_block", "_record")
+    line = F.struct("block_start", "line_id", "value")
     several = (
-        numbered.where("_before = 1 OR _after = 1")
+        numbered.where("_inside")
         .where("_open IS NULL OR _block != _open.block_start OR _record != _open._begins")
+        .withColumn("_bytes", F.sum(F.octet_length("value") + 1).over(in_record))
         .groupBy("path", "_block", "_record")
-        .agg(F.sort_array(F.collect_list(F.struct("block_start", "line_id", "value"))).alias("_lines"))
+        .agg(
+            F.sort_array(F.collect_list(F.when(F.col("_bytes") <= limit, line))).alias("_lines"),
+            F.min(F.struct("block_start", "line_id")).alias("_first"),
+        )
         .select(
             "path",
             F.col("_block").alias("block_start"),
-            F.col("_lines")[0]["line_id"].alias("line_id"),
-            F.array_join(F.col("_lines")["value"], "\n").alias("value"),
+            F.col("_first.line_id").alias("line_id"),
+            F.when(F.size("_lines") > 0, F.array_join(F.col("_lines")["value"], "\n")).alias("value"),
         )
     )
-    return single.unionByName(several), unfinished
+    return single.unionByName(several)

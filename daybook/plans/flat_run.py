@@ -72,7 +72,7 @@ def run_flat(
     files = new_arrivals(spark, workspace, [FLAT_TYPE], work)
     verdicts = judge(spark, files, run_date, run_id, work, {FLAT_TYPE: FLAT_COLUMNS})
     judged_files = layouts(verdicts)
-    rows = text_rows(spark, verdicts, judged_files, FLAT_TYPE, FLAT_COLUMNS)
+    rows = text_rows(spark, verdicts, judged_files, FLAT_TYPE, FLAT_COLUMNS, work)
     if rows is None:
         archive_files(spark, workspace, judged_files, run_date, run_id)
         append(not_logged(spark, workspace, verdicts).hint("rebalance"), workspace.gate_log)

@@ -18,7 +18,6 @@ from daybook.functions.casting import month_of
 from daybook.functions.paths import plain_path
 from daybook.operators.cleaning import CLEAN
 from daybook.operators.gate import judge_files, profile_lines, ragged_files
-from daybook.operators.records import OPEN_QUOTE
 from daybook.plans.workspace import Workspace
 from daybook.schemas import (
     ARCHIVE_LINES,
@@ -36,11 +35,12 @@ from daybook.sinks.tables import append
 from daybook.sources.csv_batches import read_csv_files
 from daybook.sources.files import (
     list_csv_files,
-    open_quotes,
     present,
     read_lines,
     read_raw_lines,
-    read_records,
+    record_problems,
+    stored_records,
+    write_records,
 )
 from daybook.sources.tables import read_table, small_rows
 
@@ -59,19 +59,15 @@ def path_list(files: DataFrame) -> list[str]:
 
 
 def _profiles(
-    spark: SparkSession,
-    read: Callable[[SparkSession, list[str]], DataFrame],
-    paths: list[str],
-    table: str,
+    spark: SparkSession, lines: DataFrame, of_files: Callable[[DataFrame], DataFrame], table: str
 ) -> DataFrame:
-    """Written profiles of files read as lines or as records."""
-    profile_lines(read(spark, paths)).write.mode("overwrite").parquet(table)
+    """Written profiles of files from their lines or records; `of_files` gives those of some files alone."""
+    profile_lines(lines).write.mode("overwrite").parquet(table)
     profiles = spark.read.parquet(table)
     uneven = profiles.where("uneven")
-    names = path_list(uneven)
-    if not names:
+    if uneven.isEmpty():
         return profiles
-    ragged = ragged_files(read(spark, names), uneven).withColumn("_ragged", F.lit(True))
+    ragged = ragged_files(of_files(uneven), uneven).withColumn("_ragged", F.lit(True))
     return profiles.join(ragged, "path", "left").withColumn(
         "problems",
         F.when(F.col("_ragged"), F.array_append("problems", F.lit("too many fields"))).otherwise(
@@ -80,19 +76,32 @@ def _profiles(
     ).drop("_ragged")
 
 
+def records_folder(work: str) -> str:
+    """Where a run keeps the records of files with quoted line breaks."""
+    return f"{work}/multiline"
+
+
 def profile_files(spark: SparkSession, paths: list[str], work: str) -> DataFrame:
-    """Profiles of text files; those with quoted line breaks are read again as records."""
-    profiles = _profiles(spark, read_lines, paths, f"{work}/profiles")
+    """Profiles of text files; of those with quoted line breaks the records are written, and profiled."""
+    profiles = _profiles(
+        spark, read_lines(spark, paths), lambda some: read_lines(spark, path_list(some)), f"{work}/profiles"
+    )
     columns = ["path", "header", "n_rows", "multiline", "problems"]
     multiline = path_list(spark.read.parquet(f"{work}/profiles").where("multiline"))
     if not multiline:
         return profiles.select(columns)
-    unfinished = open_quotes(spark, multiline).withColumn("_open", F.array(F.lit(OPEN_QUOTE)))
+    folder = records_folder(work)
+    write_records(spark, multiline, folder)
+    written = stored_records(spark, folder)
     records = (
-        _profiles(spark, read_records, multiline, f"{work}/record_profiles")
-        .join(unfinished, "path", "left")
+        _profiles(
+            spark, written,
+            lambda some: written.join(some.select("path"), "path", "left_semi"),
+            f"{work}/record_profiles",
+        )
+        .join(record_problems(spark, folder), "path", "left")
         .withColumn(
-            "problems", F.concat("problems", F.coalesce("_open", F.array().cast("array<string>")))
+            "problems", F.concat("problems", F.coalesce("found", F.array().cast("array<string>")))
         )
         .withColumn("multiline", F.lit(True))
     )
@@ -160,13 +169,22 @@ def in_run(rows: DataFrame, run_date: dt.date, run_id: str) -> DataFrame:
 
 
 def text_rows(
-    spark: SparkSession, verdicts: DataFrame, judged: list[Layout], file_type: str, columns: list[str]
+    spark: SparkSession,
+    verdicts: DataFrame,
+    judged: list[Layout],
+    file_type: str,
+    columns: list[str],
+    work: str,
 ) -> DataFrame | None:
-    """The named columns of the valid files of a type; one scan, and one more for quoted line breaks."""
+    """The named columns of the valid files of a type; one scan, and one of the records that `judge` wrote."""
     valid = verdicts.where((F.col("file_type") == file_type) & (F.col("verdict") == VALID))
     reads = [
         read_csv_files(
-            spark, files.paths, valid.where(F.col("multiline") == files.multiline), columns, files.multiline
+            spark,
+            files.paths,
+            valid.where(F.col("multiline") == files.multiline),
+            columns,
+            records_folder(work) if files.multiline else None,
         )
         for files in judged
         if files.file_type == file_type and files.verdict == VALID
@@ -181,9 +199,10 @@ def clean_rows(
     file_type: str,
     run_date: dt.date,
     run_id: str,
+    work: str,
 ) -> DataFrame | None:
     """Typed rows of the valid files of a type, as they are stored."""
-    raw = text_rows(spark, verdicts, judged, file_type, REQUIRED_COLUMNS[file_type])
+    raw = text_rows(spark, verdicts, judged, file_type, REQUIRED_COLUMNS[file_type], work)
     if raw is None:
         return None
     return in_run(CLEAN[file_type](raw), run_date, run_id).select(*CLEAN_ROWS[file_type].names)
@@ -297,7 +316,7 @@ def run_gate(
 
     judged = layouts(verdicts)
     for file_type in REQUIRED_COLUMNS:
-        rows = clean_rows(spark, verdicts, judged, file_type, run_date, run_id)
+        rows = clean_rows(spark, verdicts, judged, file_type, run_date, run_id, work)
         if rows is not None:
             append(rows, workspace.clean(file_type), "dt", "run_id", "order_month")
     if archive:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from daybook.operators.kpis import category_kpis, order_kpis
 from daybook.operators.ledger import latest_files, new_files
-from daybook.operators.summary import run_summary
 from daybook.plans.gate_run import new_run_id
 from daybook.plans.kpi_parts import compact_parts, is_built, kpis_of_days, touched_days, write_delivery
 from daybook.plans.workspace import Workspace
@@ -35,18 +34,17 @@ from daybook.sources.tables import path_exists, read_partitions, read_table, sma
 
 @dataclass(frozen=True)
 class KpiRun:
-    """What a run did: the files it took and the staged KPI rows."""
+    """What a run did: the files it took, the staged KPI rows, and how many there are of each."""
 
     run_id: str
     files: DataFrame
     category_rows: DataFrame
     order_rows: DataFrame
+    counts: dict[str, int]
 
     def summary(self) -> DataFrame:
-        counted = {"category_kpis": self.category_rows, "order_kpis": self.order_rows}
-        for file_type in REQUIRED_COLUMNS:
-            counted[f"{file_type}_files"] = self.files.where(F.col("file_type") == file_type)
-        return run_summary(counted)
+        """(output, n_rows), as counted while the run wrote them: no table is read again."""
+        return self.files.sparkSession.createDataFrame(list(self.counts.items()), "output string, n_rows bigint")
 
 
 def valid_files(spark: SparkSession, workspace: Workspace) -> DataFrame:
@@ -165,17 +163,21 @@ def run_kpis(
         "order": (order_rows, workspace.order_kpis, ORDER_KPI, ORDER_KPI_KEYS),
     }
     commit = Commit(spark, workspace.root.rstrip("/"), version)
+    counts = {}
     for name, (rows, target, schema, keys) in tables.items():
-        stage(rows, f"{work}/{name}", schema, keys)
+        counts[f"{name}_kpis"] = stage(rows, f"{work}/{name}", schema, keys)
         apply_staged(spark, f"{work}/{name}", target, schema, keys, commit)
     delivery.commit(workspace, commit)
     mark_processed(wanted, workspace.ledger, processed_at, commit)
     commit.finish()
     compact_parts(spark, workspace)
     compact_ledger(spark, workspace.ledger)
+    for file_type in REQUIRED_COLUMNS:
+        counts[f"{file_type}_files"] = sum(run.n_wanted for run in runs if run.file_type == file_type)
     return KpiRun(
         run_id,
         wanted,
         stored_kpis(spark, f"{work}/category", CATEGORY_KPI),
         stored_kpis(spark, f"{work}/order", ORDER_KPI),
+        counts,
     )

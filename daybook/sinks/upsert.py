@@ -2,7 +2,7 @@
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,10 +25,16 @@ def conform(rows: DataFrame, schema: StructType) -> DataFrame:
     return rows.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def stage(rows: DataFrame, path: str, schema: StructType, keys: list[str]) -> None:
-    """Write KPI rows that can be stored to a table of their own."""
-    storable = complete_keys(conform(rows, schema), keys)
-    storable.withColumn(MONTH, month_of("order_date")).write.mode("overwrite").parquet(path)
+def stage(rows: DataFrame, path: str, schema: StructType, keys: list[str]) -> int:
+    """Write KPI rows that can be stored to a table of their own; return how many, counted while they are written.
+
+    Nothing shuffles after the count, so a task that is repeated counts once.
+    """
+    storable = complete_keys(conform(rows, schema), keys).withColumn(MONTH, month_of("order_date"))
+    written = Observation()
+    counted = storable.observe(written, F.count(F.lit(1)).alias("n_rows"))
+    counted.write.mode("overwrite").parquet(path)
+    return written.get["n_rows"]
 
 
 def apply_staged(

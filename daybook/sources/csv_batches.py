@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daybook.operators.joins import join_on_key
-from daybook.sources.files import literal_paths, read_records
+from daybook.sources.files import literal_paths, stored_records
 
 
 def read_csv_files(
@@ -13,7 +13,7 @@ def read_csv_files(
     paths: list[str],
     files: DataFrame,
     columns: list[str],
-    multiline: bool = False,
+    records: str | None = None,
 ) -> DataFrame | None:
     """The named columns, as text, of files with any headers, in one scan; None without files.
 
@@ -21,6 +21,8 @@ def read_csv_files(
     its files the same columns by position. Where all headers have the wanted
     columns at the same places, these are the columns read. Else the fields of a
     row become an array, and its file says at which places of it they are.
+    Files with quoted line breaks come from the folder `records` that
+    `write_records` filled.
     """
     places = files.select(
         F.col("path").alias("source_file"),
@@ -31,7 +33,7 @@ def read_csv_files(
     ).first()
     if not paths or width is None:
         return None
-    rows = _records(spark, paths, width) if multiline else _lines(spark, paths, width)
+    rows = _records(spark, records, files, width) if records else _lines(spark, paths, width)
     if least == most:
         return rows.select(
             *[F.col(f"c{at - 1}").alias(name) for name, at in zip(columns, most)], "source_file"
@@ -52,11 +54,11 @@ def _lines(spark: SparkSession, paths: list[str], width: int) -> DataFrame:
     )
 
 
-def _records(spark: SparkSession, paths: list[str], width: int) -> DataFrame:
-    """The same of files with quoted line breaks."""
-    records = read_records(spark, paths)
+def _records(spark: SparkSession, folder: str, files: DataFrame, width: int) -> DataFrame:
+    """The same of those files whose records are in a folder."""
+    records = stored_records(spark, folder)
     at = F.struct("block_start", "line_id")
-    first = records.groupBy("path").agg(F.min(at).alias("_first"))
+    first = records.groupBy("path").agg(F.min(at).alias("_first")).join(files.select("path"), "path")
     rows = join_on_key(records, first, "path", "inner").where(at > F.col("_first"))
     schema = ", ".join(f"c{k} string" for k in range(width))
     parsed = F.from_csv("value", schema, {"escape": '"'})

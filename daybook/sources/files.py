@@ -6,7 +6,14 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.operators.records import assemble_records
+from daybook.operators.records import (
+    OPEN_QUOTE,
+    RECORD_BYTES,
+    TOO_LONG,
+    assemble_records,
+    block_states,
+    unfinished_files,
+)
 from daybook.sources.listing import SPLITS, CsvListing
 from daybook.sources.tables import path_exists
 
@@ -127,16 +134,29 @@ def read_all_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Like `read_lines`, with quoted line breaks kept inside one record.
+def write_records(spark: SparkSession, paths: list[str], folder: str, limit: int = RECORD_BYTES) -> None:
+    """Write the records of files with quoted line breaks to a folder, for `stored_records` and `record_problems`.
 
-    Files are read in splits like any other; only files with quoted line breaks
-    come here.
+    Files are read in splits like any other, twice: once for the states of their
+    blocks, once for the records. Whatever needs records reads them from here.
     """
-    records, _ = assemble_records(read_all_lines(spark, paths))
-    return records.where(F.trim("value") != "")
+    lines = read_all_lines(spark, paths)
+    block_states(lines).write.mode("overwrite").parquet(f"{folder}/states")
+    records = assemble_records(lines, spark.read.parquet(f"{folder}/states"), limit)
+    records.write.mode("overwrite").parquet(f"{folder}/records")
 
 
-def open_quotes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Paths of files that end inside a quoted field."""
-    return assemble_records(read_all_lines(spark, paths))[1]
+def stored_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Like `read_lines`, with quoted line breaks kept inside one record; no records that are too long."""
+    return spark.read.parquet(f"{folder}/records").where(F.trim("value") != "")
+
+
+def record_problems(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, found): files that end inside a quoted field or hold a record that is too long."""
+    opened = unfinished_files(spark.read.parquet(f"{folder}/states")).withColumn("found", F.lit(OPEN_QUOTE))
+    long = spark.read.parquet(f"{folder}/records").where("value IS NULL").select("path").distinct()
+    return (
+        opened.unionByName(long.withColumn("found", F.lit(TOO_LONG)))
+        .groupBy("path")
+        .agg(F.sort_array(F.collect_set("found")).alias("found"))
+    )

@@ -1,5 +1,6 @@
 import csv
 import datetime as dt
+import functools
 import io
 import json
 import pathlib
@@ -13,10 +14,13 @@ from daybook.operators.gate import HIDDEN
 from daybook.plans import gate_run
 from daybook.plans.gate_run import file_endings, judge, list_incoming, quarantine, run_gate
 from daybook.plans.workspace import Workspace
-from daybook.sources.files import open_quotes, read_records
+from daybook.sources import files
+from daybook.operators.records import OPEN_QUOTE, TOO_LONG
+from daybook.sources.files import record_problems, stored_records, write_records
 from daybook.schemas import CLEAN_ROWS, GATE_LOG
 from tests.conftest import as_rows
 from tests.landing import golden_workspace, put
+from tests.planning import final_tree
 
 DAY = dt.date(2025, 7, 6)
 HEADER = "order_id,user_id,created_at,status,num_of_item"
@@ -182,9 +186,10 @@ def test_records_of_split_files(spark, tmp_path, seed):
     for key, value in limits.items():
         spark.conf.set(key, value)
     try:
-        records = read_records(spark, [str(path)]).orderBy("block_start", "line_id").collect()
+        write_records(spark, [str(path)], str(tmp_path / "out"))
+        records = stored_records(spark, str(tmp_path / "out")).orderBy("block_start", "line_id").collect()
         blocks = len({r["block_start"] for r in records})
-        assert open_quotes(spark, [str(path)]).count() == 0
+        assert record_problems(spark, str(tmp_path / "out")).count() == 0
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
@@ -297,9 +302,52 @@ def test_lines_of_an_open_quote_are_not_gathered(spark, tmp_path, monkeypatch):
     for name, limit in limits.items():
         spark.conf.set(name, limit)
     try:
-        records = read_records(spark, [str(path)]).orderBy("block_start", "line_id").collect()
+        write_records(spark, [str(path)], str(tmp_path / "out"))
+        records = stored_records(spark, str(tmp_path / "out")).orderBy("block_start", "line_id").collect()
         assert [r["value"] for r in records] == [HEADER, *rows]
-        assert open_quotes(spark, [str(path)]).count() == 1
+        assert [r["found"] for r in record_problems(spark, str(tmp_path / "out")).collect()] == [[OPEN_QUOTE]]
     finally:
         for name, limit in before.items():
             spark.conf.set(name, limit)
+
+
+def test_a_record_that_is_too_long_makes_its_file_unreadable(spark, tmp_path, monkeypatch):
+    """A closed record over the limit is not put together; other files and records are."""
+    workspace = Workspace(str(tmp_path))
+    long = '1,"' + "\n".join(["x" * 90] * 50) + '",2025-07-06,complete,1'
+    both = [ROW.format(2), long, '3,"a\nb",2025-07-06,complete,1', long, '4,"never closed']
+    put(workspace, "incoming/orders/long.csv", "\n".join([HEADER, ROW.format(2), long, ROW.format(3)]) + "\n")
+    put(workspace, "incoming/orders/both.csv", "\n".join([HEADER, *both]) + "\n")
+    put(workspace, "incoming/orders/short.csv", f'{HEADER}\n5,"a\nb",2025-07-06,complete,1\n')
+    monkeypatch.setattr(gate_run, "write_records", functools.partial(write_records, limit=4000))
+    limits = {"spark.sql.files.maxPartitionBytes": "512", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, limit in limits.items():
+        spark.conf.set(name, limit)
+    try:
+        found = {file_stem(r["path"]): r for r in run_gate(spark, workspace, DAY, "run1").collect()}
+    finally:
+        for name, limit in before.items():
+            spark.conf.set(name, limit)
+    assert {n: (r["verdict"], r["problems"]) for n, r in found.items()} == {
+        "long": ("unreadable", [TOO_LONG]),
+        "both": ("unreadable", [OPEN_QUOTE, TOO_LONG]),
+        "short": ("valid", []),
+    }
+    kept = spark.read.parquet(workspace.clean("orders"))
+    assert [(r["order_id"], r["user_id"]) for r in kept.collect()] == [("5", "a\nb")]
+
+
+def test_files_with_line_breaks_are_scanned_twice_for_their_records(spark, tmp_path, monkeypatch):
+    """Whatever needs records reads the written ones: profile, rows of uneven files and typing."""
+    workspace = Workspace(str(tmp_path))
+    put(workspace, "incoming/orders/a.csv", FILES["quoted_newline"])
+    put(workspace, "incoming/orders/b.csv", FILES["quoted_newline_ragged"])
+    read, scanned = files.read_all_lines, []
+    monkeypatch.setattr(files, "read_all_lines", lambda spark, paths: scanned.append(len(paths)) or read(spark, paths))
+    run_gate(spark, workspace, DAY, "run1")
+    assert scanned == [2]
+    work = f"{workspace.staging('run1')}/gate/multiline"
+    lines = read(spark, [f"{tmp_path}/incoming/orders/a.csv"])
+    tree = final_tree(files.assemble_records(lines, spark.read.parquet(f"{work}/states"), 4000))
+    assert tree.count("Scan text") == 1 and "Reused" in tree

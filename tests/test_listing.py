@@ -8,7 +8,7 @@ from daybook.plans.gate_run import run_gate
 from daybook.plans.workspace import Workspace
 from daybook.schemas import GATE_LOG
 from daybook.sources.csv_batches import read_csv_files
-from daybook.sources.files import list_csv_files
+from daybook.sources.files import list_csv_files, write_records
 from daybook.sources.tables import read_table
 from tests.landing import put
 
@@ -63,7 +63,10 @@ def test_any_number_of_headers_is_one_scan(spark, tmp_path, multiline):
         expected += [(row["a"], row["b"].strip('"') or None, f"file:{path}") for row in rows]
     for n in (2, len(files)):
         table = spark.createDataFrame(files[:n], "path string, header array<string>")
-        df = read_csv_files(spark, [path for path, _ in files[:n]], table, ["a", "b"], multiline)
+        paths, folder = [path for path, _ in files[:n]], str(tmp_path / f"records{n}")
+        if multiline:
+            write_records(spark, paths, folder)
+        df = read_csv_files(spark, paths, table, ["a", "b"], folder if multiline else None)
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         sizes.append(plan.count("Join"))
         if not multiline:
