@@ -86,28 +86,74 @@ def rejected_files(checked: DataFrame, file_column: str = "source_file") -> Data
     """One row per rejected file: every reason and how many rows give it.
 
     An order id that occurs again within its file counts as a reason too. The
-    rows are read once. A row counts for its order id, and for each of its
-    reasons without the id: so reasons are added up before the shuffle, which
-    carries each id once and without any text beside it.
+    rows are read once: each counts for its order id and for each of its
+    reasons, in two aggregates with partial sums, so a file of any size is fine.
     """
-    entry = "struct<order_id: string, reason: string>"
+    itself = F.array(F.lit(DUPLICATE_ORDER))
+    by_order = (
+        checked.select(
+            file_column, "order_id", F.explode(F.concat(itself, "reasons")).alias("reason")
+        )
+        .groupBy(file_column, "order_id", "reason")
+        .agg(F.count("*").alias("n"))
+    )
+    unique = (F.col("reason") == DUPLICATE_ORDER) & (
+        (F.col("n") == 1) | (F.coalesce("order_id", F.lit("")) == "")
+    )
+    return by_order.where(~unique).groupBy(file_column, "reason").agg(F.sum("n").alias("n"))
+
+
+def reason_counts(checked: DataFrame, file_column: str = "source_file") -> DataFrame:
+    """(file, reason, order_hash, n): rows per reason of a file, and rows per hash of file and order id where it repeats.
+
+    The first of two steps, for rows that are a written table: what it shuffles
+    per row is a number instead of a path and an id. See `rejected_by_counts`.
+    """
+    entry = "array<struct<file: string, reason: string, order_hash: bigint>>"
+    no_text, no_hash = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     itself = F.when(
         F.coalesce("order_id", F.lit("")) != "",
-        F.array(F.struct("order_id", F.lit(None).cast("string").alias("reason"))),
-    ).otherwise(F.array().cast(f"array<{entry}>"))
+        F.array(F.struct(no_text.alias("file"), no_text.alias("reason"), _order_hash(file_column).alias("order_hash"))),
+    ).otherwise(F.array().cast(entry))
     broken = F.transform(
-        "reasons", lambda reason: F.struct(F.lit(None).cast("string").alias("order_id"), reason.alias("reason"))
+        "reasons",
+        lambda reason: F.struct(F.col(file_column).alias("file"), reason.alias("reason"), no_hash.alias("order_hash")),
     )
-    counted = (
-        checked.select(file_column, F.explode(F.concat(itself, broken)).alias("_of"))
-        .groupBy(file_column, "_of.order_id", "_of.reason")
+    return (
+        checked.select(F.inline(F.concat(itself, broken)))
+        .groupBy(F.col("file").alias(file_column), "reason", "order_hash")
         .agg(F.count("*").alias("n"))
+        .where("reason IS NOT NULL OR n > 1")
     )
-    return (
-        counted.where("reason IS NOT NULL OR n > 1")
-        .groupBy(file_column, F.coalesce("reason", F.lit(DUPLICATE_ORDER)).alias("reason"))
+
+
+def rejected_by_counts(
+    checked: DataFrame, counts: DataFrame, file_column: str = "source_file"
+) -> DataFrame:
+    """`rejected_files` from the written `reason_counts` of the same rows.
+
+    Order ids travel only for rows whose hash repeats, and are compared
+    themselves. With `counts` written, Spark knows how few repeat, and then
+    sends those to the rows; where they are many, both sides are shuffled and a
+    hot id is split.
+    """
+    columns = [file_column, "reason", "n"]
+    repeated = counts.where("order_hash IS NOT NULL").select("order_hash")
+    rows = checked.where(F.coalesce("order_id", F.lit("")) != "").select(
+        file_column, "order_id", _order_hash(file_column).alias("order_hash")
+    )
+    duplicates = (
+        duplicate_keys(join_on_key(rows, repeated, "order_hash", "left_semi"), [file_column, "order_id"])
+        .groupBy(file_column)
         .agg(F.sum("n").alias("n"))
+        .withColumn("reason", F.lit(DUPLICATE_ORDER))
     )
+    broken = counts.where("reason IS NOT NULL")
+    return broken.select(*columns).unionByName(duplicates.select(*columns))
+
+
+def _order_hash(file_column: str) -> Column:
+    return F.xxhash64(file_column, "order_id")
 
 
 def reasons_by_file(rejected: DataFrame, file_column: str = "source_file") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daybook.operators.flat import clean_flat, flat_category_kpi, flat_daily_kpi
-from daybook.operators.quality import check_rows, reasons_by_file, rejected_files, split_by_file
+from daybook.operators.quality import check_rows, reason_counts, reasons_by_file, rejected_by_counts, split_by_file
 from daybook.plans.gate_run import (
     archive_files,
     in_run,
@@ -80,7 +80,9 @@ def run_flat(
 
     check_rows(rows, categories).write.mode("overwrite").parquet(f"{work}/checked")
     checked = spark.read.parquet(f"{work}/checked")
-    rejected_files(checked).write.mode("overwrite").parquet(f"{work}/rejected")
+    reason_counts(checked).write.mode("overwrite").parquet(f"{work}/reason_counts")
+    counts = spark.read.parquet(f"{work}/reason_counts")
+    rejected_by_counts(checked, counts).write.mode("overwrite").parquet(f"{work}/rejected")
     rejected = spark.read.parquet(f"{work}/rejected")
     accepted, refused = split_by_file(checked, rejected)
     kept = refused.withColumns({"dt": F.lit(run_date), "run_id": F.lit(run_id)})

@@ -1,8 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
+from daybook.operators import quality
 from daybook.operators.quality import check_rows, duplicate_keys, rejected_files, split_by_file
 from daybook.schemas import FLAT_COLUMNS
 from tests.conftest import as_rows
+from tests.planning import final_tree
 
 GOOD = {
     "order_id": "ORD1",
@@ -85,6 +88,38 @@ def test_missing_order_ids_are_not_duplicates(spark):
     assert reasons == [("missing order_id", 3)]
 
 
+@pytest.mark.parametrize("collide", [False, True])
+def test_two_steps_reject_the_same_files(spark, tmp_path, monkeypatch, collide):
+    """Also where hashes of unequal ids are equal."""
+    if collide:
+        monkeypatch.setattr(quality, "_order_hash", lambda _: F.length("order_id").cast("bigint"))
+    change = [
+        {"order_id": str(k % 7) if k < 9 else f"id{k}", "quantity": "0" if k % 5 == 0 else "2"} for k in range(30)
+    ] + [{"order_id": ""}, {"order_id": None}, {"order_id": ""}]
+    rows = flat_rows(spark, *change, file="a").unionByName(flat_rows(spark, *change[:7], file="b"))
+    check_rows(rows).write.parquet(str(tmp_path / "checked"))
+    checked = spark.read.parquet(str(tmp_path / "checked"))
+    quality.reason_counts(checked).write.parquet(str(tmp_path / "counts"))
+    counts = spark.read.parquet(str(tmp_path / "counts"))
+    columns = ["source_file", "reason", "n"]
+    want = as_rows(rejected_files(checked), *columns)
+    assert as_rows(quality.rejected_by_counts(checked, counts), *columns) == want
+    assert ("a", "duplicate order_id", 4) in want and len(want) == 4
+    assert as_rows(quality.rejected_by_counts(checked.limit(0), counts.limit(0)), *columns) == []
+
+
+def test_ids_are_not_shuffled_unless_their_hash_repeats(spark, tmp_path):
+    spark.range(20_000).selectExpr(
+        "cast(id as string) order_id", "concat('file', id % 3) source_file", "cast(array() as array<string>) reasons"
+    ).write.parquet(str(tmp_path / "checked"))
+    checked = spark.read.parquet(str(tmp_path / "checked"))
+    quality.reason_counts(checked).write.parquet(str(tmp_path / "counts"))
+    counts = spark.read.parquet(str(tmp_path / "counts"))
+    assert counts.count() == 0
+    tree = final_tree(quality.rejected_by_counts(checked, counts))
+    assert "SortMergeJoin" not in tree
+
+
 def test_duplicate_keys(spark):
     rows = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (2, 1)], "a int, b int")
     assert as_rows(duplicate_keys(rows, ["a", "b"]), "a", "b", "n") == [(1, 1, 2)]
