@@ -371,7 +371,7 @@ def land(
     )
     for file_type, rows in (("orders", order_rows), ("order_items", item_rows)):
         if "files" in options:
-            rows = rows.coalesce(options["files"])
+            rows = rows.repartition(options["files"])  # only the rows go to that task, not the join before
             rows.write.option("header", True).csv(f"{workspace.incoming(file_type)}/{batch}")
         else:
             _write_csv(rows, f"{workspace.incoming(file_type)}/{batch}")
