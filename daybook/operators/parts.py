@@ -77,31 +77,35 @@ def new_pairs(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs.join(known, ["order_id", "order_date"], "left_anti")
 
 
+def with_days(sums: DataFrame, all_days: DataFrame) -> DataFrame:
+    """Sums of orders at every day of their order; without a day where it has none."""
+    return join_on_key(sums, all_days, "order_id", "left")
+
+
 def revenue_parts(
-    sums: DataFrame, known: DataFrame, fresh: DataFrame, stored: DataFrame, waiting: DataFrame
+    days_of_sums: DataFrame, known: DataFrame, fresh: DataFrame, stored: DataFrame, waiting: DataFrame
 ) -> DataFrame:
     """What a delivery adds to the revenue of orders at their days.
 
-    `sums` are those of the new items. They count at every day of their order,
-    `known` before or `fresh`. A fresh day also gets what came before: the
-    `stored` revenue of the order at its first known day, or what was `waiting`
-    for an order without a day. An order's stored sums are the same at all its
-    days.
+    `days_of_sums` are the sums of the new items `with_days`. They count at every
+    day of their order, `known` before or `fresh`. A fresh day also gets what came
+    before: the `stored` revenue of the order at its first known day, or what was
+    `waiting` for an order without a day. Both are rows of their own, which add up
+    like those of different deliveries. An order's stored sums are the same at all
+    its days.
     """
-    all_days = known.unionByName(fresh)
-    added = join_on_key(all_days, sums, "order_id", "inner")
+    added = days_of_sums.where("order_date IS NOT NULL")
     first = known.groupBy("order_id").agg(F.min("order_date").alias("order_date"))
     earlier = stored.join(first, ["order_id", "order_date"], "left_semi").drop("order_date")
-    unseen = join_on_key(waiting, known.select("order_id").distinct(), "order_id", "left_anti")
+    unseen = join_on_key(waiting, known.select("order_id"), "order_id", "left_anti")
     before = order_sums(earlier.unionByName(unseen))
     caught_up = join_on_key(fresh, before, "order_id", "inner")
-    total = order_sums(added.unionByName(caught_up), "order_date")
-    return total.withColumn("order_month", month_of("order_date"))
+    return added.unionByName(caught_up).withColumn("order_month", month_of("order_date"))
 
 
-def still_waiting(sums: DataFrame, all_days: DataFrame) -> DataFrame:
+def still_waiting(days_of_sums: DataFrame) -> DataFrame:
     """Sums of orders that have no day."""
-    missing = join_on_key(sums, all_days.select("order_id").distinct(), "order_id", "left_anti")
+    missing = days_of_sums.where("order_date IS NULL").drop("order_date")
     return missing.withColumn("place", place_of("order_id"))
 
 
@@ -140,7 +144,15 @@ def category_kpis_of_parts(items: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def order_kpis_of_parts(orders: DataFrame, revenue: DataFrame) -> DataFrame:
-    """Parts of whole days -> order KPIs of these days."""
-    by_order = orders.groupBy("order_id", "order_date").agg(*_counts())
-    valued = by_order.join(order_sums(revenue, "order_date"), ["order_id", "order_date"], "left")
-    return daily_kpi(valued, customers_of_days(orders))
+    """Parts of whole days -> order KPIs of these days.
+
+    Rows of an order and its revenue meet in one aggregate, without a join. Revenue
+    at a day without order rows is left out; orders without an id have none.
+    """
+    counts = orders.select("order_id", "order_date", "n_rows", "n_items", "n_returned")
+    by_order = (
+        counts.unionByName(revenue.select("order_id", "order_date", "order_revenue"), allowMissingColumns=True)
+        .groupBy("order_id", "order_date")
+        .agg(*_counts(), F.sum("order_revenue").cast("decimal(30,2)").alias("order_revenue"))
+    )
+    return daily_kpi(by_order.where("n_rows IS NOT NULL"), customers_of_days(orders))

@@ -29,7 +29,7 @@ from daybook.schemas import (
 )
 from daybook.sinks.versions import Commit, merge_folders, write_rows
 from daybook.sources.tables import small_rows
-from daybook.sources.versions import is_versioned, read_folders, read_state, read_versions
+from daybook.sources.versions import is_versioned, no_rows, read_folders, read_state, read_versions
 
 MONTH = "order_month"
 #: Beginnings of order ids by which one read of the index is pruned, at most.
@@ -167,26 +167,25 @@ def write_delivery(
 
     # typed rows are read once; all else follows from what they add up to
     sums = kept(parts.item_sums(add("items", parts.item_parts(items))), "sums")
-    pairs = parts.order_day_pairs(add("orders", parts.order_parts(orders)))
+    pairs = kept(parts.order_day_pairs(add("orders", parts.order_parts(orders))), "pairs")
+    known, fresh = no_rows(pairs), pairs
     if read_state(spark, workspace.part("days")).folders:
-        pairs = kept(pairs, "pairs")
         ids = sums.select("order_id").unionByName(pairs.select("order_id")).distinct()
         known = kept(known_days(spark, workspace, kept(ids, "ids")), "known")
         fresh = kept(parts.new_pairs(pairs, known), "fresh")
-    else:
-        known, fresh = spark.createDataFrame([], pairs.schema), pairs
     add("days", fresh.withColumn("place", parts.place_of("order_id")))
 
-    fresh_ids = fresh.select("order_id").distinct()
-    again = join_on_key(known, fresh_ids, "order_id", "left_semi")
+    again = join_on_key(known, fresh.select("order_id"), "order_id", "left_semi")
     months = [row[0] for row in small_rows(again.select(month_of("order_date")).distinct())]
     revenue = stored_part(spark, workspace, "revenue", months).drop(MONTH)
     waiting = stored_part(spark, workspace, "waiting")
     if read_state(spark, workspace.part("waiting")).folders:
+        fresh_ids = fresh.select("order_id").distinct()
         waiting = at_places(waiting, fresh_ids)
-    waiting = join_on_key(waiting.drop("place"), fresh_ids, "order_id", "left_semi")
-    add("revenue", parts.revenue_parts(sums, known, fresh, revenue, waiting))
-    add("waiting", parts.still_waiting(sums, known.unionByName(fresh)))
+        waiting = join_on_key(waiting, fresh_ids, "order_id", "left_semi")
+    days_of_sums = kept(parts.with_days(sums, known.unionByName(fresh)), "days_of_sums")
+    add("revenue", parts.revenue_parts(days_of_sums, known, fresh, revenue, waiting.drop("place")))
+    add("waiting", parts.still_waiting(days_of_sums))
     return Delivery(written)
 
 

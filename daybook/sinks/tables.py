@@ -13,6 +13,6 @@ def even(df: DataFrame, *columns: str) -> DataFrame:
     return df.sparkSession.sql(f"SELECT /*+ {hint} */ * FROM {{rows}}", rows=df)
 
 
-def append(df: DataFrame, path: str, *partitions: str) -> None:
-    writer = (even(df, *partitions) if partitions else df).write.mode("append")
+def append(df: DataFrame, path: str, *partitions: str, **options: str) -> None:
+    writer = (even(df, *partitions) if partitions else df).write.mode("append").options(**options)
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)

@@ -45,12 +45,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(at)
 
 
+def no_rows(rows: DataFrame) -> DataFrame:
+    """The columns of `rows` alone. Joins with it are decided before they run, unlike with an empty list of rows."""
+    return rows.limit(0)
+
+
 def read_partitions(
     spark: SparkSession, path: str, schema: StructType, partitions: list[str]
 ) -> DataFrame:
     """Only the named partition folders are listed and read."""
     if not partitions:
-        return spark.createDataFrame([], schema)
+        return no_rows(spark.createDataFrame([], schema))
     folders = [f"{path}/{partition}" for partition in partitions]
     return spark.read.schema(schema).option("basePath", path).parquet(*folders)
 

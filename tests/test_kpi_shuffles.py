@@ -1,0 +1,56 @@
+"""What the KPI and flat runs move and store."""
+
+import datetime as dt
+import glob
+import os
+from decimal import Decimal as D
+
+from pyspark.sql import functions as F
+
+from daybook.operators import parts
+from daybook.plans import gate_run
+from daybook.sources.versions import read_partitions
+from tests.planning import final_tree
+
+DAY = dt.date(2025, 7, 6)
+ORDERS = "order_id string, user_id string, order_date date, n_rows bigint, n_items bigint, n_returned bigint"
+REVENUE = "order_id string, order_date date, order_revenue decimal(30,2), n_lines bigint"
+
+
+def test_order_kpis_of_parts_need_no_join(spark):
+    other = dt.date(2025, 7, 7)
+    orders = spark.createDataFrame(
+        [("1", "a", DAY, 1, 2, 0), ("1", "a", DAY, 1, 2, 1), ("2", "b", DAY, 1, None, 0), (None, "b", DAY, 1, 5, 0)], ORDERS
+    )
+    revenue = spark.createDataFrame([("1", DAY, D(10), 1), ("1", DAY, D(5), 1), ("3", DAY, D(7), 1), ("2", other, D(9), 1)], REVENUE)
+    kpis = parts.order_kpis_of_parts(orders, revenue)
+    assert [tuple(map(str, row)) for row in kpis.collect()] == [("2025-07-06", "2", "30.00", "9", "0.25", "2")]
+    assert "Join" not in final_tree(kpis)
+
+
+def test_revenue_of_a_first_delivery_needs_no_join_with_what_is_stored(spark):
+    sums = spark.createDataFrame([("1", D(10), 1), ("9", D(4), 2)], "order_id string, order_revenue decimal(30,2), n_lines bigint")
+    fresh = spark.createDataFrame([("1", DAY), ("2", DAY)], "order_id string, order_date date")
+    days_of_sums = parts.with_days(sums, fresh)
+    stored = read_partitions(spark, "none", spark.createDataFrame([], REVENUE).schema, [])
+    waiting = stored.drop("order_date")
+    revenue = parts.revenue_parts(days_of_sums, fresh.limit(0), fresh, stored, waiting)
+    found = [(r.order_id, r.order_date, int(r.order_revenue), r.n_lines) for r in revenue.collect()]
+    assert found == [("1", DAY, 10, 1)]
+    assert final_tree(revenue).count("Join") == 1  # that of `with_days`
+    assert [(r.order_id, int(r.order_revenue)) for r in parts.still_waiting(days_of_sums).collect()] == [("9", 4)]
+
+
+def test_rows_of_a_run_do_not_carry_its_day_and_id(spark, tmp_path, monkeypatch):
+    moved = []
+    append = gate_run.append
+    monkeypatch.setattr(gate_run, "append", lambda rows, *a, **k: moved.append(rows.columns) or append(rows, *a, **k))
+    rows = gate_run.in_run(spark.createDataFrame([("1", DAY)], "order_id string, order_date date"), DAY, "r1")
+    gate_run.append_run(rows, str(tmp_path), DAY, "r1", "order_month", compression="zstd")
+    assert moved == [["order_id", "order_date", "order_month"]]
+    assert len(glob.glob(f"{tmp_path}/dt=2025-07-06/run_id=r1/order_month=2025-07/*.zstd.parquet")) == 1
+    back = spark.read.parquet(str(tmp_path))
+    assert back.select("order_id", "run_id", F.col("dt").cast("string"), "order_month").collect() == [
+        ("1", "r1", "2025-07-06", "2025-07")
+    ]
+    assert os.listdir(tmp_path)
