@@ -21,12 +21,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def small_rows(df: DataFrame) -> Iterator[Row]:
-    """Rows of a small result the driver needs: file names, gate runs, days, months.
+def small_rows(df: DataFrame, *order: str) -> Iterator[Row]:
+    """Rows of a small result the driver needs, in an order if asked: file names, gate runs, days, months.
 
-    One partition, as the iterator starts a job for each.
+    One partition, as the iterator starts a job for each. The rows move there; what
+    they come from, a listing or a scan, runs in tasks of its own.
     """
-    return df.coalesce(1).toLocalIterator()
+    one = df.repartition(1)
+    return (one.sortWithinPartitions(*order) if order else one).toLocalIterator()
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql.classic.dataframe import DataFrame
 
 from daybook.plans import star
 from daybook.plans.workspace import Workspace
+from daybook.sources.tables import small_rows
 
 
 def tables(spark, folder) -> str:
@@ -49,3 +50,13 @@ def test_csv_files_are_written_where_the_rows_are(spark, tmp_path):
 def test_no_rows_leave_one_file_with_a_header(spark, tmp_path):
     star._write_csv(spark.range(0, 40, 1, 4).where("id < 0").selectExpr("id order_id"), str(tmp_path / "none"))
     assert [open(f).read() for f in csv_files(tmp_path / "none")] == ["order_id\n"]
+
+
+def test_rows_for_the_driver_leave_their_scan_to_many_tasks(spark, monkeypatch):
+    def refuse(self, n):
+        raise AssertionError("coalesce runs the scan before it in one task")
+
+    monkeypatch.setattr(DataFrame, "coalesce", refuse)
+    listed = spark.range(0, 40, 1, 8).selectExpr("id", "cast(40 - id as string) path")
+    assert sorted(row.id for row in small_rows(listed)) == list(range(40))
+    assert [row.path for row in small_rows(listed, "path")] == sorted(str(40 - k) for k in range(40))
