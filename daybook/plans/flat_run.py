@@ -79,6 +79,10 @@ def run_flat(
         append(not_logged(spark, workspace, verdicts).hint("rebalance"), workspace.gate_log)
         return verdicts
 
+    if isinstance(categories, DataFrame):
+        # A written list tells its size, so a short one goes to the rows instead of all rows to it.
+        categories.select("category").distinct().write.mode("overwrite").parquet(f"{work}/categories")
+        categories = spark.read.parquet(f"{work}/categories")
     dense = {"compression": "zstd"}  # mostly digits
     check_rows(rows, categories).write.mode("overwrite").options(**dense).parquet(f"{work}/checked")
     checked = spark.read.parquet(f"{work}/checked")
