@@ -88,15 +88,22 @@ def stored_part(
 
 
 def beginnings(ids: DataFrame) -> list[str] | None:
-    """Some few beginnings of places that cover all ids; None if even the coarsest are too many."""
-    counts = ids.agg(
-        *[F.approx_count_distinct(parts.place_of("order_id", n)).alias(str(n)) for n in _COARSER]
-    ).first()
-    for n in _COARSER:
-        if counts[str(n)] <= BEGINNINGS:
-            found = ids.select(parts.place_of("order_id", n).alias("place")).distinct()
-            return sorted(row[0] for row in small_rows(found))
-    return None
+    """Some few beginnings of places that cover all ids; None if even the coarsest are too many.
+
+    The coarser the beginnings, the fewer: the finest that are few enough are searched for by halves.
+    """
+    least, most = 0, len(_COARSER)
+    while least < most:
+        middle = (least + most) // 2
+        place = parts.place_of("order_id", _COARSER[middle])
+        if ids.agg(F.approx_count_distinct(place)).first()[0] <= BEGINNINGS:
+            most = middle
+        else:
+            least = middle + 1
+    if least == len(_COARSER):
+        return None
+    found = ids.select(parts.place_of("order_id", _COARSER[least]).alias("place")).distinct()
+    return sorted(row[0] for row in small_rows(found))
 
 
 def at_places(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -180,7 +187,7 @@ def write_delivery(
     revenue = stored_part(spark, workspace, "revenue", months).drop(MONTH)
     waiting = stored_part(spark, workspace, "waiting")
     if read_state(spark, workspace.part("waiting")).folders:
-        fresh_ids = fresh.select("order_id").distinct()
+        fresh_ids = fresh.select("order_id")
         waiting = at_places(waiting, fresh_ids)
         waiting = join_on_key(waiting, fresh_ids, "order_id", "left_semi")
     days_of_sums = kept(parts.with_days(sums, known.unionByName(fresh)), "days_of_sums")

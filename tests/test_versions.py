@@ -143,6 +143,22 @@ def test_places_cover_any_ids(spark):
     assert kpi_parts.beginnings(odd.limit(0)) == []
 
 
+def test_beginnings_are_searched_for_by_halves(spark, monkeypatch):
+    """The finest that are few enough, with four counts over all ids."""
+    asked = []
+    count = F.approx_count_distinct
+    monkeypatch.setattr(kpi_parts.F, "approx_count_distinct", lambda place: asked.append(1) or count(place))
+    for n in (20_000, 2_000_000, 10):
+        asked.clear()
+        ids = spark.range(0, n, max(1, n // 5000)).selectExpr("cast(id + 10000000 as string) order_id")
+        found = kpi_parts.beginnings(ids)
+        assert len(asked) <= 4 and 1 <= len(found) <= 1.1 * kpi_parts.BEGINNINGS
+        finer = [m for m in kpi_parts._COARSER if m < 12 - min(map(len, found))]
+        assert not finer or ids.select(parts.place_of("order_id", finer[-1])).distinct().count() > kpi_parts.BEGINNINGS
+    random = spark.range(30_000).selectExpr("cast(hex(id) as string) || repeat('x', int(id)) order_id")
+    assert kpi_parts.beginnings(random.where("id < 1200")) is None and len(asked) <= 8
+
+
 def test_merged_sums_are_the_same(spark, tmp_path):
     items = T.StructType.fromDDL("order_id string, product_id string, order_date date, sale_price decimal(10,2), is_returned boolean")
     some = spark.createDataFrame([("1", "a", None, None, None), ("1", "a", None, None, True), (None, "a", None, None, False)], items)
