@@ -11,6 +11,7 @@ from daybook.functions.paths import base_name, plain_path, processed_key
 from daybook.operators import arrivals as arr
 from daybook.operators import flat, gate, kpis, ledger, quality, serving
 from daybook.operators.cleaning import clean_items, clean_orders, reject_counts
+from daybook.operators.joins import join_on_key
 from daybook.operators.summary import run_summary
 from daybook.plans.flat_run import run_flat
 from daybook.plans.gate_run import judge, list_incoming, quarantine, run_gate
@@ -30,7 +31,7 @@ from daybook.schemas import (
 from daybook.session import scratch_folder
 from daybook.sinks.manifest import MANIFEST
 from daybook.sinks.upsert import stored_kpis, upsert
-from daybook.sources.tables import read_ledger, read_table
+from daybook.sources.tables import path_exists, read_ledger, read_table
 from daybook.sources.versions import hadoop_path
 from daybook.streaming.kpi_stream import stream_kpis
 
@@ -353,12 +354,62 @@ def q_written_manifest(spark: SparkSession, folder: str) -> DataFrame:
     ).agg(F.min(same.cast("int")).alias("names_kept"))
 
 
+def before_second() -> Column:
+    return F.col("o_orderdate") < F.lit(SECOND_DELIVERY).cast("date")
+
+
+def land_products(spark: SparkSession, folder: str, workspace: Workspace) -> None:
+    _write_csv(star_products(spark, folder), f"{workspace.products}/1997-12-31")
+
+
 def deliver(spark: SparkSession, folder: str, workspace: Workspace, first: bool) -> None:
-    """Write the CSV files of the orders before or from the second delivery on."""
-    before = F.col("o_orderdate") < F.lit(SECOND_DELIVERY).cast("date")
+    """The CSV files of the orders before or from the second delivery on.
+
+    The lines meet their orders once for both: the files of the second are written
+    with those of the first and wait among the staged results, where no gate looks.
+    """
+    waiting = workspace.staging("deliveries")
     if first:
-        _write_csv(star_products(spark, folder), f"{workspace.products}/1997-12-31")
-    land(spark, folder, workspace, before if first else ~before, "first" if first else "second")
+        land_products(spark, folder, workspace)
+        orders = table(spark, folder, "orders")
+        early, late = before_second(), ~before_second()
+        batch = F.when(early, "first").when(late, "second")
+        # A key that is there twice may be in both deliveries.
+        keys = orders.groupBy(F.col("o_orderkey").alias("l_orderkey")).agg(
+            F.max(early).alias("in_first"), F.max(late).alias("in_second")
+        )
+        lines = join_on_key(table(spark, folder, "lineitem"), keys, "l_orderkey", "inner")
+        batches = F.array(F.when(F.col("in_first"), "first"), F.when(F.col("in_second"), "second"))
+        lines = lines.withColumn("batch", F.explode(batches)).where("batch IS NOT NULL")
+        order_rows = landed_orders(spark, folder, orders.where(batch.isNotNull()), batch.alias("batch"))
+        for file_type, rows in (("orders", order_rows), ("order_items", landed_items(lines, "batch"))):
+            rows.write.option("header", True).option("escape", '"').partitionBy("batch").csv(f"{waiting}/{file_type}")
+            for name in ("first", "second"):
+                if not path_exists(spark, f"{waiting}/{file_type}/batch={name}"):
+                    _write_csv(rows.drop("batch").limit(0), f"{waiting}/{file_type}/batch={name}")
+    name = "first" if first else "second"
+    for file_type in REQUIRED_COLUMNS:
+        system, target = hadoop_path(spark, f"{workspace.incoming(file_type)}/{name}")
+        system.mkdirs(target.getParent())
+        _, source = hadoop_path(spark, f"{waiting}/{file_type}/batch={name}")
+        if not system.rename(source, target):
+            raise OSError(f"{source} could not be moved to {target}")
+
+
+def landed_orders(spark: SparkSession, folder: str, orders: DataFrame, *more: Column) -> DataFrame:
+    """Rows of orders files, with the number of lines of each order."""
+    n_lines = kpis.order_revenue(star_items(spark, folder)).select("order_id", "n_lines")
+    bound = orders.select(*[F.expr(sql).alias(name) for name, sql in STAR_ORDERS.columns.items()], *more)
+    counted = bound.join(n_lines, "order_id", "left").withColumn("num_of_item", F.coalesce("n_lines", F.lit(0)))
+    kept = [name for name in bound.columns if name not in STAR_ORDERS.columns]
+    return counted.select(*REQUIRED_COLUMNS["orders"], *kept)
+
+
+def landed_items(lines: DataFrame, *more: str) -> DataFrame:
+    """Rows of order item files."""
+    bound = lines.select(*[F.expr(sql).alias(name) for name, sql in STAR_ITEMS.columns.items()], *more)
+    price = F.col("sale_price").cast("decimal(12,2)")
+    return bound.withColumn("sale_price", price).select(*REQUIRED_COLUMNS["order_items"], *more)
 
 
 def land(
@@ -368,17 +419,7 @@ def land(
     orders = table(spark, folder, "orders").where(wanted)
     keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
     lines = table(spark, folder, "lineitem").join(keys, "l_orderkey", "left_semi")
-    n_lines = kpis.order_revenue(star_items(spark, folder)).select("order_id", "n_lines")
-    order_rows = (
-        STAR_ORDERS.apply(orders)
-        .join(n_lines, "order_id", "left")
-        .withColumn("num_of_item", F.coalesce("n_lines", F.lit(0)))
-        .select(*REQUIRED_COLUMNS["orders"])
-    )
-    price = F.col("sale_price").cast("decimal(12,2)")
-    item_rows = (
-        STAR_ITEMS.apply(lines).withColumn("sale_price", price).select(*REQUIRED_COLUMNS["order_items"])
-    )
+    order_rows, item_rows = landed_orders(spark, folder, orders), landed_items(lines)
     for file_type, rows in (("orders", order_rows), ("order_items", item_rows)):
         if "files" in options:
             rows = rows.repartition(options["files"])  # only the rows go to that task, not the join before
@@ -413,7 +454,7 @@ def q_latest_only_kpi(spark: SparkSession, folder: str) -> DataFrame:
     workspace = Workspace(scratch_folder(spark, "latest"))
     last = table(spark, folder, "orders").agg(F.max("o_orderdate")).first()[0]
     on_last = F.col("o_orderdate") == F.lit(last)
-    _write_csv(star_products(spark, folder), f"{workspace.products}/1997-12-31")
+    land_products(spark, folder, workspace)
     land(spark, folder, workspace, ~on_last, "earlier")
     run_gate(spark, workspace, dt.date(2025, 7, 6), archive=False)
     land(spark, folder, workspace, on_last, "last", files=1)
@@ -635,7 +676,8 @@ def q_flat_file_gate(spark: SparkSession, folder: str) -> DataFrame:
 def q_idle_run(spark: SparkSession, folder: str) -> DataFrame:
     """A run with order files alone does nothing and marks nothing; with item files it takes both."""
     workspace = Workspace(scratch_folder(spark, "idle"))
-    deliver(spark, folder, workspace, first=True)
+    land_products(spark, folder, workspace)
+    land(spark, folder, workspace, before_second(), "first")
     items = f"{workspace.incoming('order_items')}/first"
     late = f"{workspace.incoming('order_items')}/_first"  # hidden, so still on its way
     path_of = spark._jvm.org.apache.hadoop.fs.Path
