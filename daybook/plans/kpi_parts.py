@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from daybook.schemas import (
     REVENUE_PARTS,
     WAITING_ITEMS,
 )
+from daybook.session import at_once
 from daybook.sinks.versions import Commit, merge_folders, write_rows
 from daybook.sources.tables import small_rows
 from daybook.sources.versions import is_versioned, no_rows, read_folders, read_state, read_versions
@@ -170,17 +171,18 @@ def write_delivery(
 
     def add(name: str, rows: DataFrame) -> DataFrame:
         written[name] = PARTS[name].write(rows, workspace.part(name), version)
-        return Delivery(written).rows(spark, workspace, name)
+        return Delivery({name: written[name]}).rows(spark, workspace, name)
 
     # typed rows are read once; all else follows from what they add up to
-    sums = kept(parts.item_sums(add("items", parts.item_parts(items))), "sums")
-    pairs = kept(parts.order_day_pairs(add("orders", parts.order_parts(orders))), "pairs")
+    sums, pairs = at_once(
+        lambda: kept(parts.item_sums(add("items", parts.item_parts(items))), "sums"),
+        lambda: kept(parts.order_day_pairs(add("orders", parts.order_parts(orders))), "pairs"),
+    )
     known, fresh = no_rows(pairs), pairs
     if read_state(spark, workspace.part("days")).folders:
         ids = sums.select("order_id").unionByName(pairs.select("order_id")).distinct()
         known = kept(known_days(spark, workspace, kept(ids, "ids")), "known")
         fresh = kept(parts.new_pairs(pairs, known), "fresh")
-    add("days", fresh.withColumn("place", parts.place_of("order_id")))
 
     again = join_on_key(known, fresh.select("order_id"), "order_id", "left_semi")
     months = [row[0] for row in small_rows(again.select(month_of("order_date")).distinct())]
@@ -190,21 +192,28 @@ def write_delivery(
         fresh_ids = fresh.select("order_id")
         waiting = at_places(waiting, fresh_ids)
         waiting = join_on_key(waiting, fresh_ids, "order_id", "left_semi")
-    days_of_sums = kept(parts.with_days(sums, known.unionByName(fresh)), "days_of_sums")
-    add("revenue", parts.revenue_parts(days_of_sums, known, fresh, revenue, waiting.drop("place")))
-    add("waiting", parts.still_waiting(days_of_sums))
-    return Delivery(written)
+
+    def add_sums() -> None:
+        days_of_sums = kept(parts.with_days(sums, known.unionByName(fresh)), "days_of_sums")
+        at_once(
+            lambda: add("revenue", parts.revenue_parts(days_of_sums, known, fresh, revenue, waiting.drop("place"))),
+            lambda: add("waiting", parts.still_waiting(days_of_sums)),
+        )
+
+    at_once(add_sums, lambda: add("days", fresh.withColumn("place", parts.place_of("order_id"))))
+    return Delivery({name: written[name] for name in PARTS})
 
 
 def touched_days(spark: SparkSession, workspace: Workspace, delivery: Delivery) -> dict[str, list]:
     """Days whose KPIs a delivery changes; as many as the calendar has at most."""
     found = {"category": ["items"], "order": ["orders", "revenue"]}
-    days = {}
-    for kpi, names in found.items():
+
+    def days(names: list[str]) -> list:
         dates = [delivery.rows(spark, workspace, n).select("order_date") for n in names]
         distinct = reduce(DataFrame.unionByName, dates).where("order_date IS NOT NULL").distinct()
-        days[kpi] = sorted(row[0] for row in small_rows(distinct))
-    return days
+        return sorted(row[0] for row in small_rows(distinct))
+
+    return dict(zip(found, at_once(*[partial(days, names) for names in found.values()])))
 
 
 def kpis_of_days(

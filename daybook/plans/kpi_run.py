@@ -3,6 +3,7 @@
 import datetime as dt
 import uuid
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from daybook.schemas import (
     REQUIRED_COLUMNS,
     VALID,
 )
+from daybook.session import at_once
 from daybook.sinks.ledger import compact_ledger, mark_processed
 from daybook.sinks.upsert import apply_staged, stage, stored_kpis
 from daybook.sinks.versions import Commit
@@ -163,12 +165,19 @@ def run_kpis(
         "order": (order_rows, workspace.order_kpis, ORDER_KPI, ORDER_KPI_KEYS),
     }
     commit = Commit(spark, workspace.root.rstrip("/"), version)
-    counts = {}
-    for name, (rows, target, schema, keys) in tables.items():
-        counts[f"{name}_kpis"] = stage(rows, f"{work}/{name}", schema, keys)
+
+    def store(name: str) -> int:
+        rows, target, schema, keys = tables[name]
+        n_rows = stage(rows, f"{work}/{name}", schema, keys)
         apply_staged(spark, f"{work}/{name}", target, schema, keys, commit)
+        return n_rows
+
+    *stored, _ = at_once(
+        *[partial(store, name) for name in tables],
+        lambda: mark_processed(wanted, workspace.ledger, processed_at, commit),
+    )
+    counts = {f"{name}_kpis": n_rows for name, n_rows in zip(tables, stored)}
     delivery.commit(workspace, commit)
-    mark_processed(wanted, workspace.ledger, processed_at, commit)
     commit.finish()
     compact_parts(spark, workspace)
     compact_ledger(spark, workspace.ledger)

@@ -28,7 +28,7 @@ from daybook.schemas import (
     REJECTED_FLAT,
     REQUIRED_COLUMNS,
 )
-from daybook.session import scratch_folder
+from daybook.session import at_once, scratch_folder
 from daybook.sinks.manifest import MANIFEST
 from daybook.sinks.upsert import stored_kpis, upsert
 from daybook.sources.tables import path_exists, read_ledger, read_table
@@ -419,14 +419,19 @@ def land(
     orders = table(spark, folder, "orders").where(wanted)
     keys = orders.select(F.col("o_orderkey").alias("l_orderkey"))
     lines = table(spark, folder, "lineitem").join(keys, "l_orderkey", "left_semi")
-    order_rows, item_rows = landed_orders(spark, folder, orders), landed_items(lines)
-    for file_type, rows in (("orders", order_rows), ("order_items", item_rows)):
+
+    def write(file_type: str, rows: DataFrame) -> None:
         if "files" in options:
             rows = rows.repartition(options["files"])  # only the rows go to that task, not the join before
             rows.write.option("header", True).csv(f"{workspace.incoming(file_type)}/{batch}")
         else:
             _write_csv(rows, f"{workspace.incoming(file_type)}/{batch}")
 
+    at_once(
+        lambda: write("orders", landed_orders(spark, folder, orders)),
+        lambda: write("order_items", landed_items(lines)),
+    )
+
 
 def q_stream_order_kpi(spark: SparkSession, folder: str) -> DataFrame:
     """CSV files in two deliveries through the gate and the stream into the KPI table."""
@@ -676,8 +681,10 @@ def q_flat_file_gate(spark: SparkSession, folder: str) -> DataFrame:
 def q_idle_run(spark: SparkSession, folder: str) -> DataFrame:
     """A run with order files alone does nothing and marks nothing; with item files it takes both."""
     workspace = Workspace(scratch_folder(spark, "idle"))
-    land_products(spark, folder, workspace)
-    land(spark, folder, workspace, before_second(), "first")
+    at_once(
+        lambda: land_products(spark, folder, workspace),
+        lambda: land(spark, folder, workspace, before_second(), "first"),
+    )
     items = f"{workspace.incoming('order_items')}/first"
     late = f"{workspace.incoming('order_items')}/_first"  # hidden, so still on its way
     path_of = spark._jvm.org.apache.hadoop.fs.Path
