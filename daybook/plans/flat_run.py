@@ -40,6 +40,7 @@ from daybook.schemas import (
     REJECTED_ROWS,
     VALID,
 )
+from daybook.session import frees_shuffles
 from daybook.sinks.ledger import mark_processed
 from daybook.sinks.tables import append
 from daybook.sinks.upsert import apply_staged, stage
@@ -59,6 +60,7 @@ def _with_row_verdicts(verdicts: DataFrame, rejected: DataFrame) -> DataFrame:
     )
 
 
+@frees_shuffles
 def run_flat(
     spark: SparkSession,
     workspace: Workspace,

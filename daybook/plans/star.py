@@ -28,7 +28,7 @@ from daybook.schemas import (
     REJECTED_FLAT,
     REQUIRED_COLUMNS,
 )
-from daybook.session import at_once, scratch_folder
+from daybook.session import at_once, frees_shuffles, scratch_folder
 from daybook.sinks.manifest import MANIFEST
 from daybook.sinks.upsert import stored_kpis, upsert
 from daybook.sources.tables import path_exists, read_ledger, read_table
@@ -619,6 +619,7 @@ FLAT_ORDER_ID = (
 )
 
 
+@frees_shuffles
 def q_flat_job_kpi(spark: SparkSession, folder: str) -> DataFrame:
     """Flat text files through the whole job: letter case, large prices and parts of a cent."""
     workspace = Workspace(scratch_folder(spark, "flat"))
